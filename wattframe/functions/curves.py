@@ -13,6 +13,11 @@ def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
 
 
+def last_of(values: Column) -> Column:
+    """Last element, null for an empty array."""
+    return F.try_element_at(values, F.greatest(F.size(values), F.lit(1)))
+
+
 def squared_distance(a: Column, b: Column) -> Column:
     """Sum of squared differences; positions where either side is null do not count."""
     return F.aggregate(

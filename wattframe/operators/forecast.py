@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattframe.functions import scalars
+from wattframe.functions.curves import last_of
 from wattframe.functions.blocks import BLOCKS_PER_DAY, day_number
 from wattframe.functions.scalars import ratio
 from wattframe.operators import bins, repair, windows
@@ -47,7 +48,7 @@ def intraday(df: DataFrame, keys: Sequence[str], order: str, forecast: str, obse
         )
 
         def step(acc: Column, c: Column) -> Column:
-            prev = F.try_element_at(acc, F.size(acc))
+            prev = last_of(acc)
             if solar:
                 lagged = F.when(c["i"] == 1, F.lit(1.0)).otherwise(c["q"])
                 shape = F.when(c["i"] == 1, F.lit(0.0)).otherwise(F.coalesce(c["r"], F.lit(1.0)))

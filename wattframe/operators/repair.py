@@ -15,11 +15,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattframe.functions import curves
+from wattframe.functions.curves import last_of
 from wattframe.functions.scalars import ratio
 from wattframe.operators import splits, windows
 from wattframe.session import cut_lineage
 
 
+def field(name: str) -> Callable[[Column], Column]:
+    return lambda x: x[name]
+
+
 def per_curve(
     df: DataFrame,
     keys: Sequence[str],
@@ -34,10 +39,10 @@ def per_curve(
     """
     cell = F.struct(F.col(order).alias("_o"), *[F.col(c).alias(f"_{c}") for c in inputs])
     gathered = df.groupBy(*keys).agg(F.array_sort(F.collect_list(cell)).alias("_cells"))
-    arrays = {c: F.transform("_cells", lambda x, c=c: x[f"_{c}"]) for c in inputs}
+    arrays = {c: F.transform("_cells", field(f"_{c}")) for c in inputs}
     gathered = gathered.select(
         *keys,
-        F.transform("_cells", lambda x: x["_o"]).alias(order),
+        F.transform("_cells", field("_o")).alias(order),
         *[a.alias(c) for c, a in arrays.items()],
     )
     computed = gathered.select(
@@ -228,7 +233,7 @@ def event_carry(df: DataFrame, keys, order: str, observed: str, curve: str, out:
     """As ``ratio_carry`` where only block-on-block ratios are known: each gap multiplies on."""
     def fold(values: Column, ratios: Column) -> Column:
         def step(acc: Column, cell: Column) -> Column:
-            prev = F.try_element_at(acc, F.size(acc))
+            prev = last_of(acc)
             return F.concat(acc, F.array(F.when(cell["v"] > 0, cell["v"]).otherwise(prev * cell["r"])))
 
         cells = F.zip_with(values, ratios, lambda v, r: F.struct(v.alias("v"), r.alias("r")))
@@ -309,7 +314,7 @@ def rebuild_from_ratio(df: DataFrame, keys, order: str, value: str, shape: str,
         ))
 
         def step(acc: Column, cell: Column) -> Column:
-            prev = F.coalesce(cell["p"], F.try_element_at(acc, F.size(acc)))
+            prev = F.coalesce(cell["p"], last_of(acc))
             rebuilt = prev / F.nullif(cell["r"], F.lit(0.0))
             fresh = F.when(cell["i"] == 1, cell["v"]).otherwise(
                 F.when(rebuilt.isNotNull(), F.least(rebuilt, F.lit(float(cap))))

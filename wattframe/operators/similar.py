@@ -8,6 +8,7 @@ as arrays in a fixed order; distances are array folds inside the JVM.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -15,8 +16,11 @@ from pyspark.sql import functions as F
 
 from wattframe.functions import curves
 from wattframe.functions.blocks import BLOCKS_PER_DAY, day_number
-from wattframe.functions.scalars import haversine_km, ratio
+from wattframe.functions.scalars import EARTH_RADIUS_KM, haversine_km, point_at, ratio
 from wattframe.operators.latest import top_k
+from wattframe.session import cut_lineage
+
+KM_PER_DEGREE = EARTH_RADIUS_KM * math.pi / 180
 
 METRICS = {
     "sqeuclid": curves.squared_distance,
@@ -47,12 +51,16 @@ def candidate_pairs(days: DataFrame, keys: Sequence[str], lookback: int, index:
     return left.join(right, [*keys, "_bucket"]).filter((back >= 1) & (back <= lookback)).drop("_bucket")
 
 
+def as_double(name: str):
+    return lambda x: x[name].cast("double")
+
+
 def vectors(df: DataFrame, keys: Sequence[str], place: Sequence[str], cols: Sequence[str], slots: Sequence | None = None) -> DataFrame:
     """Feature vector per key as one array ordered by the place columns, with the count of filled cells."""
     cell = F.struct(*place, *cols)
     ordered = F.array_sort(F.collect_list(cell))
     out = df.groupBy(*keys).agg(ordered.alias("_c"))
-    parts = [F.transform("_c", lambda x, c=c: x[c].cast("double")) for c in cols]
+    parts = [F.transform("_c", as_double(c)) for c in cols]
     vector = F.concat(*parts) if len(parts) > 1 else parts[0]
     return out.select(*keys, vector.alias("vector"), F.size("_c").alias("n_cells"))
 
@@ -140,6 +148,35 @@ def blend_lags(df: DataFrame, cols: Sequence[str], t: float) -> Column:
     return sum((F.col(c) * w for c, w in zip(cols[1:], weights[1:])), F.col(cols[0])) / sum(weights)
 
 
+def day_curves(df: DataFrame, keys: Sequence[str], value: str, fill: float | None = None, out: str = "curve") -> DataFrame:
+    """One row per key and date with the 96 values in block order; gaps hold ``fill``."""
+    cells = F.map_from_entries(F.collect_list(F.struct("block_no", F.col(value).cast("double"))))
+    slots = F.sequence(F.lit(1), F.lit(BLOCKS_PER_DAY))
+    days = df.groupBy(*keys, "date").agg(cells.alias("_m"))
+    return days.select(
+        *keys, "date", F.transform(slots, lambda b: F.coalesce(F.try_element_at("_m", b), F.lit(fill).cast("double"))).alias(out)
+    )
+
+
+def blend_curves(nn: DataFrame, curves_df: DataFrame, keys: Sequence[str], k: int, t: float, out: str = "blend") -> DataFrame:
+    """Geometric blend of whole day curves: k arrays per day meet in one group, the sums run inside it, and
+    rows per block appear only at the end. Days with fewer than k neighbours have no blend."""
+    past = curves_df.select(*keys, F.col("date").alias("lag_date"), F.col("curve").alias("_c"))
+    met = nn.filter(F.col("rank") <= k).join(past, [*keys, "lag_date"])
+    gathered = met.groupBy(*keys, "date").agg(F.array_sort(F.collect_list(F.struct("rank", "_c"))).alias("_n"))
+    total = sum(t**i for i in range(k))
+    weighted = F.transform(F.col("_n"), lambda n: F.transform(n["_c"], lambda x: x * F.pow(F.lit(float(t)), n["rank"] - 1)))
+    summed = F.aggregate(
+        F.slice(weighted, 2, k - 1) if k > 1 else F.array().cast("array<array<double>>"),
+        weighted[0],
+        lambda acc, c: F.zip_with(acc, c, lambda x, y: x + y),
+    )
+    blended = gathered.filter(F.size("_n") == k).withColumn("_b", F.transform(summed, lambda x: x / total))
+    return blended.select(*keys, "date", F.posexplode("_b").alias("_p", out)).select(
+        *keys, "date", (F.col("_p") + 1).alias("block_no"), out
+    )
+
+
 def weather_delta(weather: DataFrame, nn: DataFrame, keys: Sequence[str], slot: Sequence[str], value: str, k: int, t: float) -> DataFrame:
     """Today's reading minus the blended reading of the similar days, per place and slot."""
     past = weather.select(*keys, F.col("date").alias("lag_date"), *slot, F.col(value).alias("_p"))
@@ -154,57 +191,65 @@ def weather_delta(weather: DataFrame, nn: DataFrame, keys: Sequence[str], slot:
 
 # ---- places -------------------------------------------------------------------------------------------
 
-def nearest_units(units: DataFrame, key: str, lat: str, lon: str, k: int = 1, cell_deg: float = 1.0, slots: int = 64) -> DataFrame:
+def nearest_units(units: DataFrame, key: str, lat: str, lon: str, k: int = 1, cell_deg: float = 2.0, slots: int = 64) -> DataFrame:
     """k nearest other units on the sphere: (key, neighbour, distance_km, nn_rank).
 
     Units are laid on a latitude/longitude grid. A unit is first compared within its own and the adjoining
     cells; a result is final when its k-th distance is no larger than the distance the searched square is
-    sure to cover. Units without a final result search squares twice as wide, until the square covers the
-    whole sphere; the number of rounds is fixed by the cell size, not by the data.
+    sure to cover. Units without a final result search a square six times as wide, at last the whole
+    sphere. Each round is checkpointed, and the search ends when no unit is left; the number of rounds
+    depends on the cell size only. Choose cells so small that a cell holds few units.
     """
     places = units.select(key, F.col(lat).alias("_lat"), F.col(lon).alias("_lon"))
-    pending, final = places, None
-    size = cell_deg
-    km_per_degree = 6367 * 3.141592653589793 / 180
+    pending, final, size = places, None, cell_deg
     while True:
         whole = size >= 180
-        if whole:
-            # Only units with no neighbour within tens of degrees get here; the places are dealt over
-            # many slots so that no task holds them all.
-            a = pending.withColumn("_cell", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))))
-            b = places.withColumn("_cell", F.pmod(F.xxhash64(key), F.lit(slots)).cast("int"))
-            cells = ["_cell"]
-        else:
-            columns = int(360 // size) or 1
-            row = F.floor((F.col("_lat") + 90) / size)
-            col = F.pmod(F.floor((F.col("_lon") + 180) / size), F.lit(columns))
-            step = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
-            a = (
-                pending.withColumn("_s", F.explode(step))
-                .withColumn("_row", row + F.col("_s.i"))
-                .withColumn("_col", F.pmod(col + F.col("_s.j"), F.lit(columns)))
-                .drop("_s")
-                .distinct()
-            )
-            b = places.withColumn("_row", row).withColumn("_col", col)
-            cells = ["_row", "_col"]
+        a, b, cells = _dealt(pending, places, key, slots) if whole else _gridded(pending, places, size)
         b = b.select(F.col(key).alias("neighbour"), F.col("_lat").alias("_nlat"), F.col("_lon").alias("_nlon"), *cells)
-        pairs = a.join(b, cells).filter(F.col(key) != F.col("neighbour"))
-        measured = pairs.withColumn("distance_km", haversine_km(F.col("_lat"), F.col("_lon"), F.col("_nlat"), F.col("_nlon")))
-        best = top_k(
-            measured.select(key, "_lat", "neighbour", "distance_km"), [key], [F.round("distance_km", 9), "neighbour"], k, "nn_rank"
+        measured = (
+            a.join(b, cells)
+            .filter(F.col(key) != F.col("neighbour"))
+            .withColumn("distance_km", haversine_km(F.col("_lat"), F.col("_lon"), F.col("_nlat"), F.col("_nlon")))
+            .select(key, "_lat", "neighbour", "distance_km")
         )
-        if whole:
-            chosen = best.drop("_lat")
-            return chosen if final is None else final.unionByName(chosen)
-        reach = F.lit(size * km_per_degree) * F.cos(F.radians(F.least(F.lit(90.0), F.abs(F.col("_lat")) + size)))
-        n_final = F.count(F.when(F.col("distance_km") <= reach, 1)).over(Window.partitionBy(key))
-        chosen = best.withColumn("_ok", n_final).filter(F.col("_ok") >= k).drop("_ok", "_lat")
+        best = top_k(measured, [key], [F.round("distance_km", 9), "neighbour"], k, "nn_rank")
+        if not whole:
+            covered = F.lit(size * KM_PER_DEGREE) * F.cos(F.radians(F.least(F.lit(90.0), F.abs(F.col("_lat")) + size)))
+            sure = F.count(F.when(F.col("distance_km") <= covered, 1)).over(Window.partitionBy(key))
+            best = best.withColumn("_sure", sure).filter(F.col("_sure") >= k)
+        chosen = cut_lineage(best.select(key, "neighbour", "distance_km", "nn_rank"))
         final = chosen if final is None else final.unionByName(chosen)
+        if whole:
+            return final
         pending = pending.join(chosen.select(key).distinct(), key, "left_anti")
+        if pending.isEmpty():
+            return final
         size *= 6
 
 
+def _gridded(pending: DataFrame, places: DataFrame, size: float) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Searching units in their nine cells, places in their own; columns wrap around the date line."""
+    columns = max(1, int(360 // size))
+    row = F.floor((F.col("_lat") + 90) / size)
+    col = F.pmod(F.floor((F.col("_lon") + 180) / size), F.lit(columns))
+    step = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
+    around = (
+        pending.withColumn("_s", F.explode(step))
+        .withColumn("_row", row + F.col("_s.i"))
+        .withColumn("_col", F.pmod(col + F.col("_s.j"), F.lit(columns)))
+        .drop("_s")
+    )
+    around = around.distinct() if columns < 3 else around
+    return around, places.withColumn("_row", row).withColumn("_col", col), ["_row", "_col"]
+
+
+def _dealt(pending: DataFrame, places: DataFrame, key: str, slots: int) -> tuple[DataFrame, DataFrame, list[str]]:
+    """The few units without a neighbour within tens of degrees against all places, dealt over slots so
+    that no task holds them all."""
+    spread = pending.withColumn("_slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))))
+    return spread, places.withColumn("_slot", F.pmod(F.xxhash64(key), F.lit(slots)).cast("int")), ["_slot"]
+
+
 def neighbour_value(df: DataFrame, nn: DataFrame, key: str, slot: Sequence[str], value: str, out: str) -> DataFrame:
     """The nearest unit's reading of the same time beside each unit's own."""
     other = df.select(F.col(key).alias("neighbour"), *slot, F.col(value).alias(out))
@@ -214,8 +259,6 @@ def neighbour_value(df: DataFrame, nn: DataFrame, key: str, slot: Sequence[str],
 
 def geo_ring(seeds: DataFrame, lat: str, lon: str, max_km: float, step_km: float, bearings: int = 8) -> DataFrame:
     """Distinct points on rings around each seed, every ``step_km`` up to ``max_km``."""
-    from wattframe.functions.scalars import point_at
-
     rings = F.sequence(F.lit(1), F.lit(int(max_km // step_km)))
     turns = F.sequence(F.lit(0), F.lit(bearings - 1))
     spread = seeds.select(lat, lon).withColumn("_r", F.explode(rings)).withColumn("_t", F.explode(turns))
