@@ -74,7 +74,7 @@ def datetime_format(fmt: str) -> Callable[[Column], Column]:
 def datetime_range(low: str, high: str, fmt: str, inclusive: bool = True) -> Callable[[Column], Column]:
     def test(c: Column) -> Column:
         v = F.try_to_timestamp(c, F.lit(fmt))
-        a, b = F.to_timestamp(F.lit(low), F.lit(fmt)), F.to_timestamp(F.lit(high), F.lit(fmt))
+        a, b = F.to_timestamp(F.lit(low), fmt), F.to_timestamp(F.lit(high), fmt)
         return v.between(a, b) if inclusive else (v > a) & (v < b)
 
     return test

@@ -50,14 +50,15 @@ class Query:
             return None
         cells = []
         for name, kind in self.columns:
+            c = f'"{name}"'
             if kind in SCALE:
-                cells.append(f"floor(CAST({name} AS DOUBLE) * {SCALE[kind]:.1f} + {OFFSET}) / {SCALE[kind]:.1f} AS {name}")
+                cells.append(f"floor(CAST({c} AS DOUBLE) * {SCALE[kind]:.1f} + {OFFSET}) / {SCALE[kind]:.1f} AS {c}")
             elif kind == "i":
-                cells.append(f"CAST({name} AS BIGINT) AS {name}")
+                cells.append(f"CAST({c} AS BIGINT) AS {c}")
             elif kind == "t":
-                cells.append(f"strftime({name}, '%Y-%m-%d %H:%M:%S') AS {name}")
+                cells.append(f"strftime({c}, '%Y-%m-%d %H:%M:%S') AS {c}")
             else:
-                cells.append(f"CAST({name} AS VARCHAR) AS {name}")
+                cells.append(f"CAST({c} AS VARCHAR) AS {c}")
         needed = _views_used(self.sql)
         ctes = [f"{v} AS ({SQL_VIEWS[v]})" for v in needed]
         prefix = f"WITH {', '.join(ctes)} " if ctes else ""

@@ -31,16 +31,12 @@ def parse_csv(df: DataFrame, line: str, schema: str, date_fmt: str = "dd-MM-yyyy
     return df.select(F.from_csv(line, schema, {"dateFormat": date_fmt, "sep": sep}).alias("_r")).select("_r.*")
 
 
-def read_many(spark: SparkSession, path: str, schema: str, prefix: str = "", suffix: str = "", date_fmt: str = "dd-MM-yyyy") -> DataFrame:
+def read_many(spark: SparkSession, path: str, schema: str, prefix: str = "", suffix: str = "", date_fmt: str = "dd-MM-yyyy", fmt: str = "csv") -> DataFrame:
     """All files of a folder whose names match, with the file name as a column."""
-    df = (
-        spark.read.schema(schema)
-        .option("header", "true")
-        .option("dateFormat", date_fmt)
-        .option("pathGlobFilter", f"{prefix}*{suffix}")
-        .csv(path)
-    )
-    return df.select("*", F.col("_metadata.file_name").alias("file_name"))
+    reader = spark.read.format(fmt).schema(schema).option("pathGlobFilter", f"{prefix}*{suffix}")
+    if fmt == "csv":
+        reader = reader.option("header", "true").option("dateFormat", date_fmt)
+    return reader.load(path).select("*", F.col("_metadata.file_name").alias("file_name"))
 
 
 def parse_scada(df: DataFrame, line: str, values: Sequence[str]) -> DataFrame:
