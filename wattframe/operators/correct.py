@@ -15,6 +15,7 @@ from wattframe.functions.scalars import ratio
 from wattframe.operators import repair
 from wattframe.operators.aggregates import median
 from wattframe.operators.latest import dedupe
+from wattframe.operators.splits import exact_quantiles
 
 Smoother = Callable[[DataFrame, Sequence[str], str, str, str], DataFrame]
 
@@ -166,9 +167,12 @@ def bias_ladder(pred: DataFrame, events: DataFrame, keys: Sequence[str], actual:
 
 def binned_residual(train: DataFrame, score: DataFrame, keys: Sequence[str], actual: str, forecast: str, out: str) -> DataFrame:
     """Forecast plus the median relative residual of its bin group times the forecast; a group never seen
-    in training adds nothing."""
+    in training adds nothing.
+
+    One bin (dry hours) may hold most rows, so the medians are found without gathering a group.
+    """
     rel = ratio(F.col(actual) - F.col(forecast), F.col(forecast))
-    table = train.withColumn("_r", rel).groupBy(*keys).agg(median("_r").alias("_factor"))
+    table = exact_quantiles(train.withColumn("_r", rel), keys, "_r", {"_factor": 0.5})
     joined = score.join(table, list(keys), "left")
     factor = F.coalesce("_factor", F.lit(0.0))
     return joined.withColumn("residual_factor", factor).withColumn(

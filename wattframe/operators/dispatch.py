@@ -74,8 +74,8 @@ def merit_order_cap(
         usable = F.when(F.col(eligible) == 1, usable).otherwise(0.0)
     rows = df.withColumn("_v", usable)
     if split:
-        placed = splits.with_value_pieces(rows.withColumn("_c", -F.col(cost)), keys, "_c")
-        summed = splits.carried_sum(placed, keys, ["_c", unit], ["_p1", "_p2"], "_v", "_cum").drop("_p1", "_p2", "_c")
+        placed = splits.with_value_pieces(rows.withColumn("_c", -F.col(cost)), "_c")
+        summed = splits.carried_sum(placed, keys, ["_c", unit], "_piece", "_v", "_cum").drop("_piece", "_c")
     else:
         summed = rows.withColumn("_cum", F.sum("_v").over(splits.upto(keys, [F.desc(cost), F.col(unit)])))
     taken = F.greatest(F.lit(0.0), F.least(F.col("_v"), F.lit(float(limit)) - (F.col("_cum") - F.col("_v"))))

@@ -21,6 +21,8 @@ def dedupe(df: DataFrame, keys: Sequence[str], order: Sequence) -> DataFrame:
 
 def latest_slice(df: DataFrame, cols: Sequence[str] = ("date",)) -> DataFrame:
     """Rows holding the maximum of the columns taken together (the last date, or its last block)."""
+    if len(cols) == 1:
+        return df.filter(F.col(cols[0]) == df.select(F.max(cols[0])).scalar())
     newest = df.select(F.max(F.struct(*cols)).alias("_m")).scalar()
     return df.filter(F.struct(*cols) == newest)
 

@@ -248,7 +248,7 @@ def new_rows(new: DataFrame, old: DataFrame, keep_duplicates: bool = True) -> Da
         return new.select(*old.columns).subtract(old)
     cols = old.columns
     row = F.to_json(F.struct(*cols), {"ignoreNullFields": "false"})
-    seen = old.select(row.alias("_row"))
+    seen = old.select(row.alias("_row")).distinct()
     return new.withColumn("_row", row).join(seen, "_row", "left_anti").drop("_row")
 
 

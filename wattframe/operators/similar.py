@@ -1,9 +1,9 @@
 """Similar-day and analogue-window search, neighbour curves and their blend.
 
-Candidate pairs come from an equi-join on (entity, bucket of days): a bucket is as long as the lookback,
-each day is looked up in its own bucket and the one before, so a row is shuffled twice at most and a task
-holds at most two buckets of one entity (a bucket has at most ``lookback`` days). Feature vectors travel
-as arrays in a fixed order; distances are array folds inside the JVM.
+Candidates meet on (entity, bucket of days): a bucket is as long as the lookback, each day is looked up in
+its own bucket and the one before, so a row is shuffled twice at most and a task holds at most two buckets
+of one entity (a bucket has at most ``lookback`` days). Feature vectors travel as arrays in a fixed order.
+Curves stay arrays of 96 values until the last step: a day is one row in every shuffle.
 """
 
 from __future__ import annotations
@@ -11,23 +11,19 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattframe.functions import curves
 from wattframe.functions.blocks import BLOCKS_PER_DAY, day_number
 from wattframe.functions.scalars import EARTH_RADIUS_KM, haversine_km, point_at, ratio
 from wattframe.operators.latest import top_k
 from wattframe.session import cut_lineage
 
+SMALLEST_BUCKET = 128
 KM_PER_DEGREE = EARTH_RADIUS_KM * math.pi / 180
 
-METRICS = {
-    "sqeuclid": curves.squared_distance,
-    "euclid": curves.euclidean,
-    "cosine": curves.cosine_distance,
-}
-
 
 def candidate_pairs(days: DataFrame, keys: Sequence[str], lookback: int, index: str = "_day", payload: Sequence[str] = (), pool: DataFrame | None = None) -> DataFrame:
     """Rows paired with the rows 1..lookback index steps earlier in the same key.
@@ -65,6 +61,72 @@ def vectors(df: DataFrame, keys: Sequence[str], place: Sequence[str], cols: Sequ
     return out.select(*keys, vector.alias("vector"), F.size("_c").alias("n_cells"))
 
 
+def _measure(metric: str, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Distances of every row of ``a`` to every row of ``b``; a missing cell on either side counts nothing."""
+    if metric == "cosine":
+        x, y = np.nan_to_num(a), np.nan_to_num(b)
+        size = np.linalg.norm(x, axis=1)[:, None] * np.linalg.norm(y, axis=1)[None, :]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            return np.where(size > 0, 1 - (x @ y.T) / size, np.nan)
+    out = np.empty((len(a), len(b)))
+    step = max(1, 2_000_000 // max(1, b.size))
+    for i in range(0, len(a), step):
+        out[i : i + step] = np.nansum((a[i : i + step, None, :] - b[None, :, :]) ** 2, axis=2)
+    return np.sqrt(out) if metric == "euclid" else out
+
+
+def nearest_earlier(df: DataFrame, keys: Sequence[str], index: str, vector: str, metric: str, lookback: int, k: int, pool: Column | None = None) -> DataFrame:
+    """The k nearest of the rows 1..lookback index steps earlier: (keys, index, lag_<index>, distance, rank).
+
+    Each row asks in its own bucket of steps and offers itself there and, when its reach crosses the end,
+    in the next one. A bucket is at least as long as the lookback, so everything a row may meet is in its
+    group, a row is shuffled twice at most, and a group holds at most two buckets of one key. Distances of
+    a group are one numpy block; only the k best leave it, so pairs are never rows. Vectors of different
+    length do not compare. Equal distances rank the later row first. ``pool`` limits the rows that may be
+    found.
+    """
+    keys = list(keys)
+    width = max(lookback, SMALLEST_BUCKET)
+    bucket = F.floor(F.col(index) / width)
+    offers = F.when(F.lit(True) if pool is None else pool, F.lit(True)).otherwise(False)
+    own = F.struct(bucket.alias("b"), F.lit(True).alias("asks"))
+    following = F.struct((bucket + 1).alias("b"), F.lit(False).alias("asks"))
+    roles = F.when(F.col(index) + lookback >= (bucket + 1) * width, F.array(own, following)).otherwise(F.array(own))
+    dealt = df.select(
+        *keys, F.col(index).cast("long").alias("_i"), F.transform(vector, lambda x: x.cast("double")).alias("_v"),
+        offers.alias("_offers"), F.explode(roles).alias("_role"),
+    ).select(*keys, "_i", "_v", "_offers", F.col("_role.b").alias("_b"), F.col("_role.asks").alias("_asks"))
+    dealt = dealt.filter("_asks OR _offers")
+    kept = [f for f in dealt.schema.fields if f.name in keys]
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), f"`{index}` long, `lag_{index}` long, distance double, rank int"])
+
+    def search(pdf: pd.DataFrame) -> pd.DataFrame:
+        parts = []
+        for _, same in pdf.groupby(pdf["_v"].map(len), sort=False):
+            asking, offering = same[same["_asks"]], same[same["_offers"]]
+            if asking.empty or offering.empty:
+                continue
+            a, b = np.array(asking["_v"].tolist(), dtype=float), np.array(offering["_v"].tolist(), dtype=float)
+            ia, ib = asking["_i"].to_numpy(), offering["_i"].to_numpy()
+            back = ia[:, None] - ib[None, :]
+            distance = _measure(metric, a.reshape(len(ia), -1), b.reshape(len(ib), -1))
+            distance = np.where((back >= 1) & (back <= lookback), distance, np.nan)
+            order = np.lexsort((np.broadcast_to(-ib, distance.shape), np.round(distance, 9)), axis=1)[:, :k]
+            row = np.repeat(np.arange(len(ia)), order.shape[1])
+            picked = order.ravel()
+            found = pd.DataFrame({
+                index: ia[row], f"lag_{index}": ib[picked], "distance": distance[row, picked],
+                "rank": np.tile(np.arange(1, order.shape[1] + 1, dtype=np.int32), len(ia)),
+            })
+            parts.append(found[np.isfinite(found["distance"])])
+        out = pd.concat(parts) if parts else pd.DataFrame({index: [], f"lag_{index}": [], "distance": [], "rank": []})
+        for f in kept:
+            out[f.name] = pdf[f.name].iloc[0]
+        return out[[*(f.name for f in kept), index, f"lag_{index}", "distance", "rank"]]
+
+    return dealt.groupBy(*keys, "_b").applyInPandas(search, schema)
+
+
 def similar_days(
     profile: DataFrame,
     keys: Sequence[str],
@@ -72,31 +134,23 @@ def similar_days(
     metric: str,
     lookback: int,
     k: int,
-    pool: DataFrame | None = None,
+    pool: Column | None = None,
     date: str = "date",
 ) -> DataFrame:
     """The k nearest earlier days per day: (keys, date, lag_date, distance, rank).
 
-    Days whose vectors differ in length (other sets of filled cells) are not comparable and do not pair.
-    Equal distances rank the later day first.
+    ``profile`` holds one row per key and date. ``pool`` limits the days that may be found (complete days,
+    for instance).
     """
     indexed = profile.withColumn("_day", day_number(F.col(date)))
-    pool = None if pool is None else pool.withColumn("_day", day_number(F.col(date)))
-    pairs = candidate_pairs(indexed, keys, lookback, "_day", [date, vector], pool)
-    measured = pairs.filter(F.size(vector) == F.size(f"lag_{vector}")).select(
-        *keys, date, F.col(f"lag_{date}").alias("lag_date"), METRICS[metric](F.col(vector), F.col(f"lag_{vector}")).alias("distance")
-    )
-    nearest = measured.filter(F.col("distance").isNotNull())
-    return top_k(nearest, [*keys, date], [F.round("distance", 9), F.desc("lag_date")], k)
+    found = nearest_earlier(indexed, keys, "_day", vector, metric, lookback, k, pool)
+    back = lambda c: F.date_from_unix_date(F.col(c).cast("int"))
+    return found.select(*keys, back("_day").alias(date), back("lag__day").alias("lag_date"), "distance", "rank")
 
 
 def similar_windows(features: DataFrame, keys: Sequence[str], window: str, vector: str, metric: str, k: int, lookback: int) -> DataFrame:
     """The k nearest earlier windows (groups of blocks) per window, up to ``lookback`` windows back."""
-    pairs = candidate_pairs(features, keys, lookback, window, [vector])
-    measured = pairs.filter(F.size(vector) == F.size(f"lag_{vector}")).select(
-        *keys, window, f"lag_{window}", METRICS[metric](F.col(vector), F.col(f"lag_{vector}")).alias("distance")
-    )
-    return top_k(measured, [*keys, window], [F.round("distance", 9), F.desc(f"lag_{window}")], k)
+    return nearest_earlier(features, keys, window, vector, metric, lookback, k)
 
 
 def window_numbers(df: DataFrame, width: int = 4, date: str = "date", block: str = "block_no") -> DataFrame:
@@ -114,32 +168,30 @@ def neighbour_curves(nn: DataFrame, series: DataFrame, keys: Sequence[str], valu
     return nn.select(*keys, "date", "lag_date", "rank").join(past, [*keys, "lag_date"])
 
 
-def neighbour_columns(curves_long: DataFrame, keys: Sequence[str], value: str, k: int, prefix: str = "nn") -> DataFrame:
-    """Neighbour ranks as columns nn1..nnk."""
-    return curves_long.groupBy(*keys, "date", "block_no").agg(
-        *[F.max(F.when(F.col("rank") == r, F.col(value))).alias(f"{prefix}{r}") for r in range(1, k + 1)]
-    )
+def neighbour_columns(nn: DataFrame, curves_df: DataFrame, keys: Sequence[str], k: int, prefix: str = "nn") -> DataFrame:
+    """Neighbours' curves as columns nn1..nnk per block.
 
+    Curves travel as day arrays, one per neighbour, and become rows at the end; blocks no neighbour has
+    are left out.
+    """
+    past = curves_df.select(*keys, F.col("date").alias("lag_date"), F.col("curve").alias("_c"))
+    met = nn.filter(F.col("rank") <= k).join(past, [*keys, "lag_date"])
+    names = [f"{prefix}{r}" for r in range(1, k + 1)]
+    wide = met.groupBy(*keys, "date").agg(
+        *[F.first(F.when(F.col("rank") == r, F.col("_c")), ignorenulls=True).alias(n) for r, n in enumerate(names, 1)]
+    )
+    empty = F.array_repeat(F.lit(None).cast("double"), BLOCKS_PER_DAY)
+    blocks = F.sequence(F.lit(1), F.lit(BLOCKS_PER_DAY)).alias("block_no")
+    zipped = F.arrays_zip(blocks, *[F.coalesce(n, empty).alias(n) for n in names])
+    return wide.select(*keys, "date", F.inline(zipped)).filter(F.coalesce(*names).isNotNull())
 
-def blend(curves_long: DataFrame, keys: Sequence[str], value: str, k: int, t: float, out: str = "blend", backfill_to: int | None = None) -> DataFrame:
-    """Geometric blend: sum t^(r-1) x_r / sum t^(r-1) over ranks 1..k.
 
-    All k ranks must be present, else the blend is null. With ``backfill_to`` m > k a missing rank first
-    takes the next present one up to rank m.
-    """
-    top = backfill_to or k
-    ranked = curves_long.filter(F.col("rank") <= top)
-    group = [*keys, "date", "block_no"]
-    if backfill_to:
-        pick = [F.max(F.when(F.col("rank") == r, F.col(value))).alias(f"_x{r}") for r in range(1, top + 1)]
-        wide = ranked.groupBy(*group).agg(*pick)
-        filled = [F.coalesce(*[F.col(f"_x{j}") for j in range(r, top + 1)]) for r in range(1, k + 1)]
-        total = sum((filled[r] * (t**r) for r in range(1, k)), filled[0])
-        return wide.select(*group, (total / sum(t**r for r in range(k))).alias(out))
+def blend(curves_long: DataFrame, keys: Sequence[str], value: str, k: int, t: float, out: str = "blend") -> DataFrame:
+    """Geometric blend: sum t^(r-1) x_r / sum t^(r-1) over ranks 1..k; a missing rank makes it null."""
+    ranked = curves_long.filter(F.col("rank") <= k)
     weight = F.pow(F.lit(float(t)), F.col("rank") - 1)
-    full = F.count(value) == k
     mixed = F.sum(weight * F.col(value)) / F.sum(F.when(F.col(value).isNotNull(), weight))
-    return ranked.groupBy(*group).agg(F.when(full, mixed).alias(out))
+    return ranked.groupBy(*keys, "date", "block_no").agg(F.when(F.count(value) == k, mixed).alias(out))
 
 
 def blend_lags(df: DataFrame, cols: Sequence[str], t: float) -> Column:
@@ -158,23 +210,20 @@ def day_curves(df: DataFrame, keys: Sequence[str], value: str, fill: float | Non
     )
 
 
-def blend_curves(nn: DataFrame, curves_df: DataFrame, keys: Sequence[str], k: int, t: float, out: str = "blend") -> DataFrame:
-    """Geometric blend of whole day curves: k arrays per day meet in one group, the sums run inside it, and
-    rows per block appear only at the end. Days with fewer than k neighbours have no blend."""
+def blended_curves(nn: DataFrame, curves_df: DataFrame, keys: Sequence[str], k: int, t: float, out: str = "blend") -> DataFrame:
+    """Geometric blend of whole day curves: one array per key and date.
+
+    k arrays per day meet in one group. Days with fewer than k neighbours have no blend.
+    """
     past = curves_df.select(*keys, F.col("date").alias("lag_date"), F.col("curve").alias("_c"))
     met = nn.filter(F.col("rank") <= k).join(past, [*keys, "lag_date"])
-    gathered = met.groupBy(*keys, "date").agg(F.array_sort(F.collect_list(F.struct("rank", "_c"))).alias("_n"))
+    weighted = met.withColumn("_w", F.transform("_c", lambda x: x * F.pow(F.lit(float(t)), F.col("rank") - 1)))
+    gathered = weighted.groupBy(*keys, "date").agg(F.array_sort(F.collect_list(F.struct("rank", "_w"))).alias("_n"))
     total = sum(t**i for i in range(k))
-    weighted = F.transform(F.col("_n"), lambda n: F.transform(n["_c"], lambda x: x * F.pow(F.lit(float(t)), n["rank"] - 1)))
     summed = F.aggregate(
-        F.slice(weighted, 2, k - 1) if k > 1 else F.array().cast("array<array<double>>"),
-        weighted[0],
-        lambda acc, c: F.zip_with(acc, c, lambda x, y: x + y),
-    )
-    blended = gathered.filter(F.size("_n") == k).withColumn("_b", F.transform(summed, lambda x: x / total))
-    return blended.select(*keys, "date", F.posexplode("_b").alias("_p", out)).select(
-        *keys, "date", (F.col("_p") + 1).alias("block_no"), out
+        F.slice("_n", 2, max(k - 1, 1)), F.col("_n")[0]["_w"], lambda acc, c: F.zip_with(acc, c["_w"], lambda x, y: x + y)
     )
+    return gathered.filter(F.size("_n") == k).select(*keys, "date", F.transform(summed, lambda x: x / total).alias(out))
 
 
 def weather_delta(weather: DataFrame, nn: DataFrame, keys: Sequence[str], slot: Sequence[str], value: str, k: int, t: float) -> DataFrame:

@@ -7,10 +7,10 @@ carry it needs. Results equal the plain window; no row is dropped and no piece b
 Two ways to cut:
 
 * by a column that grows with the order (a date, a block start) for rows ordered in time;
-* by value for rows ordered by a number: first by magnitude, then by equal widths inside a magnitude
-  piece, after equal values have been counted together, so neither outliers, nor a narrow range far from
-  zero, nor copies of one value pile up in one piece. The cuts use only min and max, which do not depend
-  on the order in which rows arrive, so a recomputed task sees the same cuts.
+* by value for rows ordered by a number: by fine steps of magnitude, so neither outliers nor heavy tails
+  pile up in one piece. Where only ranks are wanted, equal values are counted together first, so copies of
+  one value do not either. The cut is a function of the value alone: it needs no pass over the data, and
+  a recomputed task sees the same pieces.
 """
 
 from __future__ import annotations
@@ -20,8 +20,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-PIECES_PER_DOUBLING = 16
-PIECES_PER_MAGNITUDE = 64
+PIECES_PER_DOUBLING = 16_384
+SMALLEST_EXPONENT = 1_100
 
 
 def before(keys: Sequence[str], order: Sequence[str]):
@@ -35,6 +35,14 @@ def upto(keys: Sequence[str], order: Sequence[str]):
     return Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
 
 
+def after(keys: Sequence[str], order: Sequence[str]):
+    return Window.partitionBy(*keys).orderBy(*order).rowsBetween(1, Window.unboundedFollowing)
+
+
+def onwards(keys: Sequence[str], order: Sequence[str]):
+    return Window.partitionBy(*keys).orderBy(*order).rowsBetween(0, Window.unboundedFollowing)
+
+
 def with_position(df: DataFrame, keys: Sequence[str], order: Sequence[str], split: str, out: str = "_pos") -> DataFrame:
     """1-based position of each row in its key, computed piecewise."""
     keys = list(keys)
@@ -83,16 +91,21 @@ def framed(
     )
 
 
-def carried_last(df: DataFrame, keys: Sequence[str], order: Sequence[str], split: str, col: str, out: str) -> DataFrame:
-    """Last non-null value up to the row, carried across pieces."""
+def carried_last(df: DataFrame, keys: Sequence[str], order: Sequence[str], split: str, col: str, out: str, backwards: bool = False) -> DataFrame:
+    """Last non-null value up to the row, carried across pieces; ``backwards`` gives the next one from the
+    row on."""
     keys = list(keys)
     rank = F.struct(*[F.col(c) for c in order])
-    closing = df.filter(F.col(col).isNotNull()).groupBy(*keys, split).agg(F.max_by(col, rank).alias("_close"))
+    pick = F.min_by if backwards else F.max_by
+    closing = df.filter(F.col(col).isNotNull()).groupBy(*keys, split).agg(pick(col, rank).alias("_close"))
     pieces = df.select(*keys, split).distinct().join(closing, [*keys, split], "left")
-    carry = pieces.withColumn(
-        "_carry", F.last("_close", ignorenulls=True).over(before(keys, [split]))
-    ).drop("_close")
-    inside = F.last(col, ignorenulls=True).over(upto([*keys, split], order))
+    if backwards:
+        inside = F.first(col, ignorenulls=True).over(onwards([*keys, split], order))
+        outside = F.first("_close", ignorenulls=True).over(after(keys, [split]))
+    else:
+        inside = F.last(col, ignorenulls=True).over(upto([*keys, split], order))
+        outside = F.last("_close", ignorenulls=True).over(before(keys, [split]))
+    carry = pieces.withColumn("_carry", outside).drop("_close")
     return (
         df.withColumn("_inside", inside)
         .join(carry, [*keys, split])
@@ -118,28 +131,27 @@ def carried_sum(df: DataFrame, keys: Sequence[str], order: Sequence, split: str
     )
 
 
-def _magnitude(value: Column) -> Column:
-    """Integer that never falls as the value grows; about 16 steps per doubling."""
-    scaled = F.floor(F.log2(F.abs(value)) * PIECES_PER_DOUBLING).cast("long") + 20_000
+def piece_of(value: Column) -> Column:
+    """Integer that never falls as the value grows; a step is 0.004 percent of the value."""
+    scaled = F.floor((F.log2(F.abs(value)) + SMALLEST_EXPONENT) * PIECES_PER_DOUBLING).cast("long")
     return F.when(value > 0, scaled).when(value < 0, -scaled).otherwise(F.lit(0).cast("long"))
 
 
-def with_value_pieces(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """Add ``_p1`` and ``_p2``; (``_p1``, ``_p2``) never falls as the value grows within a key."""
-    keys = list(keys)
-    marked = df.withColumn("_p1", _magnitude(F.col(value)))
-    spans = marked.groupBy(*keys, "_p1").agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
-    width = F.col("_hi") - F.col("_lo")
-    step = F.when(width > 0, F.floor((F.col(value) - F.col("_lo")) / width * (PIECES_PER_MAGNITUDE - 1))).otherwise(0)
-    return marked.join(spans, [*keys, "_p1"]).withColumn("_p2", step.cast("long")).drop("_lo", "_hi")
+def with_value_pieces(df: DataFrame, value: str, out: str = "_piece") -> DataFrame:
+    return df.withColumn(out, piece_of(F.col(value)))
+
+
+def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    return df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
 
 
 def value_ranks(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """One row per key and distinct value: how many rows carry it and how many lie below it."""
-    keys = list(keys)
-    counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
-    pieces = with_value_pieces(counts, keys, value)
-    ranked = carried_sum(pieces, keys, [value], ["_p1", "_p2"], "n", "_upto")
+    return _ranked(value_counts(df, keys, value), keys, value)
+
+
+def _ranked(counts: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    ranked = carried_sum(with_value_pieces(counts, value), keys, [value], "_piece", "n", "_upto")
     return ranked.select(*keys, value, "n", (F.col("_upto") - F.col("n")).alias("below"))
 
 
@@ -154,20 +166,35 @@ def average_ranks(df: DataFrame, keys: Sequence[str], value: str, out: str = "ra
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float]) -> DataFrame:
     """Exact interpolated quantiles of groups of any size, one row per key.
 
-    Values are counted, ranked piecewise, and only the one or two values around each wanted position are
-    kept; a group is never gathered.
+    A first pass counts rows per value piece and finds the pieces that hold the wanted positions; a second
+    pass counts and ranks the distinct values of those pieces only. A group is never gathered, and what is
+    shuffled beyond counts is a tiny share of the rows.
     """
     keys = list(keys)
-    ranks = value_ranks(df, keys, value)
-    sizes = df.filter(F.col(value).isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
-    joined = ranks.join(sizes, keys) if keys else ranks.withColumn("_size", sizes.scalar())
+    marked = df.filter(F.col(value).isNotNull()).select(*keys, value, piece_of(F.col(value)).alias("_piece"))
+    pieces = marked.groupBy(*keys, "_piece").agg(F.count(F.lit(1)).alias("_n"))
+    whole = Window.partitionBy(*keys)
+    placed = pieces.select(
+        *keys,
+        "_piece",
+        "_n",
+        F.coalesce(F.sum("_n").over(before(keys, ["_piece"])), F.lit(0)).alias("_off"),
+        F.sum("_n").over(whole).alias("_size"),
+    )
+    at = [(name, F.lit(float(p)) * (F.col("_size") - 1)) for name, p in probs.items()]
+    wanted = F.array(*[
+        F.struct(F.lit(name).alias("name"), F.lit(side).alias("side"), (fn(pos) - F.col("_off")).alias("pos"), (pos - F.floor(pos)).alias("share"))
+        for name, pos in at
+        for side, fn in (("lo", F.floor), ("hi", F.ceil))
+    ])
+    targets = placed.select(*keys, "_piece", "_n", F.inline(wanted)).filter((F.col("pos") >= 0) & (F.col("pos") < F.col("_n"))).drop("_n")
+    inside = [*keys, "_piece"]
+    counts = value_counts(marked.join(targets.select(*inside).distinct(), inside, "left_semi"), inside, value)
+    ranks = counts.withColumn("below", F.sum("n").over(upto(inside, [value])) - F.col("n"))
+    hits = ranks.join(targets, inside).filter((F.col("below") <= F.col("pos")) & (F.col("pos") < F.col("below") + F.col("n")))
     aggs = []
-    for name, p in probs.items():
-        at = F.lit(float(p)) * (F.col("_size") - 1)
-        low, high = F.floor(at), F.ceil(at)
-        covers = lambda k: (F.col("below") <= k) & (k < F.col("below") + F.col("n"))
-        lo = F.max(F.when(covers(low), F.col(value)))
-        hi = F.max(F.when(covers(high), F.col(value)))
-        share = F.max(at - low)
-        aggs.append((lo + (hi - lo) * share).alias(name))
-    return joined.groupBy(*keys).agg(*aggs)
+    for name in probs:
+        side = lambda s: F.max(F.when((F.col("name") == name) & (F.col("side") == s), F.col(value)))
+        share = F.max(F.when(F.col("name") == name, F.col("share")))
+        aggs.append((side("lo") + (side("hi") - side("lo")) * share).alias(name))
+    return hits.groupBy(*keys).agg(*aggs)

@@ -24,10 +24,7 @@ def over(keys: Sequence[str], order: Sequence):
 def lags(df: DataFrame, keys, order, col: str, steps: Sequence[int], split: str | None = None) -> DataFrame:
     """Previous values of a column by rows, one column per step (``<col>_lag<k>``)."""
     exprs = {f"{col}_lag{k}": (lambda spec, k=k: F.lag(col, k).over(spec)) for k in steps}
-    if split is not None:
-        return splits.framed(df, keys, order, split, max(steps), 0, exprs)
-    spec = over(keys, order)
-    return df.select("*", *[fn(spec).alias(name) for name, fn in exprs.items()])
+    return _near(df, keys, order, split, max(steps), 0, exprs)
 
 
 def calendar_lags(df: DataFrame, keys, date: str, cols: Sequence[str], days: Sequence[int]) -> DataFrame:
@@ -92,10 +89,7 @@ def rolling(
         return build
 
     exprs = {name: guarded(fn) for name, fn in fns.items()}
-    if split is not None:
-        return splits.framed(df, keys, order, split, back, ahead, exprs)
-    spec = over(keys, order)
-    return df.select("*", *[fn(spec).alias(name) for name, fn in exprs.items()])
+    return _near(df, keys, order, split, back, ahead, exprs)
 
 
 def ffill(df: DataFrame, keys, order, col: str, out: str | None = None, split: str | None = None) -> DataFrame:
@@ -106,25 +100,35 @@ def ffill(df: DataFrame, keys, order, col: str, out: str | None = None, split: s
     return df.withColumn(out or col, F.last(col, ignorenulls=True).over(splits.upto(keys, order)))
 
 
-def bfill(df: DataFrame, keys, order, col: str, out: str | None = None) -> DataFrame:
+def bfill(df: DataFrame, keys, order, col: str, out: str | None = None, split: str | None = None) -> DataFrame:
     """Next known value at or after the row."""
-    spec = over(keys, order).rowsBetween(0, Window.unboundedFollowing)
-    return df.withColumn(out or col, F.first(col, ignorenulls=True).over(spec))
+    if split is not None:
+        filled = splits.carried_last(df, keys, order, split, col, "_filled", backwards=True)
+        return filled.withColumn(out or col, F.col("_filled")).drop("_filled")
+    return df.withColumn(out or col, F.first(col, ignorenulls=True).over(splits.onwards(keys, order)))
 
 
-def fill_down(df: DataFrame, row: str, cols: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
-    """Merged header cells: an empty cell takes the cell above it."""
-    spec = splits.upto(keys, [row])
-    blank = lambda c: F.nullif(F.trim(c), F.lit(""))
-    return df.select(
-        "*", *[F.last(blank(F.col(c)), ignorenulls=True).over(spec).alias(f"{c}_filled") for c in cols]
-    )
+def fill_down(df: DataFrame, row: str, cols: Sequence[str], keys: Sequence[str] = (), rows_per_piece: int = 10_000) -> DataFrame:
+    """Merged header cells: an empty cell takes the cell above it. Long sheets are cut into row ranges."""
+    out = df.withColumn("_range", F.floor(F.col(row) / rows_per_piece))
+    for c in cols:
+        blank = F.nullif(F.trim(F.col(c)), F.lit(""))
+        out = ffill(out.withColumn(f"{c}_filled", blank), keys, [row], f"{c}_filled", split="_range")
+    return out.drop("_range")
 
 
-def impute_neighbours(df: DataFrame, keys, order, col: str, out: str) -> DataFrame:
-    """A single gap takes the mean of the values beside it."""
+def _near(df: DataFrame, keys, order, split: str | None, preceding: int, following: int, exprs: dict) -> DataFrame:
+    """Expressions over frames of fixed reach, by a plain window or by pieces."""
+    if split is not None:
+        return splits.framed(df, keys, order, split, preceding, following, exprs)
     spec = over(keys, order)
-    return df.withColumn(out, F.coalesce(F.col(col), (F.lag(col).over(spec) + F.lead(col).over(spec)) / 2))
+    return df.select("*", *[fn(spec).alias(name) for name, fn in exprs.items()])
+
+
+def impute_neighbours(df: DataFrame, keys, order, col: str, out: str, split: str | None = None) -> DataFrame:
+    """A single gap takes the mean of the values beside it."""
+    mean = lambda spec: F.coalesce(F.col(col), (F.lag(col).over(spec) + F.lead(col).over(spec)) / 2)
+    return _near(df, keys, order, split, 1, 1, {out: mean})
 
 
 def lag_features(df: DataFrame, keys, order, col: str, w: int) -> DataFrame:
@@ -139,16 +143,18 @@ def running_sum(df: DataFrame, keys, order, col: str, out: str, split: str | Non
     return df.withColumn(out, F.sum(col).over(splits.upto(keys, order)))
 
 
-def run_edges(df: DataFrame, keys, order, flag: str, n: int, out: str = "edge") -> DataFrame:
+def run_edges(df: DataFrame, keys, order, flag: str, n: int, out: str = "edge", split: str | None = None) -> DataFrame:
     """1 where the last n flags or the next n flags (row included) are all 1.
 
     A run between n and 2n-3 long keeps unmarked rows in its middle; ``in_run`` marks whole runs.
     """
-    spec = over(keys, order)
-    past = spec.rowsBetween(-(n - 1), 0)
-    ahead = spec.rowsBetween(0, n - 1)
-    hit = (F.sum(flag).over(past) == n) | (F.sum(flag).over(ahead) == n)
-    return df.withColumn(out, F.coalesce(hit, F.lit(False)).cast("int"))
+
+    def hit(spec):
+        past = F.sum(flag).over(spec.rowsBetween(-(n - 1), 0)) == n
+        ahead = F.sum(flag).over(spec.rowsBetween(0, n - 1)) == n
+        return F.coalesce(past | ahead, F.lit(False)).cast("int")
+
+    return _near(df, keys, order, split, n - 1, n - 1, {out: hit})
 
 
 def in_run(df: DataFrame, keys, order, flag: str, n: int, out: str = "in_run") -> DataFrame:
@@ -160,9 +166,9 @@ def in_run(df: DataFrame, keys, order, flag: str, n: int, out: str = "in_run") -
     return islands.withColumn(out, ((F.col(flag) == 1) & (length >= n)).cast("int")).drop("_new", "_run")
 
 
-def shape_ratio(df: DataFrame, keys, order, col: str, out: str = "shape") -> DataFrame:
+def shape_ratio(df: DataFrame, keys, order, col: str, out: str = "shape", split: str | None = None) -> DataFrame:
     """Value over the previous value."""
-    return df.withColumn(out, ratio(F.col(col), F.lag(col).over(over(keys, order))))
+    return _near(df, keys, order, split, 1, 0, {out: lambda spec: ratio(F.col(col), F.lag(col).over(spec))})
 
 
 def rolling_mad(df: DataFrame, keys, order, residual: str, n: int = 11, out: str = "mad") -> DataFrame:
@@ -175,7 +181,10 @@ def rolling_mad(df: DataFrame, keys, order, residual: str, n: int = 11, out: str
 
 
 def descending_key(df: DataFrame, col: str, out: str = "date_key") -> DataFrame:
-    """0 for the newest date, 1 for the one before, and so on, over the distinct dates."""
+    """0 for the newest date, 1 for the one before, and so on.
+
+    Only the distinct dates are numbered in one task; the calendar bounds them.
+    """
     dates = df.select(col).distinct()
     numbered = dates.withColumn(out, F.row_number().over(Window.orderBy(F.desc(col))) - 1)
     return df.join(numbered, col)

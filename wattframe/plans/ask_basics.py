@@ -72,9 +72,9 @@ def _(t):
 
 @query("back_fill", "pool:s date:d block_no:i filled:g", """
 SELECT pool, date, block_no, first_value(value IGNORE NULLS) OVER
- (PARTITION BY pool, date ORDER BY block_no ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS filled FROM v_pool_grid""")
+ (PARTITION BY pool ORDER BY date, block_no ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS filled FROM v_pool_grid""")
 def _(t):
-    return windows.bfill(t.pool_grid, ["pool", "date"], ["block_no"], "value", "filled")
+    return windows.bfill(t.pool_grid, ["pool"], ["date", "block_no"], "value", "filled", split="date")
 
 
 @query("fill_down_cells", "sheet:i row_no:i label:s label_filled:s", """
@@ -537,7 +537,7 @@ def _(t):
 SELECT event_id, lag(value, 1) OVER w AS value_lag1, lag(value, 4) OVER w AS value_lag4 FROM events
 WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id)""")
 def _(t):
-    return windows.lags(t.readings, ["pool"], ["ts", "event_id"], "value", [1, 4], split="date")
+    return windows.lags(t.readings, ["pool"], ["ts", "event_id"], "value", [1, 4], split="slot")
 
 
 @query("calendar_lags", "pool:s date:d block_no:i value:f value_d1:f value_d7:f", """
@@ -569,7 +569,7 @@ SELECT event_id, CASE WHEN count(value) OVER a >= 11 THEN avg(value) OVER a END
  CASE WHEN count(value) OVER a >= 11 THEN quantile_cont(value, 0.5) OVER a END AS median11 FROM events
 WINDOW a AS (PARTITION BY event_type ORDER BY ts, event_id ROWS 10 PRECEDING)""")
 def _(t):
-    return windows.rolling(t.readings, ["pool"], ["ts", "event_id"], "value", 11, {"mean11": "mean", "median11": "median"}, split="date")
+    return windows.rolling(t.readings, ["pool"], ["ts", "event_id"], "value", 11, {"mean11": "mean", "median11": "median"}, split="slot")
 
 
 @query("rolling_centred", "area:s date:d mean5:g mean4:g med3:g", """
@@ -606,14 +606,14 @@ def _(t):
 @query("running_sum_cost_order", "date:d unit:i cost:g cum:f", """
 SELECT date, unit, cost, sum(volume) OVER (PARTITION BY date ORDER BY cost, unit ROWS UNBOUNDED PRECEDING) AS cum FROM v_merit""")
 def _(t):
-    placed = splits.with_value_pieces(t.merit, ["date"], "cost")
-    return windows.running_sum(placed, ["date"], ["cost", "unit"], "volume", "cum", split=["_p1", "_p2"])
+    placed = splits.with_value_pieces(t.merit, "cost")
+    return windows.running_sum(placed, ["date"], ["cost", "unit"], "volume", "cum", split="_piece")
 
 
 @query("running_sum_readings", "event_id:i cum:g", """
 SELECT event_id, sum(value) OVER (PARTITION BY event_type ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS cum FROM events""")
 def _(t):
-    return windows.running_sum(t.readings, ["pool"], ["ts", "event_id"], "value", "cum", split="date")
+    return windows.running_sum(t.readings, ["pool"], ["ts", "event_id"], "value", "cum", split="slot")
 
 
 FLAG_SQL = "SELECT pool, date, block_no, CAST(coalesce(value, 0) > 60 AS INT) AS flag FROM v_pool_grid"

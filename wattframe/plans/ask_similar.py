@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from wattframe.functions import scalars
 from wattframe.operators import aggregates, similar, splits, windows
+from wattframe.operators.series import backfill_ranks
 from wattframe.plans import day_ahead
 from wattframe.plans.ask_repair import PLACES_SQL, weather_places
 from wattframe.plans.registry import query
@@ -124,10 +125,10 @@ def _(t):
 
 @query("neighbour_columns", "pool:s date:d block_no:i nn1:f nn2:f nn3:f", f"""
 WITH {RANK_SQL.format(n=90)} SELECT nn.pool, nn.date, l.block_no, max(CASE WHEN rank = 1 THEN l.value END) AS nn1, max(CASE WHEN rank = 2 THEN l.value END) AS nn2,
- max(CASE WHEN rank = 3 THEN l.value END) AS nn3 FROM nn JOIN v_long l ON l.pool = nn.pool AND l.date = nn.lag_date WHERE rank <= 7 GROUP BY 1, 2, 3""")
+ max(CASE WHEN rank = 3 THEN l.value END) AS nn3 FROM nn JOIN v_long l ON l.pool = nn.pool AND l.date = nn.lag_date WHERE rank <= 3 GROUP BY 1, 2, 3""")
 def _(t):
     nn = similar.similar_days(day_ahead.rank_profile(t.long_blocks, ["pool"]), ["pool"], "vector", "sqeuclid", 90, 7)
-    return similar.neighbour_columns(similar.neighbour_curves(nn, t.long_blocks, ["pool"], "value"), ["pool"], "value", 3)
+    return similar.neighbour_columns(nn, similar.day_curves(t.long_blocks, ["pool"], "value"), ["pool"], 3)
 
 
 def _terms(prefix: str, k: int, top: int, t: float) -> str:
@@ -136,13 +137,18 @@ def _terms(prefix: str, k: int, top: int, t: float) -> str:
     return "(" + " + ".join(f"{fill(r)} * {t ** (r - 1)!r}::DOUBLE" for r in range(1, k + 1)) + f") / {total!r}::DOUBLE"
 
 
+def _four_neighbours(t):
+    nn = similar.similar_days(day_ahead.rank_profile(t.long_blocks, ["pool"]), ["pool"], "vector", "sqeuclid", 45, 4)
+    return similar.neighbour_columns(nn, similar.day_curves(t.long_blocks, ["pool"], "value"), ["pool"], 4)
+
+
 @query("blend_with_backfill", "pool:s date:d block_no:i blend:f", f"""
 WITH {RANK_SQL.format(n=45)}, w AS (SELECT nn.pool, nn.date, l.block_no, {", ".join(f"max(CASE WHEN rank = {r} THEN l.value END) AS x{r}" for r in range(1, 5))}
  FROM nn JOIN v_long l ON l.pool = nn.pool AND l.date = nn.lag_date WHERE rank <= 4 GROUP BY 1, 2, 3)
 SELECT pool, date, block_no, {_terms("x", 3, 4, 0.25)} AS blend FROM w""")
 def _(t):
-    nn = similar.similar_days(day_ahead.rank_profile(t.long_blocks, ["pool"]), ["pool"], "vector", "sqeuclid", 45, 4)
-    return similar.blend(similar.neighbour_curves(nn, t.long_blocks, ["pool"], "value"), ["pool"], "value", 3, 0.25, backfill_to=4)
+    wide = backfill_ranks(_four_neighbours(t), ["nn1", "nn2", "nn3"], "nn4")
+    return wide.withColumn("blend", similar.blend_lags(wide, ["nn1", "nn2", "nn3"], 0.25))
 
 
 @query("backfilled_ranks", "pool:s date:d block_no:i nn1:f nn2:f nn3:f", f"""
@@ -150,11 +156,7 @@ WITH {RANK_SQL.format(n=45)}, w AS (SELECT nn.pool, nn.date, l.block_no, {", ".j
  FROM nn JOIN v_long l ON l.pool = nn.pool AND l.date = nn.lag_date WHERE rank <= 4 GROUP BY 1, 2, 3)
 SELECT pool, date, block_no, coalesce(x1, x2, x3, x4) AS nn1, coalesce(x2, x3, x4) AS nn2, coalesce(x3, x4) AS nn3 FROM w""")
 def _(t):
-    from wattframe.operators.series import backfill_ranks
-
-    nn = similar.similar_days(day_ahead.rank_profile(t.long_blocks, ["pool"]), ["pool"], "vector", "sqeuclid", 45, 4)
-    wide = similar.neighbour_columns(similar.neighbour_curves(nn, t.long_blocks, ["pool"], "value"), ["pool"], "value", 4)
-    return backfill_ranks(wide, ["nn1", "nn2", "nn3"], "nn4")
+    return backfill_ranks(_four_neighbours(t), ["nn1", "nn2", "nn3"], "nn4")
 
 
 @query("weekly_lag_blend", "pool:s date:d block_no:i blend:f", """

@@ -98,7 +98,7 @@ def _(t):
 SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS demand, o_orderstatus AS frequency FROM orders""")
 def _(t):
     cells = t.orders.select("o_orderkey", F.posexplode(F.array(F.lit("Demand"), F.lit("MW"), F.col("o_custkey").cast("string"), F.lit("Freq"), F.col("o_orderstatus"))).alias("pos", "cell"))
-    return documents.extract_anchored(cells, ["o_orderkey"], ["pos"], {"demand": ("Demand", 2), "frequency": ("Freq", 1)})
+    return documents.extract_anchored(cells, ["o_orderkey"], "pos", {"demand": ("Demand", 2), "frequency": ("Freq", 1)})
 
 
 @query("split_compound_cells", "s_suppkey:i unit:s reading:s", """

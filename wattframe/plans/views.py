@@ -38,9 +38,11 @@ class Tables:
 
     @cached_property
     def readings(self) -> DataFrame:
-        """Events with their date, block and location."""
+        """Events with their date, block, running block number and location."""
+        block = block_of(F.col("ts"))
         return self.events.select(
-            "event_id", "ts", F.to_date("ts").alias("date"), block_of(F.col("ts")).alias("block_no"),
+            "event_id", "ts", F.to_date("ts").alias("date"), block.alias("block_no"),
+            (F.unix_date(F.to_date("ts")).cast("long") * 96 + block - 1).alias("slot"),
             F.col("event_type").alias("pool"), (F.col("user_id") % 8).cast("int").alias("location"), "value",
         )
 

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattframe.functions.scalars import nullify, sentinel_to_null
-from wattframe.operators import splits
+from wattframe.operators.windows import fill_down
 
 MISSING = -9999.0
 
@@ -55,14 +55,23 @@ def html_tables(df: DataFrame, html_col: str, keep: Sequence[str], missing: str
     )
 
 
-def extract_anchored(cells: DataFrame, page: Sequence[str], order: Sequence[str], anchors: Mapping[str, tuple[str, int]]) -> DataFrame:
-    """One wide record per page: for each output name, the cell ``offset`` places after the label cell."""
-    spec = Window.partitionBy(*page).orderBy(*order)
-    offsets = sorted({offset for _, offset in anchors.values()})
-    looked = cells.select("*", *[F.lead("cell", k).over(spec).alias(f"_at{k}") for k in offsets])
-    return looked.groupBy(*page).agg(
-        *[F.max(F.when(F.col("cell") == label, F.col(f"_at{k}"))).alias(name) for name, (label, k) in anchors.items()]
+def extract_anchored(cells: DataFrame, page: Sequence[str], position: str, anchors: Mapping[str, tuple[str, int]]) -> DataFrame:
+    """One wide record per page: for each output name, the cell ``offset`` places after the label cell.
+
+    ``position`` numbers the cells of a page without gaps. Labels point at positions and join there, so a
+    page of any length is spread over tasks and never sorted.
+    """
+    wanted = F.array(*[
+        F.struct(F.lit(n).alias("n"), F.lit(label).alias("l"), F.lit(k).alias("k")) for n, (label, k) in anchors.items()
+    ])
+    labels = (
+        cells.filter(F.col("cell").isin([label for label, _ in anchors.values()]))
+        .withColumn("_w", F.explode(wanted))
+        .filter(F.col("_w.l") == F.col("cell"))
+        .select(*page, (F.col(position) + F.col("_w.k")).alias(position), F.col("_w.n").alias("_name"))
     )
+    found = labels.join(cells.select(*page, position, "cell"), [*page, position])
+    return found.groupBy(*page).agg(*[F.max(F.when(F.col("_name") == n, F.col("cell"))).alias(n) for n in anchors])
 
 
 def split_compound(df: DataFrame, name: str, value: str) -> DataFrame:
@@ -139,5 +148,5 @@ def classify_header(header: Column, default: str = "OTHER") -> Column:
 
 def fill_down_header(grid: DataFrame, sheet: Sequence[str], col: str) -> DataFrame:
     """Merged cells: a blank takes the value above it on the sheet."""
-    blank = F.nullif(F.trim(F.col(col)), F.lit(""))
-    return grid.withColumn(col, F.last(blank, ignorenulls=True).over(splits.upto(sheet, ["row_no"])))
+    filled = fill_down(grid, "row_no", [col], sheet)
+    return filled.drop(col).withColumnRenamed(f"{col}_filled", col)
