@@ -25,9 +25,11 @@ def linspace_bin(df: DataFrame, col: str, n: int, fit_on: DataFrame | None = Non
     """Equal-width bins between the smallest and the largest value of ``fit_on`` (the rows themselves by
     default)."""
     fitted = df if fit_on is None else fit_on
-    limits = fitted.agg(F.min(col).alias("lo"), F.max(col).alias("hi"))
-    low, high = limits.select("lo").scalar(), limits.select("hi").scalar()
-    return df.withColumn(out or f"{col}_bin", bin_expression(F.col(col), low, high, n))
+    limits = fitted.agg(F.struct(F.min(col).alias("lo"), F.max(col).alias("hi")).alias("l")).scalar()
+    limited = df.withColumn("_l", limits)
+    return limited.withColumn(
+        out or f"{col}_bin", bin_expression(F.col(col), F.col("_l.lo"), F.col("_l.hi"), n)
+    ).drop("_l")
 
 
 # Fixed edges of the rain amount (mm) and rain probability (%) bins.
@@ -78,26 +80,27 @@ def impute_median(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None =
     """Missing features take the exact median of the fitting rows, found without gathering them."""
     long = (df if fit_on is None else fit_on).select(*cols).unpivot([], list(cols), "feature", "v")
     medians = exact_quantiles(long, ["feature"], "v", {"m": 0.5})
-    wide = medians.agg(*[F.max(F.when(F.col("feature") == c, F.col("m"))).alias(c) for c in cols])
-    return df.select(
-        *[F.coalesce(F.col(c), wide.select(c).scalar()).alias(c) if c in cols else F.col(c) for c in df.columns]
-    )
+    wide = medians.agg(F.struct(*[F.max(F.when(F.col("feature") == c, F.col("m"))).alias(c) for c in cols]).alias("m"))
+    known = df.withColumn("_m", wide.scalar())
+    return known.select(*[F.coalesce(F.col(c), F.col(f"_m.{c}")).alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
 def standardize(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None = None, constant: bool = True) -> DataFrame:
     """(x - mean) / population deviation, with a constant column of 1; ``<col>_std`` columns are added."""
     fitted = df if fit_on is None else fit_on
     stats = fitted.agg(
-        *[F.avg(c).alias(f"{c}_m") for c in cols], *[F.stddev_pop(c).alias(f"{c}_s") for c in cols]
-    )
-    scaled = [
-        ratio(F.col(c) - stats.select(f"{c}_m").scalar(), stats.select(f"{c}_s").scalar()).alias(f"{c}_std") for c in cols
-    ]
+        F.struct(
+            *[F.avg(c).alias(f"{c}_m") for c in cols], *[F.stddev_pop(c).alias(f"{c}_s") for c in cols]
+        ).alias("s")
+    ).scalar()
+    known = df.withColumn("_s", stats)
+    scaled = [ratio(F.col(c) - F.col(f"_s.{c}_m"), F.col(f"_s.{c}_s")).alias(f"{c}_std") for c in cols]
     extra = [F.lit(1.0).alias("const")] if constant else []
-    return df.select("*", *extra, *scaled)
+    return known.select(*df.columns, *extra, *scaled)
 
 
 def unstandardize(df: DataFrame, pred: str, target_stats: DataFrame, target: str, out: str) -> DataFrame:
     """Prediction on the standard scale back to units of the target."""
-    stats = target_stats.agg(F.avg(target).alias("m"), F.stddev_pop(target).alias("s"))
-    return df.withColumn(out, F.col(pred) * stats.select("s").scalar() + stats.select("m").scalar())
+    stats = target_stats.agg(F.struct(F.avg(target).alias("m"), F.stddev_pop(target).alias("s")).alias("s")).scalar()
+    known = df.withColumn("_s", stats)
+    return known.withColumn(out, F.col(pred) * F.col("_s.s") + F.col("_s.m")).drop("_s")

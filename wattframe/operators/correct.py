@@ -16,6 +16,7 @@ from wattframe.operators import repair
 from wattframe.operators.aggregates import median
 from wattframe.operators.latest import dedupe
 from wattframe.operators.splits import exact_quantiles
+from wattframe.session import cut_lineage
 
 Smoother = Callable[[DataFrame, Sequence[str], str, str, str], DataFrame]
 
@@ -151,12 +152,13 @@ def event_correct(pred: DataFrame, events: DataFrame, keys: Sequence[str], actua
 
 def bias_ladder(pred: DataFrame, events: DataFrame, keys: Sequence[str], actual: str, forecast: str, degree: int = 3, out: str = "corrected") -> DataFrame:
     """Additive bias in three steps, each a mean residual profile fitted by a polynomial over the day:
-    weekday, then event, then month."""
+    weekday, then event, then month. The profiles (96 rows per group) are checkpointed, so each step adds
+    one join to the plan and no more."""
     current = add_calendar(pred).join(events.select("date", "name"), "date", "left").withColumn(out, F.col(forecast))
     for group, only in ((["weekday"], None), (["name"], F.col("name").isNotNull()), (["month"], None)):
         rows = current if only is None else current.filter(only)
         mean = rows.groupBy(*keys, *group, "block_no").agg(F.avg(F.col(actual) - F.col(out)).alias("_mean"))
-        fitted = repair.poly_profile(mean, [*keys, *group], "block_no", "_mean", degree, out="_bias").drop("_mean")
+        fitted = cut_lineage(repair.poly_profile(mean, [*keys, *group], "block_no", "_mean", degree, out="_bias").drop("_mean"))
         current = (
             current.join(fitted, [*keys, *group, "block_no"], "left")
             .withColumn(out, F.col(out) + F.coalesce("_bias", F.lit(0.0)))

@@ -12,10 +12,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattframe.functions import scalars
-from wattframe.functions.curves import last_of
 from wattframe.functions.blocks import BLOCKS_PER_DAY, day_number
+from wattframe.functions.curves import last_of
 from wattframe.functions.scalars import ratio
 from wattframe.operators import bins, repair, windows
+from wattframe.session import cut_lineage
 
 
 # ---- intraday -----------------------------------------------------------------------------------------
@@ -210,8 +211,10 @@ def _assembled(df: DataFrame, features: Sequence[str]) -> DataFrame:
 def residual_regression(train: DataFrame, score: DataFrame, features: Sequence[str], actual: str, base: str, algo: str = "linear", out: str = "learned", clamp: float | None = None) -> DataFrame:
     """Learn actual - base from the features and add the prediction to base.
 
-    Missing features take the training medians and all are scaled by the training moments.
+    Missing features take the training medians and all are scaled by the training moments. Both inputs
+    are checkpointed, for fitting reads them several times.
     """
+    train, score = cut_lineage(train), cut_lineage(score)
     prepared = {}
     for name, part in (("train", train), ("score", score)):
         filled = bins.impute_median(part, features, fit_on=train)
@@ -242,6 +245,7 @@ def load_features(series: DataFrame, keys: Sequence[str], value: str, lag_days:
 def gbt_forecast(train: DataFrame, score: DataFrame, features: Sequence[str], log_target: str, out: str = "gbt_pred") -> DataFrame:
     """Boosted trees on the log target: two models on the even and the odd training days, averaged after
     the transform is undone."""
+    train, score = cut_lineage(train), cut_lineage(score)
     halves = [train.filter(F.pmod(day_number(F.col("date")), F.lit(2)) == half) for half in (0, 1)]
     scored = _assembled(score, features)
     for i, half in enumerate(halves):

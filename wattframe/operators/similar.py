@@ -336,8 +336,8 @@ def normalise_by_capacity(available: DataFrame, date: str = "date", block: str =
     total = available.groupBy(date, block).agg(
         F.sum("available").alias("capacity"), (F.sum("generation_used") * 4).alias("gen_mw")
     )
-    daily = total.groupBy(date).agg(F.avg("capacity").alias("capacity_day_mean"))
-    return total.join(daily, date).withColumn("per_gen", ratio(F.col("gen_mw"), F.col("capacity")))
+    daily = F.avg("capacity").over(Window.partitionBy(date))
+    return total.withColumn("capacity_day_mean", daily).withColumn("per_gen", ratio(F.col("gen_mw"), F.col("capacity")))
 
 
 def denormalise(forecast: DataFrame, capacity: DataFrame, value: str, date: str = "date") -> DataFrame:
@@ -358,9 +358,9 @@ def solar_per_unit(gen: DataFrame, units: DataFrame, key: str, daylight: DataFra
     total = joined.groupBy("date", "block_no").agg(
         (F.sum("_g") * 4).alias("gen_mw"), F.sum("rated_capacity").alias("capacity")
     )
-    daily = total.groupBy("date").agg(F.avg("capacity").alias("capacity_day"))
+    daily = F.avg("capacity").over(Window.partitionBy("date"))
     return (
-        total.join(daily, "date")
+        total.withColumn("capacity_day", daily)
         .join(daylight.select("date", "block_no", "daylight"), ["date", "block_no"], "left")
         .withColumn("per_gen", ratio(F.col("gen_mw"), F.col("capacity_day")) * F.col("daylight"))
         .drop("capacity")

@@ -20,6 +20,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wattframe.session import cut_lineage
+
 PIECES_PER_DOUBLING = 16_384
 SMALLEST_EXPONENT = 1_100
 
@@ -166,9 +168,10 @@ def average_ranks(df: DataFrame, keys: Sequence[str], value: str, out: str = "ra
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float]) -> DataFrame:
     """Exact interpolated quantiles of groups of any size, one row per key.
 
-    A first pass counts rows per value piece and finds the pieces that hold the wanted positions; a second
-    pass counts and ranks the distinct values of those pieces only. A group is never gathered, and what is
-    shuffled beyond counts is a tiny share of the rows.
+    A first pass counts rows per value piece and finds the pieces that hold the wanted positions (a few
+    rows per key, checkpointed so that the input is read twice and no more); the second pass counts and
+    ranks the distinct values of those pieces only. A group is never gathered, and what is shuffled beyond
+    counts is a tiny share of the rows.
     """
     keys = list(keys)
     marked = df.filter(F.col(value).isNotNull()).select(*keys, value, piece_of(F.col(value)).alias("_piece"))
@@ -188,6 +191,7 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[
         for side, fn in (("lo", F.floor), ("hi", F.ceil))
     ])
     targets = placed.select(*keys, "_piece", "_n", F.inline(wanted)).filter((F.col("pos") >= 0) & (F.col("pos") < F.col("_n"))).drop("_n")
+    targets = cut_lineage(targets)
     inside = [*keys, "_piece"]
     counts = value_counts(marked.join(targets.select(*inside).distinct(), inside, "left_semi"), inside, value)
     ranks = counts.withColumn("below", F.sum("n").over(upto(inside, [value])) - F.col("n"))

@@ -98,13 +98,10 @@ def promote_header(grid: DataFrame, sheet: Sequence[str], keyword: str, drop_las
     in two rows), both texts are joined when both are set; the last ``drop_last`` columns are cut.
     """
     holds = F.exists("cells", lambda c: F.contains(F.lower(c), F.lit(keyword.lower())))
-    found = grid.filter(holds).groupBy(*sheet).agg(F.min("row_no").alias("_h"))
+    found = grid.filter(holds).groupBy(*sheet).agg(F.min("row_no").alias("_h"), F.min_by("cells", "row_no").alias("_low"))
     # The header of a sheet is one row and the one above it, so it is joined, not windowed.
     above = grid.select(*sheet, (F.col("row_no") + 1).alias("_h"), F.col("cells").alias("_up"))
-    header = (
-        found.join(grid.select(*sheet, F.col("row_no").alias("_h"), F.col("cells").alias("_low")), [*sheet, "_h"])
-        .join(above, [*sheet, "_h"], "left")
-    )
+    header = found.join(above, [*sheet, "_h"], "left")
     merged = F.zip_with(
         F.coalesce("_up", F.array().cast("array<string>")),
         "_low",
