@@ -121,6 +121,14 @@ def test_nearest_earlier_equals_loop(spark, metric):
     assert {(r.i, r.lag_i, r.rank) for r in got.itertuples()} == want
 
 
+def test_partial_days_compare_on_known_cells(spark):
+    df = spark.createDataFrame([(1, [1.0, 5.0]), (2, [None, 2.0]), (3, [2.0, None])], "i long, vec array<double>")
+    whole = F.exists("vec", lambda x: x.isNull())
+    got = similar.nearest_earlier(df, [], "i", "vec", "euclid", 5, 3, pool=~whole, partial=True).toPandas()
+    assert {(r.i, r.lag_i, r.distance) for r in got.itertuples()} == {(2, 1, 3.0), (3, 1, 1.0)}
+    assert similar.nearest_earlier(df, [], "i", "vec", "euclid", 5, 3).count() == 0
+
+
 def test_nearest_units_far_and_near(spark):
     pts = [(1, 10.0, 70.0), (2, 10.1, 70.1), (3, 60.0, -170.0), (4, 60.0, 179.5), (5, -80.0, 0.0)]
     df = spark.createDataFrame(pts, "u int, lat double, lon double")

@@ -51,8 +51,11 @@ def as_double(name: str):
     return lambda x: x[name].cast("double")
 
 
-def vectors(df: DataFrame, keys: Sequence[str], place: Sequence[str], cols: Sequence[str], slots: Sequence | None = None) -> DataFrame:
-    """Feature vector per key as one array ordered by the place columns, with the count of filled cells."""
+def vectors(df: DataFrame, keys: Sequence[str], place: Sequence[str], cols: Sequence[str]) -> DataFrame:
+    """Feature vector per key as one array ordered by the place columns, with the count of filled cells.
+
+    Keep keys with all cells (or group by the count) before comparing: an absent cell leaves no hole.
+    """
     cell = F.struct(*place, *cols)
     ordered = F.array_sort(F.collect_list(cell))
     out = df.groupBy(*keys).agg(ordered.alias("_c"))
@@ -61,21 +64,27 @@ def vectors(df: DataFrame, keys: Sequence[str], place: Sequence[str], cols: Sequ
     return out.select(*keys, vector.alias("vector"), F.size("_c").alias("n_cells"))
 
 
-def _measure(metric: str, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Distances of every row of ``a`` to every row of ``b``; a missing cell on either side counts nothing."""
+def _measure(metric: str, a: np.ndarray, b: np.ndarray, partial: bool) -> np.ndarray:
+    """Distances of every row of ``a`` to every row of ``b``.
+
+    A missing cell on either side makes the distance missing; with ``partial`` the cells the asking row
+    lacks do not count.
+    """
     if metric == "cosine":
-        x, y = np.nan_to_num(a), np.nan_to_num(b)
-        size = np.linalg.norm(x, axis=1)[:, None] * np.linalg.norm(y, axis=1)[None, :]
+        size = np.linalg.norm(a, axis=1)[:, None] * np.linalg.norm(b, axis=1)[None, :]
         with np.errstate(divide="ignore", invalid="ignore"):
-            return np.where(size > 0, 1 - (x @ y.T) / size, np.nan)
+            return np.where(size > 0, 1 - (a @ b.T) / size, np.nan)
     out = np.empty((len(a), len(b)))
     step = max(1, 2_000_000 // max(1, b.size))
     for i in range(0, len(a), step):
-        out[i : i + step] = np.nansum((a[i : i + step, None, :] - b[None, :, :]) ** 2, axis=2)
+        square = (a[i : i + step, None, :] - b[None, :, :]) ** 2
+        if partial:
+            square = np.where(np.isnan(a[i : i + step, None, :]), 0.0, square)
+        out[i : i + step] = square.sum(axis=2)
     return np.sqrt(out) if metric == "euclid" else out
 
 
-def nearest_earlier(df: DataFrame, keys: Sequence[str], index: str, vector: str, metric: str, lookback: int, k: int, pool: Column | None = None) -> DataFrame:
+def nearest_earlier(df: DataFrame, keys: Sequence[str], index: str, vector: str, metric: str, lookback: int, k: int, pool: Column | None = None, partial: bool = False) -> DataFrame:
     """The k nearest of the rows 1..lookback index steps earlier: (keys, index, lag_<index>, distance, rank).
 
     Each row asks in its own bucket of steps and offers itself there and, when its reach crosses the end,
@@ -109,7 +118,7 @@ def nearest_earlier(df: DataFrame, keys: Sequence[str], index: str, vector: str,
             a, b = np.array(asking["_v"].tolist(), dtype=float), np.array(offering["_v"].tolist(), dtype=float)
             ia, ib = asking["_i"].to_numpy(), offering["_i"].to_numpy()
             back = ia[:, None] - ib[None, :]
-            distance = _measure(metric, a.reshape(len(ia), -1), b.reshape(len(ib), -1))
+            distance = _measure(metric, a.reshape(len(ia), -1), b.reshape(len(ib), -1), partial)
             distance = np.where((back >= 1) & (back <= lookback), distance, np.nan)
             order = np.lexsort((np.broadcast_to(-ib, distance.shape), np.round(distance, 9)), axis=1)[:, :k]
             row = np.repeat(np.arange(len(ia)), order.shape[1])
@@ -136,14 +145,15 @@ def similar_days(
     k: int,
     pool: Column | None = None,
     date: str = "date",
+    partial: bool = False,
 ) -> DataFrame:
     """The k nearest earlier days per day: (keys, date, lag_date, distance, rank).
 
     ``profile`` holds one row per key and date. ``pool`` limits the days that may be found (complete days,
-    for instance).
+    for instance); with ``partial`` a day still under way is compared on the cells it has.
     """
     indexed = profile.withColumn("_day", day_number(F.col(date)))
-    found = nearest_earlier(indexed, keys, "_day", vector, metric, lookback, k, pool)
+    found = nearest_earlier(indexed, keys, "_day", vector, metric, lookback, k, pool, partial)
     back = lambda c: F.date_from_unix_date(F.col(c).cast("int"))
     return found.select(*keys, back("_day").alias(date), back("lag__day").alias("lag_date"), "distance", "rank")
 

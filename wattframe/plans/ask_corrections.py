@@ -62,7 +62,7 @@ def _(t):
 EVENT_NORMAL_SQL = f"""
 WITH {EVENTS_SQL},
 p AS (SELECT date, min(value) AS a, max(value) AS b, median(value) AS c FROM v_load GROUP BY 1),
-r AS (SELECT date, rank() OVER (ORDER BY a) AS ra, rank() OVER (ORDER BY b) AS rb, rank() OVER (ORDER BY c) AS rc FROM p),
+r AS (SELECT date, rank() OVER (ORDER BY a) + (count(*) OVER (PARTITION BY a) - 1) / 2.0 AS ra, rank() OVER (ORDER BY b) + (count(*) OVER (PARTITION BY b) - 1) / 2.0 AS rb, rank() OVER (ORDER BY c) + (count(*) OVER (PARTITION BY c) - 1) / 2.0 AS rc FROM p),
 d AS (SELECT x.date, y.date AS lag_date, pow(x.ra - y.ra, 2) + pow(x.rb - y.rb, 2) + pow(x.rc - y.rc, 2) AS dist FROM r x JOIN r y ON y.date < x.date AND y.date >= x.date - 45),
 k AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY date ORDER BY round(dist, 9), lag_date DESC) AS rank FROM d) WHERE rank <= 3),
 a AS (SELECT month(date) AS month, block_no, median(value) AS v FROM v_load GROUP BY 1, 2),

@@ -49,7 +49,7 @@ r AS (SELECT location, date, rank() OVER (PARTITION BY location ORDER BY a) + (c
 n AS (SELECT date, count(*) AS m FROM r GROUP BY 1),
 d AS (SELECT x.date, y.date AS lag_date, sum(pow(x.ra - y.ra, 2) + pow(x.rb - y.rb, 2) + pow(x.rc - y.rc, 2)) AS distance
  FROM r x JOIN r y ON y.location = x.location AND y.date < x.date AND y.date >= x.date - 45 JOIN n a ON a.date = x.date JOIN n b ON b.date = y.date
- WHERE a.m = b.m GROUP BY 1, 2),
+ WHERE a.m = (SELECT count(DISTINCT location) FROM r) AND b.m = (SELECT count(DISTINCT location) FROM r) GROUP BY 1, 2),
 k AS (SELECT *, row_number() OVER (PARTITION BY date ORDER BY round(distance, 9), lag_date DESC) AS rank FROM d)
 SELECT * FROM k WHERE rank <= 12""")
 def _(t):
@@ -171,7 +171,7 @@ def _(t):
 
 @query("imputed_from_blend", "date:d block_no:i value:g filled:g", """
 WITH p AS (SELECT date, min(value) AS a, max(value) AS b, median(value) AS c FROM v_load GROUP BY 1),
-r AS (SELECT date, rank() OVER (ORDER BY a) AS ra, rank() OVER (ORDER BY b) AS rb, rank() OVER (ORDER BY c) AS rc FROM p),
+r AS (SELECT date, rank() OVER (ORDER BY a) + (count(*) OVER (PARTITION BY a) - 1) / 2.0 AS ra, rank() OVER (ORDER BY b) + (count(*) OVER (PARTITION BY b) - 1) / 2.0 AS rb, rank() OVER (ORDER BY c) + (count(*) OVER (PARTITION BY c) - 1) / 2.0 AS rc FROM p),
 d AS (SELECT x.date, y.date AS lag_date, pow(x.ra - y.ra, 2) + pow(x.rb - y.rb, 2) + pow(x.rc - y.rc, 2) AS dist FROM r x JOIN r y ON y.date < x.date AND y.date >= x.date - 90),
 k AS (SELECT *, row_number() OVER (PARTITION BY date ORDER BY round(dist, 9), lag_date DESC) AS rank FROM d),
 b AS (SELECT k.date, l.block_no, sum(pow(0.45, rank - 1) * l.value) / sum(pow(0.45, rank - 1)) AS v, count(*) AS n FROM k JOIN v_load l ON l.date = k.lag_date WHERE rank <= 7 GROUP BY 1, 2)

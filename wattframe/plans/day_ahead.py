@@ -34,11 +34,16 @@ def rank_profile(series_df: DataFrame, keys: Sequence[str], value: str = "value"
 
 
 def weather_rank_profile(weather: DataFrame, place: str = "location", col: str = "temp") -> DataFrame:
-    """Ranks of each location's daily minimum, maximum and median, all locations in one vector per date."""
+    """Ranks of each location's daily minimum, maximum and median, all locations in one vector per date.
+
+    Dates on which a location is missing have no comparable vector and are left out.
+    """
     profile = aggregates.profile(weather, [place, "date"], [col])
     ranked = _rank_array(profile, [place], [f"{col}_min", f"{col}_max", f"{col}_median"])
     cells = F.array_sort(F.collect_list(F.struct(place, "vector")))
-    return ranked.groupBy("date").agg(F.flatten(F.transform(cells, lambda x: x["vector"])).alias("vector"))
+    whole = weather.select(F.count_distinct(place)).scalar()
+    days = ranked.groupBy("date").agg(F.transform(cells, lambda x: x["vector"]).alias("_v")).filter(F.size("_v") == whole)
+    return days.select("date", F.flatten("_v").alias("vector"))
 
 
 def curve_rank_profile(days: DataFrame, keys: Sequence[str]) -> DataFrame:
