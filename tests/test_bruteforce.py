@@ -121,6 +121,19 @@ def test_nearest_earlier_equals_loop(spark, metric):
     assert {(r.i, r.lag_i, r.rank) for r in got.itertuples()} == want
 
 
+def test_whole_past_over_several_buckets(spark, monkeypatch):
+    monkeypatch.setattr(similar, "BLOCK_ROWS", 16)
+    rng = np.random.default_rng(10)
+    v = rng.integers(0, 3, size=(100, 3)).astype(float)
+    df = spark.createDataFrame([(500 + i, r.tolist()) for i, r in enumerate(v)], "i long, vec array<double>")
+    got = similar.nearest_earlier(df, [], "i", "vec", "sqeuclid", None, 4).toPandas()
+    want = set()
+    for i in range(100):
+        found = sorted((((v[i] - v[j]) ** 2).sum(), -j) for j in range(i))[:4]
+        want |= {(500 + i, 500 - j, r) for r, (_, j) in enumerate(found, 1)}
+    assert {(r.i, r.lag_i, r.rank) for r in got.itertuples()} == want
+
+
 def test_partial_days_compare_on_known_cells(spark):
     df = spark.createDataFrame([(1, [1.0, 5.0]), (2, [None, 2.0]), (3, [2.0, None])], "i long, vec array<double>")
     whole = F.exists("vec", lambda x: x.isNull())

@@ -1,6 +1,7 @@
 """Files in and out, streams against their batch form."""
 
 import datetime as dt
+import re
 
 from pyspark.sql import functions as F
 
@@ -62,6 +63,22 @@ def test_writers(spark, tmp_path):
     assert spark.read.parquet(table).count() == 3
 
 
+def test_upsert_rewrites_touched_partitions_only(spark, tmp_path):
+    table = str(tmp_path / "t")
+    base = spark.createDataFrame([("2024-01-01", 1, 1.0), ("2024-01-01", 2, 2.0), ("2024-01-02", 1, 3.0)], "date string, block int, v double")
+    files.write_replace(base.withColumn("date", F.to_date("date")), table, ["date"])
+    untouched = sorted(p.name for p in (tmp_path / "t" / "date=2024-01-02").iterdir())
+    new = spark.createDataFrame([("2024-01-01", 2, 9.0), ("2024-01-03", 1, 5.0)], "date string, block int, v double").withColumn("date", F.to_date("date"))
+    stored = spark.read.parquet(table)
+    merged = merge.upsert_touched(stored, new, ["date", "block"], ["v"], "date")
+    assert re.search(r"PartitionFilters: \[[^\]]*date#\d+ IN", merged._jdf.queryExecution().executedPlan().toString())
+    files.write_touched(merged, table, ["date"])
+    spark.catalog.refreshByPath(table)
+    got = sorted((str(r["date"]), r["block"], r["v"]) for r in spark.read.parquet(table).collect())
+    assert got == [("2024-01-01", 1, 1.0), ("2024-01-01", 2, 9.0), ("2024-01-02", 1, 3.0), ("2024-01-03", 1, 5.0)]
+    assert untouched == sorted(p.name for p in (tmp_path / "t" / "date=2024-01-02").iterdir())
+
+
 def events_stream(spark, tmp_path, parts=3):
     source = tmp_path / "events"
     base = spark.read.parquet(f"{SF}/events.parquet").select("event_id", F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("pool"), "value")

@@ -22,6 +22,7 @@ from wattframe.operators.latest import top_k
 from wattframe.session import cut_lineage
 
 SMALLEST_BUCKET = 128
+BLOCK_ROWS = 1024
 KM_PER_DEGREE = EARTH_RADIUS_KM * math.pi / 180
 
 
@@ -84,30 +85,10 @@ def _measure(metric: str, a: np.ndarray, b: np.ndarray, partial: bool) -> np.nda
     return np.sqrt(out) if metric == "euclid" else out
 
 
-def nearest_earlier(df: DataFrame, keys: Sequence[str], index: str, vector: str, metric: str, lookback: int, k: int, pool: Column | None = None, partial: bool = False) -> DataFrame:
-    """The k nearest of the rows 1..lookback index steps earlier: (keys, index, lag_<index>, distance, rank).
-
-    Each row asks in its own bucket of steps and offers itself there and, when its reach crosses the end,
-    in the next one. A bucket is at least as long as the lookback, so everything a row may meet is in its
-    group, a row is shuffled twice at most, and a group holds at most two buckets of one key. Distances of
-    a group are one numpy block; only the k best leave it, so pairs are never rows. Vectors of different
-    length do not compare. Equal distances rank the later row first. ``pool`` limits the rows that may be
-    found.
-    """
-    keys = list(keys)
-    width = max(lookback, SMALLEST_BUCKET)
-    bucket = F.floor(F.col(index) / width)
-    offers = F.when(F.lit(True) if pool is None else pool, F.lit(True)).otherwise(False)
-    own = F.struct(bucket.alias("b"), F.lit(True).alias("asks"))
-    following = F.struct((bucket + 1).alias("b"), F.lit(False).alias("asks"))
-    roles = F.when(F.col(index) + lookback >= (bucket + 1) * width, F.array(own, following)).otherwise(F.array(own))
-    dealt = df.select(
-        *keys, F.col(index).cast("long").alias("_i"), F.transform(vector, lambda x: x.cast("double")).alias("_v"),
-        offers.alias("_offers"), F.explode(roles).alias("_role"),
-    ).select(*keys, "_i", "_v", "_offers", F.col("_role.b").alias("_b"), F.col("_role.asks").alias("_asks"))
-    dealt = dealt.filter("_asks OR _offers")
-    kept = [f for f in dealt.schema.fields if f.name in keys]
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), f"`{index}` long, `lag_{index}` long, distance double, rank int"])
+def _search(fields: Sequence, index: str, metric: str, lookback: int | None, k: int, partial: bool):
+    """Group function: the k nearest earlier rows of every asking row, by one numpy block per vector length."""
+    names = [f.name for f in fields]
+    columns = [*names, index, f"lag_{index}", "distance", "rank"]
 
     def search(pdf: pd.DataFrame) -> pd.DataFrame:
         parts = []
@@ -118,8 +99,8 @@ def nearest_earlier(df: DataFrame, keys: Sequence[str], index: str, vector: str,
             a, b = np.array(asking["_v"].tolist(), dtype=float), np.array(offering["_v"].tolist(), dtype=float)
             ia, ib = asking["_i"].to_numpy(), offering["_i"].to_numpy()
             back = ia[:, None] - ib[None, :]
-            distance = _measure(metric, a.reshape(len(ia), -1), b.reshape(len(ib), -1), partial)
-            distance = np.where((back >= 1) & (back <= lookback), distance, np.nan)
+            near = back >= 1 if lookback is None else (back >= 1) & (back <= lookback)
+            distance = np.where(near, _measure(metric, a.reshape(len(ia), -1), b.reshape(len(ib), -1), partial), np.nan)
             order = np.lexsort((np.broadcast_to(-ib, distance.shape), np.round(distance, 9)), axis=1)[:, :k]
             row = np.repeat(np.arange(len(ia)), order.shape[1])
             picked = order.ravel()
@@ -128,12 +109,60 @@ def nearest_earlier(df: DataFrame, keys: Sequence[str], index: str, vector: str,
                 "rank": np.tile(np.arange(1, order.shape[1] + 1, dtype=np.int32), len(ia)),
             })
             parts.append(found[np.isfinite(found["distance"])])
-        out = pd.concat(parts) if parts else pd.DataFrame({index: [], f"lag_{index}": [], "distance": [], "rank": []})
-        for f in kept:
-            out[f.name] = pdf[f.name].iloc[0]
-        return out[[*(f.name for f in kept), index, f"lag_{index}", "distance", "rank"]]
+        out = pd.concat(parts) if parts else pd.DataFrame({c: [] for c in columns[len(names):]})
+        for name in names:
+            out[name] = pdf[name].iloc[0]
+        return out[columns]
+
+    return search
 
-    return dealt.groupBy(*keys, "_b").applyInPandas(search, schema)
+
+def nearest_earlier(df: DataFrame, keys: Sequence[str], index: str, vector: str, metric: str, lookback: int | None, k: int, pool: Column | None = None, partial: bool = False) -> DataFrame:
+    """The k nearest of the rows 1..lookback index steps earlier: (keys, index, lag_<index>, distance, rank).
+
+    Each row asks in its own bucket of steps and offers itself there and, when its reach crosses the end,
+    in the next one. A bucket is at least as long as the lookback, so everything a row may meet is in its
+    group, a row is shuffled twice at most, and a group holds at most two buckets of one key. Distances of
+    a group are one numpy block; only the k best leave it, so pairs are never rows. Vectors of different
+    length do not compare. Equal distances rank the later row first. ``pool`` limits the rows that may be
+    found.
+
+    ``lookback`` None searches the whole past: every bucket meets every earlier one in a group of its own,
+    so the work of a long key is spread evenly, and the best of the groups are ranked again.
+    """
+    keys = list(keys)
+    width = BLOCK_ROWS if lookback is None else max(lookback, SMALLEST_BUCKET)
+    bucket = F.floor(F.col(index) / width)
+    offers = F.when(F.lit(True) if pool is None else pool, F.lit(True)).otherwise(False)
+    base = df.select(
+        *keys, F.col(index).cast("long").alias("_i"), F.transform(vector, lambda x: x.cast("double")).alias("_v"),
+        offers.alias("_offers"), bucket.alias("_b"),
+    )
+    role = lambda mine, other, asks, gives: F.struct(mine.alias("b"), other.alias("c"), F.lit(asks).alias("asks"), gives.alias("gives"))
+    own = F.col("_b")
+    if lookback is None:
+        span = base.groupBy(*keys).agg(F.min("_b").alias("_first"), F.max("_b").alias("_last"))
+        base = base.join(span, keys) if keys else base.withColumns(
+            {"_first": span.select("_first").scalar(), "_last": span.select("_last").scalar()}
+        )
+        earlier = F.transform(F.sequence("_first", own), lambda c: role(own, c, True, F.col("_offers") & (c == own)))
+        later = F.when(own < F.col("_last"), F.sequence(own + 1, F.col("_last"))).otherwise(F.array().cast("array<bigint>"))
+        roles = F.concat(earlier, F.transform(later, lambda b: role(b, own, False, F.col("_offers"))))
+    else:
+        mine = role(own, own, True, F.col("_offers"))
+        following = role(own + 1, own + 1, False, F.col("_offers"))
+        crosses = F.col("_i") + lookback >= (own + 1) * width
+        roles = F.when(crosses, F.array(mine, following)).otherwise(F.array(mine))
+    dealt = base.select(*keys, "_i", "_v", F.explode(roles).alias("_role")).select(
+        *keys, "_i", "_v", F.col("_role.b").alias("_b"), F.col("_role.c").alias("_c"),
+        F.col("_role.asks").alias("_asks"), F.col("_role.gives").alias("_offers"),
+    ).filter("_asks OR _offers")
+    fields = [f for f in dealt.schema.fields if f.name in keys]
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), f"`{index}` long, `lag_{index}` long, distance double, rank int"])
+    found = dealt.groupBy(*keys, "_b", "_c").applyInPandas(_search(fields, index, metric, lookback, k, partial), schema)
+    if lookback is None:
+        return top_k(found.drop("rank"), [*keys, index], [F.round("distance", 9), F.desc(f"lag_{index}")], k)
+    return found
 
 
 def similar_days(
@@ -158,8 +187,8 @@ def similar_days(
     return found.select(*keys, back("_day").alias(date), back("lag__day").alias("lag_date"), "distance", "rank")
 
 
-def similar_windows(features: DataFrame, keys: Sequence[str], window: str, vector: str, metric: str, k: int, lookback: int) -> DataFrame:
-    """The k nearest earlier windows (groups of blocks) per window, up to ``lookback`` windows back."""
+def similar_windows(features: DataFrame, keys: Sequence[str], window: str, vector: str, metric: str, k: int, lookback: int | None = None) -> DataFrame:
+    """The k nearest earlier windows (groups of blocks) per window, over the whole past by default."""
     return nearest_earlier(features, keys, window, vector, metric, lookback, k)
 
 

@@ -135,6 +135,19 @@ def _(t):
     return correct.bias_ladder(_load_predicted(t), correct.expand_events(t.calendar), [], "value", "pred")
 
 
+@query("bias_ladder_linear", "date:d block_no:i corrected:g", f"""
+WITH {EVENTS_SQL}, {EVENT_PRED_SQL},
+w AS (SELECT wd, regr_slope(m, block_no) AS s, regr_intercept(m, block_no) AS i FROM (SELECT isodow(date) AS wd, block_no, avg(value - pred) AS m FROM pd GROUP BY 1, 2) GROUP BY 1),
+p1 AS (SELECT pd.date, block_no, value, pred + i + s * block_no AS c FROM pd JOIN w ON w.wd = isodow(pd.date)),
+e AS (SELECT name, regr_slope(m, block_no) AS s, regr_intercept(m, block_no) AS i FROM (SELECT name, block_no, avg(value - c) AS m FROM p1 JOIN ev USING (date) GROUP BY 1, 2) GROUP BY 1),
+p2 AS (SELECT p1.date, block_no, value, c + coalesce(i + s * block_no, 0) AS c FROM p1 LEFT JOIN ev ON ev.date = p1.date LEFT JOIN e ON e.name = ev.name
+ AND EXISTS (SELECT 1 FROM p1 x JOIN ev y ON y.date = x.date WHERE y.name = e.name AND x.block_no = p1.block_no)),
+m AS (SELECT mo, regr_slope(m, block_no) AS s, regr_intercept(m, block_no) AS i FROM (SELECT month(date) AS mo, block_no, avg(value - c) AS m FROM p2 GROUP BY 1, 2) GROUP BY 1)
+SELECT p2.date, block_no, c + i + s * block_no AS corrected FROM p2 JOIN m ON mo = month(p2.date)""")
+def _(t):
+    return correct.bias_ladder(_load_predicted(t), correct.expand_events(t.calendar), [], "value", "pred", degree=1)
+
+
 @query("binned_residual", "location:i date:d hour:i residual_factor:f corrected:f", f"""
 WITH x AS (SELECT location, date, hour, temp, avg(temp) OVER (PARTITION BY location, hour) + 1 AS pred, {bin_sql('wind', 'lo', 'hi', 5)} AS wb
  FROM v_weather, (SELECT min(wind) AS lo, max(wind) AS hi FROM v_weather WHERE date < DATE '2024-01-21')),

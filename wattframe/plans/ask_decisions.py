@@ -154,13 +154,15 @@ def _(t):
 
 
 @query("composed_capacity", "unit:i revision_key:i allocated:f origin:s", """
-WITH i AS (SELECT l_suppkey AS unit, l_orderkey AS revision_key, l_quantity - 5 AS allocated FROM lineitem WHERE l_suppkey % 3 > 0 AND l_linenumber = (SELECT max(l_linenumber) FROM lineitem WHERE l_suppkey % 3 > 0)),
-m AS (SELECT l_suppkey AS unit, l_orderkey AS revision_key, l_quantity - 5 AS allocated FROM lineitem WHERE l_linenumber = (SELECT max(l_linenumber) FROM lineitem))
+WITH own AS (SELECT s_suppkey FROM supplier WHERE s_acctbal > 4000), r AS (SELECT l_suppkey AS unit, l_orderkey AS revision_key, l_quantity - 5 AS allocated, l_linenumber AS revision FROM lineitem),
+i AS (SELECT * FROM r WHERE unit IN (SELECT s_suppkey FROM own) AND revision = (SELECT max(revision) FROM r WHERE unit IN (SELECT s_suppkey FROM own))),
+m AS (SELECT * FROM r WHERE revision = (SELECT max(revision) FROM r))
 SELECT unit, revision_key, allocated, 'INTERNAL' AS origin FROM i WHERE allocated > 0
 UNION ALL SELECT unit, revision_key, allocated, 'IMPORT' FROM m WHERE allocated > 0 AND unit NOT IN (SELECT unit FROM i)""")
 def _(t):
     rows = t.lineitem.select(F.col("l_suppkey").alias("unit"), F.col("l_orderkey").alias("revision_key"), (F.col("l_quantity") - 5).alias("allocated"), F.col("l_linenumber").alias("revision"))
-    return dispatch.compose_capacity(rows.filter("unit % 3 > 0"), rows, "unit", ["unit", "revision_key", "allocated"])
+    own = rows.join(t.supplier.filter("s_acctbal > 4000").select(F.col("s_suppkey").alias("unit")), "unit", "left_semi")
+    return dispatch.compose_capacity(own, rows, "unit", ["unit", "revision_key", "allocated"])
 
 
 @query("revision_comparison", "key:i day_ahead:f latest:f latest_revision:i change:f", """
@@ -306,10 +308,10 @@ def _(t):
 
 
 @query("replaced_keys", MERGE_COLS, f"""
-WITH {MERGE_SQL} SELECT * FROM base WHERE key NOT IN (SELECT key FROM fresh WHERE key % 2 = 0)
-UNION ALL SELECT key, price, status, 0 FROM fresh WHERE key % 2 = 0""")
+WITH {MERGE_SQL} SELECT * FROM base WHERE key NOT IN (SELECT key FROM fresh WHERE status = 'F')
+UNION ALL SELECT key, price, status, 0 FROM fresh WHERE status = 'F'""")
 def _(t):
-    new = _fresh(t).filter("key % 2 = 0").withColumn("processed_ind", F.lit(0))
+    new = _fresh(t).filter("status = 'F'").withColumn("processed_ind", F.lit(0))
     return merge.replace_keys(_base(t), new, ["key"])
 
 

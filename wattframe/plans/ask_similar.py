@@ -115,12 +115,12 @@ def _(t):
 WITH w AS (SELECT (datediff('day', DATE '1970-01-01', date) * 24 + hour) AS window_no, location, max(wind) AS v FROM v_weather GROUP BY 1, 2),
 n AS (SELECT window_no, count(*) AS m FROM w GROUP BY 1), f AS (SELECT w.* FROM w JOIN n ON n.window_no = w.window_no AND m = 8),
 d AS (SELECT x.window_no, y.window_no AS lag_window_no, sqrt(sum(pow(x.v - y.v, 2))) AS distance FROM f x JOIN f y
- ON y.location = x.location AND y.window_no < x.window_no AND y.window_no >= x.window_no - 2160 GROUP BY 1, 2),
+ ON y.location = x.location AND y.window_no < x.window_no GROUP BY 1, 2),
 k AS (SELECT *, row_number() OVER (PARTITION BY window_no ORDER BY round(distance, 9), lag_window_no DESC) AS rank FROM d) SELECT * FROM k WHERE rank <= 12""")
 def _(t):
     cells = t.weather.groupBy((F.unix_date("date") * 24 + F.col("hour")).cast("long").alias("window_no"), "location").agg(F.max("wind").alias("v"))
     features = similar.vectors(cells, ["window_no"], ["location"], ["v"]).filter("n_cells = 8")
-    return similar.similar_windows(features, [], "window_no", "vector", "euclid", 12, 2160)
+    return similar.similar_windows(features, [], "window_no", "vector", "euclid", 12)
 
 
 @query("neighbour_columns", "pool:s date:d block_no:i nn1:f nn2:f nn3:f", f"""
@@ -289,7 +289,10 @@ def _(t):
     return similar.impute_by_analogue(cells, blended, ["location", "date", "block_no"], "value", "blend", "improved")
 
 
-@query("geo_rings", "lat:f lon:f")
+@query("geo_rings", "lat:f lon:f", """
+WITH r AS (SELECT radians(lat) AS phi, lon, 10.0 * i / 6367 AS ang, radians(45.0 * j) AS th FROM v_sites CROSS JOIN (SELECT unnest(range(1, 4)) AS i) CROSS JOIN (SELECT unnest(range(0, 8)) AS j)),
+p AS (SELECT *, asin(sin(phi) * cos(ang) + cos(phi) * sin(ang) * cos(th)) AS phi2 FROM r)
+SELECT DISTINCT round(degrees(phi2), 6) AS lat, round(degrees(radians(lon) + atan2(sin(th) * sin(ang) * cos(phi), cos(ang) - sin(phi) * sin(phi2))), 6) AS lon FROM p""")
 def _(t):
     return similar.geo_ring(t.sites, "lat", "lon", 30, 10)
 

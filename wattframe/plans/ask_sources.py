@@ -89,7 +89,12 @@ def _(t):
     return documents.html_tables(t.orders.select("o_orderkey", html.alias("html")), "html", ["o_orderkey"])
 
 
-@query("page_table_cells", "page_id:i table_no:i row_no:i col_no:i cell:s")
+@query("page_table_cells", "page_id:i table_no:i row_no:i col_no:i cell:s", r"""
+WITH a AS (SELECT page_id, regexp_extract_all(html, '(?is)<table\b.*?</table>') AS x FROM pages), b AS (SELECT page_id, unnest(range(len(x))) AS table_no, x FROM a),
+c AS (SELECT page_id, table_no, regexp_extract_all(x[table_no + 1], '(?is)<tr\b.*?</tr>') AS x FROM b), d AS (SELECT page_id, table_no, unnest(range(len(x))) AS row_no, x FROM c),
+e AS (SELECT page_id, table_no, row_no, regexp_extract_all(x[row_no + 1], '(?is)<t[dh]\b[^>]*>(.*?)</t[dh]>', 1) AS x FROM d), f AS (SELECT page_id, table_no, row_no, unnest(range(len(x))) AS col_no, x FROM e),
+g AS (SELECT page_id, table_no, row_no, col_no, trim(regexp_replace(regexp_replace(x[col_no + 1], '<[^>]*>', '', 'g'), '\s+', ' ', 'g')) AS cell FROM f)
+SELECT page_id, table_no, row_no, col_no, CASE WHEN cell = '' THEN 'NA' ELSE cell END AS cell FROM g""")
 def _(t):
     return documents.html_tables(t.pages, "html", ["page_id"])
 

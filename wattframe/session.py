@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 def build_session(app: str = "wattframe", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the library relies on.
 
-    Only semantics (UTC, ANSI off-by-default edges are handled in the expressions) and adaptive execution
-    are set here; cluster sizing stays with the submitter.
+    Only the time zone, adaptive execution and checkpoint cleaning are set here; cluster sizing stays with
+    the submitter.
     """
     builder = (
         SparkSession.builder.appName(app)
@@ -21,6 +21,7 @@ def build_session(app: str = "wattframe", master: str | None = None, **conf: str
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     if master:
         builder = builder.master(master)

@@ -16,6 +16,11 @@ def append(df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt: str
     df.write.format(fmt).mode("append").partitionBy(*partition_by).save(path)
 
 
+def write_touched(df: DataFrame, path: str, partition_by: Sequence[str], fmt: str = "parquet") -> None:
+    """Replace the partitions present in the frame and leave the others alone."""
+    df.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).save(path)
+
+
 def report_folder(root: str, name: str, date: str, revision: int) -> str:
     """Folder of one report; its name carries the delivery date and the revision."""
     return f"{root.rstrip('/')}/{name}_{date}_R{revision}"

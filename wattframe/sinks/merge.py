@@ -64,3 +64,24 @@ def update_from(base: DataFrame, new: DataFrame, keys: Sequence[str], cols: Sequ
     return joined.select(
         *[F.coalesce(F.col(f"_n_{c}"), F.col(c)).alias(c) if c in cols else F.col(c) for c in base.columns]
     )
+
+
+LISTED_PARTITIONS = 1000
+
+
+def upsert_touched(base: DataFrame, new: DataFrame, keys: Sequence[str], set_cols: Sequence[str], partition: str, **options) -> DataFrame:
+    """``upsert`` over the stored partitions that hold new rows and no others.
+
+    ``partition`` is one of the keys. Up to a thousand partition values are listed, so the scan is pruned
+    when it is planned; more go through a semi join. Write the result with ``write_touched``, which
+    replaces those partitions only.
+    """
+    if partition not in keys:
+        raise ValueError("the partition column must be part of the key")
+    values = new.select(partition).distinct()
+    listed = [r[0] for r in values.limit(LISTED_PARTITIONS + 1).collect()]
+    if len(listed) <= LISTED_PARTITIONS:
+        touched = base.filter(F.col(partition).isin(listed))
+    else:
+        touched = base.join(values, partition, "left_semi").select(*base.columns)
+    return upsert(touched, new, keys, set_cols, **options)

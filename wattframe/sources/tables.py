@@ -14,9 +14,14 @@ from pyspark.sql import functions as F
 from wattframe.functions.scalars import nullify
 
 
-def read_table(spark: SparkSession, path: str, cols: Sequence[str] | None = None, where: Column | None = None, fmt: str = "parquet") -> DataFrame:
-    """Scan with filter and column list left to the source."""
-    df = spark.read.format(fmt).load(path)
+def read_table(spark: SparkSession, path: str, cols: Sequence[str] | None = None, where: Column | None = None, fmt: str = "parquet", **options) -> DataFrame:
+    """Scan with filter and column list left to the source.
+
+    For a database pass ``fmt="jdbc"``, the table name as ``path`` and the reader's own options, among
+    them partitionColumn, lowerBound, upperBound and numPartitions so that many tasks read.
+    """
+    reader = spark.read.format(fmt).options(**options)
+    df = reader.option("dbtable", path).load() if fmt == "jdbc" else reader.load(path)
     df = df if where is None else df.filter(where)
     return df if cols is None else df.select(*cols)
 
