@@ -142,7 +142,7 @@ def test_upsert_stream_latest_revision_wins(spark, tmp_path):
 
 def test_run_gate_opens_once_per_newest_block(spark, tmp_path):
     base, stream = events_stream(spark, tmp_path)
-    query = feeds.run_gate(stream, "ts", "pool", "40 days").writeStream.outputMode("append").format("memory").queryName("gate").start()
+    query = feeds.run_gate(stream, "ts", "pool").writeStream.outputMode("append").format("memory").queryName("gate").start()
     drain(query)
     newest = base.groupBy("pool").agg(F.max("ts").alias("ts"))
     got = spark.table("gate").groupBy("entity").agg(F.max(F.struct("date", "block_no")).alias("m"), F.count(F.lit(1)).alias("n"))

@@ -151,8 +151,9 @@ def test_dispatch_never_exceeds_need_or_caps(spark):
         "k int, unit string, cost double, schedule double, low_limit double, high_limit double, ramp_up double, ramp_down double",
     )
     need = spark.createDataFrame([(1, 12.0)], "k int, need double")
-    up = dict(rows(dispatch.dispatch(units, need, ["k"], "up", "unit", "mw"), "unit", "mw"))
-    assert up == {"b": 2.0, "c": 0.0, "a": 10.0}
+    for split in (True, False):
+        up = dict(rows(dispatch.dispatch(units, need, ["k"], "up", "unit", "mw", split), "unit", "mw"))
+        assert up == {"b": 2.0, "c": 0.0, "a": 10.0}
     down = dict(rows(dispatch.dispatch(units, need, ["k"], "down", "unit", "mw"), "unit", "mw"))
     assert down == {"a": 5.0, "c": 5.0, "b": 2.0}
 

@@ -29,8 +29,14 @@ def profile(df: DataFrame, keys: Sequence[str], cols: Sequence[str], middle: str
     return df.groupBy(*keys).agg(*aggs)
 
 
-def shape_median(df: DataFrame, keys: Sequence[str], col: str, out: str) -> DataFrame:
-    """Exact median per calendar group; a group holds one value per date at most."""
+def shape_median(df: DataFrame, keys: Sequence[str], col: str, out: str, spread: bool = False) -> DataFrame:
+    """Exact median per calendar group.
+
+    A group of one entity holds one value per date at most and is gathered; for groups over many entities
+    ``spread`` finds the median without gathering any.
+    """
+    if spread:
+        return exact_quantiles(df, keys, col, {out: 0.5})
     return df.groupBy(*keys).agg(median(col).alias(out))
 
 

@@ -1,7 +1,8 @@
 """Unit limits, surrender, merit order, positions and bids.
 
-Merit-order sums run per (date, block). A plain window serves blocks whose units fit a task; ``split``
-cuts the cost order into value pieces with carried sums when a block may hold any number of rows.
+Merit-order sums run per (date, block). The cost order is cut into value pieces with carried sums, so a
+block may hold any number of rows; ``split=False`` uses one plain window per block, which is cheaper where
+a block holds a few thousand units.
 """
 
 from __future__ import annotations
@@ -52,6 +53,16 @@ def surrender_flag(df: DataFrame, cost: str, upper_price: str, transaction_cost:
     )
 
 
+def _cumulative(df: DataFrame, keys: Sequence[str], cost: str, unit: str, value: str, descending: bool, split: bool, out: str) -> DataFrame:
+    """Running sum of a value in cost order, ties by unit."""
+    if not split:
+        order = [F.desc(cost) if descending else F.asc(cost), F.col(unit)]
+        return df.withColumn(out, F.sum(value).over(splits.upto(keys, order)))
+    ordered = df.withColumn("_c", -F.col(cost) if descending else F.col(cost))
+    placed = splits.with_value_pieces(ordered, "_c")
+    return splits.carried_sum(placed, keys, ["_c", unit], "_piece", value, out).drop("_piece", "_c")
+
+
 def merit_order_cap(
     df: DataFrame,
     keys: Sequence[str],
@@ -61,7 +72,7 @@ def merit_order_cap(
     limit: float,
     eligible: str | None = None,
     eligible_only: bool = False,
-    split: bool = False,
+    split: bool = True,
     out: str = "taken",
 ) -> DataFrame:
     """Costliest first, take volume until the limit; the marginal row takes the remainder.
@@ -73,18 +84,14 @@ def merit_order_cap(
     if eligible and eligible_only:
         usable = F.when(F.col(eligible) == 1, usable).otherwise(0.0)
     rows = df.withColumn("_v", usable)
-    if split:
-        placed = splits.with_value_pieces(rows.withColumn("_c", -F.col(cost)), "_c")
-        summed = splits.carried_sum(placed, keys, ["_c", unit], "_piece", "_v", "_cum").drop("_piece", "_c")
-    else:
-        summed = rows.withColumn("_cum", F.sum("_v").over(splits.upto(keys, [F.desc(cost), F.col(unit)])))
+    summed = _cumulative(rows, keys, cost, unit, "_v", True, split, "_cum")
     taken = F.greatest(F.lit(0.0), F.least(F.col("_v"), F.lit(float(limit)) - (F.col("_cum") - F.col("_v"))))
     if eligible:
         taken = taken * F.col(eligible)
     return summed.withColumn(out, taken).drop("_v", "_cum")
 
 
-def dispatch(df: DataFrame, need: DataFrame, keys: Sequence[str], direction: str, unit: str, out: str) -> DataFrame:
+def dispatch(df: DataFrame, need: DataFrame, keys: Sequence[str], direction: str, unit: str, out: str, split: bool = True) -> DataFrame:
     """Ramp units to meet a need, cheapest first up or costliest first down, in one pass.
 
     ``df`` holds unit, cost, schedule, low_limit, high_limit, ramp_up, ramp_down; ``need`` one row per key
@@ -93,11 +100,10 @@ def dispatch(df: DataFrame, need: DataFrame, keys: Sequence[str], direction: str
     up = direction == "up"
     head = F.col("high_limit") - F.col("schedule") if up else F.col("schedule") - F.col("low_limit")
     offer = F.greatest(F.lit(0.0), F.least(F.col("ramp_up" if up else "ramp_down"), head))
-    order = [F.asc("cost") if up else F.desc("cost"), F.col(unit)]
     offered = df.join(need.filter("need > 0"), list(keys)).withColumn("_offer", offer)
-    cum = F.sum("_offer").over(splits.upto(keys, order))
-    left = F.col("need") - (cum - F.col("_offer"))
-    return offered.withColumn(out, F.greatest(F.lit(0.0), F.least(F.col("_offer"), left))).drop("_offer", "need")
+    summed = _cumulative(offered, keys, "cost", unit, "_offer", not up, split, "_cum")
+    left = F.col("need") - (F.col("_cum") - F.col("_offer"))
+    return summed.withColumn(out, F.greatest(F.lit(0.0), F.least(F.col("_offer"), left))).drop("_offer", "_cum", "need")
 
 
 def split_sign(df: DataFrame, col: str) -> DataFrame:

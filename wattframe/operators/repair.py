@@ -152,11 +152,10 @@ def hull_correct(df: DataFrame, keys, order, value: str, hull: str, n: int = 5,
 
 # ---- polynomial profile -------------------------------------------------------------------------------
 
-def projection_matrix(points: int, degree: int) -> np.ndarray:
-    """Least-squares projection onto polynomials over an even grid (orthonormal basis by QR)."""
-    x = np.linspace(-1.0, 1.0, points)
-    q, _ = np.linalg.qr(np.polynomial.legendre.legvander(x, degree))
-    return q @ q.T
+def polynomial_basis(points: int, degree: int) -> np.ndarray:
+    """Orthonormal polynomials on an even grid: one row per point, one column per degree."""
+    q, _ = np.linalg.qr(np.polynomial.legendre.legvander(np.linspace(-1.0, 1.0, points), degree))
+    return q
 
 
 def poly_profile(df: DataFrame, keys, x: str, y: str, degree: int, points: int = 96, out: str = "fitted") -> DataFrame:
@@ -169,7 +168,7 @@ def poly_profile(df: DataFrame, keys, x: str, y: str, degree: int, points: int =
         F.array_sort(F.collect_list(F.struct(F.col(x).alias("x"), F.col(y).alias("y")))).alias("_c"),
         F.count(y).alias("_n"),
     )
-    basis, _ = np.linalg.qr(np.polynomial.legendre.legvander(np.linspace(-1.0, 1.0, points), degree))
+    basis = polynomial_basis(points, degree)
     ys = F.transform("_c", lambda c: c["y"])
     columns = [F.array(*[F.lit(float(v)) for v in basis[:, j]]) for j in range(degree + 1)]
     coefficients = F.array(*[curves.dot(ys, c) for c in columns])

@@ -367,14 +367,14 @@ def _(t):
 @query("month_block_median", "month:i block_no:i shape:f", """
 SELECT month(date) AS month, block_no, median(value) AS shape FROM v_long GROUP BY 1, 2""")
 def _(t):
-    return aggregates.shape_median(t.long_blocks.withColumn("month", F.month("date")), ["month", "block_no"], "value", "shape")
+    return aggregates.shape_median(t.long_blocks.withColumn("month", F.month("date")), ["month", "block_no"], "value", "shape", spread=True)
 
 
 @query("month_block_weekday_median", "month:i block_no:i weekday:i shape:f", """
 SELECT month(date) AS month, block_no, isodow(date) - 1 AS weekday, median(value) AS shape FROM v_long GROUP BY 1, 2, 3""")
 def _(t):
     dated = t.long_blocks.withColumn("month", F.month("date")).withColumn("weekday", F.weekday("date"))
-    return aggregates.shape_median(dated, ["month", "block_no", "weekday"], "value", "shape")
+    return aggregates.shape_median(dated, ["month", "block_no", "weekday"], "value", "shape", spread=True)
 
 
 @query("event_block_median", "name:s block_no:i shape:f", """

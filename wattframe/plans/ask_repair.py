@@ -119,7 +119,15 @@ def _(t):
     return fitted.withColumn("fitted", F.round("fitted", 5))
 
 
-@query("polynomial_profile_high", "weekday:i block_no:i fitted:g")
+def _basis_sql(degree: int) -> str:
+    basis = repair.polynomial_basis(96, degree)
+    return ", ".join(f"({i + 1}, {j}, {float(basis[i, j])!r}::DOUBLE)" for i in range(96) for j in range(degree + 1))
+
+
+@query("polynomial_profile_high", "weekday:i block_no:i fitted:g", f"""
+WITH q AS (SELECT * FROM (VALUES {_basis_sql(15)}) v(block_no, j, q)), y AS (SELECT isodow(date) - 1 AS weekday, block_no, avg(value) AS v FROM v_long GROUP BY 1, 2),
+k AS (SELECT weekday, j, sum(q * v) AS k FROM y JOIN q ON q.block_no = y.block_no GROUP BY 1, 2)
+SELECT k.weekday, q.block_no, sum(q.q * k.k) AS fitted FROM k JOIN q ON q.j = k.j JOIN y ON y.weekday = k.weekday AND y.block_no = q.block_no GROUP BY 1, 2""")
 def _(t):
     mean = t.long_blocks.groupBy(F.weekday("date").alias("weekday"), "block_no").agg(F.avg("value").alias("v"))
     return repair.poly_profile(mean, ["weekday"], "block_no", "v", 15)

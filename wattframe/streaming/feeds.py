@@ -83,10 +83,11 @@ def split_late(batch: DataFrame, ts: str, horizon) -> tuple[DataFrame, DataFrame
     return batch.filter(~late), batch.filter(late).withColumn("processed_ind", F.lit(0))
 
 
-def run_gate(stream: DataFrame, ts: str, entity: str, delay: str = "1 hour", exact_gates: Sequence[int] | None = None) -> DataFrame:
+def run_gate(stream: DataFrame, ts: str, entity: str, exact_gates: Sequence[int] | None = None) -> DataFrame:
     """Emit (entity, date, block_no) whenever a newer block than any before arrives for an entity.
 
-    With ``exact_gates`` only those block numbers open the gate. State is one number per entity.
+    With ``exact_gates`` only those block numbers open the gate. State is one number per entity. Each task
+    sends one row per entity and batch of input, so a busy entity does not crowd its group.
     """
     gates = None if exact_gates is None else {int(g) for g in exact_gates}
 
@@ -101,8 +102,13 @@ def run_gate(stream: DataFrame, ts: str, entity: str, delay: str = "1 hour", exa
             if gates is None or block + 1 in gates:
                 yield pd.DataFrame({"entity": [key[0]], "day": [day], "block_no": [block + 1]})
 
+    def newest_only(batches):
+        for pdf in batches:
+            yield pdf.groupby("entity", as_index=False)["_slot"].max()
+
     slot = F.unix_date(F.to_date(ts)).cast("long") * BLOCKS_PER_DAY + block_of(F.col(ts)) - 1
-    marked = stream.withWatermark(ts, delay).select(F.col(entity).cast("string").alias("entity"), slot.alias("_slot"))
+    marked = stream.select(F.col(entity).cast("string").alias("entity"), slot.alias("_slot"))
+    marked = marked.mapInPandas(newest_only, "entity string, _slot long")
     opened = marked.groupBy("entity").applyInPandasWithState(
         step, "entity string, day long, block_no long", "newest long", "append", GroupStateTimeout.NoTimeout
     )
