@@ -125,12 +125,14 @@ def _basis_sql(degree: int) -> str:
 
 
 @query("polynomial_profile_high", "weekday:i block_no:i fitted:g", f"""
-WITH q AS (SELECT * FROM (VALUES {_basis_sql(15)}) v(block_no, j, q)), y AS (SELECT isodow(date) - 1 AS weekday, block_no, avg(value) AS v FROM v_long GROUP BY 1, 2),
+WITH q AS (SELECT * FROM (VALUES {_basis_sql(15)}) v(block_no, j, q)), o AS (SELECT isodow(date) - 1 AS weekday, block_no, avg(value) AS v FROM v_long GROUP BY 1, 2),
+y AS (SELECT w.weekday, b.block_no, coalesce(o.v, 0) AS v FROM (SELECT DISTINCT weekday FROM o) w CROSS JOIN v_blocks b LEFT JOIN o ON o.weekday = w.weekday AND o.block_no = b.block_no),
 k AS (SELECT weekday, j, sum(q * v) AS k FROM y JOIN q ON q.block_no = y.block_no GROUP BY 1, 2)
 SELECT k.weekday, q.block_no, sum(q.q * k.k) AS fitted FROM k JOIN q ON q.j = k.j JOIN y ON y.weekday = k.weekday AND y.block_no = q.block_no GROUP BY 1, 2""")
 def _(t):
     mean = t.long_blocks.groupBy(F.weekday("date").alias("weekday"), "block_no").agg(F.avg("value").alias("v"))
-    return repair.poly_profile(mean, ["weekday"], "block_no", "v", 15)
+    whole = series.gap_fill(mean, series.block_spine(mean.select("weekday")), ["weekday", "block_no"]).fillna({"v": 0.0})
+    return repair.poly_profile(whole, ["weekday"], "block_no", "v", 15)
 
 
 REF_SQL = "ref AS (SELECT block_no, avg(value) AS r FROM v_load GROUP BY 1)"
