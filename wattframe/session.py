@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,18 +31,23 @@ def build_session(app: str = "wattframe", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint to the shared folder the cluster names in ``spark.checkpoint.dir``.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share: the one the session names in ``spark.checkpoint.dir``.
 
-    A folder of our own is set only where the session has none, as in local tests.
+    A folder of our own is set only where the session has none and there is a single process, as in tests.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         shared = spark.conf.get("spark.checkpoint.dir", None)
         if shared is None:
-            if not context.master.startswith("local"):
+            if not re.fullmatch(r"local(\[.*\])?", context.master):
                 raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
             shared = tempfile.mkdtemp(prefix="run-", dir=os.environ.get("TMPDIR", "/tmp"))
         context.setCheckpointDir(shared)
+    return context.getCheckpointDir()
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Checkpoint to the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
