@@ -22,8 +22,9 @@ DDL = "bucket int, kind int, body binary"
 FLUSH_BYTES = 4 << 20
 
 
-def bucket_count(spark: SparkSession, per_partition: int = 4) -> int:
-    return per_partition * int(spark.conf.get("spark.sql.shuffle.partitions"))
+def bucket_count(spark: SparkSession) -> int:
+    """As many buckets as partitions: each bucket of a stage may send a row to each bucket of the next."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

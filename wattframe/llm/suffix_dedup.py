@@ -158,61 +158,74 @@ def _sorted_rank(codes: np.ndarray, ends: np.ndarray, window: int):
     return rank, agree
 
 
+#: Text of one run-length index. Snippets of one anchor stay together; an anchor with more text has its own.
+SHARD_BYTES = 1 << 20
+
+
 def _judge(window: int):
     def judge(found: bytes) -> np.ndarray:
-        heads, bodies, at = [], [], 0
-        while at < len(found):
-            head = np.frombuffer(found, _HEAD, 1, at)
-            at += _HEAD.itemsize
-            size = int(head["n"][0]) + window - 1
-            heads.append(head)
-            bodies.append((at, at + size))
-            at += size
-        if len(heads) < 1:
+        heads, at = [], []
+        place = 0
+        while place < len(found):
+            heads.append(np.frombuffer(found, _HEAD, 1, place))
+            at.append(place + _HEAD.itemsize)
+            place = at[-1] + int(heads[-1]["n"][0]) + window - 1
+        if not heads:
             return np.zeros(0, MARK)
-        heads = np.concatenate(heads)
-        order = np.lexsort((heads["t"], heads["s"], heads["d"]))
-        heads, bodies = heads[order], [bodies[i] for i in order]
+        heads, at = np.concatenate(heads), np.array(at)
         raw = np.frombuffer(found, np.uint8)
-        sizes = np.array([b - a for a, b in bodies])
-        starts = np.append(0, np.cumsum(sizes + 1)[:-1])
-        ends = starts + sizes
-        codes = np.zeros(int(ends[-1]) + 1, np.uint8)
-        for s, (a, b) in zip(starts, bodies):
-            codes[s : s + b - a] = raw[a:b] + 1
-        count = heads["n"].astype(np.int64)
-        snippet = np.repeat(np.arange(len(heads)), sizes + 1)
-        usable = np.arange(len(codes)) - starts[snippet] < count[snippet]
-        index = RunLengthIndex(codes, ends, window, usable)
-
-        marked = np.zeros(len(codes), bool)
-        longest = np.argsort(-sizes, kind="stable")
-        row, size, begin = index.end_rows[longest], sizes[longest], starts[longest]
-        d, s = heads["d"], heads["s"].astype(np.int64)
-        for step in range(1, int(size[0]) + 1):
-            live = int(np.searchsorted(-size, -step, "right"))
-            row[:live] = index.lf(row[:live])
-            here = begin[:live] + size[:live] - step
-            look = np.flatnonzero(usable[here])
-            if not len(look):
-                continue
-            here = here[look]
-            other = index.earlier_than(row[:live][look])
-            some = other >= 0
-            here, other = here[some], other[some]
-            mine, theirs = snippet[here], snippet[other]
-            at_me, at_them = s[mine] + here - starts[mine], s[theirs] + other - starts[theirs]
-            marked[here] = (d[theirs] < d[mine]) | ((d[theirs] == d[mine]) & (at_them < at_me))
-        edge = np.diff(marked.astype(np.int8), prepend=0, append=0)
-        a, b = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-        own = snippet[a]
-        out = np.zeros(len(a), MARK)
-        out["d"], out["t"], out["s"], out["n"] = d[own], heads["t"][own], s[own] + a - starts[own], b - a
-        return out
+        order = np.lexsort((heads["t"], heads["s"], heads["d"], heads["h"]))
+        heads, at = heads[order], at[order]
+        edge = np.flatnonzero(np.append(True, heads["h"][1:] != heads["h"][:-1]))
+        size = np.add.reduceat(heads["n"].astype(np.int64) + window, edge)
+        shard = (np.cumsum(size) - size) // SHARD_BYTES
+        cuts = edge[np.flatnonzero(np.append(True, shard[1:] != shard[:-1]))]
+        return np.concatenate([_stream(raw, heads[a:b], at[a:b], window) for a, b in zip(cuts, np.append(cuts[1:], len(heads)))])
 
     return judge
 
 
+def _stream(raw: np.ndarray, heads: np.ndarray, at: np.ndarray, window: int) -> np.ndarray:
+    """Index the snippets of a shard, stream each through the index, and mark windows with an earlier equal."""
+    order = np.lexsort((heads["t"], heads["s"], heads["d"]))
+    heads, at = heads[order], at[order]
+    count = heads["n"].astype(np.int64)
+    sizes = count + window - 1
+    starts = np.append(0, np.cumsum(sizes + 1)[:-1])
+    ends = starts + sizes
+    codes = np.zeros(int(ends[-1]) + 1, np.uint8)
+    for a, s, size in zip(at.tolist(), starts.tolist(), sizes.tolist()):
+        codes[s : s + size] = raw[a : a + size] + 1
+    snippet = np.repeat(np.arange(len(heads)), sizes + 1)
+    usable = np.arange(len(codes)) - starts[snippet] < count[snippet]
+    index = RunLengthIndex(codes, ends, window, usable)
+
+    marked = np.zeros(len(codes), bool)
+    longest = np.argsort(-sizes, kind="stable")
+    row, size, begin = index.end_rows[longest], sizes[longest], starts[longest]
+    d, s = heads["d"], heads["s"].astype(np.int64)
+    for step in range(1, int(size[0]) + 1):
+        live = int(np.searchsorted(-size, -step, "right"))
+        row[:live] = index.lf(row[:live])
+        here = begin[:live] + size[:live] - step
+        look = np.flatnonzero(usable[here])
+        if not len(look):
+            continue
+        here = here[look]
+        other = index.earlier_than(row[:live][look])
+        some = other >= 0
+        here, other = here[some], other[some]
+        mine, theirs = snippet[here], snippet[other]
+        at_me, at_them = s[mine] + here - starts[mine], s[theirs] + other - starts[theirs]
+        marked[here] = (d[theirs] < d[mine]) | ((d[theirs] == d[mine]) & (at_them < at_me))
+    edge = np.diff(marked.astype(np.int8), prepend=0, append=0)
+    a, b = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    own = snippet[a]
+    out = np.zeros(len(a), MARK)
+    out["d"], out["t"], out["s"], out["n"] = d[own], heads["t"][own], s[own] + a - starts[own], b - a
+    return out
+
+
 def covered(length: int, marks: np.ndarray, window: int) -> np.ndarray:
     """Units of a document that marked windows cover."""
     step = np.zeros(length + 1, np.int64)
