@@ -6,15 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from wattframe.llm.embed_dedup import embedding_dedup
 from wattframe.llm.mixing import MIX_SQL, mix_sources
 from wattframe.llm.substring_dedup import substring_dedup
 from wattframe.llm.suffix_dedup import suffix_dedup
+from wattframe.llm.topk import TOPK_SQL, topk_search
+from wattframe.llm.warc import WARC_SQL, archived_pages
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return topk_search(vectors, vectors.where("vec_id % 100 = 0"))
+
+
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(_table(spark, sf_dir, "documents"))
 
@@ -23,13 +31,21 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(_table(spark, sf_dir, "documents"))
 
 
+def op4_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archived_pages(_table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup(_table(spark, sf_dir, "embeddings"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_suffix_dedup, op3_substring_dedup, op10_mixing)}
+    return {f.__name__: f for f in (op1_topk_search, op2_suffix_dedup, op3_substring_dedup, op4_warc_archives, op8_embedding_dedup, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_mixing": MIX_SQL.replace("{docs}", "documents")}
+    return {"op1_topk_search": TOPK_SQL, "op4_warc_archives": WARC_SQL, "op10_mixing": MIX_SQL.replace("{docs}", "documents")}
