@@ -8,6 +8,7 @@ candidate is added, so text in a payload that looks like a record is never taken
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import re
 import uuid
@@ -38,7 +39,7 @@ def write_archives(
 ) -> None:
     """One record for each row of ``pages``; of equal payloads the one with the largest id is stored whole.
 
-    Records are UTF-8 text between separators, so Spark's text writer makes the archives. A null html is an empty
+    Records are UTF-8 text between separators, so Spark's text writer makes the archives (gzip). A null html is an empty
     payload; line breaks in a url are escaped; rows that repeat an id and a payload are written as often as they
     occur, all whole when they hold the largest id.
     """
@@ -65,7 +66,7 @@ def write_archives(
         _line("Content-Type", F.lit("application/http; msgtype=response")), _line("Content-Length", block_bytes.cast("string")), F.lit(CRLF),
     )
     record = F.concat(head, http, F.when(revisit, "").otherwise(F.col("payload")))
-    rows.select(record.alias("value")).write.option("lineSep", CRLF * 2).option("maxRecordsPerFile", file_records).text(folder)
+    rows.select(record.alias("value")).write.option("lineSep", CRLF * 2).option("maxRecordsPerFile", file_records).option("compression", "gzip").text(folder)
 
 
 def reachable(offset: np.ndarray, after: np.ndarray) -> np.ndarray:
@@ -129,6 +130,7 @@ def _records(batches: Iterator[pa.RecordBatch], with_payload: bool) -> Iterator[
     for batch in batches:
         for path, content in zip(batch.column(0).to_pylist(), batch.column(1)):
             data = content.as_buffer().to_pybytes()
+            data = gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data
             offset, after, heads = candidates(data)
             out: list[list] = [[] for _ in names]
             for i in np.flatnonzero(reachable(offset, after)):
@@ -160,7 +162,7 @@ def read_archives(spark: SparkSession, folder: str, with_payload: bool = True) -
 
     A file is read by one task, so archives should be a few hundred MB at most, as the writer's are. What follows a
     broken record of a file is not reachable and is left out; an empty file has no records. Payloads are held against
-    their digests.
+    their digests. Offsets count uncompressed bytes; plain and gzip files, in one member or many, are read.
     """
     files = spark.read.format("binaryFile").load(folder).select("path", "content")
     return files.mapInArrow(lambda it: _records(it, with_payload), READ)
