@@ -22,7 +22,7 @@ PERIOD, COVER = 31, (1, 5, 11, 24, 25, 27)
 FOUND = np.dtype([("w", "<u8"), ("d", "<i8"), ("s", "<u4"), ("t", "<u4")])
 
 
-def words_of(data: np.ndarray, slice_of: int = 4 << 20) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def words_of(data: np.ndarray, slice_of: int = 1 << 20) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Fingerprint, start and end of every word."""
     first, last = word_starts(data)
     prints = np.zeros(len(first), np.uint64)
@@ -35,18 +35,22 @@ def words_of(data: np.ndarray, slice_of: int = 4 << 20) -> tuple[np.ndarray, np.
     return prints, first, last
 
 
+def words_by_text(off: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Fingerprints of the words of several texts, the text of each, and where each text's words begin."""
+    # Texts are laid out with a blank between them, so no word crosses.
+    spaced = np.full(len(data) + len(off), 32, np.uint8)
+    for i, (a, b) in enumerate(zip(off[:-1].tolist(), off[1:].tolist())):
+        spaced[a + i : b + i] = data[a:b]
+    prints, first, _ = words_of(spaced)
+    owner = np.searchsorted(off[:-1] + np.arange(len(off) - 1), first, "right") - 1
+    return prints, owner, np.searchsorted(owner, np.arange(len(off)))
+
+
 def _cut(window: int):
     anchor = window - PERIOD + 1
 
     def cut(off: np.ndarray, data: np.ndarray):
-        # Texts are laid out with a blank between them, so no word crosses.
-        spaced = np.full(len(data) + len(off), 32, np.uint8)
-        owner_of = np.repeat(np.arange(len(off) - 1), np.diff(off))
-        spaced[np.arange(len(data)) + owner_of] = data
-        prints, first, _ = words_of(spaced)
-        begins = off[:-1] + np.arange(len(off) - 1)
-        owner = np.searchsorted(begins, first, "right") - 1
-        base = np.searchsorted(owner, np.arange(len(off)))
+        prints, owner, base = words_by_text(off, data)
         total = np.diff(base)
         place = np.arange(len(prints)) - base[owner]
         chosen = np.zeros(PERIOD, bool)

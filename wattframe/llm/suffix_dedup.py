@@ -26,7 +26,7 @@ _LOW = np.uint64(0xFFFFFFFF)
 
 def _cut(window: int):
     anchor = min(ANCHOR, max(1, window // 2))
-    slice_of = 4 << 20
+    slice_of = 1 << 20
 
     def cut(off: np.ndarray, data: np.ndarray):
         owners, parts = [], []
@@ -159,7 +159,7 @@ def _sorted_rank(codes: np.ndarray, ends: np.ndarray, window: int):
 
 
 #: Text of one run-length index. Snippets of one anchor stay together; an anchor with more text has its own.
-SHARD_BYTES = 1 << 20
+SHARD_BYTES = 1 << 19
 
 
 def _judge(window: int):
