@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from wattframe.llm.bag_minhash import near_duplicates
 from wattframe.llm.embed_dedup import embedding_dedup
 from wattframe.llm.mixing import MIX_SQL, mix_sources
+from wattframe.llm.packing import pack_documents
 from wattframe.llm.substring_dedup import substring_dedup
 from wattframe.llm.suffix_dedup import suffix_dedup
 from wattframe.llm.topk import TOPK_SQL, topk_search
@@ -35,6 +37,14 @@ def op4_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archived_pages(_table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(_table(spark, sf_dir, "documents"))
+
+
 def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup(_table(spark, sf_dir, "embeddings"))
 
@@ -44,7 +54,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_topk_search, op2_suffix_dedup, op3_substring_dedup, op4_warc_archives, op8_embedding_dedup, op10_mixing)}
+    return {f.__name__: f for f in (op1_topk_search, op2_suffix_dedup, op3_substring_dedup, op4_warc_archives, op6_near_duplicates, op7_packing, op8_embedding_dedup, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
