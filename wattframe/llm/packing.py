@@ -27,7 +27,7 @@ from wattframe.session import cut_lineage
 CAPACITY, END_ID = 4096, 1
 SHARD_PIECES, ISLANDS, EPOCHS, GENERATIONS, POPULATION = 2048, 3, 2, 6, 6
 #: Words whose ids a task remembers.
-REMEMBERED = 200_000
+REMEMBERED = 400_000
 WORDS_AT_ONCE = 1_000_000
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 _memory: dict[str, tuple] = {}
@@ -42,14 +42,48 @@ def _tokenizer(path: str | None):
             import public_tokenizers
 
             found = public_tokenizers.path("word_bpe_49k.json")
-        _memory[path] = (Tokenizer.from_file(found if path is None else path), {})
+        tokenizer = Tokenizer.from_file(found if path is None else path)
+        vocabulary = tokenizer.get_vocab()
+        ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        ends[[i for w, i in vocabulary.items() if w.endswith("</w>")]] = True
+        mark = {m: tokenizer.encode(m.decode(), add_special_tokens=False).ids for m in (b"", b".", b",")}
+        _memory[path] = (tokenizer, {}, ends, mark)
     return _memory[path]
 
 
+def _learn(words: list[bytes], path: str | None) -> None:
+    """Ids of words not seen yet. Words of letters alone are one pre-token, so many are encoded in one call and
+    their ids cut behind each end of word; a full stop or comma behind letters is a pre-token of its own."""
+    tokenizer, known, ends, mark = _tokenizer(path)
+    stems: dict[bytes, list[tuple[bytes, bytes]]] = {}
+    other = []
+    for w in words:
+        tail = w[-1:] if w[-1:] in (b".", b",") else b""
+        stem = w[: len(w) - len(tail)]
+        if stem.decode().isalpha():
+            stems.setdefault(stem, []).append((w, tail))
+        else:
+            other.append(w)
+    new = [x for x in stems if x not in known]
+    ids = np.array(tokenizer.encode_batch_fast([b" ".join(new).decode()], add_special_tokens=False)[0].ids, np.int64) if new else np.zeros(0, np.int64)
+    cut = np.flatnonzero(ends[ids]) + 1
+    if len(cut) == len(new) and (not len(cut) or cut[-1] == len(ids)):
+        for w, part in zip(new, np.split(ids, cut[:-1])):
+            known[w] = part.tolist()
+    else:
+        other += new
+    for w, e in zip(other, tokenizer.encode_batch_fast([w.decode() for w in other], add_special_tokens=False)):
+        known[w] = e.ids
+    for stem, forms in stems.items():
+        for w, tail in forms:
+            known[w] = known[stem] + mark[tail]
+
+
 def token_ids(text: bytes, path: str | None = None) -> np.ndarray:
     """Ids of a text. The tokenizer never joins what white space separates, so words are encoded once each."""
-    tokenizer, known = _tokenizer(path)
-    words = text.split()
+    known = _tokenizer(path)[1]
+    # Its lower case covers that of ASCII letters; its special tokens are told apart before.
+    words = (text if b"<|" in text else text.lower()).split()
     out = []
     for at in range(0, len(words), WORDS_AT_ONCE):
         some = words[at : at + WORDS_AT_ONCE]
@@ -57,8 +91,8 @@ def token_ids(text: bytes, path: str | None = None) -> np.ndarray:
         if len(known) + len(new) > REMEMBERED:
             known.clear()
             new = list(set(some))
-        for w, e in zip(new, tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)):
-            known[w] = e.ids
+        if new:
+            _learn(new, path)
         out.append(np.fromiter(chain.from_iterable(map(known.__getitem__, some)), "<u4"))
     return np.concatenate(out) if out else np.zeros(0, "<u4")
 
