@@ -31,7 +31,7 @@ BANDS, ROWS = 32, 4
 SIZE = BANDS * ROWS
 #: Candidates whose signatures agree in less than the bound minus this are not verified: four standard errors.
 SLACK = 4 * (0.8 * 0.2 / SIZE) ** 0.5
-#: Documents of one band key, and partners of one document, that a task compares at once.
+#: Texts of one band key, and partners of one document, that a task compares at once.
 CHUNK_ROWS, CHUNK_PARTNERS = 4096, 2048
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -128,93 +128,132 @@ def _signed(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Record
             )
 
 
-KEYED = np.dtype([("k", "<u8"), ("f", "<i8")])
+KEYED = np.dtype([("k", "<u8"), ("f", "<i8"), ("c", "<i8")])
+PAIR = np.dtype([("a", "<i8"), ("b", "<i8")])
+OPEN = np.dtype([("f", "<i8"), ("k", "<u8"), ("n", "<i8"), ("c", "<i8")])
+SIGNED = np.dtype([("f", "<i8"), ("sig", "<u2", (SIZE,))])
+SIGS, OPENS = 0, 1
+
+
+def _bucket(x: np.ndarray, buckets: int) -> np.ndarray:
+    return (mix(x.astype(np.uint64)) % np.uint64(buckets)).astype(np.int32)
 
 
 def _band_keys(sig: np.ndarray) -> np.ndarray:
     """A 64-bit key for each text and band; a band's key is its components, told apart by the band."""
-    keys = sig.view("<u8").astype(np.uint64)
+    keys = np.ascontiguousarray(sig).view("<u8").astype(np.uint64)
     return mix(keys ^ mix(np.arange(1, keys.shape[1] + 1, dtype=np.uint64))[None, :])
 
 
+def _signed_batch(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    sig = np.frombuffer(b"".join(batch.column("sig").to_pylist()), np.uint16).reshape(len(batch), SIZE)
+    return np.asarray(batch.column("f")), sig
+
+
 def _banded(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """(band key, text, class) of every text, packed."""
     for batch in batches:
-        if not len(batch):
-            continue
-        sig = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint16).reshape(len(batch), SIZE)
-        keys = _band_keys(sig)
-        out = np.zeros(keys.size, KEYED)
-        out["k"], out["f"] = keys.ravel(), np.repeat(np.asarray(batch.column(0)), keys.shape[1])
-        yield parcels.rows((out["k"] % np.uint64(buckets)).astype(np.int32), out)
+        if len(batch):
+            f, sig = _signed_batch(batch)
+            keys = _band_keys(sig)
+            out = np.zeros(keys.size, KEYED)
+            out["k"], out["f"] = keys.ravel(), np.repeat(f, keys.shape[1])
+            out["c"] = np.repeat(np.asarray(batch.column("c")), keys.shape[1])
+            yield parcels.rows((out["k"] % np.uint64(buckets)).astype(np.int32), out)
 
 
-def _shared_keys(table: pa.Table) -> pa.Table:
+def _by_key(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Records sorted by key and text, where keys begin, and how many texts each has."""
     found = parcels.records(table, KEYED)
-    found = found[np.argsort(found["k"])]
+    found = found[np.lexsort((found["f"], found["k"]))]
     edge = np.flatnonzero(np.append(True, found["k"][1:] != found["k"][:-1])) if len(found) else np.zeros(0, int)
-    n = np.diff(np.append(edge, len(found)))
-    n = np.repeat(n, n)
-    some = n > 1
-    return pa.table({"k": pa.array(found["k"][some].view(np.int64)), "f": pa.array(found["f"][some]), "n": pa.array(n[some].astype(np.int64))})
+    return found, edge, np.diff(np.append(edge, len(found)))
+
 
+def _leaders(table: pa.Table, buckets: int) -> pa.Table:
+    """Each text of a key with the key's smallest; a pair that several keys propose is packed once."""
+    found, edge, n = _by_key(table)
+    out = np.zeros(len(found), PAIR)
+    out["a"], out["b"] = np.repeat(found["f"][edge], n), found["f"]
+    out = np.unique(out[out["a"] != out["b"]])
+    return pa.Table.from_batches([parcels.rows(_bucket(out["a"] ^ (out["b"] << 1), buckets), out)] if len(out) else [], schema=parcels.SCHEMA)
 
-MEMBER = np.dtype([("k", "<i8"), ("i", "<u4"), ("j", "<u4"), ("f", "<i8"), ("c", "<i8"), ("sig", "<u2", (SIZE,))])
 
+def _unique_pairs(table: pa.Table) -> pa.Table:
+    out = np.unique(parcels.records(table, PAIR))
+    return pa.table({"a": pa.array(out["a"].copy()), "b": pa.array(out["b"].copy())})
 
-def _dealt(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
-    """Members of shared keys; a key of many documents is dealt to pairs of chunks of them."""
+
+def _agreeing(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        if not len(batch):
-            continue
-        k, f, n, c = (np.asarray(batch.column(x)) for x in ("k", "f", "n", "c"))
-        sig = np.frombuffer(b"".join(batch.column("sig").to_pylist()), np.uint16).reshape(len(batch), SIZE)
-        parts = -(-n // CHUNK_ROWS)
-        own = (mix(f.astype(np.uint64)) % parts.astype(np.uint64)).astype(np.int64)
-        row = np.repeat(np.arange(len(k)), parts)
-        other = np.arange(len(row)) - np.repeat(np.cumsum(parts) - parts, parts)
-        out = np.zeros(len(row), MEMBER)
-        out["k"], out["f"], out["c"], out["sig"] = k[row], f[row], c[row], sig[row]
-        out["i"], out["j"] = np.minimum(own[row], other), np.maximum(own[row], other)
-        spot = mix(out["k"].astype(np.uint64) + out["i"].astype(np.uint64) * _STEP + mix(out["j"].astype(np.uint64)))
-        for at in range(0, len(out), 20_000):
-            yield parcels.rows((spot[at : at + 20_000] % np.uint64(buckets)).astype(np.int32), out[at : at + 20_000])
-
-
-def _paired(table: pa.Table, least: float, whole: bool) -> pa.Table:
-    """Pairs of a key whose signatures agree: a spanning forest of them or, with ``whole``, all between components."""
+        if len(batch):
+            x, y = (np.frombuffer(b"".join(batch.column(n).to_pylist()), np.uint16).reshape(len(batch), SIZE) for n in ("x", "y"))
+            yield batch.select(["a", "b"]).filter(pa.array((x == y).mean(1) >= least))
+
+
+def _open_members(table: pa.Table, buckets: int) -> pa.Table:
+    """Texts of keys that still hold several classes. Of a key of two texts, the only pair was tested."""
+    found, edge, n = _by_key(table)
+    if not len(found):
+        return parcels.SCHEMA.empty_table()
+    low, high = np.minimum.reduceat(found["c"], edge), np.maximum.reduceat(found["c"], edge)
+    some = np.repeat((n > 2) & (low < high), n)
+    out = np.zeros(int(some.sum()), OPEN)
+    out["k"], out["f"], out["c"], out["n"] = found["k"][some], found["f"][some], found["c"][some], np.repeat(n, n)[some]
+    return pa.Table.from_batches([parcels.rows(_bucket(out["f"], buckets), out, OPENS)] if len(out) else [], schema=parcels.SCHEMA)
+
+
+def _by_text(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        if len(batch):
+            out = np.zeros(len(batch), SIGNED)
+            out["f"], out["sig"] = _signed_batch(batch)
+            yield parcels.rows(_bucket(out["f"], buckets), out, SIGS)
+
+
+MEMBER = np.dtype([("k", "<u8"), ("i", "<u4"), ("j", "<u4"), ("f", "<i8"), ("c", "<i8"), ("sig", "<u2", (SIZE,))])
+
+
+def _dealt(table: pa.Table, buckets: int) -> Iterator[pa.RecordBatch]:
+    """Members of open keys with signatures; a key of many texts is dealt to pairs of chunks of them."""
+    wanted = parcels.records(table, OPEN, OPENS)
+    if not len(wanted):
+        return
+    signed = parcels.records(table, SIGNED, SIGS)
+    signed = signed[np.argsort(signed["f"])]
+    sig = signed["sig"][np.searchsorted(signed["f"], wanted["f"])]
+    parts = -(-wanted["n"] // CHUNK_ROWS)
+    own = (mix(wanted["f"].astype(np.uint64)) % parts.astype(np.uint64)).astype(np.int64)
+    row = np.repeat(np.arange(len(wanted)), parts)
+    other = np.arange(len(row)) - np.repeat(np.cumsum(parts) - parts, parts)
+    for at in range(0, len(row), 20_000):
+        r, o = row[at : at + 20_000], other[at : at + 20_000]
+        out = np.zeros(len(r), MEMBER)
+        out["k"], out["f"], out["c"], out["sig"] = wanted["k"][r], wanted["f"][r], wanted["c"][r], sig[r]
+        out["i"], out["j"] = np.minimum(own[r], o), np.maximum(own[r], o)
+        yield parcels.rows(_bucket(out["k"] + out["i"].astype(np.uint64) * _STEP + mix(out["j"].astype(np.uint64)), buckets), out)
+
+
+def _between(table: pa.Table, least: float) -> pa.Table:
+    """All pairs of a key's texts of different classes whose signatures agree."""
     found = parcels.records(table, MEMBER)
     found = found[np.lexsort((found["f"], found["j"], found["i"], found["k"]))]
-    ks, fs, gs = [], [], []
-    if len(found):
-        key = found[["k", "i", "j"]]
-        edge = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-        size = np.diff(np.append(edge, len(found)))
-        two = edge[size == 2]
-        a, b = found[two], found[two + 1]
-        ok = ((a["sig"] == b["sig"]).mean(1) >= least) & (a["c"] != b["c"])
-        ks.append(a["k"][ok])
-        fs.append(a["f"][ok])
-        gs.append(b["f"][ok])
-        for at, n in zip(edge[size > 2].tolist(), size[size > 2].tolist()):
-            own = found[at : at + n]
-            names = {c: i for i, c in enumerate(np.unique(own["c"]).tolist())}
-            start = np.array([names[c] for c in own["c"].tolist()])
-            tree = start.copy()  # label of each member's component, by this key's pairs
-            for p in range(n - 1):
-                rest = np.flatnonzero((start if whole else tree)[p + 1 :] != (start if whole else tree)[p]) + p + 1
-                if not len(rest):
-                    continue
-                near = rest[(own["sig"][rest] == own["sig"][p]).mean(1) >= least]
-                if not whole and len(near):
-                    _, pick = np.unique(tree[near], return_index=True)
-                    near = near[pick]
-                    tree[np.isin(tree, tree[near])] = tree[p]
-                ks.append(np.full(len(near), own["k"][0]))
+    fs, gs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    key = found[["k", "i", "j"]]
+    edge = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(found) else np.zeros(0, int)
+    for at, to in zip(edge.tolist(), np.append(edge[1:], len(found)).tolist()):
+        own = found[at:to]
+        for p in range(len(own) - 1):
+            rest = np.flatnonzero(own["c"][p + 1 :] != own["c"][p]) + p + 1
+            near = rest[(own["sig"][rest] == own["sig"][p]).mean(1) >= least] if len(rest) else rest
+            if len(near):
                 fs.append(np.full(len(near), own["f"][p]))
                 gs.append(own["f"][near])
-    cat = lambda x: np.concatenate(x) if x else np.zeros(0, np.int64)
-    k, f, g = cat(ks), cat(fs), cat(gs)
-    return pa.table({"k": pa.array(k, pa.int64()), "a": pa.array(np.minimum(f, g), pa.int64()), "b": pa.array(np.maximum(f, g), pa.int64())})
+    f, g = np.concatenate(fs), np.concatenate(gs)
+    out = np.zeros(len(f), PAIR)
+    out["a"], out["b"] = np.minimum(f, g), np.maximum(f, g)
+    out = np.unique(out)
+    return pa.table({"a": pa.array(out["a"].copy(), pa.int64()), "b": pa.array(out["b"].copy(), pa.int64())})
 
 
 ASK = np.dtype([("p", "<i8"), ("f", "<i8"), ("a", "<i8"), ("s", "<i8")])
@@ -307,9 +346,9 @@ def near_duplicates(docs: DataFrame, bound: float = 0.8, width: int = 5, id_col:
     a null doc_id is the smallest only if all of the class are null. Other columns are ignored; an empty table gives
     an empty result.
 
-    A pair of similarity 0.8 shares a band with probability 1 - 5e-8. A first pass verifies a spanning forest of each
-    band key's candidates; keys where a tested pair failed then have all their candidates between different classes
-    tested, so every candidate is either inside a class or was tested.
+    A pair of similarity 0.8 shares a band with probability 1 - 5e-8. A first pass tests each text against the
+    smallest of every band key it has; keys that then still hold several classes have all candidates between
+    classes tested, so every candidate is either inside a class or was tested.
     """
     spark = docs.sparkSession
     buckets = parcels.bucket_count(spark)
@@ -320,13 +359,10 @@ def near_duplicates(docs: DataFrame, bound: float = 0.8, width: int = 5, id_col:
     signed = cut_lineage(source.mapInArrow(lambda it: _signed(it, width), "doc_id bigint, print bigint, place bigint, sig binary"))
     distinct = signed.where("print IS NOT NULL").groupBy(F.col("print").alias("f")).agg(F.first("sig").alias("sig"), F.min("place").alias("p"))
     distinct = cut_lineage(distinct)
-    shared = cut_lineage(
-        spread(distinct.select("f", "sig").mapInArrow(lambda it: _banded(it, buckets), parcels.DDL)).applyInArrow(_shared_keys, "k bigint, f bigint, n bigint")
-    )
+    table_of = lambda batches: pa.Table.from_batches(list(batches), schema=parcels.SCHEMA)
 
-    def candidates(members: DataFrame, whole: bool) -> DataFrame:
-        dealt = members.join(distinct.select("f", "sig"), "f").mapInArrow(lambda it: _dealt(it, buckets), parcels.DDL)
-        return cut_lineage(spread(dealt).applyInArrow(lambda t: _paired(t, least, whole), "k bigint, a bigint, b bigint"))
+    def by_key(texts: DataFrame):
+        return spread(texts.select("f", "sig", "c").mapInArrow(lambda it: _banded(it, buckets), parcels.DDL))
 
     def verify(pairs: DataFrame) -> DataFrame:
         """(a, b, ok); the partners of one document are dealt to groups, its own multiset goes to each."""
@@ -338,17 +374,21 @@ def near_duplicates(docs: DataFrame, bound: float = 0.8, width: int = 5, id_col:
         sets = spread(texts.union(asks)).applyInArrow(lambda t: _sets(t, width, buckets), parcels.DDL)
         return cut_lineage(spread(sets).applyInArrow(lambda t: _verified(t, bound), "a bigint, b bigint, ok boolean"))
 
-    first = candidates(shared.withColumn("c", F.col("f")), False)
-    tested = verify(first.select("a", "b").distinct())
-    classes = components(tested.where("ok").select("a", "b"))
-    failed = tested.where("NOT ok").select("a", "b")
-    open_keys = first.join(failed, ["a", "b"], "left_semi").select("k").distinct()
-    members = shared.join(open_keys, "k", "left_semi").join(classes.withColumnRenamed("node", "f"), "f", "left").select("k", "f", "n", F.coalesce("component", "f").alias("c"))
-    second = candidates(members, True).select("a", "b").distinct().join(failed, ["a", "b"], "left_anti")
-    second = cut_lineage(second)
-    if not second.isEmpty():
-        more = verify(second)
-        classes = components(tested.where("ok").select("a", "b").union(more.where("ok").select("a", "b")))
+    leaders = by_key(distinct.withColumn("c", F.col("f"))).applyInArrow(lambda t: _leaders(t, buckets), parcels.DDL)
+    pairs = cut_lineage(spread(leaders).applyInArrow(_unique_pairs, "a bigint, b bigint"))
+    sig = lambda name, as_: distinct.select(F.col("f").alias(name), F.col("sig").alias(as_))
+    close = pairs.join(sig("a", "x"), "a").join(sig("b", "y"), "b").mapInArrow(lambda it: _agreeing(it, least), "a bigint, b bigint")
+    linked = verify(cut_lineage(close)).where("ok").select("a", "b")
+    classes = components(linked)
+
+    placed = distinct.join(classes.withColumnRenamed("node", "f"), "f", "left").withColumn("c", F.coalesce("component", "f"))
+    members = by_key(placed).applyInArrow(lambda t: _open_members(t, buckets), parcels.DDL)
+    signed_texts = distinct.select("f", "sig").mapInArrow(lambda it: _by_text(it, buckets), parcels.DDL)
+    dealt = spread(signed_texts.union(members)).applyInArrow(lambda t: table_of(_dealt(t, buckets)), parcels.DDL)
+    rest = spread(dealt).applyInArrow(lambda t: _between(t, least), "a bigint, b bigint").distinct()
+    rest = cut_lineage(rest.join(pairs, ["a", "b"], "left_anti"))
+    if not rest.isEmpty():
+        classes = components(linked.union(verify(rest).where("ok").select("a", "b")))
 
     placed = signed.select("doc_id", F.col("print").alias("node")).join(classes, "node", "left").withColumn("class", F.coalesce("component", "node"))
     smallest = placed.where("class IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("component_id"))
