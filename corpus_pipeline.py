@@ -1,11 +1,64 @@
-"""From raw documents to packed sequences: the stages of a training corpus."""
+"""From raw documents to packed sequences: the stages of a training corpus.
+
+Every stage takes all its predecessor kept and returns the columns of documents; the last returns packed pieces.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from wattframe.llm.bag_minhash import near_duplicates
+from wattframe.llm.mixing import mix_sources
+from wattframe.llm.packing import pack_documents
+from wattframe.llm.queries import toxicity_labels
+from wattframe.llm.suffix_dedup import suffix_dedup
+from wattframe.llm.toxicity import score_toxicity
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents the chain does not reject; rejected are few, narrow identifiers."""
+    scored = score_toxicity(docs, toxicity_labels(spark, sf_dir), ["low_quality", "toxic"])
+    rejected = scored.where("rejected").select(F.col("doc_id").alias("_id")).distinct()
+    return docs.join(rejected, docs["doc_id"].eqNullSafe(rejected["_id"]), "left_anti")
+
+
+def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class: the one with the smallest doc_id."""
+    gone = near_duplicates(docs).where("NOT kept").select(F.col("doc_id").alias("_id")).distinct()
+    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_id"]), "left_anti")
+
+
+def repeated_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without what an earlier text says too; a character that a cut leaves in part is dropped."""
+    kept = suffix_dedup(docs, keep_text=True).select(F.col("doc_id").alias("_id"), F.expr("try_validate_utf8(cast(kept AS string))").alias("_whole"), "kept", "n_removed")
+    text = F.coalesce("_whole", F.regexp_replace(F.expr("make_valid_utf8(cast(kept AS string))"), "�", ""))
+    kept = kept.where("n_removed > 0").select("_id", text.alias("_text")).dropDuplicates(["_id", "_text"])
+    joined = docs.join(kept, docs["doc_id"].eqNullSafe(kept["_id"]), "left")
+    new = F.when(F.col("_text").isNotNull(), F.col("_text")).otherwise(F.col("text"))
+    cells = {"text": new, "n_chars": F.when(F.col("_text").isNotNull(), F.char_length("_text").cast("bigint")).otherwise(F.col("n_chars"))}
+    return joined.select(*[cells[c].alias(c) if c in cells else docs[c] for c in docs.columns])
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them; those it does not take go."""
+    copies = mix_sources(docs).where("copies > 0").select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), "copies").distinct()
+    taken = docs.join(copies, docs["doc_id"].eqNullSafe(copies["_id"]) & docs["source"].eqNullSafe(copies["_source"]))
+    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*docs.columns)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pack_documents(docs)
+
 
 #: (name, function); each function takes (spark, docs, sf_dir) and returns a DataFrame.
-STAGES: list = []
+STAGES = [
+    ("toxicity", toxicity),
+    ("minhash_near_dedup", near_duplicate),
+    ("suffix_array_dedup", repeated_text),
+    ("mixing", mixing),
+    ("best_fit_packing", packing),
+]
 #: Learned scores, signatures and evolved packings are not SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
