@@ -33,6 +33,10 @@ PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigin
 _memory: dict[str, tuple] = {}
 
 
+def _packed(ids) -> bytes:
+    return np.asarray(ids, "<u4").tobytes()
+
+
 def _tokenizer(path: str | None):
     if path not in _memory:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -46,7 +50,7 @@ def _tokenizer(path: str | None):
         vocabulary = tokenizer.get_vocab()
         ends = np.zeros(max(vocabulary.values()) + 1, bool)
         ends[[i for w, i in vocabulary.items() if w.endswith("</w>")]] = True
-        mark = {m: tokenizer.encode(m.decode(), add_special_tokens=False).ids for m in (b"", b".", b",")}
+        mark = {m: _packed(tokenizer.encode(m.decode(), add_special_tokens=False).ids) for m in (b"", b".", b",")}
         _memory[path] = (tokenizer, {}, ends, mark)
     return _memory[path]
 
@@ -69,11 +73,11 @@ def _learn(words: list[bytes], path: str | None) -> None:
     cut = np.flatnonzero(ends[ids]) + 1
     if len(cut) == len(new) and (not len(cut) or cut[-1] == len(ids)):
         for w, part in zip(new, np.split(ids, cut[:-1])):
-            known[w] = part.tolist()
+            known[w] = _packed(part)
     else:
         other += new
     for w, e in zip(other, tokenizer.encode_batch_fast([w.decode() for w in other], add_special_tokens=False)):
-        known[w] = e.ids
+        known[w] = _packed(e.ids)
     for stem, forms in stems.items():
         for w, tail in forms:
             known[w] = known[stem] + mark[tail]
@@ -87,13 +91,13 @@ def token_ids(text: bytes, path: str | None = None) -> np.ndarray:
     out = []
     for at in range(0, len(words), WORDS_AT_ONCE):
         some = words[at : at + WORDS_AT_ONCE]
-        new = [w for w in set(some) if w not in known]
+        new = list(set(some).difference(known))
         if len(known) + len(new) > REMEMBERED:
             known.clear()
             new = list(set(some))
         if new:
             _learn(new, path)
-        out.append(np.fromiter(chain.from_iterable(map(known.__getitem__, some)), "<u4"))
+        out.append(np.frombuffer(b"".join(map(known.__getitem__, some)), "<u4"))
     return np.concatenate(out) if out else np.zeros(0, "<u4")
 
 
