@@ -234,8 +234,8 @@ def _dealt(table: pa.Table, buckets: int) -> Iterator[pa.RecordBatch]:
         yield parcels.rows(_bucket(out["k"] + out["i"].astype(np.uint64) * _STEP + mix(out["j"].astype(np.uint64)), buckets), out)
 
 
-def _between(table: pa.Table, least: float) -> pa.Table:
-    """All pairs of a key's texts of different classes whose signatures agree."""
+def _between(table: pa.Table, least: float, nearest: bool) -> pa.Table:
+    """Pairs of a key's texts of different classes whose signatures agree: all, or each text's best one."""
     found = parcels.records(table, MEMBER)
     found = found[np.lexsort((found["f"], found["j"], found["i"], found["k"]))]
     fs, gs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
@@ -243,9 +243,16 @@ def _between(table: pa.Table, least: float) -> pa.Table:
     edge = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(found) else np.zeros(0, int)
     for at, to in zip(edge.tolist(), np.append(edge[1:], len(found)).tolist()):
         own = found[at:to]
-        for p in range(len(own) - 1):
-            rest = np.flatnonzero(own["c"][p + 1 :] != own["c"][p]) + p + 1
-            near = rest[(own["sig"][rest] == own["sig"][p]).mean(1) >= least] if len(rest) else rest
+        sig, c = np.ascontiguousarray(own["sig"]), own["c"]
+        for p in range(len(own)):
+            rest = np.flatnonzero(c != c[p]) if nearest else np.flatnonzero(c[p + 1 :] != c[p]) + p + 1
+            if not len(rest):
+                continue
+            agree = (sig[rest] == sig[p]).mean(1)
+            if nearest:
+                best = int(agree.argmax())
+                rest, agree = rest[best : best + 1], agree[best : best + 1]
+            near = rest[agree >= least]
             if len(near):
                 fs.append(np.full(len(near), own["f"][p]))
                 gs.append(own["f"][near])
@@ -347,8 +354,9 @@ def near_duplicates(docs: DataFrame, bound: float = 0.8, width: int = 5, id_col:
     an empty result.
 
     A pair of similarity 0.8 shares a band with probability 1 - 5e-8. A first pass tests each text against the
-    smallest of every band key it has; keys that then still hold several classes have all candidates between
-    classes tested, so every candidate is either inside a class or was tested.
+    smallest of every band key it has, a second each text of a key that still holds several classes against its
+    most similar one of another class; keys still open have all candidates between classes tested. So every candidate
+    is either inside a class or was tested.
     """
     spark = docs.sparkSession
     buckets = parcels.bucket_count(spark)
@@ -381,14 +389,23 @@ def near_duplicates(docs: DataFrame, bound: float = 0.8, width: int = 5, id_col:
     linked = verify(cut_lineage(close)).where("ok").select("a", "b")
     classes = components(linked)
 
-    placed = distinct.join(classes.withColumnRenamed("node", "f"), "f", "left").withColumn("c", F.coalesce("component", "f"))
-    members = by_key(placed).applyInArrow(lambda t: _open_members(t, buckets), parcels.DDL)
     signed_texts = distinct.select("f", "sig").mapInArrow(lambda it: _by_text(it, buckets), parcels.DDL)
-    dealt = spread(signed_texts.union(members)).applyInArrow(lambda t: table_of(_dealt(t, buckets)), parcels.DDL)
-    rest = spread(dealt).applyInArrow(lambda t: _between(t, least), "a bigint, b bigint").distinct()
-    rest = cut_lineage(rest.join(pairs, ["a", "b"], "left_anti"))
-    if not rest.isEmpty():
-        classes = components(linked.union(verify(rest).where("ok").select("a", "b")))
+
+    def untested(classes: DataFrame, tested: DataFrame, nearest: bool) -> DataFrame:
+        """Candidates between classes: each text's best in each key, which joins most of what belongs together, or all."""
+        placed = distinct.join(classes.withColumnRenamed("node", "f"), "f", "left").withColumn("c", F.coalesce("component", "f"))
+        members = by_key(placed).applyInArrow(lambda t: _open_members(t, buckets), parcels.DDL)
+        dealt = spread(signed_texts.union(members)).applyInArrow(lambda t: table_of(_dealt(t, buckets)), parcels.DDL)
+        found = spread(dealt).applyInArrow(lambda t: _between(t, least, nearest), "a bigint, b bigint").distinct()
+        return cut_lineage(found.join(tested, ["a", "b"], "left_anti"))
+
+    tested = pairs
+    for nearest in (True, False):
+        rest = untested(classes, tested, nearest)
+        if not rest.isEmpty():
+            tested = tested.union(rest)
+            linked = linked.union(verify(rest).where("ok").select("a", "b"))
+            classes = components(linked)
 
     placed = signed.select("doc_id", F.col("print").alias("node")).join(classes, "node", "left").withColumn("class", F.coalesce("component", "node"))
     smallest = placed.where("class IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("component_id"))
