@@ -115,11 +115,13 @@ def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([*[batch.column(n) for n in rest], pa.array(text, pa.string())], names=[*rest, "text"])
 
 
-def repeated_runs(streams: list[np.ndarray], run: int = RUN) -> tuple[np.ndarray, np.ndarray]:
-    """Fingerprints of the runs of ``run`` tokens on two or more streams, and on how many, from a suffix array."""
+def repeated_runs(streams: list[np.ndarray], owner: list[int], run: int = RUN) -> tuple[np.ndarray, np.ndarray]:
+    """Fingerprints of the runs of ``run`` tokens on two or more pages, and on how many, from a suffix array.
+
+    ``streams`` are the tokens of blocks, ``owner`` their pages; no run crosses a block."""
     lengths = [len(s) for s in streams]
     tokens = np.concatenate([np.append(s, np.uint64(0)) for s in streams]) if streams else np.zeros(0, np.uint64)
-    page = np.repeat(np.arange(len(streams)), [n + 1 for n in lengths])
+    page = np.repeat(np.array(owner, int), [n + 1 for n in lengths])
     end = np.repeat(np.cumsum([n + 1 for n in lengths]) - 1, [n + 1 for n in lengths]) if streams else np.zeros(0, int)
     n = len(tokens)
     _, rank = np.unique(tokens, return_inverse=True)
@@ -151,7 +153,8 @@ def _stream(text: str) -> np.ndarray:
 
 def _runs(table: pa.Table) -> pa.Table:
     pages = table.num_rows
-    prints, n = repeated_runs([_stream(t) for t in table.column("text").to_pylist()])
+    blocks = [(i, b) for i, t in enumerate(table.column("text").to_pylist()) for b in t.split(BREAK)]
+    prints, n = repeated_runs([_stream(b) for _, b in blocks], [i for i, _ in blocks])
     often = n >= max(2, SHARE / 2 * pages)
     host = table.column("host")[0].as_py() if pages else ""
     return pa.table({"host": pa.array([host] * int(often.sum()), pa.string()), "run": pa.array(prints[often], pa.int64()), "pages": pa.array(n[often], pa.int64())})
@@ -159,22 +162,18 @@ def _runs(table: pa.Table) -> pa.Table:
 
 def without_runs(text: str, runs: set[int], run: int = RUN) -> str:
     """Blocks without the tokens that the runs cover; blocks with nothing left go."""
-    tokens = _stream(text)
-    starts = np.arange(max(0, len(tokens) - run + 1))
-    hit = starts[np.isin(run_prints(tokens, starts, run), np.array(sorted(runs), np.int64))] if len(starts) else starts
-    if not len(hit):
-        return text
-    step = np.zeros(len(tokens) + 1, np.int64)
-    np.add.at(step, hit, 1)
-    np.add.at(step, hit + run, -1)
-    gone = np.cumsum(step[:-1]) > 0
-    out, at = [], 0
+    known, out = np.array(sorted(runs), np.int64), []
     for block in text.split(BREAK):
-        words = block.split()
-        kept = [w for w, g in zip(words, gone[at : at + len(words)].tolist()) if not g]
-        at += len(words)
+        tokens = _stream(block)
+        starts = np.arange(max(0, len(tokens) - run + 1))
+        hit = starts[np.isin(run_prints(tokens, starts, run), known)]
+        step = np.zeros(len(tokens) + 1, np.int64)
+        np.add.at(step, hit, 1)
+        np.add.at(step, hit + run, -1)
+        gone = (np.cumsum(step[:-1]) > 0).tolist()
+        kept = [w for w, g in zip(block.split(), gone) if not g]
         if kept:
-            out.append(block if len(kept) == len(words) else " ".join(kept))
+            out.append(block if len(kept) == len(gone) else " ".join(kept))
     return BREAK.join(out)
 
 
