@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattframe.llm import parcels
-from wattframe.llm.components import components
+from wattframe.llm.components import components, forest
 from wattframe.llm.rolling import Rolling, mix
 from wattframe.llm.substring_dedup import words_by_text
 from wattframe.session import cut_lineage
@@ -31,8 +31,8 @@ BANDS, ROWS = 32, 4
 SIZE = BANDS * ROWS
 #: Candidates whose signatures agree in less than the bound minus this are not verified: four standard errors.
 SLACK = 4 * (0.8 * 0.2 / SIZE) ** 0.5
-#: Texts of one band key, and partners of one document, that a task compares at once.
-CHUNK_ROWS, CHUNK_PARTNERS = 4096, 2048
+#: Texts of one band key, partners of one document, and shingles of one side that a task compares at once.
+CHUNK_ROWS, CHUNK_PARTNERS, CHUNK_ITEMS = 4096, 2048, 2_000_000
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -122,17 +122,22 @@ def _signed(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Record
             yield pa.record_batch(
                 [
                     batch.column(0).slice(a, b - a), pa.array(whole.view(np.int64), mask=missing),
-                    pa.array(np.array(place, np.uint64).view(np.int64)), pa.array([r.tobytes() for r in sig], pa.binary()),
+                    pa.array(np.array(place, np.uint64).view(np.int64)), pa.array(np.bincount(text, minlength=b - a)), pa.array([r.tobytes() for r in sig], pa.binary()),
                 ],
-                names=["doc_id", "print", "place", "sig"],
+                names=["doc_id", "print", "place", "n", "sig"],
             )
 
 
 KEYED = np.dtype([("k", "<u8"), ("f", "<i8"), ("c", "<i8")])
 PAIR = np.dtype([("a", "<i8"), ("b", "<i8")])
 OPEN = np.dtype([("f", "<i8"), ("k", "<u8"), ("n", "<i8"), ("c", "<i8")])
-SIGNED = np.dtype([("f", "<i8"), ("sig", "<u2", (SIZE,))])
+#: A text, where its bytes are, the group of candidates it belongs to and the group's number of chunks.
+SIGNED = np.dtype([("f", "<i8"), ("p", "<i8"), ("g", "<i8"), ("m", "<i8"), ("sig", "<u2", (SIZE,))])
+#: A pair to test in block ``s`` of group ``g``, and a text whose multiset that block needs.
+TEST = np.dtype([("g", "<i8"), ("s", "<i8"), ("a", "<i8"), ("b", "<i8")])
+ASK = np.dtype([("p", "<i8"), ("f", "<i8"), ("g", "<i8"), ("s", "<i8")])
 SIGS, OPENS = 0, 1
+TEXTS, ASKS, TESTS, SETS = 0, 1, 2, 3
 
 
 def _bucket(x: np.ndarray, buckets: int) -> np.ndarray:
@@ -188,7 +193,31 @@ def _agreeing(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.Re
     for batch in batches:
         if len(batch):
             x, y = (np.frombuffer(b"".join(batch.column(n).to_pylist()), np.uint16).reshape(len(batch), SIZE) for n in ("x", "y"))
-            yield batch.select(["a", "b"]).filter(pa.array((x == y).mean(1) >= least))
+            yield batch.select(["a", "b", "pa", "pb"]).filter(pa.array((x == y).mean(1) >= least))
+
+
+def _spot(g: np.ndarray, s: np.ndarray, buckets: int) -> np.ndarray:
+    return _bucket(g.astype(np.uint64) + mix(s.astype(np.uint64)) * _STEP, buckets)
+
+
+def _ordered(tests: np.ndarray, asks: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
+    """Pairs for the blocks that test them, and what the blocks need of each text, asked for once."""
+    asks = np.unique(asks)
+    yield parcels.rows(_spot(tests["g"], tests["s"], buckets), tests, TESTS)
+    yield parcels.rows((asks["p"].astype(np.uint64) % np.uint64(buckets)).astype(np.int32), asks, ASKS)
+
+
+def _hosted(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """Pairs of leader ``a`` as tests: a leader is a group, its partners are dealt to blocks."""
+    for batch in batches:
+        if len(batch):
+            cell = {n: np.asarray(batch.column(n)) for n in ("a", "b", "pa", "pb", "s")}
+            tests = np.zeros(len(batch), TEST)
+            tests["g"], tests["s"], tests["a"], tests["b"] = cell["a"], cell["s"], cell["a"], cell["b"]
+            asks = np.zeros(2 * len(batch), ASK)
+            asks["g"], asks["s"] = np.tile(cell["a"], 2), np.tile(cell["s"], 2)
+            asks["f"], asks["p"] = np.append(cell["a"], cell["b"]), np.append(cell["pa"], cell["pb"])
+            yield from _ordered(tests, asks, buckets)
 
 
 def _open_members(table: pa.Table, buckets: int) -> pa.Table:
@@ -208,10 +237,12 @@ def _by_text(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Rec
         if len(batch):
             out = np.zeros(len(batch), SIGNED)
             out["f"], out["sig"] = _signed_batch(batch)
+            for name in ("p", "g", "m"):
+                out[name] = np.asarray(batch.column(name))
             yield parcels.rows(_bucket(out["f"], buckets), out, SIGS)
 
 
-MEMBER = np.dtype([("k", "<u8"), ("i", "<u4"), ("j", "<u4"), ("f", "<i8"), ("c", "<i8"), ("sig", "<u2", (SIZE,))])
+MEMBER = np.dtype([("k", "<u8"), ("i", "<u4"), ("j", "<u4"), ("own", "<u4"), ("f", "<i8"), ("c", "<i8"), ("p", "<i8"), ("g", "<i8"), ("m", "<i8"), ("sig", "<u2", (SIZE,))])
 
 
 def _dealt(table: pa.Table, buckets: int) -> Iterator[pa.RecordBatch]:
@@ -221,7 +252,7 @@ def _dealt(table: pa.Table, buckets: int) -> Iterator[pa.RecordBatch]:
         return
     signed = parcels.records(table, SIGNED, SIGS)
     signed = signed[np.argsort(signed["f"])]
-    sig = signed["sig"][np.searchsorted(signed["f"], wanted["f"])]
+    home = np.searchsorted(signed["f"], wanted["f"])
     parts = -(-wanted["n"] // CHUNK_ROWS)
     own = (mix(wanted["f"].astype(np.uint64)) % parts.astype(np.uint64)).astype(np.int64)
     row = np.repeat(np.arange(len(wanted)), parts)
@@ -229,51 +260,49 @@ def _dealt(table: pa.Table, buckets: int) -> Iterator[pa.RecordBatch]:
     for at in range(0, len(row), 20_000):
         r, o = row[at : at + 20_000], other[at : at + 20_000]
         out = np.zeros(len(r), MEMBER)
-        out["k"], out["f"], out["c"], out["sig"] = wanted["k"][r], wanted["f"][r], wanted["c"][r], sig[r]
-        out["i"], out["j"] = np.minimum(own[r], o), np.maximum(own[r], o)
+        out["k"], out["f"], out["c"] = wanted["k"][r], wanted["f"][r], wanted["c"][r]
+        for name in ("p", "g", "m", "sig"):
+            out[name] = signed[name][home[r]]
+        out["i"], out["j"], out["own"] = np.minimum(own[r], o), np.maximum(own[r], o), own[r]
         yield parcels.rows(_bucket(out["k"] + out["i"].astype(np.uint64) * _STEP + mix(out["j"].astype(np.uint64)), buckets), out)
 
 
-def _between(table: pa.Table, least: float, nearest: bool) -> pa.Table:
-    """Pairs of a key's texts of different classes whose signatures agree: all, or each text's best one."""
+def _between(table: pa.Table, least: float, buckets: int) -> Iterator[pa.RecordBatch]:
+    """Tests of a key's texts of different classes whose signatures agree.
+
+    Texts that share several keys are a pair in the first of them alone. The block that tests a pair follows from
+    the two texts: their chunks of the group of candidates.
+    """
     found = parcels.records(table, MEMBER)
     found = found[np.lexsort((found["f"], found["j"], found["i"], found["k"]))]
-    fs, gs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     key = found[["k", "i", "j"]]
     edge = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(found) else np.zeros(0, int)
+    chunk = (mix(found["f"].astype(np.uint64) ^ _STEP) % np.maximum(found["m"], 1).astype(np.uint64)).astype(np.int64)
     for at, to in zip(edge.tolist(), np.append(edge[1:], len(found)).tolist()):
-        own = found[at:to]
+        own, part = found[at:to], chunk[at:to]
         sig, c = np.ascontiguousarray(own["sig"]), own["c"]
+        band = int(np.argmax(_band_keys(sig[:1])[0] == own["k"][0]))
+        across = own["i"][0] != own["j"][0]
+        xs, ys = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for p in range(len(own)):
-            rest = np.flatnonzero(c != c[p]) if nearest else np.flatnonzero(c[p + 1 :] != c[p]) + p + 1
-            if not len(rest):
-                continue
-            agree = (sig[rest] == sig[p]).mean(1)
-            if nearest:
-                best = int(agree.argmax())
-                rest, agree = rest[best : best + 1], agree[best : best + 1]
-            near = rest[agree >= least]
-            if len(near):
-                fs.append(np.full(len(near), own["f"][p]))
-                gs.append(own["f"][near])
-    f, g = np.concatenate(fs), np.concatenate(gs)
-    out = np.zeros(len(f), PAIR)
-    out["a"], out["b"] = np.minimum(f, g), np.maximum(f, g)
-    out = np.unique(out)
-    return pa.table({"a": pa.array(out["a"].copy(), pa.int64()), "b": pa.array(out["b"].copy(), pa.int64())})
-
-
-ASK = np.dtype([("p", "<i8"), ("f", "<i8"), ("a", "<i8"), ("s", "<i8")])
-TEXTS, ASKS = 0, 1
-
-
-def _asked(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        if len(batch):
-            out = np.zeros(len(batch), ASK)
-            for name in ASK.names:
-                out[name] = np.asarray(batch.column(name))
-            yield parcels.rows((out["p"].astype(np.uint64) % np.uint64(buckets)).astype(np.int32), out, ASKS)
+            # Pairs inside a chunk have a block of their own.
+            apart = c[p + 1 :] != c[p]
+            rest = np.flatnonzero(apart & (own["own"][p + 1 :] != own["own"][p]) if across else apart) + p + 1
+            if len(rest):
+                equal = sig[rest] == sig[p]
+                near = np.flatnonzero(equal.mean(1) >= least)
+                near = near[equal[near].reshape(-1, BANDS, ROWS).all(2).argmax(1) == band]
+                xs.append(np.full(len(near), p))
+                ys.append(rest[near])
+        x, y = np.concatenate(xs), np.concatenate(ys)
+        if len(x):
+            tests = np.zeros(len(x), TEST)
+            tests["g"], tests["a"], tests["b"] = own["g"][x], own["f"][x], own["f"][y]
+            tests["s"] = (np.minimum(part[x], part[y]) << 31) + np.maximum(part[x], part[y])
+            asks = np.zeros(2 * len(x), ASK)
+            asks["g"], asks["s"] = np.tile(tests["g"], 2), np.tile(tests["s"], 2)
+            asks["f"], asks["p"] = own["f"][np.append(x, y)], own["p"][np.append(x, y)]
+            yield from _ordered(np.unique(tests), asks, buckets)
 
 
 def _texts(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
@@ -291,19 +320,18 @@ def _texts(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Recor
             yield pa.record_batch([pa.array(keys, pa.int32()), pa.array([TEXTS] * len(keys), pa.int32()), pa.array(bodies, pa.binary())], schema=parcels.SCHEMA)
 
 
-_ITEM = np.dtype([("a", "<i8"), ("s", "<i8"), ("f", "<i8"), ("n", "<i8")])
+_ITEM = np.dtype([("g", "<i8"), ("s", "<i8"), ("f", "<i8"), ("n", "<i8")])
 
 
-def _sets(table: pa.Table, width: int, buckets: int) -> pa.Table:
-    """The multiset of each text asked for, sent to every group that asks."""
-    asks = parcels.records(table, ASK, ASKS)
-    asks = asks[np.argsort(asks["p"], kind="stable")]
+def _sets(table: pa.Table, width: int, buckets: int) -> Iterator[pa.RecordBatch]:
+    """The multiset of each text asked for, sent to every block that asks."""
+    asks = np.unique(parcels.records(table, ASK, ASKS))
     wanted = np.unique(asks["p"])
     seen: set[int] = set()
-    out: dict[int, list[bytes]] = {}
     kinds, bodies = table.column("kind").to_pylist(), table.column("body")
     for i in [i for i, k in enumerate(kinds) if k == TEXTS] if len(wanted) else []:
         place, _, texts = parcels.unpack_texts(bodies[i].as_py())
+        out: dict[int, list[bytes]] = {}
         for p in np.flatnonzero(np.isin(place, wanted)).tolist():
             if place[p] in seen:
                 continue
@@ -311,36 +339,54 @@ def _sets(table: pa.Table, width: int, buckets: int) -> pa.Table:
             raw = np.frombuffer(texts[p], np.uint8)
             _, items = as_set(*shingles(np.array([0, len(raw)]), raw, width)[:2])
             body = np.sort(items).tobytes()
-            for ask in asks[np.searchsorted(asks["p"], place[p]) : np.searchsorted(asks["p"], place[p], "right")]:
-                head = np.array([(ask["a"], ask["s"], ask["f"], len(items))], _ITEM)
-                spot = int(mix(np.array([ask["a"]]).astype(np.uint64) + np.array([ask["s"]]).astype(np.uint64) * _STEP)[0] % np.uint64(buckets))
+            mine = asks[np.searchsorted(asks["p"], place[p]) : np.searchsorted(asks["p"], place[p], "right")]
+            for ask, spot in zip(mine, _spot(mine["g"], mine["s"], buckets).tolist()):
+                head = np.array([(ask["g"], ask["s"], ask["f"], len(items))], _ITEM)
                 out.setdefault(spot, []).append(head.tobytes() + body)
-    return pa.table(
-        [pa.array(list(out), pa.int32()), pa.array([0] * len(out), pa.int32()), pa.array([b"".join(x) for x in out.values()], pa.binary())], schema=parcels.SCHEMA
-    )
+        if out:
+            yield pa.record_batch(
+                [pa.array(list(out), pa.int32()), pa.array([SETS] * len(out), pa.int32()), pa.array([b"".join(x) for x in out.values()], pa.binary())], schema=parcels.SCHEMA
+            )
+
+
+def _partners(mine: np.ndarray, others: list[np.ndarray], bound: float) -> np.ndarray:
+    """Which of some sorted multisets overlap ``mine`` enough."""
+    sizes = np.array([len(x) for x in others])
+    items = np.concatenate(others)
+    at = np.minimum(np.searchsorted(mine, items), len(mine) - 1)
+    common = np.add.reduceat((mine[at] == items).astype(np.int64), np.cumsum(sizes) - sizes)
+    return common >= bound * (len(mine) + sizes - common) - 1e-9
 
 
 def _verified(table: pa.Table, bound: float) -> pa.Table:
-    groups: dict[tuple[int, int], dict[int, np.ndarray]] = {}
-    for cell in table.column("body"):
+    """Links among a bucket's tests; those that say nothing new about what is connected are left out."""
+    members: dict[tuple[int, int, int], np.ndarray] = {}
+    kinds, bodies = table.column("kind").to_pylist(), table.column("body")
+    for cell in (bodies[i] for i, k in enumerate(kinds) if k == SETS):
         raw, at = cell.as_buffer(), 0
         while at < raw.size:
             head = np.frombuffer(raw, _ITEM, 1, at)[0]
             at += _ITEM.itemsize
-            groups.setdefault((int(head["a"]), int(head["s"])), {})[int(head["f"])] = np.frombuffer(raw, np.uint64, int(head["n"]), at)
+            members[int(head["g"]), int(head["s"]), int(head["f"])] = np.frombuffer(raw, np.uint64, int(head["n"]), at)
             at += 8 * int(head["n"])
-    a_out, b_out, ok_out = [], [], []
-    for (a, _), members in groups.items():
-        mine = members[a]
-        for b, theirs in members.items():
-            if b != a:
-                both = np.concatenate([mine, theirs])
-                both.sort()
-                common = int((both[1:] == both[:-1]).sum())
-                a_out.append(a)
-                b_out.append(b)
-                ok_out.append(common >= bound * (len(both) - common) - 1e-9)
-    return pa.table({"a": pa.array(a_out, pa.int64()), "b": pa.array(b_out, pa.int64()), "ok": pa.array(ok_out, pa.bool_())})
+    tests = np.unique(parcels.records(table, TEST, TESTS))
+    edge = np.flatnonzero(np.append(True, tests[["g", "s", "a"]][1:] != tests[["g", "s", "a"]][:-1])) if len(tests) else np.zeros(0, int)
+    a_out, b_out = [], []
+    for at, to in zip(edge.tolist(), np.append(edge[1:], len(tests)).tolist()):
+        g, s, a = (int(tests[n][at]) for n in ("g", "s", "a"))
+        some, held = [], 0
+        for n, b in enumerate(tests["b"][at:to].tolist(), 1):
+            some.append(b)
+            held += len(members[g, s, b])
+            if held > CHUNK_ITEMS or n == to - at:
+                ok = _partners(members[g, s, a], [members[g, s, x] for x in some], bound)
+                b_out += [x for x, y in zip(some, ok.tolist()) if y]
+                a_out += [a] * int(ok.sum())
+                some, held = [], 0
+    names, at = np.unique(np.array(a_out + b_out, np.int64), return_inverse=True)
+    links = forest(at[: len(a_out)].tolist(), at[len(a_out) :].tolist(), len(names))
+    x, y = names[[e[0] for e in links]], names[[e[1] for e in links]]
+    return pa.table({"a": pa.array(np.minimum(x, y), pa.int64()), "b": pa.array(np.maximum(x, y), pa.int64())})
 
 
 def near_duplicates(docs: DataFrame, bound: float = 0.8, width: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -354,9 +400,10 @@ def near_duplicates(docs: DataFrame, bound: float = 0.8, width: int = 5, id_col:
     an empty result.
 
     A pair of similarity 0.8 shares a band with probability 1 - 5e-8. A first pass tests each text against the
-    smallest of every band key it has, a second each text of a key that still holds several classes against its
-    most similar one of another class; keys still open have all candidates between classes tested. So every candidate
-    is either inside a class or was tested.
+    smallest of every band key it has; for keys that then still hold several classes, a second tests all candidates
+    between classes. So every candidate is either inside a class or was tested. Pairs of the second pass never become
+    rows: candidates that hang together form a group, a group of many shingles is cut into chunks, and a block of
+    two chunks receives each multiset once, with its pairs packed.
     """
     spark = docs.sparkSession
     buckets = parcels.bucket_count(spark)
@@ -364,48 +411,42 @@ def near_duplicates(docs: DataFrame, bound: float = 0.8, width: int = 5, id_col:
     spread = lambda df: df.repartition(buckets, "bucket").groupBy("bucket")
     least = bound - SLACK
 
-    signed = cut_lineage(source.mapInArrow(lambda it: _signed(it, width), "doc_id bigint, print bigint, place bigint, sig binary"))
-    distinct = signed.where("print IS NOT NULL").groupBy(F.col("print").alias("f")).agg(F.first("sig").alias("sig"), F.min("place").alias("p"))
+    signed = cut_lineage(source.mapInArrow(lambda it: _signed(it, width), "doc_id bigint, print bigint, place bigint, n bigint, sig binary"))
+    distinct = signed.where("print IS NOT NULL").groupBy(F.col("print").alias("f")).agg(F.first("sig").alias("sig"), F.min("place").alias("p"), F.max("n").alias("n"))
     distinct = cut_lineage(distinct)
     table_of = lambda batches: pa.Table.from_batches(list(batches), schema=parcels.SCHEMA)
 
     def by_key(texts: DataFrame):
         return spread(texts.select("f", "sig", "c").mapInArrow(lambda it: _banded(it, buckets), parcels.DDL))
 
-    def verify(pairs: DataFrame) -> DataFrame:
-        """(a, b, ok); the partners of one document are dealt to groups, its own multiset goes to each."""
-        groups = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / CHUNK_PARTNERS).cast("bigint").alias("parts"))
-        guests = pairs.join(groups, "a").select(F.col("b").alias("f"), "a", F.pmod(F.xxhash64("b"), "parts").alias("s"))
-        hosts = groups.select(F.col("a").alias("f"), "a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("s"))
-        asks = guests.union(hosts).join(distinct.select("f", "p"), "f").mapInArrow(lambda it: _asked(it, buckets), parcels.DDL)
+    def verify(tests: DataFrame) -> DataFrame:
+        """(a, b) that link, of packed tests and asks."""
+        tests = cut_lineage(tests)
         texts = source.select("text").mapInArrow(lambda it: _texts(it, buckets), parcels.DDL)
-        sets = spread(texts.union(asks)).applyInArrow(lambda t: _sets(t, width, buckets), parcels.DDL)
-        return cut_lineage(spread(sets).applyInArrow(lambda t: _verified(t, bound), "a bigint, b bigint, ok boolean"))
+        sets = spread(texts.union(tests.where(F.col("kind") == ASKS))).applyInArrow(lambda t: table_of(_sets(t, width, buckets)), parcels.DDL)
+        return cut_lineage(spread(sets.union(tests.where(F.col("kind") == TESTS))).applyInArrow(lambda t: _verified(t, bound), "a bigint, b bigint"))
 
     leaders = by_key(distinct.withColumn("c", F.col("f"))).applyInArrow(lambda t: _leaders(t, buckets), parcels.DDL)
     pairs = cut_lineage(spread(leaders).applyInArrow(_unique_pairs, "a bigint, b bigint"))
-    sig = lambda name, as_: distinct.select(F.col("f").alias(name), F.col("sig").alias(as_))
-    close = pairs.join(sig("a", "x"), "a").join(sig("b", "y"), "b").mapInArrow(lambda it: _agreeing(it, least), "a bigint, b bigint")
-    linked = verify(cut_lineage(close)).where("ok").select("a", "b")
+    side = lambda f, sig, p: distinct.select(F.col("f").alias(f), F.col("sig").alias(sig), F.col("p").alias(p))
+    close = pairs.join(side("a", "x", "pa"), "a").join(side("b", "y", "pb"), "b")
+    close = cut_lineage(close.mapInArrow(lambda it: _agreeing(it, least), "a bigint, b bigint, pa bigint, pb bigint"))
+    blocks = close.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / CHUNK_PARTNERS).cast("bigint").alias("blocks"))
+    hosted = close.join(blocks, "a").withColumn("s", F.pmod(F.xxhash64("b"), "blocks"))
+    linked = verify(hosted.mapInArrow(lambda it: _hosted(it, buckets), parcels.DDL))
     classes = components(linked)
 
-    signed_texts = distinct.select("f", "sig").mapInArrow(lambda it: _by_text(it, buckets), parcels.DDL)
-
-    def untested(classes: DataFrame, tested: DataFrame, nearest: bool) -> DataFrame:
-        """Candidates between classes: each text's best in each key, which joins most of what belongs together, or all."""
-        placed = distinct.join(classes.withColumnRenamed("node", "f"), "f", "left").withColumn("c", F.coalesce("component", "f"))
-        members = by_key(placed).applyInArrow(lambda t: _open_members(t, buckets), parcels.DDL)
-        dealt = spread(signed_texts.union(members)).applyInArrow(lambda t: table_of(_dealt(t, buckets)), parcels.DDL)
-        found = spread(dealt).applyInArrow(lambda t: _between(t, least, nearest), "a bigint, b bigint").distinct()
-        return cut_lineage(found.join(tested, ["a", "b"], "left_anti"))
-
-    tested = pairs
-    for nearest in (True, False):
-        rest = untested(classes, tested, nearest)
-        if not rest.isEmpty():
-            tested = tested.union(rest)
-            linked = linked.union(verify(rest).where("ok").select("a", "b"))
-            classes = components(linked)
+    groups = components(pairs).select(F.col("node").alias("f"), F.col("component").alias("g"))
+    placed = distinct.join(groups, "f")
+    # Groups of one chunk, nearly all, are left out; the others are few, as each has millions of shingles.
+    large = placed.groupBy("g").agg(F.ceil(F.sum("n") / CHUNK_ITEMS).cast("bigint").alias("m")).where("m > 1")
+    placed = placed.join(large, "g", "left").withColumn("m", F.coalesce("m", F.lit(1)))
+    signed_texts = placed.select("f", "sig", "p", "g", "m").mapInArrow(lambda it: _by_text(it, buckets), parcels.DDL)
+    classed = distinct.join(classes.withColumnRenamed("node", "f"), "f", "left").withColumn("c", F.coalesce("component", "f"))
+    members = by_key(classed).applyInArrow(lambda t: _open_members(t, buckets), parcels.DDL)
+    dealt = spread(signed_texts.union(members)).applyInArrow(lambda t: table_of(_dealt(t, buckets)), parcels.DDL)
+    rest = verify(spread(dealt).applyInArrow(lambda t: table_of(_between(t, least, buckets)), parcels.DDL))
+    classes = components(classes.select(F.col("node").alias("a"), F.col("component").alias("b")).union(rest))
 
     placed = signed.select("doc_id", F.col("print").alias("node")).join(classes, "node", "left").withColumn("class", F.coalesce("component", "node"))
     smallest = placed.where("class IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("component_id"))
