@@ -54,13 +54,14 @@ def surrender_flag(df: DataFrame, cost: str, upper_price: str, transaction_cost:
 
 
 def _cumulative(df: DataFrame, keys: Sequence[str], cost: str, unit: str, value: str, descending: bool, split: bool, out: str) -> DataFrame:
-    """Running sum of a value in cost order, ties by unit."""
+    """Running sum of a value in cost order, ties by unit; a null cost comes first, or last if descending."""
     if not split:
-        order = [F.desc(cost) if descending else F.asc(cost), F.col(unit)]
+        order = [F.desc_nulls_last(cost) if descending else F.asc_nulls_first(cost), F.col(unit)]
         return df.withColumn(out, F.sum(value).over(splits.upto(keys, order)))
-    ordered = df.withColumn("_c", -F.col(cost) if descending else F.col(cost))
+    later = F.col(cost).isNull() if descending else F.col(cost).isNotNull()
+    ordered = df.withColumn("_later", later).withColumn("_c", -F.col(cost) if descending else F.col(cost))
     placed = splits.with_value_pieces(ordered, "_c")
-    return splits.carried_sum(placed, keys, ["_c", unit], "_piece", value, out).drop("_piece", "_c")
+    return splits.carried_sum(placed, keys, ["_later", "_c", unit], ["_later", "_piece"], value, out).drop("_piece", "_c", "_later")
 
 
 def merit_order_cap(

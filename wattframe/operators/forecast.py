@@ -241,20 +241,22 @@ def _regressor(algo: str, seed: int):
 def _assembled(df: DataFrame, features: Sequence[str]) -> DataFrame:
     from pyspark.ml.feature import VectorAssembler
 
-    return VectorAssembler(inputCols=list(features), outputCol="_x", handleInvalid="skip").transform(df)
+    return VectorAssembler(inputCols=list(features), outputCol="_x", handleInvalid="keep").transform(df)
 
 
 def residual_regression(train: DataFrame, score: DataFrame, features: Sequence[str], actual: str, base: str, algo: str = "linear", out: str = "learned", clamp: float | None = None) -> DataFrame:
     """Learn actual - base from the features and add the prediction to base.
 
     Missing features take the training medians and all are scaled by the training moments. Both inputs
-    are checkpointed, for fitting reads them several times.
+    are checkpointed, for fitting reads them several times. No row is left out of the scored result.
     """
     train, score = cut_lineage(train), cut_lineage(score)
     prepared = {}
     for name, part in (("train", train), ("score", score)):
         filled = bins.impute_median(part, features, fit_on=train)
-        prepared[name] = bins.standardize(filled, features, fit_on=train, constant=False)
+        fitted = bins.standardize(filled, features, fit_on=train, constant=False)
+        # A feature without spread says nothing: it is scaled to 0, and its rows stay.
+        prepared[name] = fitted.fillna(0.0, [f"{f}_std" for f in features])
     scaled = [f"{f}_std" for f in features]
     learn = prepared["train"].withColumn("_y", F.col(actual) - F.col(base)).filter(F.col("_y").isNotNull())
     model = _regressor(algo, 7).fit(_assembled(learn.select(*scaled, "_y"), scaled))

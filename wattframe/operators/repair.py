@@ -161,8 +161,9 @@ def polynomial_basis(points: int, degree: int) -> np.ndarray:
 def poly_profile(df: DataFrame, keys, x: str, y: str, degree: int, points: int = 96, out: str = "fitted") -> DataFrame:
     """Polynomial fit of a complete profile over x = 1..points, evaluated on the same grid.
 
-    On a complete grid the fit is a constant matrix, applied to the profile array in the JVM. A profile
-    with missing points is fitted on the points it has, in Arrow batches.
+    On exactly that grid the fit is a constant matrix, applied to the profile array in the JVM. Any other profile,
+    shorter or longer, is fitted on the points it has, in Arrow batches; one with no more different points than
+    ``degree`` has no such fit and gets null.
     """
     whole = df.groupBy(*keys).agg(
         F.array_sort(F.collect_list(F.struct(F.col(x).alias("x"), F.col(y).alias("y")))).alias("_c"),
@@ -174,13 +175,15 @@ def poly_profile(df: DataFrame, keys, x: str, y: str, degree: int, points: int =
     coefficients = F.array(*[curves.dot(ys, c) for c in columns])
     rows = F.array(*[F.array(*[F.lit(float(v)) for v in basis[i]]) for i in range(points)])
     fitted = F.transform(rows, lambda r: curves.dot(r, F.col("_k")))
+    on_grid = (F.col("_n") == points) & (F.transform("_c", lambda c: c["x"].cast("int")) == F.sequence(F.lit(1), F.lit(points)))
+    whole = whole.withColumn("_grid", F.coalesce(on_grid, F.lit(False)))
     complete = (
-        whole.filter(F.col("_n") == points)
+        whole.filter("_grid")
         .withColumn("_k", coefficients)
         .select(*keys, F.inline(F.arrays_zip(F.transform("_c", lambda c: c["x"]).alias(x), ys.alias(y), fitted.alias(out))))
         .toDF(*keys, x, y, out)
     )
-    partial = whole.filter(F.col("_n") < points).select(*keys, "_c")
+    partial = whole.filter("NOT _grid").select(*keys, "_c")
 
     def refit(batches):
         for pdf in batches:
@@ -189,13 +192,12 @@ def poly_profile(df: DataFrame, keys, x: str, y: str, degree: int, points: int =
                 xs = np.array([c["x"] for c in row["_c"]], dtype=float)
                 vs = np.array([np.nan if c["y"] is None else c["y"] for c in row["_c"]], dtype=float)
                 ok = np.isfinite(vs)
-                if not ok.any():
+                if len(np.unique(xs[ok])) <= degree:
                     fit = np.full(len(xs), np.nan)
                 else:
                     scaled = (xs - 1) / (points - 1) * 2 - 1
-                    deg = min(degree, int(ok.sum()) - 1)
-                    k = np.linalg.lstsq(np.polynomial.legendre.legvander(scaled[ok], deg), vs[ok], rcond=None)[0]
-                    fit = np.polynomial.legendre.legvander(scaled, deg) @ k
+                    k = np.linalg.lstsq(np.polynomial.legendre.legvander(scaled[ok], degree), vs[ok], rcond=None)[0]
+                    fit = np.polynomial.legendre.legvander(scaled, degree) @ k
                 part = pd.DataFrame({x: xs.astype(int), y: vs, out: fit})
                 for key in keys:
                     part[key] = row[key]

@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from wattframe.functions import blocks, scalars
 
+#: A day number beyond every date.
+FAR_DAY = 1 << 22
+
 
 # ---- spines -------------------------------------------------------------------------------------------
 
@@ -178,32 +181,26 @@ def lookup(df: DataFrame, dim: DataFrame, key: str, order: Sequence, cols: Seque
     return df.join(first.select(key, "_d.*"), key, "left")
 
 
-def in_force(
-    facts: DataFrame,
-    dim: DataFrame,
-    keys: Sequence[str],
-    date: str,
-    start: str,
-    end: str,
-    bucket_days: int = 32,
-) -> DataFrame:
-    """Dimension rows in force on each fact's date.
+def in_force(facts: DataFrame, dim: DataFrame, keys: Sequence[str], date: str, start: str, end: str) -> DataFrame:
+    """Dimension rows in force on each fact's date; a null end is open, a null start has always been.
 
-    Validity ranges are laid out over fixed spans of days, so the join is an equi-join on key and span with
-    the range as a residual test, and a key with many ranges is spread over many spans.
+    A validity range is laid out over spans of days that double in length (1, 2, 4, ...): it goes to the spans of
+    the one length that it fits, two at most, so a long or open range makes no more copies than a short one.
+    A fact asks one span of each length, hence an equi-join on key, length and span with the range as residual test.
     """
-    spread = dim.withColumn(
-        "_span",
-        F.explode(
-            F.sequence(
-                F.floor(blocks.day_number(F.col(start)) / bucket_days),
-                F.floor(blocks.day_number(F.col(end)) / bucket_days),
-            )
-        ),
-    )
-    placed = facts.withColumn("_span", F.floor(blocks.day_number(F.col(date)) / bucket_days))
-    joined = placed.join(spread, [*keys, "_span"])
-    return joined.filter(F.col(date).between(F.col(start), F.col(end))).drop("_span")
+    first = F.coalesce(blocks.day_number(F.col(start)), F.lit(-FAR_DAY))
+    last = F.coalesce(blocks.day_number(F.col(end)), F.lit(FAR_DAY))
+    length = F.ceil(F.log2(F.greatest(last - first + 1, F.lit(1)))).cast("int")
+    spans = F.array_distinct(F.array(*[F.floor(x / F.pow(F.lit(2.0), length)).cast("long") for x in (first, last)]))
+    spread = dim.filter(first <= last).withColumn("_length", length).withColumn("_span", F.explode(spans))
+    day = blocks.day_number(F.col(date))
+    asked = F.array(*[F.struct(F.lit(i).alias("_length"), F.floor(day / 2.0**i).cast("long").alias("_span")) for i in range(FAR_DAY.bit_length() + 2)])
+    placed = facts.select("*", F.inline(asked))
+    # A length that no range has is not asked for: few numbers, so Spark broadcasts them by its own size check.
+    placed = placed.join(spread.select("_length").distinct(), "_length", "left_semi")
+    joined = placed.join(spread, [*keys, "_length", "_span"])
+    inside = (F.col(date) >= F.coalesce(F.col(start), F.col(date))) & (F.col(date) <= F.coalesce(F.col(end), F.col(date)))
+    return joined.filter(inside).drop("_length", "_span")
 
 
 def band_join(facts: DataFrame, bands: DataFrame, keys: Sequence[str], value: str, low: str, high: str, closed: str = "right") -> DataFrame:

@@ -252,17 +252,28 @@ def day_curves(df: DataFrame, keys: Sequence[str], value: str, fill: float | Non
 def blended_curves(nn: DataFrame, curves_df: DataFrame, keys: Sequence[str], k: int, t: float, out: str = "blend") -> DataFrame:
     """Geometric blend of whole day curves: one array per key and date.
 
-    k arrays per day meet in one group. Days with fewer than k neighbours have no blend.
+    ``nn`` may hold more ranks than k: where a neighbour day has no reading, the block takes the next rank that has
+    one. A block for which one of the k neighbours stays without a reading is null, as are all blocks of a day
+    with fewer than k neighbours. Two arrays of a day's length are folded per day.
     """
     past = curves_df.select(*keys, F.col("date").alias("lag_date"), F.col("curve").alias("_c"))
-    met = nn.filter(F.col("rank") <= k).join(past, [*keys, "lag_date"])
-    weighted = met.withColumn("_w", F.transform("_c", lambda x: x * F.pow(F.lit(float(t)), F.col("rank") - 1)))
-    gathered = weighted.groupBy(*keys, "date").agg(F.array_sort(F.collect_list(F.struct("rank", "_w"))).alias("_n"))
-    total = sum(t**i for i in range(k))
-    summed = F.aggregate(
-        F.slice("_n", 2, max(k - 1, 1)), F.col("_n")[0]["_w"], lambda acc, c: F.zip_with(acc, c["_w"], lambda x, y: x + y)
+    met = nn.join(past, [*keys, "lag_date"])
+    gathered = met.groupBy(*keys, "date").agg(F.sort_array(F.collect_list(F.struct("rank", "_c")), asc=False).alias("_n"))
+    length = F.size(F.col("_n")[0]["_c"])
+    start = F.struct(
+        F.array_repeat(F.lit(None).cast("double"), length).alias("next"), F.array_repeat(F.lit(0.0), length).alias("total"), F.lit(0).alias("met")
     )
-    return gathered.filter(F.size("_n") == k).select(*keys, "date", F.transform(summed, lambda x: x / total).alias(out))
+
+    def fold(acc: Column, one: Column) -> Column:
+        filled = F.zip_with(one["_c"], acc["next"], lambda x, y: F.coalesce(x.cast("double"), y))
+        weight = F.pow(F.lit(float(t)), one["rank"] - 1)
+        added = F.zip_with(acc["total"], filled, lambda x, y: x + y * weight)
+        counts = one["rank"] <= k
+        return F.struct(filled.alias("next"), F.when(counts, added).otherwise(acc["total"]).alias("total"), (acc["met"] + counts.cast("int")).alias("met"))
+
+    total = sum(t**i for i in range(k))
+    whole = F.aggregate("_n", start, fold, lambda acc: F.transform(acc["total"], lambda x: F.when(acc["met"] == k, x / total)))
+    return gathered.select(*keys, "date", whole.alias(out))
 
 
 def weather_delta(weather: DataFrame, nn: DataFrame, keys: Sequence[str], slot: Sequence[str], value: str, k: int, t: float) -> DataFrame:

@@ -45,6 +45,13 @@ def onwards(keys: Sequence[str], order: Sequence[str]):
     return Window.partitionBy(*keys).orderBy(*order).rowsBetween(0, Window.unboundedFollowing)
 
 
+def join_carry(df: DataFrame, carry: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``on`` in which null equals null; the columns ``on`` stay those of ``df``."""
+    other = carry.select(*[F.col(c).alias(f"_on{i}") for i, c in enumerate(on)], *[c for c in carry.columns if c not in on])
+    same = [F.col(c).eqNullSafe(F.col(f"_on{i}")) for i, c in enumerate(on)]
+    return df.join(other, same, how).drop(*[f"_on{i}" for i in range(len(on))])
+
+
 def with_position(df: DataFrame, keys: Sequence[str], order: Sequence[str], split: str, out: str = "_pos") -> DataFrame:
     """1-based position of each row in its key, computed piecewise."""
     keys = list(keys)
@@ -54,8 +61,7 @@ def with_position(df: DataFrame, keys: Sequence[str], order: Sequence[str], spli
     ).drop("_n")
     inside = F.row_number().over(Window.partitionBy(*keys, split).orderBy(*order))
     return (
-        df.withColumn("_rn", inside)
-        .join(offsets, [*keys, split])
+        join_carry(df.withColumn("_rn", inside), offsets, [*keys, split])
         .withColumn(out, F.col("_rn") + F.col("_off"))
         .drop("_rn", "_off")
     )
@@ -100,7 +106,7 @@ def carried_last(df: DataFrame, keys: Sequence[str], order: Sequence[str], split
     rank = F.struct(*[F.col(c) for c in order])
     pick = F.min_by if backwards else F.max_by
     closing = df.filter(F.col(col).isNotNull()).groupBy(*keys, split).agg(pick(col, rank).alias("_close"))
-    pieces = df.select(*keys, split).distinct().join(closing, [*keys, split], "left")
+    pieces = join_carry(df.select(*keys, split).distinct(), closing, [*keys, split], "left")
     if backwards:
         inside = F.first(col, ignorenulls=True).over(onwards([*keys, split], order))
         outside = F.first("_close", ignorenulls=True).over(after(keys, [split]))
@@ -109,8 +115,7 @@ def carried_last(df: DataFrame, keys: Sequence[str], order: Sequence[str], split
         outside = F.last("_close", ignorenulls=True).over(before(keys, [split]))
     carry = pieces.withColumn("_carry", outside).drop("_close")
     return (
-        df.withColumn("_inside", inside)
-        .join(carry, [*keys, split])
+        join_carry(df.withColumn("_inside", inside), carry, [*keys, split])
         .withColumn(out, F.coalesce("_inside", "_carry"))
         .drop("_inside", "_carry")
     )
@@ -126,17 +131,17 @@ def carried_sum(df: DataFrame, keys: Sequence[str], order: Sequence, split: str
     ).drop("_total")
     inside = F.sum(col).over(upto([*keys, *split], order))
     return (
-        df.withColumn("_inside", inside)
-        .join(carry, [*keys, *split])
+        join_carry(df.withColumn("_inside", inside), carry, [*keys, *split])
         .withColumn(out, F.coalesce("_inside", F.lit(0)) + F.col("_carry"))
         .drop("_inside", "_carry")
     )
 
 
 def piece_of(value: Column) -> Column:
-    """Integer that never falls as the value grows; a step is 0.004 percent of the value."""
+    """Integer that never falls as the value grows; a step is 0.004 percent of the value. Null stays null, and a
+    null piece sorts where a null value does."""
     scaled = F.floor((F.log2(F.abs(value)) + SMALLEST_EXPONENT) * PIECES_PER_DOUBLING).cast("long")
-    return F.when(value > 0, scaled).when(value < 0, -scaled).otherwise(F.lit(0).cast("long"))
+    return F.when(value > 0, scaled).when(value < 0, -scaled).when(value.isNotNull(), F.lit(0).cast("long"))
 
 
 def with_value_pieces(df: DataFrame, value: str, out: str = "_piece") -> DataFrame:
@@ -162,7 +167,7 @@ def average_ranks(df: DataFrame, keys: Sequence[str], value: str, out: str = "ra
     ranks = value_ranks(df, keys, value).select(
         *keys, value, (F.col("below") + (F.col("n") + 1) / 2).alias(out)
     )
-    return df.join(ranks, [*keys, value], "left")
+    return join_carry(df, ranks, [*keys, value], "left")
 
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float]) -> DataFrame:
@@ -193,9 +198,9 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[
     targets = placed.select(*keys, "_piece", "_n", F.inline(wanted)).filter((F.col("pos") >= 0) & (F.col("pos") < F.col("_n"))).drop("_n")
     targets = cut_lineage(targets)
     inside = [*keys, "_piece"]
-    counts = value_counts(marked.join(targets.select(*inside).distinct(), inside, "left_semi"), inside, value)
+    counts = value_counts(join_carry(marked, targets.select(*inside).distinct(), inside), inside, value)
     ranks = counts.withColumn("below", F.sum("n").over(upto(inside, [value])) - F.col("n"))
-    hits = ranks.join(targets, inside).filter((F.col("below") <= F.col("pos")) & (F.col("pos") < F.col("below") + F.col("n")))
+    hits = join_carry(ranks, targets, inside).filter((F.col("below") <= F.col("pos")) & (F.col("pos") < F.col("below") + F.col("n")))
     aggs = []
     for name in probs:
         side = lambda s: F.max(F.when((F.col("name") == name) & (F.col("side") == s), F.col(value)))

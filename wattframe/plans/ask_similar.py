@@ -28,11 +28,12 @@ def _(t):
 
 
 FORECAST_SQL = RANK_SQL.format(n=90) + """,
-full7 AS (SELECT pool, date FROM nn WHERE rank <= 7 GROUP BY 1, 2 HAVING count(*) = 7),
-bl AS (SELECT v.pool, v.date, v.block_no, any_value(v.value) AS value,
- sum(pow(0.45, rank - 1) * coalesce(l.value, 0)) / sum(pow(0.45, rank - 1)) AS forecast
- FROM v_long v JOIN full7 ON full7.pool = v.pool AND full7.date = v.date JOIN nn ON nn.pool = v.pool AND nn.date = v.date AND rank <= 7
- LEFT JOIN v_long l ON l.pool = nn.pool AND l.date = nn.lag_date AND l.block_no = v.block_no GROUP BY 1, 2, 3)"""
+cells AS (SELECT v.pool, v.date, v.block_no, v.value, nn.rank, l.value AS past FROM v_long v LEFT JOIN nn ON nn.pool = v.pool AND nn.date = v.date AND rank <= 8
+ LEFT JOIN v_long l ON l.pool = nn.pool AND l.date = nn.lag_date AND l.block_no = v.block_no),
+stood_by AS (SELECT *, first_value(past IGNORE NULLS) OVER (PARTITION BY pool, date, block_no ORDER BY rank ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS taken FROM cells),
+bl AS (SELECT pool, date, block_no, any_value(value) AS value,
+ CASE WHEN count(taken) FILTER (WHERE rank <= 7) = 7 THEN sum(pow(0.45, rank - 1) * taken) FILTER (WHERE rank <= 7) / sum(pow(0.45, rank - 1)) FILTER (WHERE rank <= 7) END AS forecast
+ FROM stood_by GROUP BY 1, 2, 3)"""
 
 
 @query("similar_day_forecast", "pool:s date:d block_no:i value:f forecast:f ape:f", f"""

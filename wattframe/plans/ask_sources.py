@@ -143,7 +143,7 @@ def _(t):
 
 @query("flattened_headers", "o_orderkey:i header:s drawl_type:s", """
 SELECT o_orderkey, CASE WHEN o_orderpriority = '1-URGENT' THEN 'BILAT' WHEN o_orderpriority = '2-HIGH' THEN 'IEX' WHEN o_orderpriority = '3-MEDIUM' THEN 'MTOA' ELSE 'ISGS' END
- || '^' || o_orderstatus AS header, CASE o_orderpriority WHEN '1-URGENT' THEN 'BILATERAL' WHEN '2-HIGH' THEN 'IEX' WHEN '3-MEDIUM' THEN 'MTOA' ELSE 'OTHER' END AS drawl_type FROM orders""")
+ || '^' || o_orderstatus AS header, CASE o_orderpriority WHEN '1-URGENT' THEN 'BILATERAL' WHEN '2-HIGH' THEN 'IEX' WHEN '3-MEDIUM' THEN 'LTOA_MTOA' ELSE 'ISGS' END AS drawl_type FROM orders""")
 def _(t):
     p = F.col("o_orderpriority")
     top = F.when(p == "1-URGENT", "BILAT").when(p == "2-HIGH", "IEX").when(p == "3-MEDIUM", "MTOA").otherwise("ISGS")

@@ -62,13 +62,13 @@ def similar_day_forecast(series_df: DataFrame, keys: Sequence[str], value: str =
 
     The series is shuffled once, into day curves, which are checkpointed because three steps read them;
     profile, neighbours and blend work on one row per day.
-    Blocks of a neighbour day without any reading count as zero.
+    One neighbour more than k stands by for blocks without a reading; what it cannot fill is a null forecast, and so
+    are days with fewer than k neighbours. Every reading of the input is in the result.
     """
     days = cut_lineage(similar.day_curves(series_df, keys, value))
-    nn = similar.similar_days(curve_rank_profile(days, keys), keys, "vector", "sqeuclid", lookback, k)
-    filled = days.withColumn("curve", F.transform("curve", lambda x: F.coalesce(x, F.lit(0.0))))
-    forecast = similar.blended_curves(nn, filled, keys, k, t)
-    joined = days.join(forecast, [*keys, "date"])
+    nn = similar.similar_days(curve_rank_profile(days, keys), keys, "vector", "sqeuclid", lookback, k + 1)
+    forecast = similar.blended_curves(nn, days, keys, k, t)
+    joined = days.join(forecast, [*keys, "date"], "left").withColumn("blend", F.coalesce("blend", F.array().cast("array<double>")))
     zipped = F.arrays_zip(
         F.sequence(F.lit(1), F.lit(BLOCKS_PER_DAY)).alias("block_no"), F.col("curve").alias(value), F.col("blend").alias("forecast")
     )

@@ -23,17 +23,18 @@ def upsert(
     """Insert new keys; on a key clash replace the listed columns.
 
     ``keep_on_null`` keeps the stored value where the new one is null. ``set_literals`` are written on
-    every touched row (such as a processed flag back to 0). ``new`` must hold one row per key.
+    every touched row (such as a processed flag back to 0). ``new`` must hold one row per key. Null keys equal
+    null keys.
     """
     literals = set_literals or {}
-    b = base.select(*[F.col(c).alias(f"_b_{c}") if c not in keys else F.col(c) for c in base.columns], F.lit(1).alias("_in_b"))
-    n = new.select(*[F.col(c).alias(f"_n_{c}") if c not in keys else F.col(c) for c in new.columns], F.lit(1).alias("_in_n"))
-    joined = b.join(n, list(keys), "full")
+    b = base.select(*[F.col(c).alias(f"_b_{c}") for c in base.columns], F.lit(1).alias("_in_b"))
+    n = new.select(*[F.col(c).alias(f"_n_{c}") for c in new.columns], F.lit(1).alias("_in_n"))
+    joined = b.join(n, [F.col(f"_b_{c}").eqNullSafe(F.col(f"_n_{c}")) for c in keys], "full")
     touched, existed = F.col("_in_n").isNotNull(), F.col("_in_b").isNotNull()
     out = []
     for c in base.columns:
         if c in keys:
-            out.append(F.col(c))
+            out.append(F.when(existed, F.col(f"_b_{c}")).otherwise(F.col(f"_n_{c}")).alias(c))
             continue
         old = F.col(f"_b_{c}")
         if c in literals:
@@ -66,22 +67,17 @@ def update_from(base: DataFrame, new: DataFrame, keys: Sequence[str], cols: Sequ
     )
 
 
-LISTED_PARTITIONS = 1000
-
-
 def upsert_touched(base: DataFrame, new: DataFrame, keys: Sequence[str], set_cols: Sequence[str], partition: str, **options) -> DataFrame:
     """``upsert`` over the stored partitions that hold new rows and no others.
 
-    ``partition`` is one of the keys. Up to a thousand partition values are listed, so the scan is pruned
-    when it is planned; more go through a semi join. Write the result with ``write_touched``, which
-    replaces those partitions only.
+    ``partition`` is one of the keys; the null partition is one like any other. The partitions that ``new`` touches
+    are listed (as many as the folders that are rewritten), for only a literal list prunes the scan when it is
+    planned. Write the result with ``write_touched``, which replaces those partitions only.
     """
     if partition not in keys:
         raise ValueError("the partition column must be part of the key")
-    values = new.select(partition).distinct()
-    listed = [r[0] for r in values.limit(LISTED_PARTITIONS + 1).collect()]
-    if len(listed) <= LISTED_PARTITIONS:
-        touched = base.filter(F.col(partition).isin(listed))
-    else:
-        touched = base.join(values, partition, "left_semi").select(*base.columns)
-    return upsert(touched, new, keys, set_cols, **options)
+    listed = [r[0] for r in new.select(partition).distinct().collect()]
+    touched = F.col(partition).isin([v for v in listed if v is not None])
+    if None in listed:
+        touched = touched | F.col(partition).isNull()
+    return upsert(base.filter(touched), new, keys, set_cols, **options)

@@ -127,20 +127,20 @@ def flatten_header(df: DataFrame, levels: Sequence[str], sep: str = "^", out: st
     return df.withColumn(out, F.concat_ws(sep, *[F.nullif(F.trim(c), F.lit("")) for c in levels]))
 
 
-# Text in a header and the drawl type it stands for, first match wins.
+# Text in a header and the drawl type it stands for, last match wins.
 DRAWL_TYPES = {
     "BILAT": "BILATERAL",
-    "PXI": "PXI",
+    "PXI": "PXIL",
     "IEX": "IEX",
-    "MTOA": "MTOA",
-    "REGULATED": "REGULATED",
+    "MTOA": "LTOA_MTOA",
+    "REGULATED": "REGULATION",
 }
 
 
-def classify_header(header: Column, default: str = "OTHER") -> Column:
+def classify_header(header: Column, default: str = "ISGS") -> Column:
     from wattframe.functions.scalars import classify_contains
 
-    return classify_contains(F.upper(header), DRAWL_TYPES, default)
+    return classify_contains(F.upper(header), dict(reversed(DRAWL_TYPES.items())), default)
 
 
 def fill_down_header(grid: DataFrame, sheet: Sequence[str], col: str) -> DataFrame:
