@@ -24,6 +24,8 @@ from wattframe.session import cut_lineage
 
 #: Labelled rows the chain is fitted on at most (chosen by hash of doc_id), features kept, folds.
 TRAIN_ROWS, FEATURES, FOLDS = 20_000, 1024, 3
+#: Labelled rows of a task while fitting: each of the many steps of a fit starts a task for every partition.
+TASK_ROWS = 5_000
 HASH_BITS, PREFIXES = 22, (4, 5, 6)
 REGULARISATION, ITERATIONS = 1e-4, 40
 EDGES = ".,;:!?\"'()[]<>«»…"
@@ -127,6 +129,7 @@ def fit_chain(docs: DataFrame, labels: DataFrame, categories: list[str], train_r
         return SparseVector(len(index) + len(earlier), at + [len(index) + i for i in range(len(earlier))], [1.0] * len(at) + list(earlier))
 
     to_vector = F.udf(vector, VectorUDT())
+    few = lambda df: df.coalesce(-(-n // TASK_ROWS))
     state = rows.withColumn("_fold", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(folds)).cast("int")).withColumn("_earlier", F.array().cast("array<double>"))
     fit = LogisticRegression(featuresCol="_x", regParam=REGULARISATION, maxIter=ITERATIONS, standardization=False)
     models, threshold = [], 0.5
@@ -136,7 +139,7 @@ def fit_chain(docs: DataFrame, labels: DataFrame, categories: list[str], train_r
             state = state.withColumn("_earlier", F.concat("_earlier", F.array(F.lit(1.0 if totals[c] else 0.0))))
             threshold = 0.5
             continue
-        state = cut_lineage(state.withColumn("_x", to_vector("features", "_earlier")))
+        state = cut_lineage(few(state).withColumn("_x", to_vector("features", "_earlier")))
         own = fit.setLabelCol(c)
         whole = own.fit(state)
         models.append((float(whole.intercept), np.array(whole.coefficients.toArray())))
@@ -149,7 +152,7 @@ def fit_chain(docs: DataFrame, labels: DataFrame, categories: list[str], train_r
         state = parts[0]
         for p in parts[1:]:
             state = state.union(p)
-        state = cut_lineage(state)
+        state = cut_lineage(few(state))
         if i + 1 == len(categories):
             pairs = state.select("_p", c).toPandas()
             threshold = best_threshold(pairs["_p"].to_numpy(), pairs[c].to_numpy())
