@@ -104,7 +104,7 @@ def with_total(df: DataFrame, keys: Sequence[str], member: str, label: str, sums
 
 
 def mape(df: DataFrame, keys: Sequence[str], actual: str, pred: str) -> DataFrame:
-    """Mean absolute percentage error, mean absolute error and row count."""
+    """Mean absolute percentage error, mean absolute error and how many rows have both values."""
     error = F.abs(F.col(actual) - F.col(pred))
     return df.groupBy(*keys).agg(
         F.avg(error / F.nullif(F.abs(F.col(actual)), F.lit(0.0))).alias("mape"),

@@ -306,6 +306,6 @@ def _(t):
 
 
 @query("similar_day_accuracy", "pool:s mape:f mae:f n:i", f"""
-WITH {FORECAST_SQL} SELECT pool, avg(abs(value - forecast) / nullif(abs(value), 0)) AS mape, avg(abs(value - forecast)) AS mae, count(*) AS n FROM bl GROUP BY 1""")
+WITH {FORECAST_SQL} SELECT pool, avg(abs(value - forecast) / nullif(abs(value), 0)) AS mape, avg(abs(value - forecast)) AS mae, count(value - forecast) AS n FROM bl GROUP BY 1""")
 def _(t):
     return aggregates.mape(day_ahead.similar_day_forecast(t.long_blocks, ["pool"]), ["pool"], "value", "forecast")
