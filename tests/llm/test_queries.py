@@ -9,7 +9,7 @@ from wattframe.llm.embed_dedup import embedding_dedup
 from wattframe.llm.main_text import main_text, page_blocks
 from wattframe.llm.mixing import mix_sources
 from wattframe.llm.topk import topk_search
-from wattframe.llm.toxicity import score_toxicity
+from wattframe.llm.toxicity import Examples, best_threshold, fit_logistic, score_toxicity
 from wattframe.llm.warc import MAGIC, archived_pages, candidates, reachable
 
 SF = "/root/testdata/sf0.001"
@@ -104,3 +104,24 @@ def test_chain(spark):
     got = score_toxicity(df, labels, ["low", "bad"]).collect()
     assert len(got) == len(docs) and all(r.rejected == (r.doc_id is not None and r.doc_id < 240 and r.doc_id % 3 == 0) for r in got)
     assert not any(r.rejected for r in score_toxicity(df, labels.limit(0), ["low", "bad"]).collect())
+
+
+def test_weighted_rows_fit_like_repeated_rows():
+    draw = np.random.default_rng(5)
+    at = [np.flatnonzero(draw.random(6) < 0.4) for _ in range(60)]
+    labels = np.array([float((0 in a) ^ (draw.random() < 0.1)) for a in at])
+    weights = draw.integers(1, 4, 60)
+    again = np.repeat(np.arange(60), weights)
+    earlier = draw.random((60, 1))
+    whole = fit_logistic(Examples(at, earlier, labels, weights.astype(float), 6))
+    repeated = fit_logistic(Examples([at[i] for i in again], earlier[again], labels[again], np.ones(len(again)), 6))
+    assert np.allclose(whole, repeated, atol=1e-3)
+    scores = draw.random(60).round(1)
+    assert best_threshold(scores, labels, weights.astype(float)) == best_threshold(scores[again], labels[again], np.ones(len(again)))
+    # At the optimum the penalised slope vanishes.
+    x = np.zeros((60, 8))
+    x[:, 0], x[:, 7] = 1, earlier[:, 0]
+    for i, a in enumerate(at):
+        x[i, 1 + a] = 1
+    slope = x.T @ (weights / weights.sum() * (1 / (1 + np.exp(-x @ whole)) - labels)) + np.append(0, 1e-4 * whole[1:])
+    assert np.abs(slope).max() < 1e-3

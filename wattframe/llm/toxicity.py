@@ -12,6 +12,7 @@ from __future__ import annotations
 import math
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +32,7 @@ SHARES = 1 << 20
 EDGES = ".,;:!?\"'()[]<>«»…"
 
 
+@lru_cache(maxsize=200_000)
 def word_features(word: str) -> tuple[int, ...]:
     """Hashes of a word, told apart from those of its beginnings."""
     word = word.strip(EDGES)
@@ -154,7 +156,8 @@ def _indexed(batches: Iterator[pa.RecordBatch], features: np.ndarray) -> Iterato
     for batch in batches:
         at = batch.schema.get_field_index("features")
         found = [np.asarray(f, np.int64) for f in batch.column(at).to_pylist()]
-        places = [np.searchsorted(features, f)[np.isin(f, features, assume_unique=True)].astype("<u4").tobytes() for f in found]
+        at_most = [np.minimum(np.searchsorted(features, f), max(0, len(features) - 1)) for f in found]
+        places = [a[features[a] == f].astype("<u4").tobytes() if len(features) else b"" for a, f in zip(at_most, found)]
         rest = [n for n in batch.schema.names if n != "features"]
         yield pa.record_batch([*[batch.column(n) for n in rest], pa.array(places, pa.binary())], names=[*rest, "_at"])
 
