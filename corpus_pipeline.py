@@ -13,20 +13,37 @@ from wattframe.llm.mixing import mix_sources
 from wattframe.llm.packing import pack_documents
 from wattframe.llm.queries import toxicity_labels
 from wattframe.llm.suffix_dedup import suffix_dedup
-from wattframe.llm.toxicity import score_toxicity
+from wattframe.llm.toxicity import without_toxic
+from wattframe.session import written
+
+
+def _free(docs: DataFrame, name: str) -> str:
+    """A name that no column of ``docs`` has."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents the chain does not reject; rejected are few, narrow identifiers."""
-    scored = score_toxicity(docs, toxicity_labels(spark, sf_dir), ["low_quality", "toxic"])
-    rejected = scored.where("rejected").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(rejected, docs["doc_id"].eqNullSafe(rejected["_id"]), "left_anti")
+    """Documents the chain does not reject; each row is judged by its own text."""
+    return without_toxic(docs, toxicity_labels(spark, sf_dir), ["low_quality", "toxic"])
 
 
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class: the one with the smallest doc_id."""
-    gone = near_duplicates(docs).where("NOT kept").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_id"]), "left_anti")
+    """One row of each class: the one with the smallest doc_id, null last; of equal ones the smallest hash of the text.
+
+    Rows get keys of their own first, written so that every later read sees the same ones. Texts without words are
+    classes of their own, so all of their rows stay.
+    """
+    key = _free(docs, "_row")
+    docs = written(docs.withColumn(key, F.monotonically_increasing_id()))
+    classes = near_duplicates(docs, id_col=key).select(F.col("doc_id").alias("_id"), F.col("component_id").alias("_class"))
+    ordered = docs.select(F.col(key).alias("_id"), F.col("doc_id").cast("bigint").alias("_doc"), F.xxhash64("text").alias("_hash"))
+    order = F.struct(F.col("_doc").isNull(), "_doc", "_hash", "_id")
+    # The key and its class decide; a class is summed up by each task before its rows meet.
+    first = classes.join(ordered, "_id").groupBy("_class").agg(F.min(order).alias("_first")).select(F.col("_first._id").alias("_id"))
+    return docs.join(first, docs[key] == first["_id"], "left_semi").drop(key)
 
 
 def repeated_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -88,6 +88,14 @@ def _scored(batches: Iterator[pa.RecordBatch], chain: Chain) -> Iterator[pa.Reco
         yield pa.record_batch([batch.column(0), *[pa.array(scores[:, i]) for i in range(scores.shape[1])], pa.array(scores[:, -1] >= chain.threshold)], names=names)
 
 
+def _unrejected(batches: Iterator[pa.RecordBatch], chain: Chain) -> Iterator[pa.RecordBatch]:
+    """Rows the chain does not reject; the last column is the text to score and goes."""
+    for batch in batches:
+        scores = np.array([chain.score(t.as_py()) for t in batch.column(batch.num_columns - 1)]).reshape(len(batch), len(chain.categories))
+        rest = pa.RecordBatch.from_arrays(batch.columns[:-1], schema=pa.schema(list(batch.schema)[:-1]))
+        yield rest.filter(pa.array(scores[:, -1] < chain.threshold))
+
+
 def best_threshold(scores: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> float:
     """The threshold with the best F1; in the middle between the two scores it separates."""
     order = np.argsort(-scores, kind="stable")
@@ -271,3 +279,10 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, categories: list[str], tr
     ddl = ", ".join(["doc_id bigint", *[f"`p_{c}` double" for c in categories], "rejected boolean"])
     source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return source.mapInArrow(lambda it: _scored(it, chain), ddl)
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, categories: list[str], train_rows: int = TRAIN_ROWS) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that ``score_toxicity`` does not reject; each row by its own text."""
+    chain = fit_chain(docs, labels, categories, train_rows)
+    scored = docs.select("*", F.col("text").cast("string").alias("_scored text"))
+    return scored.mapInArrow(lambda it: _unrejected(it, chain), docs.schema)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,3 +52,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Checkpoint to the shared folder."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame) -> DataFrame:
+    """Written as Parquet to a folder of its own below the shared one, and read again."""
+    folder = f"{shared_folder(df.sparkSession)}/written-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
