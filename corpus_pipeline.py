@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattframe.llm.bag_minhash import near_duplicates
-from wattframe.llm.mixing import mix_sources
+from wattframe.llm.mixing import mix_sources, word_count
 from wattframe.llm.packing import pack_documents
 from wattframe.llm.queries import toxicity_labels
 from wattframe.llm.suffix_dedup import suffix_dedup
@@ -47,21 +47,33 @@ def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def repeated_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without what an earlier text says too; a character that a cut leaves in part is dropped."""
-    kept = suffix_dedup(docs, keep_text=True).select(F.col("doc_id").alias("_id"), F.expr("try_validate_utf8(cast(kept AS string))").alias("_whole"), "kept", "n_removed")
+    """Texts without what an earlier text says too; a character that a cut leaves in part is dropped.
+
+    What is cut follows from doc_id and text alone, so these two are the key by which rows get their new texts.
+    """
+    kept = suffix_dedup(docs, keep_text=True).where("n_removed > 0")
+    kept = kept.select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"), F.expr("try_validate_utf8(cast(kept AS string))").alias("_whole"), "kept")
     text = F.coalesce("_whole", F.regexp_replace(F.expr("make_valid_utf8(cast(kept AS string))"), "�", ""))
-    kept = kept.where("n_removed > 0").select("_id", text.alias("_text")).dropDuplicates(["_id", "_text"])
-    joined = docs.join(kept, docs["doc_id"].eqNullSafe(kept["_id"]), "left")
-    new = F.when(F.col("_text").isNotNull(), F.col("_text")).otherwise(F.col("text"))
-    cells = {"text": new, "n_chars": F.when(F.col("_text").isNotNull(), F.char_length("_text").cast("bigint")).otherwise(F.col("n_chars"))}
+    kept = kept.select("_id", "_sha", text.alias("_text")).dropDuplicates(["_id", "_sha"])
+    own = F.sha2(docs["text"].cast("string").cast("binary"), 256)
+    joined = docs.join(kept, docs["doc_id"].cast("bigint").eqNullSafe(kept["_id"]) & (own == kept["_sha"]), "left")
+    new = F.when(kept["_text"].isNotNull(), kept["_text"]).otherwise(docs["text"])
+    cells = {"text": new}
+    if "n_chars" in docs.columns:
+        cells["n_chars"] = F.when(kept["_text"].isNotNull(), F.char_length(kept["_text"]).cast("bigint")).otherwise(docs["n_chars"])
     return joined.select(*[cells[c].alias(c) if c in cells else docs[c] for c in docs.columns])
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them; those it does not take go."""
-    copies = mix_sources(docs).where("copies > 0").select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), "copies").distinct()
-    taken = docs.join(copies, docs["doc_id"].eqNullSafe(copies["_id"]) & docs["source"].eqNullSafe(copies["_source"]))
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*docs.columns)
+    """Documents as often as the mix takes them; those it does not take go.
+
+    How often follows from doc_id, source and size alone, so these three are the key by which rows get their copies.
+    """
+    copies = mix_sources(docs).where("copies > 0").select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), "copies").distinct()
+    here = docs["doc_id"].eqNullSafe(copies["_id"]) & docs["source"].eqNullSafe(copies["_source"]) & (word_count(docs["text"]) == copies["_size"])
+    count = _free(docs, "_copies")
+    taken = docs.join(copies, here).select(*[docs[c] for c in docs.columns], copies["copies"].cast("int").alias(count))
+    return taken.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col(count))).alias(_free(docs, "_copy"))).select(*docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -44,3 +44,47 @@ def test_one_row_of_each_class_stays(spark, tmp_path):
     want = [(3, a), (None, b), (5, c), (None, d), (9, None), (9, None), (2, words(9)), (2, words(8))]
     assert Counter((r.doc_id, r.text) for r in got.collect()) == Counter(want)
     assert p.near_duplicate(spark, docs.limit(0), str(tmp_path)).collect() == []
+
+
+def cut(rows, window=100):
+    """What suffix_dedup keeps of each row, in the order of rows."""
+    data = [(2**63 - 1 if d is None else d, (t or "").encode()) for d, t, _ in rows]
+    first = {}
+    for d, b in data:
+        for s in range(len(b) - window + 1):
+            first[b[s : s + window]] = min(first.get(b[s : s + window], (d, s)), (d, s))
+    out = []
+    for (d, b), (_, t, _) in zip(data, rows):
+        gone = bytearray(len(b))
+        for s in range(len(b) - window + 1):
+            if first[b[s : s + window]] < (d, s):
+                gone[s : s + window] = b"\1" * window
+        out.append(bytes(x for x, g in zip(b, gone) if not g).decode(errors="ignore") if any(gone) else t)
+    return out
+
+
+def test_each_row_gets_its_own_cut_text(spark, tmp_path):
+    a, b = words(20), words(21)
+    rows = [(1, a, "a"), (1, b, "a"), (2, "é" + a + "one", "a"), (2, b + "two", "a"), (2, "short", "a"), (None, a + "three", "a"), (None, b + "four", "a"), (None, words(22), "a"), (None, None, "a"), (2, b + "two", "a")]
+    docs = table(spark, rows)
+    got = p.repeated_text(spark, docs, str(tmp_path))
+    assert got.columns == docs.columns
+    want = [(r.doc_id, t, None if t is None else len(t), r["size"]) for r, t in zip(sorted(docs.collect(), key=lambda r: r["size"]), cut(rows))]
+    assert Counter((r.doc_id, r.text, r.n_chars, r["size"]) for r in got.collect()) == Counter(want)
+    assert p.repeated_text(spark, docs.limit(0), str(tmp_path)).collect() == []
+
+
+def test_each_row_gets_its_own_copies(spark, tmp_path):
+    rows = [(None, "w " * n, s) for n in (1, 2, 3, 90) for s in ("a", "b", None)] + [(5, "w " * n, "a") for n in (1, 4, 4, 60)] + [(i, "w " * (i % 7), "abc"[i % 3]) for i in range(40)] + [(6, None, "a")]
+    docs = table(spark, rows)
+    mixed = p.mix_sources(docs).collect()
+    copies = {}
+    for r in mixed:
+        assert copies.setdefault((r.doc_id, r.source, r["size"]), r.copies) == r.copies
+    want = Counter()
+    for i, (d, t, s) in enumerate(rows):
+        want[i] = copies[d, s, len((t or "").split())]
+    got = p.mixing(spark, docs, str(tmp_path))
+    assert got.columns == docs.columns
+    assert Counter(r["size"] for r in got.collect()) == +want
+    assert p.mixing(spark, docs.limit(0), str(tmp_path)).collect() == []

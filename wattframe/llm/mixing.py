@@ -27,6 +27,10 @@ def hashed(col: Column) -> Column:
     return F.conv(F.substring(F.md5(F.coalesce(col.cast("string"), F.lit(""))), 1, LEVELS * BITS // 4), 16, 10).cast("bigint")
 
 
+def word_count(text: Column) -> Column:
+    return F.coalesce(F.regexp_count(text.cast("string"), F.lit(WORDS)), F.lit(0)).cast("bigint")
+
+
 def waterfill(sources: DataFrame, weights: tuple[float, ...], share: float, most: float) -> DataFrame:
     """``target`` for each row (source, source_size): ``share`` of all words by weight, at most ``most`` times the size.
 
@@ -62,8 +66,7 @@ def mix_sources(
     """
     if most != int(most):
         raise ValueError("most is a whole number of copies")
-    size = F.coalesce(F.regexp_count(F.col(text_col).cast("string"), F.lit(WORDS)), F.lit(0)).cast("bigint")
-    rows = cut_lineage(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), size.alias("size"), hashed(F.col(id_col)).alias("_h")))
+    rows = cut_lineage(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), hashed(F.col(id_col)).alias("_h")))
     totals = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     state = waterfill(totals, weights, share, most)
     base = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("bigint")

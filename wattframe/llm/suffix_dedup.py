@@ -238,12 +238,12 @@ def _finish(window: int, keep_text: bool):
     def finish(text: bytes, marks: np.ndarray):
         if not len(marks):
             digest = hashlib.sha256(text).hexdigest()
-            return (len(text), 0, 0, digest, text) if keep_text else (len(text), 0, 0, digest)
+            return (len(text), 0, 0, digest, text, digest) if keep_text else (len(text), 0, 0, digest)
         gone = covered(len(text), marks, window)
         kept = np.frombuffer(text, np.uint8)[~gone].tobytes()
         spans = int((np.diff(gone.astype(np.int8), prepend=0) == 1).sum())
         out = (len(text), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest())
-        return (*out, kept) if keep_text else out
+        return (*out, kept, hashlib.sha256(text).hexdigest()) if keep_text else out
 
     return finish
 
@@ -253,12 +253,12 @@ def suffix_dedup(docs: DataFrame, window: int = 100, keep_text: bool = False, id
 
     Earlier: a smaller doc_id, or the same doc_id and an earlier start. One row for each row of ``docs``: doc_id,
     n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256 and, with ``keep_text``, ``kept`` (binary; a cut
-    may split a character). A null text is empty; texts below ``window`` bytes lose nothing; rows with one doc_id
+    may split a character) and text_sha256 (of the text as it was; with doc_id it tells the row). A null text is empty; texts below ``window`` bytes lose nothing; rows with one doc_id
     are one document, so equal rows do not remove each other; null doc_ids come last, as one document. Other
     columns are ignored. An empty table gives an empty result.
     """
     if window < 16:
         raise ValueError("a window has 16 bytes at least")
     columns = (("n_bytes", "bigint"), ("n_removed", "bigint"), ("n_spans", "bigint"), ("kept_sha256", "string"))
-    method = Method(window, True, _cut(window), _fetch(window), None, _judge(window), _finish(window, keep_text), columns + ((("kept", "binary"),) if keep_text else ()))
+    method = Method(window, True, _cut(window), _fetch(window), None, _judge(window), _finish(window, keep_text), columns + ((("kept", "binary"), ("text_sha256", "string")) if keep_text else ()))
     return mark_repeats(docs, method, id_col, text_col)
