@@ -3,8 +3,9 @@
 A page is cut into blocks; blocks inside page furniture (menus, footers, forms, scripts, elements named as adverts
 or comments and the like) are left out, and where a page marks its article only that is kept. What remains of a
 host's pages is concatenated as token streams, a few dozen pages at a time, and a suffix array finds the runs of at
-least RUN tokens that distinct pages share. Runs on most pages of a host are its boilerplate and are removed where they
-cover them; unique runs stay.
+least RUN tokens that distinct pages share. Runs on half of a host's pages or more (on small hosts: on four, or on all
+of fewer) are its boilerplate and are removed where they cover them, unless all these pages have one and the same
+text; unique runs stay.
 """
 
 from __future__ import annotations
@@ -21,7 +22,8 @@ from pyspark.sql import functions as F
 
 from wattframe.session import cut_lineage
 
-#: Tokens of a repeated run at least, pages of one suffix array, share and number of a host's pages that make boilerplate.
+#: Tokens of a repeated run at least, pages of one suffix array, share of a host's pages that makes boilerplate. Smaller hosts
+#: than LEAST_PAGES need as many pages as one of LEAST_PAGES, or all they have.
 RUN, GROUP_PAGES, SHARE, LEAST_PAGES = 8, 64, 0.5, 8
 #: Hosts up to which the table of hosts (one narrow row each) is broadcast; more are joined by shuffle.
 BROADCAST_HOSTS = 20_000
@@ -115,10 +117,11 @@ def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([*[batch.column(n) for n in rest], pa.array(text, pa.string())], names=[*rest, "text"])
 
 
-def repeated_runs(streams: list[np.ndarray], owner: list[int], run: int = RUN) -> tuple[np.ndarray, np.ndarray]:
-    """Fingerprints of the runs of ``run`` tokens on two or more pages, and on how many, from a suffix array.
+def repeated_runs(streams: list[np.ndarray], owner: list[int], articles: np.ndarray, run: int = RUN) -> tuple[np.ndarray, ...]:
+    """Fingerprints of the runs of ``run`` tokens on two or more pages, on how many, and the least and greatest text of these.
 
-    ``streams`` are the tokens of blocks, ``owner`` their pages; no run crosses a block."""
+    From a suffix array. ``streams`` are the tokens of blocks, ``owner`` their pages, ``articles`` fingerprints of the
+    pages' texts; no run crosses a block."""
     lengths = [len(s) for s in streams]
     tokens = np.concatenate([np.append(s, np.uint64(0)) for s in streams]) if streams else np.zeros(0, np.uint64)
     page = np.repeat(np.array(owner, int), [n + 1 for n in lengths])
@@ -133,13 +136,14 @@ def repeated_runs(streams: list[np.ndarray], owner: list[int], run: int = RUN) -
     usable = np.flatnonzero(np.arange(n) + run <= end)
     order = usable[np.lexsort((page[usable], rank[usable]))]  # the suffix array, as far as runs go
     if not len(order):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return (np.zeros(0, np.int64),) * 4
     new = np.append(True, rank[order][1:] != rank[order][:-1])
     fresh = new | np.append(True, page[order][1:] != page[order][:-1])
     edge = np.flatnonzero(new)
     pages = np.add.reduceat(fresh.astype(np.int64), edge)
     some = pages > 1
-    return run_prints(tokens, order[edge[some]], run), pages[some]
+    text = articles[page[order]]
+    return run_prints(tokens, order[edge[some]], run), pages[some], np.minimum.reduceat(text, edge)[some], np.maximum.reduceat(text, edge)[some]
 
 
 def run_prints(tokens: np.ndarray, starts: np.ndarray, run: int = RUN) -> np.ndarray:
@@ -152,12 +156,14 @@ def _stream(text: str) -> np.ndarray:
 
 
 def _runs(table: pa.Table) -> pa.Table:
-    pages = table.num_rows
-    blocks = [(i, b) for i, t in enumerate(table.column("text").to_pylist()) for b in t.split(BREAK)]
-    prints, n = repeated_runs([_stream(b) for _, b in blocks], [i for i, _ in blocks])
+    pages, texts = table.num_rows, table.column("text").to_pylist()
+    blocks = [(i, b) for i, t in enumerate(texts) for b in t.split(BREAK)]
+    articles = np.array([xxhash.xxh3_64_intdigest(t) for t in texts], np.uint64).view(np.int64)
+    prints, n, low, high = repeated_runs([_stream(b) for _, b in blocks], [i for i, _ in blocks], articles)
     often = n >= max(2, SHARE / 2 * pages)
     host = table.column("host")[0].as_py() if pages else ""
-    return pa.table({"host": pa.array([host] * int(often.sum()), pa.string()), "run": pa.array(prints[often], pa.int64()), "pages": pa.array(n[often], pa.int64())})
+    columns = {"run": prints, "pages": n, "low": low, "high": high}
+    return pa.table({"host": pa.array([host] * int(often.sum()), pa.string())} | {k: pa.array(v[often], pa.int64()) for k, v in columns.items()})
 
 
 def without_runs(text: str, runs: set[int], run: int = RUN) -> str:
@@ -188,8 +194,9 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     """page_id, url, text and n_chars (code points) for every row of ``pages``.
 
     Blocks are joined by two line feeds; white space inside a block is one space. A null or empty html gives an empty
-    text. Runs count as boilerplate on hosts of LEAST_PAGES pages or more when SHARE of the pages have them, so an
-    article that a few pages repeat stays; pages without a host in the url are only read by structure. Rows that repeat a
+    text. A run counts as boilerplate when SHARE of its host's pages have it, and no fewer than SHARE * LEAST_PAGES or, on
+    hosts of fewer pages, all of them; two of these pages must have different texts, so an article that a few pages, or
+    all, repeat whole stays. Pages alone on their host or without a host in the url are only read by structure. Rows that repeat a
     page_id are pages each. An empty table gives an empty result; other columns are ignored.
     """
     host = F.lower(F.regexp_extract(F.coalesce(F.col(url_col).cast("string"), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]+)", 1))
@@ -199,8 +206,10 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     side = F.broadcast(sizes) if sizes.count() <= BROADCAST_HOSTS else sizes
     rows = rows.join(side, "host").withColumn("part", F.pmod(F.xxhash64("page_id", "url"), "parts").cast("int"))
     parsed = rows.select("page_id", "url", "host", "part", "total", "html").mapInArrow(_parsed, "page_id bigint, url string, host string, part int, total bigint, text string")
-    shared = parsed.where((F.col("host") != "") & (F.col("total") >= LEAST_PAGES)).groupBy("host", "part").applyInArrow(_runs, "host string, run bigint, pages bigint")
-    bad = shared.groupBy("host", "run").agg(F.sum("pages").alias("pages")).join(side, "host").where(F.col("pages") >= SHARE * F.col("total"))
+    shared = parsed.where((F.col("host") != "") & (F.col("total") > 1)).groupBy("host", "part").applyInArrow(_runs, "host string, run bigint, pages bigint, low bigint, high bigint")
+    bad = shared.groupBy("host", "run").agg(F.sum("pages").alias("pages"), F.min("low").alias("low"), F.max("high").alias("high")).join(side, "host")
+    least = F.greatest(SHARE * F.col("total"), F.least(F.lit(SHARE * LEAST_PAGES), F.col("total")))
+    bad = bad.where((F.col("pages") >= least) & (F.col("low") < F.col("high")))
     bad = cut_lineage(bad.select("host", "run", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")))
     cells = parsed.groupBy("host", "part").cogroup(bad.groupBy("host", "part"))
     return cells.applyInArrow(_cleaned, "page_id bigint, url string, text string, n_chars bigint")
