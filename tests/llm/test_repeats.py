@@ -105,3 +105,38 @@ def test_kept_text(spark):
     assert kept == {1: " ".join(["one"] * 60), 2: "end"}
     kept = {r.doc_id: bytes(r.kept).decode() for r in suffix_dedup(df, keep_text=True).collect()}
     assert kept[2] == "end" and len(kept[1]) < 240
+
+
+def test_anchor_with_much_text(spark, monkeypatch):
+    """A phrase with other surroundings in each document, and passages around it: no index holds it whole."""
+    import wattframe.llm.suffix_dedup as module
+
+    r = random.Random(4)
+    some = lambda n: "".join(r.choice("abcdefgh ijklmnop") for _ in range(n))
+    phrase, passage = "#" + "~" * 30 + "#" + some(8), some(70)
+    rows = [(i // 2 if i % 5 else None, some(r.randint(0, 120)) + (passage[: r.randint(0, 70)] if i % 3 else passage) + phrase + (passage if i % 4 == 0 else "") + some(r.randint(0, 120))) for i in range(120)]
+    rows += made(3)
+    monkeypatch.setattr(module, "ANCHOR_BYTES", 4000)
+    monkeypatch.setattr(module, "SHARD_BYTES", 4000)
+    check(spark, rows, suffix_dedup, brute_bytes)
+    monkeypatch.setattr(module, "ANCHOR_BYTES", 0)
+    check(spark, rows, suffix_dedup, brute_bytes)
+
+
+def test_no_index_over_much_text():
+    """One anchor with other text in each of many documents is left to fingerprints."""
+    import numpy as np
+
+    import wattframe.llm.suffix_dedup as module
+    from wattframe.llm import repeats
+
+    n = 8000
+    seg = np.zeros(n + 2, repeats.SEGMENT)
+    seg["h"], seg["c"], seg["d"], seg["n"] = 7, np.arange(n + 2), np.arange(n + 2), 60
+    seg["h"][n:] = 9
+    method = repeats.Method(100, True, None, None, None, None, None, (), module.ANCHOR_BYTES, None)
+    got = {k: 0 for k in (repeats.WANTS, repeats.WINDOW_WANTS)}
+    for batch in repeats._grouped(seg, method, 4):
+        for kind, body in zip(batch.column("kind").to_pylist(), batch.column("body")):
+            got[kind] += len(body.as_py()) // repeats.WANT.itemsize
+    assert got == {repeats.WANTS: 2, repeats.WINDOW_WANTS: n}

@@ -8,7 +8,8 @@ equal anchors at equal places, so they meet in the group of the anchor's fingerp
    segment proves its windows unique;
 2. of segments with equal content the first is kept and all windows of the others are marked at once;
 3. only first segments whose anchor has several contents (ends of passages, places of edits) need a look at the
-   text: they are cut out of the documents and compared by the caller's method;
+   text: they are cut out of the documents and compared by the caller's method. Of an anchor with more text than
+   the method holds at once, windows are cut out one by one as fingerprints instead, and meet by these;
 4. marks meet their documents again in buckets of documents.
 
 ``earlier`` means a smaller doc_id or, with ``within``, the same doc_id and an earlier start. Rows that repeat
@@ -34,7 +35,9 @@ SEGMENT = np.dtype([("h", "<u8"), ("c", "<u8"), ("d", "<i8"), ("s", "<u4"), ("n"
 MARK = np.dtype([("d", "<i8"), ("t", "<u4"), ("s", "<u4"), ("n", "<u2")])
 #: As a segment, wanted from the document's text.
 WANT = np.dtype([("d", "<i8"), ("t", "<u4"), ("s", "<u4"), ("n", "<u2"), ("h", "<u8")])
-TEXTS, MARKS, WANTS = 0, 1, 2
+#: A window of an anchor with much text: fingerprints of window and anchor.
+WINDOW = np.dtype([("c", "<u8"), ("h", "<u8"), ("d", "<i8"), ("t", "<u4"), ("s", "<u4")])
+TEXTS, MARKS, WANTS, WINDOW_WANTS, WINDOWS = 0, 1, 2, 3, 4
 
 
 @dataclass(frozen=True)
@@ -42,7 +45,8 @@ class Method:
     """What differs between units.
 
     cut(off, data) -> (text number, segments without d and t); fetch(text, wants) -> (keys, records);
-    judge(records of a bucket) -> marks; finish(doc, text, marks) -> values of ``columns``.
+    judge(records of a bucket) -> marks; finish(doc, text, marks) -> values of ``columns``. ``most``: units of text
+    of one anchor that judge compares at once (None: any); split(text, wants) -> windows of anchors with more.
     """
 
     window: int
@@ -53,6 +57,8 @@ class Method:
     judge: Callable
     finish: Callable
     columns: tuple[tuple[str, str], ...]
+    most: int | None = None
+    split: Callable | None = None
 
 
 def tag(text) -> int:
@@ -89,8 +95,9 @@ def _texts(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Recor
             yield pa.record_batch([pa.array(keys, pa.int32()), pa.array([TEXTS] * len(keys), pa.int32()), pa.array(bodies, pa.binary())], schema=parcels.SCHEMA)
 
 
-def _grouped(seg: np.ndarray, within: bool, buckets: int) -> Iterator[pa.RecordBatch]:
+def _grouped(seg: np.ndarray, method: Method, buckets: int) -> Iterator[pa.RecordBatch]:
     """Marks for copies, wants for first segments of anchors with several contents."""
+    within = method.within
     order = np.argsort(seg["h"])
     h = seg["h"][order]
     same = h[1:] == h[:-1]
@@ -112,7 +119,12 @@ def _grouped(seg: np.ndarray, within: bool, buckets: int) -> Iterator[pa.RecordB
     if not within:  # one document alone marks nothing
         low, high = np.minimum.reduceat(seg["d"], np.flatnonzero(new_h)), np.maximum.reduceat(seg["d"], np.flatnonzero(new_h))
         several &= (low < high)[group]
-    for chosen, dtype, kind in ((seg[later], MARK, MARKS), (seg[several & ~later], WANT, WANTS)):
+    wanted = several & ~later
+    large = np.zeros(len(seg), bool)
+    if method.most is not None:
+        units = np.bincount(group, weights=wanted * (seg["n"] + float(method.window - 1)))
+        large = (units > method.most)[group]
+    for chosen, dtype, kind in ((seg[later], MARK, MARKS), (seg[wanted & ~large], WANT, WANTS), (seg[wanted & large], WANT, WINDOW_WANTS)):
         out = np.zeros(len(chosen), dtype)
         for name in dtype.names:
             out[name] = chosen[name]
@@ -141,11 +153,24 @@ class _Documents:
 
 
 def _fetched(table: pa.Table, method: Method, buckets: int) -> Iterator[pa.RecordBatch]:
-    wants = parcels.records(table, WANT, WANTS)
-    if not len(wants):
+    wants, windows = parcels.records(table, WANT, WANTS), parcels.records(table, WANT, WINDOW_WANTS)
+    if not len(wants) + len(windows):
         return
+    documents = _Documents(table)
+    if len(windows):
+        seen, out, held = set(), [], 0
+        for (d, _, text, t), own in documents.with_records(windows):
+            if len(own) and (d, t) not in seen:
+                seen.add((d, t))
+                out.append(method.split(text, own))
+                held += out[-1].nbytes
+                if held > parcels.FLUSH_BYTES:
+                    yield _windows(out, buckets)
+                    out, held = [], 0
+        if out:
+            yield _windows(out, buckets)
     seen, keys, out = set(), [], []
-    for (d, _, text, t), own in _Documents(table).with_records(wants):
+    for (d, _, text, t), own in documents.with_records(wants):
         if len(own) and (d, t) not in seen:
             seen.add((d, t))
             k, r = method.fetch(text, own)
@@ -166,11 +191,37 @@ def _fetched(table: pa.Table, method: Method, buckets: int) -> Iterator[pa.Recor
     )
 
 
+def _windows(parts: list[np.ndarray], buckets: int) -> pa.RecordBatch:
+    found = np.concatenate(parts)
+    return parcels.rows((found["c"] % np.uint64(buckets)).astype(np.int32), found, WINDOWS)
+
+
+def _later_windows(found: np.ndarray, within: bool) -> np.ndarray:
+    """Marks for windows that also start earlier, by their fingerprints."""
+    found = found[np.lexsort((found["s"], found["d"], found["h"], found["c"]))]
+    new = np.append(True, (found["c"][1:] != found["c"][:-1]) | (found["h"][1:] != found["h"][:-1]))
+    first = found[np.flatnonzero(new)][np.cumsum(new) - 1]
+    later = found["d"] > first["d"]
+    if within:
+        later |= (found["d"] == first["d"]) & (found["s"] > first["s"])
+    out = np.zeros(int(later.sum()), MARK)
+    for name in ("d", "t", "s"):
+        out[name] = found[name][later]
+    out["n"] = 1
+    return out
+
+
 def _judged(table: pa.Table, method: Method, buckets: int) -> Iterator[pa.RecordBatch]:
+    windows = parcels.records(table, WINDOW, WINDOWS)
+    if len(windows):
+        marks = _later_windows(windows, method.within)
+        if len(marks):
+            yield parcels.rows(_home(marks["d"], buckets), marks, MARKS)
     if method.found is not None:
         found = parcels.records(table, method.found)
     else:
-        found = b"".join(x.as_buffer().to_pybytes() for x in table.column("body"))
+        kinds = table.column("kind").to_pylist()
+        found = b"".join(x.as_buffer().to_pybytes() for x, k in zip(table.column("body"), kinds) if k == 0)
     marks = method.judge(found)
     if len(marks):
         yield parcels.rows(_home(marks["d"], buckets), marks, MARKS)
@@ -201,10 +252,10 @@ def mark_repeats(docs: DataFrame, method: Method, id_col: str = "doc_id", text_c
 
     segments = source.mapInArrow(lambda it: _segments(it, method, buckets), parcels.DDL)
     sorted_out = cut_lineage(
-        spread(segments).applyInArrow(lambda t: _as_table(_grouped(parcels.records(t, SEGMENT), method.within, buckets)), parcels.DDL)
+        spread(segments).applyInArrow(lambda t: _as_table(_grouped(parcels.records(t, SEGMENT), method, buckets)), parcels.DDL)
     )
     texts = source.mapInArrow(lambda it: _texts(it, buckets), parcels.DDL)
-    fetched = spread(texts.union(sorted_out.where(f"kind = {WANTS}"))).applyInArrow(
+    fetched = spread(texts.union(sorted_out.where(f"kind IN ({WANTS}, {WINDOW_WANTS})"))).applyInArrow(
         lambda t: _as_table(_fetched(t, method, buckets)), parcels.DDL
     )
     judged = spread(fetched).applyInArrow(lambda t: _as_table(_judged(t, method, buckets)), parcels.DDL)

@@ -5,7 +5,8 @@ order, each behind a terminator of its own, and keeps a run-compressed Burrows-W
 lengths of the runs, the text position sampled at each run's end, and, for each class of rows that agree in the
 first ``window`` bytes, the sampled earliest start. Every snippet is then streamed backwards through the index,
 one LF step for each byte, all snippets of the shard at once; the matching statistic against earlier text reaches
-``window`` where the row lies in a class with an earlier start, and that window is marked.
+``window`` where the row lies in a class with an earlier start, and that window is marked. Windows of an anchor with
+more text than an index may hold are told apart by their fingerprints, dealt over all tasks.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ import hashlib
 import numpy as np
 from pyspark.sql import DataFrame
 
-from wattframe.llm.repeats import MARK, SEGMENT, Method, mark_repeats
+from wattframe.llm.repeats import MARK, SEGMENT, WINDOW, Method, mark_repeats
 from wattframe.llm.rolling import BYTES, Rolling, sliding_min
 
 #: Bytes of an anchor. A window of 100 bytes holds 69 of them and is known by the least fingerprint among these.
@@ -75,6 +76,21 @@ def _fetch(window: int):
     return fetch
 
 
+def _split(window: int):
+    def split(text: bytes, wants: np.ndarray) -> np.ndarray:
+        """The wanted windows one by one, known by fingerprints of themselves and of their anchors."""
+        parts = []
+        for want in wants:
+            s, n = int(want["s"]), int(want["n"])
+            out = np.zeros(n, WINDOW)
+            out["c"] = Rolling(BYTES[np.frombuffer(text, np.uint8, n + window - 1, s)], 1).every(window)
+            out["h"], out["d"], out["t"], out["s"] = want["h"], want["d"], want["t"], s + np.arange(n)
+            parts.append(out)
+        return np.concatenate(parts)
+
+    return split
+
+
 class RunLengthIndex:
     """Run-compressed transform of snippets (``codes``: bytes plus one, 0 ends a snippet; ``ends``: the 0s)."""
 
@@ -158,8 +174,9 @@ def _sorted_rank(codes: np.ndarray, ends: np.ndarray, window: int):
     return rank, agree
 
 
-#: Text of one run-length index. Snippets of one anchor stay together; an anchor with more text has its own.
-SHARD_BYTES = 1 << 19
+#: Text of one run-length index, which takes about 80 bytes for each of text. Snippets of one anchor stay together. An
+#: anchor with more text than ANCHOR_BYTES has no index: equal windows also have equal fingerprints, and meet by these.
+SHARD_BYTES = ANCHOR_BYTES = 1 << 19
 
 
 def _judge(window: int):
@@ -260,5 +277,5 @@ def suffix_dedup(docs: DataFrame, window: int = 100, keep_text: bool = False, id
     if window < 16:
         raise ValueError("a window has 16 bytes at least")
     columns = (("n_bytes", "bigint"), ("n_removed", "bigint"), ("n_spans", "bigint"), ("kept_sha256", "string"))
-    method = Method(window, True, _cut(window), _fetch(window), None, _judge(window), _finish(window, keep_text), columns + ((("kept", "binary"), ("text_sha256", "string")) if keep_text else ()))
+    method = Method(window, True, _cut(window), _fetch(window), None, _judge(window), _finish(window, keep_text), columns + ((("kept", "binary"), ("text_sha256", "string")) if keep_text else ()), ANCHOR_BYTES, _split(window))
     return mark_repeats(docs, method, id_col, text_col)
