@@ -31,3 +31,12 @@ def test_small_hosts(spark):
     for i in range(3):
         add(None, [article(i), NOTE], [article(i), NOTE])
     assert texts(spark, rows) == want
+
+
+def test_short_blocks(spark):
+    article = lambda i: " ".join(f"word{i}x{k}" for k in range(12))
+    rows = [(i, f"http://h/{i}", f"<p>{article(i)}</p><p>Read more</p><p>Read more</p><div>Number {i}</div><p>{'Few' if i < 9 else 'Many'} words</p>") for i in range(20)]
+    rows += [(20, "http://two/0", "<p>Read more</p><p>one</p>"), (21, "http://two/1", "<p>Read more</p><p>two</p>"), (22, "http://one/1", "<p>Read more</p>")]
+    got = texts(spark, rows)
+    assert all(got[i] == "\n\n".join([article(i), f"Number {i}", *["Few words"] * (i < 9)]) for i in range(20))
+    assert (got[20], got[21], got[22]) == ("one", "two", "Read more")

@@ -5,7 +5,7 @@ or comments and the like) are left out, and where a page marks its article only
 host's pages is concatenated as token streams, a few dozen pages at a time, and a suffix array finds the runs of at
 least RUN tokens that distinct pages share. Runs on half of a host's pages or more (on small hosts: on four, or on all
 of fewer) are its boilerplate and are removed where they cover them, unless all these pages have one and the same
-text; unique runs stay.
+text; unique runs stay. A block of fewer than RUN tokens is one run of its own length.
 """
 
 from __future__ import annotations
@@ -151,6 +151,22 @@ def run_prints(tokens: np.ndarray, starts: np.ndarray, run: int = RUN) -> np.nda
     return np.array([xxhash.xxh3_64_intdigest(raw[8 * s : 8 * (s + run)]) for s in starts.tolist()], np.uint64).view(np.int64)
 
 
+def repeated_blocks(streams: list[np.ndarray], owner: list[int], articles: np.ndarray, run: int = RUN) -> tuple[np.ndarray, ...]:
+    """As ``repeated_runs``, of whole blocks of fewer than ``run`` tokens; each is a run of its own length."""
+    short = [i for i, s in enumerate(streams) if 0 < len(s) < run]
+    cells = np.unique(np.array([(block_print(streams[i]), owner[i]) for i in short], np.int64).reshape(-1, 2), axis=0)
+    if not len(cells):
+        return (np.zeros(0, np.int64),) * 4
+    edge = np.flatnonzero(np.append(True, cells[1:, 0] != cells[:-1, 0]))
+    pages, text = np.diff(np.append(edge, len(cells))), articles[cells[:, 1]]
+    some = pages > 1
+    return cells[edge, 0][some], pages[some], np.minimum.reduceat(text, edge)[some], np.maximum.reduceat(text, edge)[some]
+
+
+def block_print(tokens: np.ndarray) -> int:
+    return int(run_prints(tokens, np.zeros(1, int), len(tokens))[0])
+
+
 def _stream(text: str) -> np.ndarray:
     return np.array([xxhash.xxh3_64_intdigest(w) | 1 for w in text.split()], np.uint64)
 
@@ -159,7 +175,9 @@ def _runs(table: pa.Table) -> pa.Table:
     pages, texts = table.num_rows, table.column("text").to_pylist()
     blocks = [(i, b) for i, t in enumerate(texts) for b in t.split(BREAK)]
     articles = np.array([xxhash.xxh3_64_intdigest(t) for t in texts], np.uint64).view(np.int64)
-    prints, n, low, high = repeated_runs([_stream(b) for _, b in blocks], [i for i, _ in blocks], articles)
+    streams, owner = [_stream(b) for _, b in blocks], [i for i, _ in blocks]
+    found = zip(repeated_runs(streams, owner, articles), repeated_blocks(streams, owner, articles))
+    prints, n, low, high = (np.concatenate(x) for x in found)
     often = n >= max(2, SHARE / 2 * pages)
     host = table.column("host")[0].as_py() if pages else ""
     columns = {"run": prints, "pages": n, "low": low, "high": high}
@@ -167,10 +185,12 @@ def _runs(table: pa.Table) -> pa.Table:
 
 
 def without_runs(text: str, runs: set[int], run: int = RUN) -> str:
-    """Blocks without the tokens that the runs cover; blocks with nothing left go."""
+    """Blocks without the tokens that the runs cover; blocks with nothing left, and short ones that are a run, go."""
     known, out = np.array(sorted(runs), np.int64), []
     for block in text.split(BREAK):
         tokens = _stream(block)
+        if 0 < len(tokens) < run and block_print(tokens) in runs:
+            continue
         starts = np.arange(max(0, len(tokens) - run + 1))
         hit = starts[np.isin(run_prints(tokens, starts, run), known)]
         step = np.zeros(len(tokens) + 1, np.int64)
