@@ -88,12 +88,14 @@ STAGES = [
     ("mixing", mixing),
     ("best_fit_packing", packing),
 ]
-#: Learned scores, signatures and evolved packings are not SQL; tests hold the stages against brute force.
+#: Learned scores, signatures and evolved packings are not SQL; tests/llm/test_pipeline.py holds the stages against plain Python.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages; what each but the last returns is written as Parquet to a folder of its own and read by the next."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    for k, (_, stage) in enumerate(STAGES, 1):
         docs = stage(spark, docs, sf_dir)
+        docs = written(docs) if k < len(STAGES) else docs
     return docs
