@@ -88,3 +88,27 @@ def test_each_row_gets_its_own_copies(spark, tmp_path):
     assert got.columns == docs.columns
     assert Counter(r["size"] for r in got.collect()) == +want
     assert p.mixing(spark, docs.limit(0), str(tmp_path)).collect() == []
+
+
+def test_whole_run(spark, tmp_path, monkeypatch):
+    """Rows of the whole chain, and what each stage reads: the input, then what its predecessor wrote."""
+    import zlib
+
+    import numpy as np
+    import pytest
+    from tokenizers import Tokenizer
+
+    tokens = Tokenizer.from_file(pytest.importorskip("public_tokenizers").path("word_bpe_49k.json"))
+    a = words(30)
+    clean = [(1, a, "a"), (None, a, "b"), (2, a + " " + words(31, 20), "a"), (None, words(32), "a"), (None, words(33), None), (4, words(34), "b"), (4, words(35), "b"), (5, words(36), "a"), (5, words(36), "a")]
+    toxic = labelled(spark, tmp_path)
+    table(spark, clean + [r for r in toxic if "stinker" in r[1]] + [(None, "plain stinker", "a"), (4, "junk stinker", "a")]).write.parquet(f"{tmp_path}/documents.parquet")
+    read = []
+    spied = lambda f: lambda s, docs, d: (read.append(docs.inputFiles()), f(s, docs, d))[1]
+    monkeypatch.setattr(p, "STAGES", [(n, spied(f)) for n, f in p.STAGES])
+    got = Counter((r.doc_id, r.ids_crc32) for r in p.run(spark, str(tmp_path)).collect())
+    left = [r for i, r in enumerate(clean) if i not in (1, 8)]
+    want = {(d, zlib.crc32(np.array(tokens.encode(t, add_special_tokens=False).ids + [1], "<u4").tobytes())) for (d, _, _), t in zip(left, cut(left))}
+    assert set(got) <= want and len(want) == 7 and all(n <= 2 for n in got.values())
+    assert all(str(tmp_path) in x for x in read[0]) and all("/written-" in x for files in read[1:] for x in files) and all(read)
+    assert len({x.rpartition("/")[0] for files in read for x in files}) == len(p.STAGES)
