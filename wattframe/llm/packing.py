@@ -11,7 +11,6 @@ many shards packed together.
 from __future__ import annotations
 
 import bisect
-import os
 import zlib
 from collections.abc import Iterator
 from itertools import chain
@@ -22,98 +21,29 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattframe.llm import parcels
+from wattframe.llm.token_ids import Encoder
 from wattframe.session import cut_lineage
 
 CAPACITY, END_ID = 4096, 1
 SHARD_PIECES, ISLANDS, EPOCHS, GENERATIONS, POPULATION = 2048, 3, 2, 6, 6
-#: Words whose ids a task remembers.
-REMEMBERED = 400_000
-WORDS_AT_ONCE = 1_000_000
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
-_memory: dict[str, tuple] = {}
-
-
-def _packed(ids) -> bytes:
-    return np.asarray(ids, "<u4").tobytes()
-
-
-def _tokenizer(path: str | None):
-    if path not in _memory:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        if path is None:
-            import public_tokenizers
-
-            found = public_tokenizers.path("word_bpe_49k.json")
-        tokenizer = Tokenizer.from_file(found if path is None else path)
-        vocabulary = tokenizer.get_vocab()
-        ends = np.zeros(max(vocabulary.values()) + 1, bool)
-        ends[[i for w, i in vocabulary.items() if w.endswith("</w>")]] = True
-        mark = {m: _packed(tokenizer.encode(m.decode(), add_special_tokens=False).ids) for m in (b"", b".", b",")}
-        _memory[path] = (tokenizer, {}, ends, mark)
-    return _memory[path]
-
-
-def _learn(words: list[bytes], path: str | None) -> None:
-    """Ids of words not seen yet. Words of letters alone are one pre-token, so many are encoded in one call and
-    their ids cut behind each end of word; a full stop or comma behind letters is a pre-token of its own."""
-    tokenizer, known, ends, mark = _tokenizer(path)
-    stems: dict[bytes, list[tuple[bytes, bytes]]] = {}
-    other = []
-    for w in words:
-        tail = w[-1:] if w[-1:] in (b".", b",") else b""
-        stem = w[: len(w) - len(tail)]
-        if stem.decode().isalpha():
-            stems.setdefault(stem, []).append((w, tail))
-        else:
-            other.append(w)
-    new = [x for x in stems if x not in known]
-    ids = np.array(tokenizer.encode_batch_fast([b" ".join(new).decode()], add_special_tokens=False)[0].ids, np.int64) if new else np.zeros(0, np.int64)
-    cut = np.flatnonzero(ends[ids]) + 1
-    if len(cut) == len(new) and (not len(cut) or cut[-1] == len(ids)):
-        for w, part in zip(new, np.split(ids, cut[:-1])):
-            known[w] = _packed(part)
-    else:
-        other += new
-    for w, e in zip(other, tokenizer.encode_batch_fast([w.decode() for w in other], add_special_tokens=False)):
-        known[w] = _packed(e.ids)
-    for stem, forms in stems.items():
-        for w, tail in forms:
-            known[w] = known[stem] + mark[tail]
-
-
-def token_ids(text: bytes, path: str | None = None) -> np.ndarray:
-    """Ids of a text. The tokenizer never joins what white space separates, so words are encoded once each."""
-    known = _tokenizer(path)[1]
-    # Its lower case covers that of ASCII letters; its special tokens are told apart before.
-    words = (text if b"<|" in text else text.lower()).split()
-    out = []
-    for at in range(0, len(words), WORDS_AT_ONCE):
-        some = words[at : at + WORDS_AT_ONCE]
-        new = list(set(some).difference(known))
-        if len(known) + len(new) > REMEMBERED:
-            known.clear()
-            new = list(set(some))
-        if new:
-            _learn(new, path)
-        out.append(np.frombuffer(b"".join(map(known.__getitem__, some)), "<u4"))
-    return np.concatenate(out) if out else np.zeros(0, "<u4")
 
 
 def _pieces(batches: Iterator[pa.RecordBatch], path: str | None, capacity: int, end_id: int) -> Iterator[pa.RecordBatch]:
+    encoder, end = Encoder(path), np.array([end_id], "<u4").tobytes()
+    kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
     for batch in batches:
         off, data = parcels.utf8(batch.column(1))
         numbers, missing = parcels.ids(batch.column(0))
         out: list[list] = [[] for _ in range(5)]
-        for i in range(len(batch)):
-            ids = np.append(token_ids(data[off[i] : off[i + 1]].tobytes(), path), np.uint32(end_id)).astype("<u4")
-            for n, start in enumerate(range(0, len(ids), capacity)):
-                part = ids[start : start + capacity]
-                for column, value in zip(out, (None if missing[i] else int(numbers[i]), n, start, len(part), zlib.crc32(part.tobytes()))):
+        for i, ids in enumerate(encoder.encode(off, data)):
+            ids += end
+            for n, start in enumerate(range(0, len(ids), 4 * capacity)):
+                part = ids[start : start + 4 * capacity]
+                for column, value in zip(out, (None if missing[i] else int(numbers[i]), n, start // 4, len(part) // 4, zlib.crc32(part))):
                     column.append(value)
-        kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
         yield pa.record_batch([pa.array(c, k) for c, k in zip(out, kinds)], names=[x.split()[0] for x in PIECES.split(", ")])
+    encoder.close()
 
 
 def best_fit(sizes: np.ndarray, items: list[int], bins: list[list[int]], free: list[int], capacity: int) -> None:
