@@ -59,3 +59,11 @@ def written(df: DataFrame) -> DataFrame:
     folder = f"{shared_folder(df.sparkSession)}/written-{uuid.uuid4().hex}"
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def drop_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder that a job of ours wrote below the shared one."""
+    if not folder.startswith(shared_folder(spark) + "/"):
+        raise ValueError(f"{folder} is not below the shared folder")
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
