@@ -14,6 +14,7 @@ from wattframe.llm.mixing import MIX_SQL, mix_sources
 from wattframe.llm.packing import pack_documents
 from wattframe.llm.substring_dedup import substring_dedup
 from wattframe.llm.suffix_dedup import suffix_dedup
+from wattframe.llm.token_store import token_store
 from wattframe.llm.topk import TOPK_SQL, topk_search
 from wattframe.llm.toxicity import score_toxicity
 from wattframe.llm.warc import WARC_SQL, archived_pages
@@ -69,10 +70,14 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op12_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_store(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_topk_search, op2_suffix_dedup, op3_substring_dedup, op4_warc_archives, op5_toxicity, op6_near_duplicates, op7_packing,
-        op8_embedding_dedup, op9_main_text, op10_mixing,
+        op8_embedding_dedup, op9_main_text, op10_mixing, op12_token_store,
     )
     return {f.__name__: f for f in found}
 
