@@ -18,7 +18,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(q.oracle_sql()))
 def test_against_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "pages"):
+    for t in ("documents", "embeddings", "pages", "conversations"):
         con.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
     df = q.queries()[name](spark, SF)
     want = con.execute(q.oracle_sql()[name]).fetchall()

@@ -12,6 +12,7 @@ from wattframe.llm.embed_dedup import embedding_dedup
 from wattframe.llm.main_text import main_text
 from wattframe.llm.mixing import MIX_SQL, mix_sources
 from wattframe.llm.packing import pack_documents
+from wattframe.llm.prefix_trie import TRIE_SQL, prefix_trie
 from wattframe.llm.substring_dedup import substring_dedup
 from wattframe.llm.suffix_dedup import suffix_dedup
 from wattframe.llm.token_store import token_store
@@ -74,13 +75,19 @@ def op12_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store(_table(spark, sf_dir, "documents"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(_table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_topk_search, op2_suffix_dedup, op3_substring_dedup, op4_warc_archives, op5_toxicity, op6_near_duplicates, op7_packing,
-        op8_embedding_dedup, op9_main_text, op10_mixing, op12_token_store,
+        op8_embedding_dedup, op9_main_text, op10_mixing, op12_token_store, op13_prefix_trie,
     )
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_topk_search": TOPK_SQL, "op4_warc_archives": WARC_SQL, "op10_mixing": MIX_SQL.replace("{docs}", "documents")}
+    return {
+        "op1_topk_search": TOPK_SQL, "op4_warc_archives": WARC_SQL, "op10_mixing": MIX_SQL.replace("{docs}", "documents"), "op13_prefix_trie": TRIE_SQL,
+    }
