@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattframe.llm.bag_minhash import near_duplicates
+from wattframe.llm.conversation_repair import REPAIR_SQL, conversation_repair, damaged
 from wattframe.llm.embed_dedup import embedding_dedup
 from wattframe.llm.main_text import main_text
 from wattframe.llm.mixing import MIX_SQL, mix_sources
@@ -71,6 +72,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair(damaged(_table(spark, sf_dir, "conversations")))
+
+
 def op12_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store(_table(spark, sf_dir, "documents"))
 
@@ -82,12 +87,13 @@ def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_topk_search, op2_suffix_dedup, op3_substring_dedup, op4_warc_archives, op5_toxicity, op6_near_duplicates, op7_packing,
-        op8_embedding_dedup, op9_main_text, op10_mixing, op12_token_store, op13_prefix_trie,
+        op8_embedding_dedup, op9_main_text, op10_mixing, op11_conversation_repair, op12_token_store, op13_prefix_trie,
     )
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
     return {
-        "op1_topk_search": TOPK_SQL, "op4_warc_archives": WARC_SQL, "op10_mixing": MIX_SQL.replace("{docs}", "documents"), "op13_prefix_trie": TRIE_SQL,
+        "op1_topk_search": TOPK_SQL, "op4_warc_archives": WARC_SQL, "op10_mixing": MIX_SQL.replace("{docs}", "documents"), "op11_conversation_repair": REPAIR_SQL,
+        "op13_prefix_trie": TRIE_SQL,
     }
