@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattframe.llm import parcels
-from wattframe.llm.token_ids import Encoder
+from wattframe.llm.token_ids import encoder, release_memory
 from wattframe.session import cut_lineage
 
 CAPACITY, END_ID = 4096, 1
@@ -30,20 +30,20 @@ PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigin
 
 
 def _pieces(batches: Iterator[pa.RecordBatch], path: str | None, capacity: int, end_id: int) -> Iterator[pa.RecordBatch]:
-    encoder, end = Encoder(path), np.array([end_id], "<u4").tobytes()
+    encode, end = encoder(path).encode, np.array([end_id], "<u4").tobytes()
     kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
     for batch in batches:
         off, data = parcels.utf8(batch.column(1))
         numbers, missing = parcels.ids(batch.column(0))
         out: list[list] = [[] for _ in range(5)]
-        for i, ids in enumerate(encoder.encode(off, data)):
+        for i, ids in enumerate(encode(off, data)):
             ids += end
             for n, start in enumerate(range(0, len(ids), 4 * capacity)):
                 part = ids[start : start + 4 * capacity]
                 for column, value in zip(out, (None if missing[i] else int(numbers[i]), n, start // 4, len(part) // 4, zlib.crc32(part))):
                     column.append(value)
         yield pa.record_batch([pa.array(c, k) for c, k in zip(out, kinds)], names=[x.split()[0] for x in PIECES.split(", ")])
-    encoder.close()
+    release_memory()
 
 
 def best_fit(sizes: np.ndarray, items: list[int], bins: list[list[int]], free: list[int], capacity: int) -> None:

@@ -1,14 +1,14 @@
 """Ids of texts by a tokenizer whose words never reach over white space.
 
-The words of a few MB of text are looked up together. Only words not seen by the task yet go to the tokenizer, all in
-one call, and the ids of a text are put together from those of its words. What a task remembers is bounded and given
-back at its end, as workers live on for other stages.
+The words of a few MB of text are looked up together. Only words not seen by the worker yet go to the tokenizer, all in
+one call, and the ids of a text are put together from those of its words. What a worker remembers is bounded.
 """
 
 from __future__ import annotations
 
 import ctypes
 import os
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,8 +16,8 @@ import pyarrow as pa
 
 from wattframe.llm import parcels
 
-#: Words whose ids a task remembers (about 200 bytes each), bytes of text encoded together.
-REMEMBERED, CHUNK_BYTES = 300_000, 4 << 20
+#: Words whose ids a worker remembers (about 200 bytes each), bytes of text encoded together.
+REMEMBERED, CHUNK_BYTES = 250_000, 4 << 20
 
 
 def release_memory() -> None:
@@ -38,7 +38,7 @@ class Encoder:
 
     def __init__(self, path: str | None = None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         if path is None:
             import public_tokenizers
@@ -50,44 +50,54 @@ class Encoder:
         self.ends = np.zeros(self.vocabulary_size, bool)
         self.ends[[i for w, i in vocabulary.items() if w.endswith("</w>")]] = True
         self.mark = {m: _packed(self.tokenizer.encode(m.decode(), add_special_tokens=False).ids) for m in (b"", b".", b",")}
+        # The same model for words that are normal already and parted by spaces.
+        self.latin = Tokenizer.from_file(path)
+        self.latin.normalizer = normalizers.Sequence([])
+        self.latin.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.known: dict[bytes, bytes] = {}
 
     def _learn(self, words: list[bytes]) -> dict[bytes, bytes]:
         """Ids of words. Words of letters alone are one pre-token, so all are encoded in one call and their ids cut
         behind each end of word; a full stop or comma behind letters is a pre-token of its own."""
-        stems: dict[bytes, list[tuple[bytes, bytes]]] = {}
-        other, out = [], {}
-        for w in words:
-            tail = w[-1:] if w[-1:] in (b".", b",") else b""
-            stem = w[: len(w) - len(tail)]
-            if stem.decode().isalpha():
-                stems.setdefault(stem, []).append((w, tail))
+        place: dict[str, int] = {}
+        stems, other, out = [], [], {}
+        for w, t in zip(words, b"\n".join(words).decode().split("\n")):
+            if t.isalpha():
+                stems.append((w, place.setdefault(t, len(place)), b""))
+            elif t[-1] in ".," and t[:-1].isalpha():
+                stems.append((w, place.setdefault(t[:-1], len(place)), t[-1:].encode()))
             else:
-                other.append(w)
-        new = list(stems)
-        ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(new).decode()], add_special_tokens=False)[0].ids, "<u4") if new else np.zeros(0, "<u4")
-        cut = np.flatnonzero(self.ends[ids]) + 1
-        if len(cut) == len(new) and (not len(cut) or cut[-1] == len(ids)):
-            raw, at = ids.tobytes(), 0
-            found = {}
-            for w, to in zip(new, (4 * cut).tolist()):
-                found[w] = raw[at:to]
-                at = to
-        else:
-            found = {w: _packed(e.ids) for w, e in zip(new, self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False))}
-        for w, e in zip(other, self.tokenizer.encode_batch_fast([w.decode() for w in other], add_special_tokens=False)):
+                other.append((w, t))
+        found = self._letters(list(place))
+        mark = self.mark
+        for w, at, tail in stems:
+            out[w] = found[at] + mark[tail]
+        for (w, _), e in zip(other, self.tokenizer.encode_batch_fast([t for _, t in other], add_special_tokens=False)):
             out[w] = _packed(e.ids)
-        for stem, forms in stems.items():
-            for w, tail in forms:
-                out[w] = found[stem] + self.mark[tail]
         return out
 
+    def _letters(self, words: list[str]) -> list[bytes]:
+        """Ids of words of letters."""
+        if not words:
+            return []
+        joined = " ".join(words)
+        plain = joined.lower()
+        # Latin letters that are composed already and whose lower case is the same to everyone need no normalizer.
+        tokenizer = self.latin if max(plain) < "\u0130" and unicodedata.is_normalized("NFC", plain) else self.tokenizer
+        ids = np.array(tokenizer.encode_batch_fast([plain if tokenizer is self.latin else joined], add_special_tokens=False)[0].ids, "<u4")
+        cut = 4 * (np.flatnonzero(self.ends[ids]) + 1)
+        if len(cut) != len(words) or cut[-1] != 4 * len(ids):
+            return [_packed(e.ids) for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        raw, cuts = ids.tobytes(), cut.tolist()
+        return [raw[a:b] for a, b in zip([0, *cuts], cuts)]
+
     def _ids(self, texts: list[bytes]) -> list[bytes]:
         # The tokenizer's lower case covers that of ASCII letters; its special tokens are told apart before.
         words = [(t if b"<|" in t else t.lower()).split() for t in texts]
         new = set().union(*words).difference(self.known)
         known = self.known
         if new:
+            # A tokenizer's ids of words do not change, so a worker may keep them.
             learned = self._learn(list(new))
             if len(known) + len(learned) <= REMEMBERED:
                 known.update(learned)
@@ -113,6 +123,13 @@ class Encoder:
             yield self._ids([text[at:to]])[0]
             at = to
 
-    def close(self) -> None:
-        self.known.clear()
-        release_memory()
+
+_kept: dict[str | None, Encoder] = {}
+
+
+def encoder(path: str | None = None) -> Encoder:
+    """The encoder of this worker; what it remembers serves the worker's next tasks too."""
+    if path not in _kept:
+        _kept.clear()
+        _kept[path] = Encoder(path)
+    return _kept[path]

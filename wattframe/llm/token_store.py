@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wattframe.llm import parcels
-from wattframe.llm.token_ids import Encoder, release_memory
+from wattframe.llm.token_ids import encoder, release_memory
 from wattframe.session import cut_lineage, drop_folder, shared_folder
 
 END_ID = 2
@@ -182,8 +182,8 @@ class Shard:
 
 
 def _shard_rows(batches: Iterator[pa.RecordBatch], path: str | None, end_id: int) -> Iterator[pa.RecordBatch]:
-    encoder = Encoder(path)
-    width = 2 if max(encoder.vocabulary_size - 1, end_id) < 1 << 16 else 4
+    words = encoder(path)
+    width = 2 if max(words.vocabulary_size - 1, end_id) < 1 << 16 else 4
     end = np.array([end_id], f"<u{width}").tobytes()
     row = lambda body: pa.record_batch([pa.array([body], pa.binary())], names=["value"])
     docs, nulls, counts, offsets, at, held, block = [], [], [], [], 0, 0, []
@@ -192,7 +192,7 @@ def _shard_rows(batches: Iterator[pa.RecordBatch], path: str | None, end_id: int
         numbers, missing = parcels.ids(batch.column(0))
         docs.append(numbers)
         nulls.append(missing)
-        for ids in encoder.encode(off, data):
+        for ids in words.encode(off, data):
             raw = (np.frombuffer(ids, "<u4").astype("<u2").tobytes() if width == 2 else ids) + end
             offsets.append(at + held)
             counts.append(len(raw) // width)
@@ -206,7 +206,7 @@ def _shard_rows(batches: Iterator[pa.RecordBatch], path: str | None, end_id: int
     if docs:
         doc, null, n = np.concatenate(docs), np.concatenate(nulls), np.array(counts, np.int64)
         yield row(footer(TaskContext.get().partitionId(), width, numbered(doc, null), np.array(offsets), np.cumsum(n) - n, n))
-    encoder.close()
+    release_memory()
 
 
 def write_token_shards(
