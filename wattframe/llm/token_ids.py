@@ -1,7 +1,7 @@
 """Ids of texts by a tokenizer whose words never reach over white space.
 
-The words of a few MB of text are looked up together. Only words not seen by the worker yet go to the tokenizer, all in
-one call, and the ids of a text are put together from those of its words. What a worker remembers is bounded.
+The words of a few MB of text are looked up together. Only words not seen by the worker yet go to the tokenizer, and the
+ids of a text are put together from those of its words. What a worker remembers is bounded.
 """
 
 from __future__ import annotations
@@ -18,6 +18,8 @@ from wattframe.llm import parcels
 
 #: Words whose ids a worker remembers (about 200 bytes each), bytes of text encoded together.
 REMEMBERED, CHUNK_BYTES = 250_000, 4 << 20
+#: Marks that are looked up apart when they stand alone behind letters; the first code point not taken for plain Latin.
+TAILS, LATIN_END = ".,!?;:)", "\u0130"
 
 
 def release_memory() -> None:
@@ -38,7 +40,7 @@ class Encoder:
 
     def __init__(self, path: str | None = None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+        from tokenizers import Tokenizer, pre_tokenizers
 
         if path is None:
             import public_tokenizers
@@ -47,31 +49,27 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         vocabulary = self.tokenizer.get_vocab()
         self.vocabulary_size = max(vocabulary.values()) + 1
-        self.ends = np.zeros(self.vocabulary_size, bool)
-        self.ends[[i for w, i in vocabulary.items() if w.endswith("</w>")]] = True
-        self.mark = {m: _packed(self.tokenizer.encode(m.decode(), add_special_tokens=False).ids) for m in (b"", b".", b",")}
-        # The same model for words that are normal already and parted by spaces.
-        self.latin = Tokenizer.from_file(path)
-        self.latin.normalizer = normalizers.Sequence([])
-        self.latin.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.packed = [_packed([i]) for i in range(self.vocabulary_size)]
+        self.mark = {m: _packed(self.tokenizer.encode(m, add_special_tokens=False).ids) for m in TAILS}
+        # How the model's vocabulary spells letters: each byte of their UTF-8 as one character.
+        spelt = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.letters = {c: spelt(chr(c))[0][0] for c in range(ord(LATIN_END)) if chr(c).isalpha()}
         self.known: dict[bytes, bytes] = {}
 
     def _learn(self, words: list[bytes]) -> dict[bytes, bytes]:
-        """Ids of words. Words of letters alone are one pre-token, so all are encoded in one call and their ids cut
-        behind each end of word; a full stop or comma behind letters is a pre-token of its own."""
+        """Ids of words. Letters are one pre-token, one mark behind them another."""
         place: dict[str, int] = {}
-        stems, other, out = [], [], {}
+        stems, other, out, mark = [], [], {}, self.mark
         for w, t in zip(words, b"\n".join(words).decode().split("\n")):
             if t.isalpha():
                 stems.append((w, place.setdefault(t, len(place)), b""))
-            elif t[-1] in ".," and t[:-1].isalpha():
-                stems.append((w, place.setdefault(t[:-1], len(place)), t[-1:].encode()))
+            elif t[-1] in mark and t[:-1].isalpha():
+                stems.append((w, place.setdefault(t[:-1], len(place)), mark[t[-1]]))
             else:
                 other.append((w, t))
         found = self._letters(list(place))
-        mark = self.mark
         for w, at, tail in stems:
-            out[w] = found[at] + mark[tail]
+            out[w] = found[at] + tail
         for (w, _), e in zip(other, self.tokenizer.encode_batch_fast([t for _, t in other], add_special_tokens=False)):
             out[w] = _packed(e.ids)
         return out
@@ -80,16 +78,12 @@ class Encoder:
         """Ids of words of letters."""
         if not words:
             return []
-        joined = " ".join(words)
-        plain = joined.lower()
-        # Latin letters that are composed already and whose lower case is the same to everyone need no normalizer.
-        tokenizer = self.latin if max(plain) < "\u0130" and unicodedata.is_normalized("NFC", plain) else self.tokenizer
-        ids = np.array(tokenizer.encode_batch_fast([plain if tokenizer is self.latin else joined], add_special_tokens=False)[0].ids, "<u4")
-        cut = 4 * (np.flatnonzero(self.ends[ids]) + 1)
-        if len(cut) != len(words) or cut[-1] != 4 * len(ids):
-            return [_packed(e.ids) for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        raw, cuts = ids.tobytes(), cut.tolist()
-        return [raw[a:b] for a, b in zip([0, *cuts], cuts)]
+        plain = " ".join(words).lower()
+        # Latin letters that are composed already and whose lower case is the same to everyone go to the model itself.
+        if max(plain) < LATIN_END and unicodedata.is_normalized("NFC", plain):
+            tokenize, packed = self.tokenizer.model.tokenize, self.packed
+            return [b"".join([packed[x.id] for x in tokenize(w)]) for w in plain.translate(self.letters).split(" ")]
+        return [_packed(e.ids) for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
     def _ids(self, texts: list[bytes]) -> list[bytes]:
         # The tokenizer's lower case covers that of ASCII letters; its special tokens are told apart before.
