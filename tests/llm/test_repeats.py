@@ -140,3 +140,17 @@ def test_no_index_over_much_text():
         for kind, body in zip(batch.column("kind").to_pylist(), batch.column("body")):
             got[kind] += len(body.as_py()) // repeats.WANT.itemsize
     assert got == {repeats.WANTS: 2, repeats.WINDOW_WANTS: n}
+
+
+def test_texts_whose_short_tags_clash(spark):
+    """Two texts without a doc_id, or with one, and equal 32-bit hashes."""
+    import xxhash
+
+    passage = "".join(random.Random(9).choice("abcdefgh ") for _ in range(140))
+    short = {xxhash.xxh32_intdigest(t): t for t in (f"{passage}{i}" for i in range(150_000))}
+    pair = next((short[h], t) for t in (f"{i} {passage * 2}{'word ' * 70}" for i in range(150_000)) if (h := xxhash.xxh32_intdigest(t)) in short)
+    many = "one two three four five six seven " * 9
+    for d in (None, 4):
+        rows = [(1, passage + "#" + many), (d, pair[0]), (d, pair[1] + many), (d, pair[1]), (3, many)]
+        check(spark, rows, suffix_dedup, brute_bytes)
+        check(spark, rows, substring_dedup, brute_words)

@@ -30,13 +30,13 @@ from pyspark.sql import DataFrame
 from wattframe.llm import parcels
 from wattframe.session import cut_lineage
 
-SEGMENT = np.dtype([("h", "<u8"), ("c", "<u8"), ("d", "<i8"), ("s", "<u4"), ("n", "<u2"), ("t", "<u4")])
+SEGMENT = np.dtype([("h", "<u8"), ("c", "<u8"), ("d", "<i8"), ("s", "<u4"), ("n", "<u2"), ("t", "<u8"), ("v", "<u4")])
 #: Windows [s, s + n) of the document (d, t) that also start earlier.
-MARK = np.dtype([("d", "<i8"), ("t", "<u4"), ("s", "<u4"), ("n", "<u2")])
+MARK = np.dtype([("d", "<i8"), ("t", "<u8"), ("v", "<u4"), ("s", "<u4"), ("n", "<u2")])
 #: As a segment, wanted from the document's text.
-WANT = np.dtype([("d", "<i8"), ("t", "<u4"), ("s", "<u4"), ("n", "<u2"), ("h", "<u8")])
+WANT = np.dtype([("d", "<i8"), ("t", "<u8"), ("v", "<u4"), ("s", "<u4"), ("n", "<u2"), ("h", "<u8")])
 #: A window of an anchor with much text: fingerprints of window and anchor.
-WINDOW = np.dtype([("c", "<u8"), ("h", "<u8"), ("d", "<i8"), ("t", "<u4"), ("s", "<u4")])
+WINDOW = np.dtype([("c", "<u8"), ("h", "<u8"), ("d", "<i8"), ("t", "<u8"), ("v", "<u4"), ("s", "<u4")])
 TEXTS, MARKS, WANTS, WINDOW_WANTS, WINDOWS = 0, 1, 2, 3, 4
 
 
@@ -61,8 +61,10 @@ class Method:
     split: Callable | None = None
 
 
-def tag(text) -> int:
-    return xxhash.xxh32_intdigest(text)
+def tag(text) -> tuple[int, int]:
+    """96 bits that tell the texts of one doc_id apart, or of all rows without one."""
+    print_ = xxhash.xxh3_128_intdigest(text)
+    return print_ & (2**64 - 1), print_ >> 96
 
 
 def _segments(batches: Iterator[pa.RecordBatch], method: Method, buckets: int) -> Iterator[pa.RecordBatch]:
@@ -72,8 +74,8 @@ def _segments(batches: Iterator[pa.RecordBatch], method: Method, buckets: int) -
         for a, b in parcels.chunks(off):
             which, found = method.cut(off[a : b + 1] - off[a], data[off[a] : off[b]])
             if len(found):
-                tags = np.array([tag(data[off[i] : off[i + 1]]) for i in range(a, b)], np.uint32)
-                found["d"], found["t"] = numbers[a:b][which], tags[which]
+                tags = np.array([tag(data[off[i] : off[i + 1]]) for i in range(a, b)], np.dtype([("t", "<u8"), ("v", "<u4")]))
+                found["d"], found["t"], found["v"] = numbers[a:b][which], tags["t"][which], tags["v"][which]
                 yield parcels.rows((found["h"] % np.uint64(buckets)).astype(np.int32), found)
 
 
@@ -136,19 +138,20 @@ class _Documents:
     """Texts of a bucket with the records that name them; rows with equal doc_id and text are told once."""
 
     def __init__(self, table: pa.Table):
-        self.rows: list[tuple[int, bool, bytes, int]] = []
+        self.rows: list[tuple[int, bool, bytes, tuple[int, int]]] = []
         kinds, bodies = table.column("kind").to_pylist(), table.column("body")
         for i, kind in enumerate(kinds):
             if kind == TEXTS:
                 for d, missing, text in zip(*parcels.unpack_texts(bodies[i].as_py())):
                     self.rows.append((int(d), bool(missing), text, tag(text)))
 
-    def with_records(self, found: np.ndarray) -> Iterator[tuple[tuple[int, bool, bytes, int], np.ndarray]]:
-        found = found[np.lexsort((found["s"], found["t"], found["d"]))]
-        edge = np.flatnonzero(np.append(True, (found["d"][1:] != found["d"][:-1]) | (found["t"][1:] != found["t"][:-1]))) if len(found) else []
-        at = {(int(found["d"][a]), int(found["t"][a])): (a, b) for a, b in zip(edge, np.append(edge[1:], len(found)))} if len(found) else {}
+    def with_records(self, found: np.ndarray) -> Iterator[tuple[tuple[int, bool, bytes, tuple[int, int]], np.ndarray]]:
+        found = found[np.lexsort((found["s"], found["v"], found["t"], found["d"]))]
+        other = [found[k][1:] != found[k][:-1] for k in ("d", "t", "v")]
+        edge = np.flatnonzero(np.append(True, other[0] | other[1] | other[2])) if len(found) else []
+        at = {tuple(found[a][["d", "t", "v"]].tolist()): (a, b) for a, b in zip(edge, np.append(edge[1:], len(found)))} if len(found) else {}
         for row in self.rows:
-            a, b = at.get((row[0], row[3]), (0, 0))
+            a, b = at.get((row[0], *row[3]), (0, 0))
             yield row, found[a:b]
 
 
@@ -205,7 +208,7 @@ def _later_windows(found: np.ndarray, within: bool) -> np.ndarray:
     if within:
         later |= (found["d"] == first["d"]) & (found["s"] > first["s"])
     out = np.zeros(int(later.sum()), MARK)
-    for name in ("d", "t", "s"):
+    for name in ("d", "t", "v", "s"):
         out[name] = found[name][later]
     out["n"] = 1
     return out

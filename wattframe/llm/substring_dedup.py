@@ -19,7 +19,7 @@ from wattframe.llm.suffix_dedup import covered
 
 #: A perfect difference cover: the 30 differences of its residues are 1..30 modulo 31.
 PERIOD, COVER = 31, (1, 5, 11, 24, 25, 27)
-FOUND = np.dtype([("w", "<u8"), ("d", "<i8"), ("s", "<u4"), ("t", "<u4")])
+FOUND = np.dtype([("w", "<u8"), ("d", "<i8"), ("s", "<u4"), ("t", "<u8"), ("v", "<u4")])
 
 
 def words_of(data: np.ndarray, slice_of: int = 1 << 20) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -76,7 +76,9 @@ def _fetch(window: int):
         prints, _, _ = words_of(np.frombuffer(text, np.uint8))
         starts = np.flatnonzero(covered(len(prints), wants, 1))
         out = np.zeros(len(starts), FOUND)
-        out["w"], out["d"], out["s"], out["t"] = Rolling(prints, 1).of(starts, window), wants["d"][0], starts, wants["t"][0]
+        out["w"], out["s"] = Rolling(prints, 1).of(starts, window), starts
+        for name in ("d", "t", "v"):
+            out[name] = wants[name][0]
         return out["w"].copy(), out
 
     return fetch
@@ -90,7 +92,9 @@ def _judge(found: np.ndarray) -> np.ndarray:
     least = np.repeat(np.minimum.reduceat(found["d"], edge), np.diff(np.append(edge, len(found))))
     found = found[found["d"] > least]
     out = np.zeros(len(found), MARK)
-    out["d"], out["t"], out["s"], out["n"] = found["d"], found["t"], found["s"], 1
+    for name in ("d", "t", "v", "s"):
+        out[name] = found[name]
+    out["n"] = 1
     return out
 
 

@@ -59,7 +59,7 @@ def _cut(window: int):
     return cut
 
 
-_HEAD = np.dtype([("h", "<u8"), ("d", "<i8"), ("t", "<u4"), ("s", "<u4"), ("n", "<u2")])
+_HEAD = np.dtype([("h", "<u8"), ("d", "<i8"), ("t", "<u8"), ("v", "<u4"), ("s", "<u4"), ("n", "<u2")])
 
 
 def _fetch(window: int):
@@ -84,7 +84,7 @@ def _split(window: int):
             s, n = int(want["s"]), int(want["n"])
             out = np.zeros(n, WINDOW)
             out["c"] = Rolling(BYTES[np.frombuffer(text, np.uint8, n + window - 1, s)], 1).every(window)
-            out["h"], out["d"], out["t"], out["s"] = want["h"], want["d"], want["t"], s + np.arange(n)
+            out["h"], out["d"], out["t"], out["v"], out["s"] = want["h"], want["d"], want["t"], want["v"], s + np.arange(n)
             parts.append(out)
         return np.concatenate(parts)
 
@@ -191,7 +191,7 @@ def _judge(window: int):
             return np.zeros(0, MARK)
         heads, at = np.concatenate(heads), np.array(at)
         raw = np.frombuffer(found, np.uint8)
-        order = np.lexsort((heads["t"], heads["s"], heads["d"], heads["h"]))
+        order = np.lexsort((heads["v"], heads["t"], heads["s"], heads["d"], heads["h"]))
         heads, at = heads[order], at[order]
         edge = np.flatnonzero(np.append(True, heads["h"][1:] != heads["h"][:-1]))
         size = np.add.reduceat(heads["n"].astype(np.int64) + window, edge)
@@ -204,7 +204,7 @@ def _judge(window: int):
 
 def _stream(raw: np.ndarray, heads: np.ndarray, at: np.ndarray, window: int) -> np.ndarray:
     """Index the snippets of a shard, stream each through the index, and mark windows with an earlier equal."""
-    order = np.lexsort((heads["t"], heads["s"], heads["d"]))
+    order = np.lexsort((heads["v"], heads["t"], heads["s"], heads["d"]))
     heads, at = heads[order], at[order]
     count = heads["n"].astype(np.int64)
     sizes = count + window - 1
@@ -239,7 +239,7 @@ def _stream(raw: np.ndarray, heads: np.ndarray, at: np.ndarray, window: int) ->
     a, b = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     own = snippet[a]
     out = np.zeros(len(a), MARK)
-    out["d"], out["t"], out["s"], out["n"] = d[own], heads["t"][own], s[own] + a - starts[own], b - a
+    out["d"], out["t"], out["v"], out["s"], out["n"] = d[own], heads["t"][own], heads["v"][own], s[own] + a - starts[own], b - a
     return out
 
 
