@@ -86,6 +86,27 @@ def test_mixing_cases(spark):
     assert mix_sources(df.limit(0)).collect() == []
 
 
+def test_mixing_without_ids_comes_near_its_target(spark):
+    draw = np.random.default_rng(8)
+    rows = [(None if i % 3 == 0 else int(i), "w " * int(draw.integers(1, 60)) + f"x{i}", "ab"[i % 2]) for i in range(3000)]
+    rows += [(None, "one and the same text", "a")] * 900 + [(7, "again and again", "b")] * 500 + [(i, f"x{i} " * 9, "c") for i in range(50)]
+    df = spark.createDataFrame([(*r, 1) for r in rows], "doc_id bigint, text string, source string, size int").repartition(6)
+    got = mix_sources(df).collect()
+    sums, least = {}, {}
+    for r in got:
+        sums[r.source] = sums.get(r.source, 0) + r.taken
+        least[r.source] = min(least.get(r.source, 10**9), r["size"])
+        assert r.taken <= 2 * r["size"]
+    for r in got:
+        assert r.target - least[r.source] < sums[r.source] <= r.target
+    con = duckdb.connect()
+    con.execute("create table documents (doc_id bigint, text varchar, source varchar)")
+    con.executemany("insert into documents values (?, ?, ?)", rows)
+    order = ["doc_id", "size", "source_size", "target", "taken"]
+    want = con.execute(f"select {', '.join(order)} from ({q.oracle_sql()['op10_mixing']})").fetchall()
+    assert sorted((tuple(r[c] for c in order) for r in got), key=str) == sorted(want, key=str)
+
+
 def test_page_structure(spark):
     page = (
         "<html><head><title>t</title></head><body><nav><li>menu<div class='ad'>x</div></nav><div id=cookie-notice>ok</div><article><h1>A &amp; B</h1>"
