@@ -172,6 +172,9 @@ def _stream(text: str) -> np.ndarray:
 
 
 def _runs(table: pa.Table) -> pa.Table:
+    # Hosts of one page, and pages without a host, are left out here and not before, so that all uses share one exchange.
+    lone = not len(table) or table.column("host")[0].as_py() == "" or table.column("total")[0].as_py() < 2
+    table = table.slice(0, 0) if lone else table
     pages, texts = table.num_rows, table.column("text").to_pylist()
     blocks = [(i, b) for i, t in enumerate(texts) for b in t.split(BREAK)]
     articles = np.array([xxhash.xxh3_64_intdigest(t) for t in texts], np.uint64).view(np.int64)
@@ -226,10 +229,10 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     side = F.broadcast(sizes) if sizes.count() <= BROADCAST_HOSTS else sizes
     rows = rows.join(side, "host").withColumn("part", F.pmod(F.xxhash64("page_id", "url"), "parts").cast("int"))
     parsed = rows.select("page_id", "url", "host", "part", "total", "html").mapInArrow(_parsed, "page_id bigint, url string, host string, part int, total bigint, text string")
-    shared = parsed.where((F.col("host") != "") & (F.col("total") > 1)).groupBy("host", "part").applyInArrow(_runs, "host string, run bigint, pages bigint, low bigint, high bigint")
+    shared = parsed.groupBy("host", "part").applyInArrow(_runs, "host string, run bigint, pages bigint, low bigint, high bigint")
     bad = shared.groupBy("host", "run").agg(F.sum("pages").alias("pages"), F.min("low").alias("low"), F.max("high").alias("high")).join(side, "host")
     least = F.greatest(SHARE * F.col("total"), F.least(F.lit(SHARE * LEAST_PAGES), F.col("total")))
     bad = bad.where((F.col("pages") >= least) & (F.col("low") < F.col("high")))
-    bad = cut_lineage(bad.select("host", "run", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")))
+    bad = bad.select("host", "run", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
     cells = parsed.groupBy("host", "part").cogroup(bad.groupBy("host", "part"))
     return cells.applyInArrow(_cleaned, "page_id bigint, url string, text string, n_chars bigint")
