@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattframe.llm.bag_minhash import near_duplicates
-from wattframe.llm.mixing import mix_sources, word_count
+from wattframe.llm.mixing import mix_sources
 from wattframe.llm.packing import pack_documents
 from wattframe.llm.queries import toxicity_labels
 from wattframe.llm.suffix_dedup import suffix_dedup
@@ -67,16 +67,19 @@ def repeated_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them; those it does not take go.
 
-    How often follows from doc_id, source and size alone, so these three are the key by which rows get their copies.
+    Rows get keys of their own first, written so that every later read sees the same ones: of equal rows some may be
+    taken once more than others. Null and empty texts have no words and go; an empty table stays one.
     """
-    copies = mix_sources(docs).where("copies > 0").select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), "copies").distinct()
-    here = docs["doc_id"].eqNullSafe(copies["_id"]) & docs["source"].eqNullSafe(copies["_source"]) & (word_count(docs["text"]) == copies["_size"])
-    count = _free(docs, "_copies")
-    taken = docs.join(copies, here).select(*[docs[c] for c in docs.columns], copies["copies"].cast("int").alias(count))
-    return taken.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col(count))).alias(_free(docs, "_copy"))).select(*docs.columns)
+    key, count = _free(docs, "_row"), _free(docs, "_copies")
+    docs = written(docs.withColumn(key, F.monotonically_increasing_id()))
+    copies = mix_sources(docs, key_col=key).where("copies > 0").select(F.col("key").alias("_key"), F.col("copies").cast("int").alias("_n"))
+    taken = docs.join(copies, docs[key] == copies["_key"]).select(*[docs[c] for c in docs.columns if c != key], copies["_n"].alias(count))
+    columns = [c for c in docs.columns if c != key]
+    return taken.select(*columns, F.explode(F.sequence(F.lit(1), F.col(count))).alias(_free(docs, "_copy"))).select(*columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Packed pieces of every row; a null or empty text is the end id alone; an empty table gives no pieces."""
     return pack_documents(docs)
 
 
