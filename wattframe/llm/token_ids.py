@@ -13,11 +13,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from wattframe.llm import parcels
 
 #: Words whose ids a worker remembers (about 200 bytes each), bytes of text encoded together.
-REMEMBERED, CHUNK_BYTES = 250_000, 4 << 20
+REMEMBERED, CHUNK_BYTES = 250_000, 8 << 20
 #: Marks that are looked up apart when they stand alone behind letters; the first code point not taken for plain Latin.
 TAILS, LATIN_END = ".,!?;:)", "\u0130"
 
@@ -54,24 +55,24 @@ class Encoder:
         # How the model's vocabulary spells letters: each byte of their UTF-8 as one character.
         spelt = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
         self.letters = {c: spelt(chr(c))[0][0] for c in range(ord(LATIN_END)) if chr(c).isalpha()}
-        self.known: dict[bytes, bytes] = {}
+        self.known: dict[str, bytes] = {}
 
-    def _learn(self, words: list[bytes]) -> dict[bytes, bytes]:
+    def _learn(self, words: list[str]) -> list[bytes]:
         """Ids of words. Letters are one pre-token, one mark behind them another."""
         place: dict[str, int] = {}
-        stems, other, out, mark = [], [], {}, self.mark
-        for w, t in zip(words, b"\n".join(words).decode().split("\n")):
-            if t.isalpha():
-                stems.append((w, place.setdefault(t, len(place)), b""))
-            elif t[-1] in mark and t[:-1].isalpha():
-                stems.append((w, place.setdefault(t[:-1], len(place)), mark[t[-1]]))
+        stems, other, mark = [], [], self.mark
+        for i, w in enumerate(words):
+            if w.isalpha():
+                stems.append((i, place.setdefault(w, len(place)), b""))
+            elif w[-1:] in mark and w[:-1].isalpha():
+                stems.append((i, place.setdefault(w[:-1], len(place)), mark[w[-1]]))
             else:
-                other.append((w, t))
-        found = self._letters(list(place))
-        for w, at, tail in stems:
-            out[w] = found[at] + tail
-        for (w, _), e in zip(other, self.tokenizer.encode_batch_fast([t for _, t in other], add_special_tokens=False)):
-            out[w] = _packed(e.ids)
+                other.append(i)
+        found, out = self._letters(list(place)), [b""] * len(words)
+        for i, at, tail in stems:
+            out[i] = found[at] + tail
+        for i, e in zip(other, self.tokenizer.encode_batch_fast([words[i] for i in other], add_special_tokens=False)):
+            out[i] = _packed(e.ids)
         return out
 
     def _letters(self, words: list[str]) -> list[bytes]:
@@ -85,19 +86,35 @@ class Encoder:
             return [b"".join([packed[x.id] for x in tokenize(w)]) for w in plain.translate(self.letters).split(" ")]
         return [_packed(e.ids) for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
-    def _ids(self, texts: list[bytes]) -> list[bytes]:
+    def _known(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words."""
+        found = list(map(self.known.get, words))
+        new = [i for i, ids in enumerate(found) if ids is None]
+        learned = self._learn([words[i] for i in new])
+        for i, ids in zip(new, learned):
+            found[i] = ids
+        if len(self.known) + len(new) <= REMEMBERED:  # what comes first is frequent
+            self.known.update(zip([words[i] for i in new], learned))
+        return found
+
+    def _ids(self, texts: pa.LargeStringArray) -> list[bytes]:
+        """Arrow tells the distinct words; Python sees only these, and numpy puts the texts' ids together."""
         # The tokenizer's lower case covers that of ASCII letters; its special tokens are told apart before.
-        words = [(t if b"<|" in t else t.lower()).split() for t in texts]
-        new = set().union(*words).difference(self.known)
-        known = self.known
-        if new:
-            # A tokenizer's ids of words do not change, so a worker may keep them.
-            learned = self._learn(list(new))
-            if len(known) + len(learned) <= REMEMBERED:
-                known.update(learned)
-            else:  # what came first is frequent; the rest serves these texts only
-                known = known | learned
-        return [b"".join(map(known.__getitem__, w)) for w in words]
+        if b"<|" in texts.buffers()[2].to_pybytes():
+            texts = pa.array([t if "<|" in t else t.lower() if t.isascii() else t.encode().lower().decode() for t in texts.to_pylist()], pa.large_string())
+        else:
+            texts = pc.ascii_lower(texts)
+        words = pc.ascii_split_whitespace(texts)
+        coded = words.flatten().dictionary_encode()
+        ids = self._known(coded.dictionary.to_pylist()) if len(coded) else []
+        flat, size = np.frombuffer(b"".join(ids), "<u4"), np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        which = np.asarray(coded.indices)
+        n = size[which] if len(ids) else np.zeros(0, np.int64)
+        to = np.cumsum(n)
+        first = np.repeat((np.cumsum(size) - size)[which] - (to - n), n) if len(ids) else n
+        raw = flat[first + np.arange(len(first))].tobytes()
+        edge = 4 * np.append(0, to)[np.asarray(words.offsets)]
+        return [raw[a:b] for a, b in zip(edge[:-1].tolist(), edge[1:].tolist())]
 
     def encode(self, off: np.ndarray, data: np.ndarray) -> Iterator[bytes]:
         """Ids of each text of an Arrow column given as offsets and bytes."""
@@ -105,7 +122,7 @@ class Encoder:
             if b - a == 1 and off[b] - off[a] > 4 * CHUNK_BYTES:
                 yield b"".join(self._long(data[off[a] : off[b]].tobytes()))
             else:
-                yield from self._ids([data[off[i] : off[i + 1]].tobytes() for i in range(a, b)])
+                yield from self._ids(_strings(off[a : b + 1] - off[a], data[off[a] : off[b]].tobytes()))
 
     def _long(self, text: bytes) -> Iterator[bytes]:
         """A very long text by pieces that end at white space."""
@@ -114,10 +131,14 @@ class Encoder:
             to = min(len(text), at + CHUNK_BYTES)
             while to < len(text) and text[to] not in b" \t\n\r\v\f":
                 to += 1
-            yield self._ids([text[at:to]])[0]
+            yield self._ids(_strings(np.array([0, to - at]), text[at:to]))[0]
             at = to
 
 
+def _strings(off: np.ndarray, data: bytes) -> pa.LargeStringArray:
+    return pa.LargeStringArray.from_buffers(len(off) - 1, pa.py_buffer(np.ascontiguousarray(off, np.int64)), pa.py_buffer(data))
+
+
 _kept: dict[str | None, Encoder] = {}
 
 
