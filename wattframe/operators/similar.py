@@ -8,7 +8,6 @@ Curves stay arrays of 96 values until the last step: a day is one row in every s
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 import numpy as np
@@ -17,13 +16,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattframe.functions.blocks import BLOCKS_PER_DAY, day_number
-from wattframe.functions.scalars import EARTH_RADIUS_KM, haversine_km, point_at, ratio
+from wattframe.functions.scalars import point_at, ratio
 from wattframe.operators.latest import top_k
+from wattframe.operators.places import nearest_units  # noqa: F401  (a unit's neighbours belong to its similar days)
 from wattframe.session import cut_lineage
 
 SMALLEST_BUCKET = 128
 BLOCK_ROWS = 1024
-KM_PER_DEGREE = EARTH_RADIUS_KM * math.pi / 180
 
 
 def candidate_pairs(days: DataFrame, keys: Sequence[str], lookback: int, index: str = "_day", payload: Sequence[str] = (), pool: DataFrame | None = None) -> DataFrame:
@@ -290,65 +289,6 @@ def weather_delta(weather: DataFrame, nn: DataFrame, keys: Sequence[str], slot:
 
 # ---- places -------------------------------------------------------------------------------------------
 
-def nearest_units(units: DataFrame, key: str, lat: str, lon: str, k: int = 1, cell_deg: float = 2.0, slots: int = 64) -> DataFrame:
-    """k nearest other units on the sphere: (key, neighbour, distance_km, nn_rank).
-
-    Units are laid on a latitude/longitude grid. A unit is first compared within its own and the adjoining
-    cells; a result is final when its k-th distance is no larger than the distance the searched square is
-    sure to cover. Units without a final result search a square six times as wide, at last the whole
-    sphere. Each round is checkpointed, and the search ends when no unit is left; the number of rounds
-    depends on the cell size only. Choose cells so small that a cell holds few units.
-    """
-    places = units.select(key, F.col(lat).alias("_lat"), F.col(lon).alias("_lon"))
-    pending, final, size = places, None, cell_deg
-    while True:
-        whole = size >= 180
-        a, b, cells = _dealt(pending, places, key, slots) if whole else _gridded(pending, places, size)
-        b = b.select(F.col(key).alias("neighbour"), F.col("_lat").alias("_nlat"), F.col("_lon").alias("_nlon"), *cells)
-        measured = (
-            a.join(b, cells)
-            .filter(F.col(key) != F.col("neighbour"))
-            .withColumn("distance_km", haversine_km(F.col("_lat"), F.col("_lon"), F.col("_nlat"), F.col("_nlon")))
-            .select(key, "_lat", "neighbour", "distance_km")
-        )
-        best = top_k(measured, [key], [F.round("distance_km", 9), "neighbour"], k, "nn_rank")
-        if not whole:
-            covered = F.lit(size * KM_PER_DEGREE) * F.cos(F.radians(F.least(F.lit(90.0), F.abs(F.col("_lat")) + size)))
-            sure = F.count(F.when(F.col("distance_km") <= covered, 1)).over(Window.partitionBy(key))
-            best = best.withColumn("_sure", sure).filter(F.col("_sure") >= k)
-        chosen = cut_lineage(best.select(key, "neighbour", "distance_km", "nn_rank"))
-        final = chosen if final is None else final.unionByName(chosen)
-        if whole:
-            return final
-        pending = pending.join(chosen.select(key).distinct(), key, "left_anti")
-        if pending.isEmpty():
-            return final
-        size *= 6
-
-
-def _gridded(pending: DataFrame, places: DataFrame, size: float) -> tuple[DataFrame, DataFrame, list[str]]:
-    """Searching units in their nine cells, places in their own; columns wrap around the date line."""
-    columns = max(1, int(360 // size))
-    row = F.floor((F.col("_lat") + 90) / size)
-    col = F.pmod(F.floor((F.col("_lon") + 180) / size), F.lit(columns))
-    step = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
-    around = (
-        pending.withColumn("_s", F.explode(step))
-        .withColumn("_row", row + F.col("_s.i"))
-        .withColumn("_col", F.pmod(col + F.col("_s.j"), F.lit(columns)))
-        .drop("_s")
-    )
-    around = around.distinct() if columns < 3 else around
-    return around, places.withColumn("_row", row).withColumn("_col", col), ["_row", "_col"]
-
-
-def _dealt(pending: DataFrame, places: DataFrame, key: str, slots: int) -> tuple[DataFrame, DataFrame, list[str]]:
-    """The few units without a neighbour within tens of degrees against all places, dealt over slots so
-    that no task holds them all."""
-    spread = pending.withColumn("_slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))))
-    return spread, places.withColumn("_slot", F.pmod(F.xxhash64(key), F.lit(slots)).cast("int")), ["_slot"]
-
-
 def neighbour_value(df: DataFrame, nn: DataFrame, key: str, slot: Sequence[str], value: str, out: str) -> DataFrame:
     """The nearest unit's reading of the same time beside each unit's own."""
     other = df.select(F.col(key).alias("neighbour"), *slot, F.col(value).alias(out))
