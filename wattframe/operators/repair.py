@@ -327,19 +327,33 @@ def rebuild_from_ratio(df: DataFrame, keys, order: str, value: str, shape: str,
     return per_curve(df, keys, order, [value, shape], {out: fold})
 
 
-def smooth_until(df: DataFrame, keys, order, value: str, target: str, tol: float = 0.001, max_iter: int = 100, out: str = "smooth") -> DataFrame:
-    """Repeat a centred 5-mean until the mean absolute percentage error against the target moves by at
-    most ``tol``. Lineage is cut each round; only one number per round reaches the driver."""
-    current = windows.rolling(df, keys, order, value, 5, {out: "mean"}, center=True)
+def smooth_until(
+    df: DataFrame, keys, order, value: str, target: str, tol: float = 0.001, max_iter: int = 100, out: str = "smooth", split: str | None = None, size: int = 10_000
+) -> DataFrame:
+    """Repeat a centred 5-mean until the mean absolute percentage error against ``target`` moves by at most ``tol``.
+
+    A key's rows are one series in ``order``, over midnight too; ``split`` is a column that grows with the order (the first
+    of it unless given). The series is numbered once and smoothed by pieces of ``size`` rows that share two rows
+    with each neighbour. Every pass takes the two outermost values off each end of a series, as a full window needs five
+    rows; nothing else becomes null, and a series of four rows or fewer has no smooth values. The error is the mean
+    over all rows with a smooth value and a target, one aggregate a pass, whose one number decides whether to go on.
+    """
+    keys = list(keys)
+    placed = cut_lineage(splits.with_position(df, keys, order, split or list(order)[0]))
+    mean = lambda spec: F.when(F.count("_v").over(spec.rowsBetween(-2, 2)) == 5, F.avg("_v").over(spec.rowsBetween(-2, 2)))
+
+    def smoothed(series: DataFrame) -> DataFrame:
+        return splits.framed_at(series, keys, 2, 2, {"_next": mean}, size).drop("_v").withColumnRenamed("_next", "_v")
+
+    current = smoothed(placed.select(*keys, "_pos", F.col(value).alias("_v"), F.col(target).alias("_t")))
     last = None
     for _ in range(max_iter):
-        current = windows.rolling(current, keys, order, out, 5, {"_next": "mean"}, center=True)
-        current = cut_lineage(current.drop(out).withColumnRenamed("_next", out))
-        error = current.agg(F.avg(F.abs(ratio(F.col(target), F.col(out)) - 1))).first()[0]
+        current = cut_lineage(smoothed(current))
+        error = current.agg(F.avg(F.abs(ratio(F.col("_t"), F.col("_v")) - 1))).first()[0]
         if error is None or (last is not None and abs(last - error) <= tol):
             break
         last = error
-    return current
+    return splits.join_carry(placed, current.select(*keys, "_pos", F.col("_v").alias(out)), [*keys, "_pos"]).drop("_pos")
 
 
 def window_hull(df: DataFrame, keys, order: str, value: str, window: int = 6, width: int = 35, degree: int = 2, out: str = "hull") -> DataFrame:

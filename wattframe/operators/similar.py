@@ -19,7 +19,6 @@ from wattframe.functions.blocks import BLOCKS_PER_DAY, day_number
 from wattframe.functions.scalars import point_at, ratio
 from wattframe.operators.latest import top_k
 from wattframe.operators.places import nearest_units  # noqa: F401  (a unit's neighbours belong to its similar days)
-from wattframe.session import cut_lineage
 
 SMALLEST_BUCKET = 128
 BLOCK_ROWS = 1024

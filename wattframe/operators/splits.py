@@ -82,9 +82,14 @@ def framed(
     ``exprs`` maps output names to functions of an ordered, partitioned ``WindowSpec``. Each row is copied
     into the neighbouring piece only where that piece's frames reach it.
     """
+    placed = with_position(df, keys, order, split)
+    return framed_at(placed, keys, preceding, following, exprs, size).drop("_pos")
+
+
+def framed_at(placed: DataFrame, keys: Sequence[str], preceding: int, following: int, exprs: dict, size: int = 10_000) -> DataFrame:
+    """As ``framed`` for rows whose position in their key, ``_pos`` from 1 on, is known; it stays."""
     keys = list(keys)
     size = max(size, preceding + following, 1)
-    placed = with_position(df, keys, order, split)
     zero = F.col("_pos") - 1
     pieces = F.sequence(
         F.greatest(F.lit(0), F.floor((zero - following) / size)).cast("long"),
@@ -95,7 +100,7 @@ def framed(
     return (
         spread.select("*", *[fn(spec).alias(name) for name, fn in exprs.items()])
         .filter(F.col("_piece") == F.floor(zero / size))
-        .drop("_piece", "_pos")
+        .drop("_piece")
     )
 
 

@@ -266,9 +266,22 @@ def _(t):
     return repair.rebuild_from_ratio(grid, ["pool", "date"], "block_no", "value", "shape", 440, "rebuilt")
 
 
-@query("smoothed_until_stable", "date:d block_no:i smooth:g")
-def _(t):
-    return repair.smooth_until(t.load, ["date"], ["block_no"], "value", "value")
+STABLE_SQL = """
+WITH RECURSIVE n AS (SELECT date, block_no, row_number() OVER w AS pos, value,
+ avg(value) OVER (ORDER BY date, block_no ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING) AS target FROM v_load WINDOW w AS (ORDER BY date, block_no)),
+once AS (SELECT date, block_no, pos, target, CASE WHEN count(value) OVER w = 5 THEN avg(value) OVER w END AS v FROM n WINDOW w AS (ORDER BY pos ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING)),
+r AS (SELECT 0 AS j, date, block_no, pos, target, v, CAST(NULL AS DOUBLE) AS last, CAST(NULL AS DOUBLE) AS error, FALSE AS stop FROM once
+ UNION ALL SELECT j, date, block_no, pos, target, v, last, error, coalesce(abs(last - error) <= 0.001, error IS NULL) AS stop FROM (
+  SELECT j, date, block_no, pos, target, v, last, avg(abs(target / nullif(v, 0) - 1)) OVER () AS error FROM (
+   SELECT j + 1 AS j, date, block_no, pos, target, CASE WHEN count(v) OVER w = 5 THEN avg(v) OVER w END AS v, error AS last
+   FROM r WHERE NOT stop AND j < 100 WINDOW w AS (ORDER BY pos ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING)) a) b)
+SELECT date, block_no, v AS smooth FROM r WHERE j = (SELECT max(j) FROM r)"""
+
+
+@query("smoothed_until_stable", "date:d block_no:i smooth:g", STABLE_SQL)
+def _(t):
+    actual = windows.rolling(t.load, [], ["date", "block_no"], "value", 7, {"target": "mean"}, center=True, min_periods=1, split="date")
+    return repair.smooth_until(actual, [], ["date", "block_no"], "value", "target")
 
 
 HULL_SQL = savgol_sql(

@@ -41,13 +41,59 @@ def flatten_payload(df: DataFrame, json_col: str, fields: Mapping[str, str], kee
     )
 
 
+#: Tables still open: number, row, cell, place of the open cell among the cells so far (-1: none is open).
+_OPEN = "array<struct<t:int,r:int,c:int,at:int>>"
+_CELLS = "array<struct<table_no:int,row_no:int,col_no:int,cell:string>>"
+
+
+def _table_cells(html: Column) -> Column:
+    """Cells of all tables of a page, from one fold over its table, row and cell tags with a stack of open tables."""
+    clean = F.regexp_replace(html, r"(?is)<!--.*?(?:-->|\z)|<(script|style)\b.*?(?:</\1\s*>|\z)", "")
+    parts = F.split(clean, r"(?i)(?=</?(?:table|tr|td|th)\b)")
+    entry = lambda t, r, c, at: F.struct(t.cast("int").alias("t"), r.cast("int").alias("r"), c.cast("int").alias("c"), at.cast("int").alias("at"))
+    start = F.struct(F.lit(0).alias("tables"), F.array().cast(_OPEN).alias("open"), F.array().cast(_CELLS).alias("cells"))
+
+    def step(acc: Column, part: Column) -> Column:
+        tag = F.lower(F.regexp_extract(part, r"(?i)^<(/?(?:table|tr|td|th))\b", 1))
+        text = F.regexp_replace(part, r"(?i)^</?(?:table|tr|td|th)\b[^>]*>?", "")
+        held, cells = acc["open"], acc["cells"]
+        depth = F.size(held)
+        inside = depth > 0
+        under = F.slice(held, F.lit(1), F.greatest(depth - 1, F.lit(0)))
+        top = F.element_at(held, -1)
+        none = F.lit(-1)
+        opens = inside & tag.isin("td", "th")
+        row = F.greatest(top["r"], F.lit(0))  # a cell before any row tag begins the first row
+        next_open = (
+            F.when(tag == "table", F.concat(held, F.array(entry(acc["tables"], none, none, none))))
+            .when(inside & (tag == "/table"), under)
+            .when(inside & (tag == "tr"), F.concat(under, F.array(entry(top["t"], top["r"] + 1, none, none))))
+            .when(opens, F.concat(under, F.array(entry(top["t"], row, top["c"] + 1, F.size(cells)))))
+            .when(inside & tag.isin("/tr", "/td", "/th"), F.concat(under, F.array(entry(top["t"], top["r"], top["c"], none))))
+            .otherwise(held)
+        ).cast(_OPEN)
+        new = F.struct(top["t"].alias("table_no"), row.cast("int").alias("row_no"), (top["c"] + 1).cast("int").alias("col_no"), text.alias("cell"))
+        # What follows an inner table goes on with the outer cell.
+        back = F.when((tag == "/table") & (depth > 1), F.element_at(held, -2)["at"]).otherwise(none)
+        longer = F.transform(
+            cells, lambda x, i: F.struct(x["table_no"].alias("table_no"), x["row_no"].alias("row_no"), x["col_no"].alias("col_no"), F.when(i == back, F.concat(x["cell"], F.lit(" "), text)).otherwise(x["cell"]).alias("cell"))
+        )
+        next_cells = F.when(opens, F.concat(cells, F.array(new))).when(back >= 0, longer).otherwise(cells).cast(_CELLS)
+        return F.struct((acc["tables"] + (tag == "table").cast("int")).cast("int").alias("tables"), next_open.alias("open"), next_cells.alias("cells"))
+
+    found = F.aggregate(parts, start, step, lambda acc: acc["cells"])
+    return F.when(html.rlike(r"(?i)<table\b"), found)
+
+
 def html_tables(df: DataFrame, html_col: str, keep: Sequence[str], missing: str = "NA") -> DataFrame:
-    """Cells of every table of a page: (keep, table_no, row_no, col_no, cell); empty cells hold a token."""
-    extract = lambda text, pattern, group: F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
-    tables = df.select(*keep, F.posexplode(extract(F.col(html_col), r"(?is)(<table\b.*?</table>)", 1)).alias("table_no", "_t"))
-    rows = tables.select(*keep, "table_no", F.posexplode(extract(F.col("_t"), r"(?is)(<tr\b.*?</tr>)", 1)).alias("row_no", "_r"))
-    cells = rows.select(*keep, "table_no", "row_no", F.posexplode(extract(F.col("_r"), r"(?is)<t[dh]\b[^>]*>(.*?)</t[dh]>", 1)).alias("col_no", "_c"))
-    plain = F.trim(F.regexp_replace(F.regexp_replace("_c", r"<[^>]*>", ""), r"\s+", " "))
+    """Cells of every table of a page: (keep, table_no, row_no, col_no, cell); empty cells hold a token.
+
+    Tables are numbered as they open. A cell belongs to the table and row it opens in; the text of a table inside it
+    stands in that table's cells alone. Rows and cells end where the next begins, so end tags may be missing;
+    tables that never end reach to the end of the page. A null page, or one without tables, has no cells.
+    """
+    cells = df.select(*keep, F.inline(_table_cells(F.col(html_col).cast("string"))))
+    plain = F.trim(F.regexp_replace(F.regexp_replace("cell", r"<[^>]*>", ""), r"\s+", " "))
     plain = F.replace(F.replace(F.replace(plain, F.lit("&nbsp;"), F.lit(" ")), F.lit("&lt;"), F.lit("<")), F.lit("&gt;"), F.lit(">"))
     plain = F.trim(F.replace(plain, F.lit("&amp;"), F.lit("&")))
     return cells.select(
