@@ -21,10 +21,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattframe.llm import parcels
+from wattframe.llm import parcels, rolling
 from wattframe.llm.components import components, forest
 from wattframe.llm.rolling import Rolling, mix
 from wattframe.llm.substring_dedup import words_by_text
+from wattframe.llm.token_ids import release_memory
 from wattframe.session import cut_lineage
 
 BANDS, ROWS = 32, 4
@@ -126,6 +127,19 @@ def _signed(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Record
                 ],
                 names=["doc_id", "print", "place", "n", "sig"],
             )
+    _forget()
+
+
+def _forget() -> None:
+    """At a task's end its worker waits for other stages and should hold little."""
+    rolling.forget()
+    release_memory()
+
+
+def _table(batches: Iterator[pa.RecordBatch]) -> pa.Table:
+    table = pa.Table.from_batches(list(batches), schema=parcels.SCHEMA)
+    _forget()
+    return table
 
 
 KEYED = np.dtype([("k", "<u8"), ("f", "<i8"), ("c", "<i8")])
@@ -414,7 +428,6 @@ def near_duplicates(docs: DataFrame, bound: float = 0.8, width: int = 5, id_col:
     signed = cut_lineage(source.mapInArrow(lambda it: _signed(it, width), "doc_id bigint, print bigint, place bigint, n bigint, sig binary"))
     distinct = signed.where("print IS NOT NULL").groupBy(F.col("print").alias("f")).agg(F.first("sig").alias("sig"), F.min("place").alias("p"), F.max("n").alias("n"))
     distinct = cut_lineage(distinct)
-    table_of = lambda batches: pa.Table.from_batches(list(batches), schema=parcels.SCHEMA)
 
     def by_key(texts: DataFrame):
         return spread(texts.select("f", "sig", "c").mapInArrow(lambda it: _banded(it, buckets), parcels.DDL))
@@ -423,7 +436,7 @@ def near_duplicates(docs: DataFrame, bound: float = 0.8, width: int = 5, id_col:
         """(a, b) that link, of packed tests and asks."""
         tests = cut_lineage(tests)
         texts = source.select("text").mapInArrow(lambda it: _texts(it, buckets), parcels.DDL)
-        sets = spread(texts.union(tests.where(F.col("kind") == ASKS))).applyInArrow(lambda t: table_of(_sets(t, width, buckets)), parcels.DDL)
+        sets = spread(texts.union(tests.where(F.col("kind") == ASKS))).applyInArrow(lambda t: _table(_sets(t, width, buckets)), parcels.DDL)
         return cut_lineage(spread(sets.union(tests.where(F.col("kind") == TESTS))).applyInArrow(lambda t: _verified(t, bound), "a bigint, b bigint"))
 
     leaders = by_key(distinct.withColumn("c", F.col("f"))).applyInArrow(lambda t: _leaders(t, buckets), parcels.DDL)
@@ -444,8 +457,8 @@ def near_duplicates(docs: DataFrame, bound: float = 0.8, width: int = 5, id_col:
     signed_texts = placed.select("f", "sig", "p", "g", "m").mapInArrow(lambda it: _by_text(it, buckets), parcels.DDL)
     classed = distinct.join(classes.withColumnRenamed("node", "f"), "f", "left").withColumn("c", F.coalesce("component", "f"))
     members = by_key(classed).applyInArrow(lambda t: _open_members(t, buckets), parcels.DDL)
-    dealt = spread(signed_texts.union(members)).applyInArrow(lambda t: table_of(_dealt(t, buckets)), parcels.DDL)
-    rest = verify(spread(dealt).applyInArrow(lambda t: table_of(_between(t, least, buckets)), parcels.DDL))
+    dealt = spread(signed_texts.union(members)).applyInArrow(lambda t: _table(_dealt(t, buckets)), parcels.DDL)
+    rest = verify(spread(dealt).applyInArrow(lambda t: _table(_between(t, least, buckets)), parcels.DDL))
     classes = components(classes.select(F.col("node").alias("a"), F.col("component").alias("b")).union(rest))
 
     placed = signed.select("doc_id", F.col("print").alias("node")).join(classes, "node", "left").withColumn("class", F.coalesce("component", "node"))

@@ -27,7 +27,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 
-from wattframe.llm import parcels
+from wattframe.llm import parcels, rolling
+from wattframe.llm.token_ids import release_memory
 from wattframe.session import cut_lineage
 
 SEGMENT = np.dtype([("h", "<u8"), ("c", "<u8"), ("d", "<i8"), ("s", "<u4"), ("n", "<u2"), ("t", "<u8"), ("v", "<u4")])
@@ -77,6 +78,13 @@ def _segments(batches: Iterator[pa.RecordBatch], method: Method, buckets: int) -
                 tags = np.array([tag(data[off[i] : off[i + 1]]) for i in range(a, b)], np.dtype([("t", "<u8"), ("v", "<u4")]))
                 found["d"], found["t"], found["v"] = numbers[a:b][which], tags["t"][which], tags["v"][which]
                 yield parcels.rows((found["h"] % np.uint64(buckets)).astype(np.int32), found)
+    _forget()
+
+
+def _forget() -> None:
+    """At a task's end its worker waits for other stages and should hold little."""
+    rolling.forget()
+    release_memory()
 
 
 def _home(d: np.ndarray, buckets: int) -> np.ndarray:
@@ -95,6 +103,7 @@ def _texts(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Recor
                 own = a + np.flatnonzero(home == k)
                 bodies.append(parcels.pack_texts(numbers[own], missing[own], [data[off[i] : off[i + 1]].tobytes() for i in own]))
             yield pa.record_batch([pa.array(keys, pa.int32()), pa.array([TEXTS] * len(keys), pa.int32()), pa.array(bodies, pa.binary())], schema=parcels.SCHEMA)
+    _forget()
 
 
 def _grouped(seg: np.ndarray, method: Method, buckets: int) -> Iterator[pa.RecordBatch]:
@@ -239,11 +248,14 @@ def _finished(table: pa.Table, method: Method) -> pa.Table:
             column.append(value)
     kinds = {"bigint": pa.int64(), "string": pa.string(), "binary": pa.binary()}
     names = ["doc_id", *[n for n, _ in method.columns]]
+    release_memory()
     return pa.table({n: pa.array(v, kinds[k]) for n, v, k in zip(names, values, ["bigint", *[k for _, k in method.columns]])})
 
 
 def _as_table(batches: Iterator[pa.RecordBatch]) -> pa.Table:
-    return pa.Table.from_batches(list(batches), schema=parcels.SCHEMA)
+    table = pa.Table.from_batches(list(batches), schema=parcels.SCHEMA)
+    _forget()
+    return table
 
 
 def mark_repeats(docs: DataFrame, method: Method, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -42,6 +42,11 @@ def _powers_of(which: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     return have
 
 
+def forget() -> None:
+    """Drop the tables of powers, which are as long as the longest text so far."""
+    _powers.clear()
+
+
 class Rolling:
     """Fingerprints of any substring of ``values`` (unsigned 64-bit)."""
 

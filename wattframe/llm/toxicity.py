@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wattframe.llm.token_ids import release_memory
 from wattframe.session import cut_lineage
 
 #: Labelled rows the chain is fitted on at most (chosen by hash of doc_id), features kept, folds.
@@ -52,6 +53,8 @@ def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = [sorted(text_features(t)) for t in batch.column(at).to_pylist()]
         rest = [n for n in batch.schema.names if n != "text"]
         yield pa.record_batch([*[batch.column(n) for n in rest], pa.array(found, pa.list_(pa.int32()))], names=[*rest, "features"])
+    word_features.cache_clear()
+    release_memory()
 
 
 class Chain:
@@ -62,6 +65,12 @@ class Chain:
         self.index = {f: i for i, f in enumerate(features)}
         self.known: dict[str, tuple[int, ...]] = {}
 
+    def forget(self) -> None:
+        """At a task's end its worker waits for other stages and should hold little."""
+        self.known.clear()
+        word_features.cache_clear()
+        release_memory()
+
     def score(self, text: str | None) -> list[float]:
         hits: set[int] = set()
         known = self.known
@@ -86,6 +95,7 @@ def _scored(batches: Iterator[pa.RecordBatch], chain: Chain) -> Iterator[pa.Reco
     for batch in batches:
         scores = np.array([chain.score(t.as_py()) for t in batch.column(1)]).reshape(len(batch), len(chain.categories))
         yield pa.record_batch([batch.column(0), *[pa.array(scores[:, i]) for i in range(scores.shape[1])], pa.array(scores[:, -1] >= chain.threshold)], names=names)
+    chain.forget()
 
 
 def _unrejected(batches: Iterator[pa.RecordBatch], chain: Chain) -> Iterator[pa.RecordBatch]:
@@ -94,6 +104,7 @@ def _unrejected(batches: Iterator[pa.RecordBatch], chain: Chain) -> Iterator[pa.
         scores = np.array([chain.score(t.as_py()) for t in batch.column(batch.num_columns - 1)]).reshape(len(batch), len(chain.categories))
         rest = pa.RecordBatch.from_arrays(batch.columns[:-1], schema=pa.schema(list(batch.schema)[:-1]))
         yield rest.filter(pa.array(scores[:, -1] < chain.threshold))
+    chain.forget()
 
 
 def best_threshold(scores: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> float:
