@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattframe.llm import parcels
-from wattframe.llm.token_ids import encoder, release_memory
+from wattframe.llm.token_ids import encoder, forget
 from wattframe.session import cut_lineage
 
 CAPACITY, END_ID = 4096, 1
@@ -43,7 +43,7 @@ def _pieces(batches: Iterator[pa.RecordBatch], path: str | None, capacity: int,
                 for column, value in zip(out, (None if missing[i] else int(numbers[i]), n, start // 4, len(part) // 4, zlib.crc32(part))):
                     column.append(value)
         yield pa.record_batch([pa.array(c, k) for c, k in zip(out, kinds)], names=[x.split()[0] for x in PIECES.split(", ")])
-    release_memory()
+    forget()
 
 
 def best_fit(sizes: np.ndarray, items: list[int], bins: list[list[int]], free: list[int], capacity: int) -> None:

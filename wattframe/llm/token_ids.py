@@ -139,6 +139,12 @@ def _strings(off: np.ndarray, data: bytes) -> pa.LargeStringArray:
     return pa.LargeStringArray.from_buffers(len(off) - 1, pa.py_buffer(np.ascontiguousarray(off, np.int64)), pa.py_buffer(data))
 
 
+def forget() -> None:
+    """Drop this worker's encoder and give its memory back; for tasks after which a worker serves other stages."""
+    _kept.clear()
+    release_memory()
+
+
 _kept: dict[str | None, Encoder] = {}
 
 

@@ -28,12 +28,14 @@ HASH_BITS, PREFIXES = 22, (4, 5, 6)
 REGULARISATION, STEPS, TOLERANCE = 1e-4, 30, 1e-7
 #: Rows of a dense block while fitting.
 BLOCK_ROWS = 2_048
+#: Words whose features a task remembers.
+REMEMBERED = 150_000
 #: Hash values a share of rows is chosen by.
 SHARES = 1 << 20
 EDGES = ".,;:!?\"'()[]<>«»…"
 
 
-@lru_cache(maxsize=200_000)
+@lru_cache(maxsize=50_000)
 def word_features(word: str) -> tuple[int, ...]:
     """Hashes of a word, told apart from those of its beginnings."""
     word = word.strip(EDGES)
@@ -50,7 +52,7 @@ def text_features(text: str | None) -> set[int]:
 def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         at = batch.schema.get_field_index("text")
-        found = [sorted(text_features(t)) for t in batch.column(at).to_pylist()]
+        found = [sorted(text_features(t.as_py())) for t in batch.column(at)]
         rest = [n for n in batch.schema.names if n != "text"]
         yield pa.record_batch([*[batch.column(n) for n in rest], pa.array(found, pa.list_(pa.int32()))], names=[*rest, "features"])
     word_features.cache_clear()
@@ -77,7 +79,7 @@ class Chain:
         for w in set((text or "").lower().split()):
             found = known.get(w)
             if found is None:
-                if len(known) > 300_000:
+                if len(known) > REMEMBERED:
                     known.clear()
                 found = known[w] = tuple(self.index[f] for f in word_features(w) if f in self.index)
             if found:
@@ -197,6 +199,7 @@ def _fit_task(table: pa.Table, category: str, features: int, depth: int, rate: f
         model = np.append(math.log(rate / (1 - rate)), np.zeros(features + depth))
     else:
         model = fit_logistic(Examples(_places(table.column("_at")), _earlier(table.column("_earlier"), depth), labels, weights, features))
+        release_memory()
     return pa.table({"model": pa.array([table.column("_model")[0].as_py()], pa.int32()), "weights": pa.array([model], pa.list_(pa.float64()))})
 
 
