@@ -5,6 +5,8 @@ Every stage takes all its predecessor kept and returns the columns of documents;
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +16,26 @@ from wattframe.llm.packing import pack_documents
 from wattframe.llm.queries import toxicity_labels
 from wattframe.llm.suffix_dedup import suffix_dedup
 from wattframe.llm.toxicity import without_toxic
-from wattframe.session import written
+from wattframe.session import drop_folder, shared_folder, written
+
+#: Folders of keyed rows. A stage's rows are written before the next stage begins, which then deletes these.
+_scratch: list[str] = []
+
+
+def _cleared(spark: SparkSession) -> None:
+    while _scratch:
+        folder = _scratch.pop()
+        if folder.startswith(shared_folder(spark) + "/"):
+            drop_folder(spark, folder)
+
+
+def _keyed(docs: DataFrame, key: str) -> DataFrame:
+    """``docs`` with a number for each row, written so that every later read sees the same ones."""
+    spark = docs.sparkSession
+    _scratch.append(f"{shared_folder(spark)}/keyed-{uuid.uuid4().hex}")
+    keyed = docs.withColumn(key, F.monotonically_increasing_id())
+    keyed.write.parquet(_scratch[-1])
+    return spark.read.schema(keyed.schema).parquet(_scratch[-1])
 
 
 def _free(docs: DataFrame, name: str) -> str:
@@ -27,6 +48,7 @@ def _free(docs: DataFrame, name: str) -> str:
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents the chain does not reject; each row is judged by its own text."""
+    _cleared(spark)
     return without_toxic(docs, toxicity_labels(spark, sf_dir), ["low_quality", "toxic"])
 
 
@@ -36,8 +58,9 @@ def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     Rows get keys of their own first, written so that every later read sees the same ones. Texts without words are
     classes of their own, so all of their rows stay.
     """
+    _cleared(spark)
     key = _free(docs, "_row")
-    docs = written(docs.withColumn(key, F.monotonically_increasing_id()))
+    docs = _keyed(docs, key)
     classes = near_duplicates(docs, id_col=key).select(F.col("doc_id").alias("_id"), F.col("component_id").alias("_class"))
     ordered = docs.select(F.col(key).alias("_id"), F.col("doc_id").cast("bigint").alias("_doc"), F.xxhash64("text").alias("_hash"))
     order = F.struct(F.col("_doc").isNull(), "_doc", "_hash", "_id")
@@ -51,6 +74,7 @@ def repeated_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
     What is cut follows from doc_id and text alone, so these two are the key by which rows get their new texts.
     """
+    _cleared(spark)
     kept = suffix_dedup(docs, keep_text=True).where("n_removed > 0")
     kept = kept.select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"), F.expr("try_validate_utf8(cast(kept AS string))").alias("_whole"), "kept")
     text = F.coalesce("_whole", F.regexp_replace(F.expr("make_valid_utf8(cast(kept AS string))"), "�", ""))
@@ -70,8 +94,9 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Rows get keys of their own first, written so that every later read sees the same ones: of equal rows some may be
     taken once more than others. Null and empty texts have no words and go; an empty table stays one.
     """
+    _cleared(spark)
     key, count = _free(docs, "_row"), _free(docs, "_copies")
-    docs = written(docs.withColumn(key, F.monotonically_increasing_id()))
+    docs = _keyed(docs, key)
     copies = mix_sources(docs, key_col=key).where("copies > 0").select(F.col("key").alias("_key"), F.col("copies").cast("int").alias("_n"))
     taken = docs.join(copies, docs[key] == copies["_key"]).select(*[docs[c] for c in docs.columns if c != key], copies["_n"].alias(count))
     columns = [c for c in docs.columns if c != key]
@@ -80,6 +105,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packed pieces of every row; a null or empty text is the end id alone; an empty table gives no pieces."""
+    _cleared(spark)
     return pack_documents(docs)
 
 
