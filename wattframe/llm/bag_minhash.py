@@ -323,7 +323,7 @@ def _texts(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Recor
     """Every text once a flush, packed by its own fingerprint."""
     for batch in batches:
         off, data = parcels.utf8(batch.column(0))
-        for a, b in parcels.chunks(off, 4 * parcels.FLUSH_BYTES):
+        for a, b in parcels.chunks(off, 8 * parcels.FLUSH_BYTES):
             place = np.array([xxhash.xxh3_64_intdigest(data[off[i] : off[i + 1]]) for i in range(a, b)], np.uint64)
             _, one = np.unique(place, return_index=True)
             home = (place[one] % np.uint64(buckets)).astype(np.int32)

@@ -19,7 +19,7 @@ from pyspark.sql import SparkSession
 SCHEMA = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("body", pa.binary())])
 DDL = "bucket int, kind int, body binary"
 #: Text of one flush; bounds what a task holds beside its Arrow batch.
-FLUSH_BYTES = 2 << 20
+FLUSH_BYTES = 1 << 20
 
 
 def bucket_count(spark: SparkSession) -> int:

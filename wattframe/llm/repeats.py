@@ -96,7 +96,7 @@ def _texts(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Recor
     for batch in batches:
         off, data = parcels.utf8(batch.column(1))
         numbers, missing = parcels.ids(batch.column(0))
-        for a, b in parcels.chunks(off, 4 * parcels.FLUSH_BYTES):
+        for a, b in parcels.chunks(off, 8 * parcels.FLUSH_BYTES):
             home = _home(numbers[a:b], buckets)
             bodies, keys = [], np.unique(home)
             for k in keys:
