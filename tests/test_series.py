@@ -29,7 +29,7 @@ def test_revision_gate_forms(spark):
     first = {b: g for b, g in rows(df, "b", blocks.revision_gate(F.col("b")))}
     assert [tuple(first[b]) for b in (1, 4, 5, 9, 10, 87, 88, 93, 96)] == [
         (0, 1), (0, 1), (0, 13), (0, 13), (0, 19), (0, 91), (1, 1), (1, 1), (1, 1)]
-    second = {b: g for b, g in rows(df, "b", blocks.revision_gate(F.col("b"), blocks.FIRST_GATE_SECOND_FORM))}
+    second = {b: g for b, g in rows(df, "b", blocks.revision_gate(F.col("b"), blocks.GATES_SECOND_FORM))}
     assert tuple(second[2]) == (0, 7) and tuple(second[3]) == (0, 13)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -53,25 +55,22 @@ def weekday_flags(date: Column) -> dict[str, Column]:
     }
 
 
-# Fixed values of the intraday gate table: the first gate closes at block 4 and opens block 1 (a second
-# form closes at block 2 and opens block 7); the gates after it close at 9, 15, ... 87 and open four
-# blocks later; the last closes at 93 and opens block 1 of the next day, as does any later block.
-FIRST_GATE = (4, 1)
-FIRST_GATE_SECOND_FORM = (2, 7)
-GATE_STEP = 6
-GATE_LEAD = 4
-LAST_SAME_DAY_GATE = 87
-
-
-def revision_gate(block: Column, first_gate: tuple[int, int] = FIRST_GATE) -> Column:
-    """Struct (day_shift, first_block): the first gate at or after the block."""
-    closes, opens = first_gate
-    gate = F.ceil((block - 9) / GATE_STEP) * GATE_STEP + 9
-    gate = F.greatest(gate, F.lit(9))
-    day_shift = F.when(block <= LAST_SAME_DAY_GATE, 0).otherwise(1)
-    first = (
-        F.when(block <= closes, opens)
-        .when(block <= LAST_SAME_DAY_GATE, gate + GATE_LEAD)
-        .otherwise(1)
-    )
-    return F.struct(day_shift.cast("int").alias("day_shift"), first.cast("int").alias("first_block"))
+# Intraday gates as (block up to which the gate serves, day shift, first block it opens), in two forms.
+GATES = (
+    (4, 0, 1), (9, 0, 13), (15, 0, 19), (21, 0, 25), (27, 0, 31), (33, 0, 37), (39, 0, 43), (45, 0, 49),
+    (51, 0, 55), (57, 0, 61), (63, 0, 67), (69, 0, 73), (75, 0, 79), (81, 0, 85), (87, 0, 91), (93, 1, 1),
+)
+GATES_SECOND_FORM = (
+    (2, 0, 7), (9, 0, 13), (15, 0, 19), (21, 0, 25), (27, 0, 31), (33, 0, 37), (39, 0, 43), (45, 0, 49),
+    (51, 0, 55), (57, 0, 61), (63, 0, 67), (69, 0, 73), (75, 0, 79), (81, 0, 85), (87, 0, 91), (93, 1, 1),
+)
+AFTER_LAST_GATE = (1, 1)
+
+
+def revision_gate(block: Column, gates: Sequence[tuple[int, int, int]] = GATES, after: tuple[int, int] = AFTER_LAST_GATE) -> Column:
+    """Struct (day_shift, first_block) of the first gate of the table that serves the block; ``after`` behind the last."""
+    opened = lambda shift, first: F.struct(F.lit(shift).cast("int").alias("day_shift"), F.lit(first).cast("int").alias("first_block"))
+    chosen = opened(*after)
+    for upto, shift, first in sorted(gates, reverse=True):
+        chosen = F.when(block <= upto, opened(shift, first)).otherwise(chosen)
+    return chosen
