@@ -320,6 +320,55 @@ def price_forecast(features: DataFrame, as_of: str | None = None, holdout_days:
     return scored.withColumn(out, F.col("prev_smooth") * (1 + F.col("_ret"))).drop("_zero", "_ret", "part")
 
 
+def price_unknown_days(prices: DataFrame, keys: Sequence[str], value: str, days: int, width: int = 19, degree: int = 3, out: str = "price_pred") -> DataFrame:
+    """Prices of the ``days`` days after the last known one: (keys, date, block_no, out, ``<out>_smooth``).
+
+    A linear learner takes the day-on-day return from the four before and the weekday; then each block's last state is
+    folded over the horizon, every predicted day feeding the next, and a day's curve is smoothed last. The days are
+    those after each key's last date; a block that is not quoted on it goes on from its own last price, returns not
+    known count as 0, and a block without a smoothed price is left out. No day known, no return to learn from: no
+    rows. One row per key and block carries the fold, and only eight coefficients reach the driver.
+    """
+    keys = list(keys)
+    lags = ["ret_lag1", "ret_lag2", "ret_lag3", "ret_lag4"]
+    names = [*lags, "is_monday", "is_saturday", "is_sunday"]
+    known = cut_lineage(price_returns(prices, keys, value, width, degree).select(*keys, "date", "block_no", "smooth", "ret", *names))
+    learn = known.dropna(subset=["ret", *names])
+    end = known.groupBy(*keys).agg(F.max("date").alias("_end"))
+    state = F.struct("date", "smooth", *[F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in ["ret", *lags[:3]]])
+    last = known.filter(F.col("smooth").isNotNull()).groupBy(*keys, "block_no").agg(F.max(state).alias("_s"))
+    if learn.isEmpty():
+        last, slopes, intercept = last.limit(0), [0.0] * len(names), 0.0
+    else:
+        model = _regressor("linear", 7).fit(_assembled(learn.select(*names, F.col("ret").alias("_y")), names))
+        slopes, intercept = [float(c) for c in model.coefficients], float(model.intercept)
+
+    def step(acc: Column, ahead: Column) -> Column:
+        weekday = F.weekday(F.date_add("_end", ahead))
+        flags = sum((F.when(weekday == day, F.lit(slope)).otherwise(0.0) for day, slope in zip((0, 5, 6), slopes[4:])), F.lit(intercept))
+        change = sum((acc["past"][i] * slope for i, slope in enumerate(slopes[:4])), flags)
+        price = acc["price"] * (1 + change)
+        return F.struct(
+            price.alias("price"), F.concat(F.array(change), F.slice(acc["past"], 1, 3)).alias("past"),
+            F.concat(acc["path"], F.array(price)).alias("path"),
+        )
+
+    start = F.struct(
+        F.col("_s.smooth").alias("price"), F.array(*[F.col(f"_s.{c}") for c in ["ret", *lags[:3]]]).alias("past"),
+        F.array().cast("array<double>").alias("path"),
+    )
+    if keys:
+        folded = last.join(end, [last[k].eqNullSafe(end[k]) for k in keys]).select(*[last[k] for k in keys], "block_no", "_s", "_end")
+    else:
+        folded = last.withColumn("_end", end.select("_end").scalar())
+    path = folded.select(
+        *keys, "block_no", "_end", F.aggregate(F.sequence(F.lit(1), F.lit(int(days))), start, step, lambda acc: acc["path"]).alias("_path")
+    )
+    rows = path.select(*keys, "block_no", "_end", F.posexplode("_path").alias("_i", out))
+    rows = rows.select(*keys, F.date_add("_end", F.col("_i") + 1).alias("date"), "block_no", out)
+    return repair.savgol(rows, [*keys, "date"], "block_no", out, width, degree, f"{out}_smooth")
+
+
 def price_band(df: DataFrame, forecast: str, mad: str, alphas: Sequence[float]) -> DataFrame:
     """Forecast +- z(alpha) x deviation for each alpha, rounded to 3 places."""
     table = F.array(*[

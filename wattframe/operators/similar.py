@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from wattframe.functions.blocks import BLOCKS_PER_DAY, day_number
 from wattframe.functions.scalars import point_at, ratio
+from wattframe.operators import aggregates, repair
 from wattframe.operators.latest import top_k
 from wattframe.operators.places import nearest_units  # noqa: F401  (a unit's neighbours belong to its similar days)
 
@@ -115,7 +116,7 @@ def _search(fields: Sequence, index: str, metric: str, lookback: int | None, k:
     return search
 
 
-def nearest_earlier(df: DataFrame, keys: Sequence[str], index: str, vector: str, metric: str, lookback: int | None, k: int, pool: Column | None = None, partial: bool = False) -> DataFrame:
+def nearest_earlier(df: DataFrame, keys: Sequence[str], index: str, vector: str, metric: str, lookback: int | None, k: int, pool: Column | None = None, partial: bool = False, ask: Column | None = None) -> DataFrame:
     """The k nearest of the rows 1..lookback index steps earlier: (keys, index, lag_<index>, distance, rank).
 
     Each row asks in its own bucket of steps and offers itself there and, when its reach crosses the end,
@@ -123,7 +124,7 @@ def nearest_earlier(df: DataFrame, keys: Sequence[str], index: str, vector: str,
     group, a row is shuffled twice at most, and a group holds at most two buckets of one key. Distances of
     a group are one numpy block; only the k best leave it, so pairs are never rows. Vectors of different
     length do not compare. Equal distances rank the later row first. ``pool`` limits the rows that may be
-    found.
+    found, ``ask`` those that search.
 
     ``lookback`` None searches the whole past: every bucket meets every earlier one in a group of its own,
     so the work of a long key is spread evenly, and the best of the groups are ranked again.
@@ -132,11 +133,12 @@ def nearest_earlier(df: DataFrame, keys: Sequence[str], index: str, vector: str,
     width = BLOCK_ROWS if lookback is None else max(lookback, SMALLEST_BUCKET)
     bucket = F.floor(F.col(index) / width)
     offers = F.when(F.lit(True) if pool is None else pool, F.lit(True)).otherwise(False)
+    wants = F.when(F.lit(True) if ask is None else ask, F.lit(True)).otherwise(False)
     base = df.select(
         *keys, F.col(index).cast("long").alias("_i"), F.transform(vector, lambda x: x.cast("double")).alias("_v"),
-        offers.alias("_offers"), bucket.alias("_b"),
+        offers.alias("_offers"), wants.alias("_wants"), bucket.alias("_b"),
     )
-    role = lambda mine, other, asks, gives: F.struct(mine.alias("b"), other.alias("c"), F.lit(asks).alias("asks"), gives.alias("gives"))
+    role = lambda mine, other, asks, gives: F.struct(mine.alias("b"), other.alias("c"), (F.col("_wants") & asks).alias("asks"), gives.alias("gives"))
     own = F.col("_b")
     if lookback is None:
         span = base.groupBy(*keys).agg(F.min("_b").alias("_first"), F.max("_b").alias("_last"))
@@ -173,14 +175,15 @@ def similar_days(
     pool: Column | None = None,
     date: str = "date",
     partial: bool = False,
+    ask: Column | None = None,
 ) -> DataFrame:
     """The k nearest earlier days per day: (keys, date, lag_date, distance, rank).
 
     ``profile`` holds one row per key and date. ``pool`` limits the days that may be found (complete days,
-    for instance); with ``partial`` a day still under way is compared on the cells it has.
+    for instance), ``ask`` the days that search; with ``partial`` a day still under way is compared on the cells it has.
     """
     indexed = profile.withColumn("_day", day_number(F.col(date)))
-    found = nearest_earlier(indexed, keys, "_day", vector, metric, lookback, k, pool, partial)
+    found = nearest_earlier(indexed, keys, "_day", vector, metric, lookback, k, pool, partial, ask)
     back = lambda c: F.date_from_unix_date(F.col(c).cast("int"))
     return found.select(*keys, back("_day").alias(date), back("lag__day").alias("lag_date"), "distance", "rank")
 
@@ -274,6 +277,32 @@ def blended_curves(nn: DataFrame, curves_df: DataFrame, keys: Sequence[str], k:
     return gathered.select(*keys, "date", whole.alias(out))
 
 
+def impute_from_similar(grid: DataFrame, keys: Sequence[str], value: str, lookback: int = 31, least: int = BLOCKS_PER_DAY, out: str = "imputed") -> DataFrame:
+    """Unfinished days filled from the nearest finished day: every row of ``grid`` with ``out`` and ``lag_date``.
+
+    ``grid`` holds the 96 blocks of each key and date, null where nothing was read. A day is finished with ``least``
+    readings or more, among them one in every hour; days with a hole search the finished days of the ``lookback`` days
+    before by Euclid on hourly maxima, over the hours they have themselves (a day without any takes the last finished
+    one). A hole follows the neighbour's shape from the day's last reading before it; holes that open the day, or come
+    after readings that are not positive only, take the neighbour's values. Where the neighbour has a hole too, or
+    no day is found, the value stays null. A day is one row until its blocks are carried.
+    """
+    keys = list(keys)
+    hours = aggregates.hourly_max(grid, keys, value)
+    seen = grid.groupBy(*keys, "date").agg(F.count(value).alias("_read"))
+    profile = vectors(hours, [*keys, "date"], ["hour"], [f"{value}_max"]).filter(F.col("n_cells") == 24)
+    profile = profile.join(seen, [profile[k].eqNullSafe(seen[k]) for k in [*keys, "date"]]).select(*[profile[k] for k in [*keys, "date"]], "vector", "_read")
+    finished = (F.col("_read") >= least) & ~F.exists("vector", lambda x: x.isNull())
+    found = similar_days(profile, keys, "vector", "euclid", lookback, 1, pool=finished, partial=True, ask=F.col("_read") < BLOCKS_PER_DAY)
+    past = day_curves(grid, keys, value, out="_past")
+    on = [found[k].eqNullSafe(past[k]) for k in keys] + [found["lag_date"] == past["date"]]
+    reference = found.join(past, on).select(*[found[k].alias(f"_k{i}") for i, k in enumerate(keys)], found["date"].alias("_date"), found["lag_date"], "_past")
+    on = [F.col(f"_k{i}").eqNullSafe(grid[k]) for i, k in enumerate(keys)] + [F.col("_date") == grid["date"]]
+    beside = grid.join(reference, on, "left").select(*grid.columns, "lag_date", F.try_element_at("_past", F.col("block_no").cast("int")).alias("_ref"))
+    carried = repair.ratio_carry(beside, [*keys, "date"], ["block_no"], value, "_ref", "_carried")
+    return carried.select(*grid.columns, "lag_date", F.coalesce(F.col(value), "_carried", "_ref").alias(out))
+
+
 def weather_delta(weather: DataFrame, nn: DataFrame, keys: Sequence[str], slot: Sequence[str], value: str, k: int, t: float) -> DataFrame:
     """Today's reading minus the blended reading of the similar days, per place and slot."""
     past = weather.select(*keys, F.col("date").alias("lag_date"), *slot, F.col(value).alias("_p"))

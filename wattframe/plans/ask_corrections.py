@@ -325,6 +325,11 @@ def _(t):
     return forecast.price_forecast(forecast.price_returns(t.long_blocks, ["pool"], "value", 5, 1))
 
 
+@query("price_unknown_days", "pool:s date:d block_no:i price_pred:f price_pred_smooth:f")
+def _(t):
+    return forecast.price_unknown_days(t.long_blocks, ["pool"], "value", 7, 5, 1)
+
+
 @query("price_bias_corrected", "date:d block_no:i corrected:f", f"""
 WITH {EVENTS_SQL}, x AS (SELECT date, block_no, price, forecast, CAST(isodow(date) >= 6 AS INT) AS we FROM v_price_blocks),
 f AS (SELECT we, block_no, median(price / nullif(forecast, 0) - 1) AS f FROM x GROUP BY 1, 2),

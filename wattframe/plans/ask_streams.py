@@ -60,6 +60,29 @@ def _(t):
     return feeds.resume_points_for(wanted, tracker, ["feed"], now)
 
 
+GATES = (1, 25, 29, 61, 90)
+GATES_SQL = f"""
+WITH g AS (SELECT CAST(unnest({list(GATES)}) AS INTEGER) AS gate),
+p AS (SELECT r.pool, r.date, (SELECT max(gate) FROM g WHERE gate <= r.block_no) AS gate FROM v_readings r)
+SELECT DISTINCT pool AS entity, CASE WHEN gate IS NULL THEN date - 1 ELSE date END AS date, coalesce(gate, (SELECT max(gate) FROM g)) AS block_no FROM p"""
+
+
+@query("run_gates_passed", "entity:s date:d block_no:i", GATES_SQL)
+def _(t):
+    return feeds.run_gate(t.readings, "ts", "pool", GATES)
+
+
+@query("stored_revision_wins", "key:i schedule:f revision:i", """
+WITH f AS (SELECT key, max(revision) AS revision, arg_max(schedule, revision) AS schedule FROM v_schedules WHERE revision % 2 = 1 GROUP BY 1),
+b AS (SELECT key, max(revision) AS revision, arg_max(schedule, revision) AS schedule FROM v_schedules WHERE revision % 2 = 0 GROUP BY 1)
+SELECT coalesce(b.key, f.key) AS key, CASE WHEN b.key IS NULL OR f.revision >= b.revision THEN f.schedule ELSE b.schedule END AS schedule,
+ CASE WHEN b.key IS NULL OR f.revision >= b.revision THEN f.revision ELSE b.revision END AS revision FROM b FULL JOIN f ON f.key = b.key""")
+def _(t):
+    rows = t.schedules.select("key", "schedule", "revision")
+    stored, fresh = (feeds.newest_per_key(rows.filter(F.col("revision") % 2 == k), ["key"], "revision") for k in (0, 1))
+    return merge.upsert(stored, fresh, ["key"], ["schedule", "revision"], newest_by="revision")
+
+
 @query("run_gate_blocks", "pool:s date:d block_no:i", """
 SELECT pool, date, max(block_no) AS block_no FROM v_readings WHERE date = (SELECT max(date) FROM v_readings) GROUP BY 1, 2""")
 def _(t):

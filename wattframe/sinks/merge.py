@@ -19,18 +19,23 @@ def upsert(
     set_cols: Sequence[str],
     keep_on_null: bool = False,
     set_literals: dict | None = None,
+    newest_by: str | None = None,
 ) -> DataFrame:
     """Insert new keys; on a key clash replace the listed columns.
 
     ``keep_on_null`` keeps the stored value where the new one is null. ``set_literals`` are written on
     every touched row (such as a processed flag back to 0). ``new`` must hold one row per key. Null keys equal
-    null keys.
+    null keys. With ``newest_by`` (a revision column) a new row whose revision is below the stored one, or null where
+    one is stored, leaves the stored row as it is.
     """
     literals = set_literals or {}
     b = base.select(*[F.col(c).alias(f"_b_{c}") for c in base.columns], F.lit(1).alias("_in_b"))
     n = new.select(*[F.col(c).alias(f"_n_{c}") for c in new.columns], F.lit(1).alias("_in_n"))
     joined = b.join(n, [F.col(f"_b_{c}").eqNullSafe(F.col(f"_n_{c}")) for c in keys], "full")
     touched, existed = F.col("_in_n").isNotNull(), F.col("_in_b").isNotNull()
+    if newest_by is not None:
+        stored = F.col(f"_b_{newest_by}")
+        touched = touched & (stored.isNull() | F.coalesce(F.col(f"_n_{newest_by}") >= stored, F.lit(False)))
     out = []
     for c in base.columns:
         if c in keys:

@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from wattframe.functions.blocks import BLOCKS_PER_DAY, block_of
+from wattframe.sinks import versions
 from wattframe.sinks.merge import upsert
 
 
@@ -66,12 +67,34 @@ def upsert_stream(
     checkpoint: str,
     set_literals: dict | None = None,
 ) -> StreamingQuery:
-    """Latest revision wins, per micro-batch. ``write`` receives the merged table and the batch id and
-    must be idempotent for a repeated id (a version folder per id, or a transactional table)."""
+    """Latest revision wins, within a micro-batch and against the stored row. ``write`` receives the merged table and
+    the batch id and must be idempotent for a repeated id (a transactional table; ``upsert_versions`` brings one)."""
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         newest = newest_per_key(batch, keys, revision)
-        write(upsert(read_base(), newest, keys, set_cols, set_literals=set_literals), batch_id)
+        write(upsert(read_base(), newest, keys, set_cols, set_literals=set_literals, newest_by=revision), batch_id)
+
+    return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def upsert_versions(
+    stream: DataFrame,
+    root: str,
+    keys: Sequence[str],
+    set_cols: Sequence[str],
+    partition: str,
+    revision: str,
+    checkpoint: str,
+    writer: str = "stream",
+    set_literals: dict | None = None,
+) -> StreamingQuery:
+    """Latest revision wins in a versioned table (``sinks.versions``): a micro-batch is one commit that rewrites the
+    partitions it touches, and a batch that is run again changes nothing."""
+    schema = stream.schema
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        newest = newest_per_key(batch, keys, revision)
+        versions.merge_newest(newest, root, schema, keys, set_cols, partition, revision, writer, batch_id, set_literals=set_literals)
 
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
@@ -83,13 +106,37 @@ def split_late(batch: DataFrame, ts: str, horizon) -> tuple[DataFrame, DataFrame
     return batch.filter(~late), batch.filter(late).withColumn("processed_ind", F.lit(0))
 
 
+def passed_gates(frame: DataFrame, ts: str, entity: str, gates: Sequence[int], delay: str = "1 day") -> DataFrame:
+    """Runs that are due: (entity, date, block_no) of each gate passed, once, however many a batch passes.
+
+    A row passes the last gate at or before its block, or the last gate of the day before where its own day has none
+    yet; its time is null or ``gates`` empty: none. A run made is remembered until the watermark of the gates' times
+    has gone by it, and a row of a gate behind the watermark starts no run. A batch frame gives the same rows. The
+    state holds the runs of the last ``delay`` per entity, and rows are reduced to runs before they are shuffled.
+    """
+    listed = F.array(*[F.lit(int(g)) for g in sorted(gates)]).cast("array<int>")
+    before = F.array_max(F.filter(listed, lambda g: g <= block_of(F.col(ts))))
+    block = F.coalesce(before, F.array_max(listed))
+    day = F.to_date(ts)
+    date = F.when(before.isNull(), F.date_sub(day, 1)).otherwise(day)
+    opens = F.timestamp_seconds((F.unix_date(date).cast("long") * BLOCKS_PER_DAY + block - 1) * (86400 // BLOCKS_PER_DAY))
+    passed = frame.select(F.col(entity).alias("entity"), date.alias("date"), block.cast("int").alias("block_no"), opens.alias("_gate"))
+    passed = passed.filter(F.col("_gate").isNotNull())
+    if passed.isStreaming:
+        # A task sends one row per run and batch of input, so a busy entity does not crowd its group.
+        passed = passed.mapInPandas(lambda frames: (f.drop_duplicates() for f in frames), passed.schema).withWatermark("_gate", delay)
+    return passed.dropDuplicates(["entity", "date", "block_no", "_gate"]).select("entity", "date", "block_no")
+
+
 def run_gate(stream: DataFrame, ts: str, entity: str, exact_gates: Sequence[int] | None = None) -> DataFrame:
     """Emit (entity, date, block_no) whenever a newer block than any before arrives for an entity.
 
-    With ``exact_gates`` only those block numbers open the gate. State is one number per entity. Each task
-    sends one row per entity and batch of input, so a busy entity does not crowd its group.
+    With ``exact_gates`` every one of those blocks that is passed opens, see ``passed_gates``. Else the state is one
+    number per entity, and each task sends one row per entity and batch of input, so a busy entity does not crowd its
+    group.
     """
-    gates = None if exact_gates is None else {int(g) for g in exact_gates}
+    if exact_gates is not None:
+        return passed_gates(stream, ts, entity, exact_gates)
 
     def step(key, frames, state: GroupState):
         seen = state.get[0] if state.exists else -1
@@ -99,8 +146,7 @@ def run_gate(stream: DataFrame, ts: str, entity: str, exact_gates: Sequence[int]
         if newest > seen:
             state.update((newest,))
             day, block = divmod(newest, BLOCKS_PER_DAY)
-            if gates is None or block + 1 in gates:
-                yield pd.DataFrame({"entity": [key[0]], "day": [day], "block_no": [block + 1]})
+            yield pd.DataFrame({"entity": [key[0]], "day": [day], "block_no": [block + 1]})
 
     def newest_only(batches):
         for pdf in batches:
