@@ -43,7 +43,7 @@ def test_versions_keep_newer_rows_and_repeat_nothing(spark, tmp_path):
     assert not put(spark, root, [(DAY, 1, 7, 7.0, 1)], 1) and rows_of(spark, root) == want
     # Only the folder of the touched day was written by the second commit.
     assert [p.name for p in (tmp_path / "t" / "data" / "table_version=1").iterdir() if p.is_dir()] == [f"day={DAY}"]
-    assert versions.manifest(spark, root)["folders"] == {f"day={DAY}": 1, f"day={next_day}": 0}
+    assert versions.manifest(spark, root)["folders"] == {"data": {f"day={DAY}": 1, f"day={next_day}": 0}}
 
 
 def test_a_failed_commit_leaves_the_version_before(spark, tmp_path, monkeypatch):
@@ -177,3 +177,48 @@ def test_unknown_days_feed_the_next(spark):
             assert found[DAY + dt.timedelta(d), b + 1]["price_pred"] == pytest.approx(price, rel=1e-4)
     assert all(r["price_pred_smooth"] is not None for r in got)
     assert forecast.price_unknown_days(series.limit(0), ["area"], "price", 3, 5, 1).isEmpty()
+
+
+def test_publication_is_one_commit(spark, tmp_path, monkeypatch):
+    from wattframe.sinks import publication
+
+    root = str(tmp_path / "p")
+    days = [DAY - dt.timedelta(1), DAY, DAY + dt.timedelta(1)]
+    made = lambda x: spark.createDataFrame([("u", d, b, x + b) for d in days for b in range(1, 97)], "unit string, date date, block_no int, load double")
+    seen = lambda: {(r["date"], r["block_no"]): (r["revision"], r["load"]) for r in publication.rows_in_force(spark, root, made(0.0).schema, ["unit"]).collect()}
+    assert seen() == {}
+    assert publication.publish_forecast(made(0.0), root, ["unit"], str(DAY), 1, "w", 0)
+    before = seen()
+    assert before == {(d, b): (0, float(b)) for d in days[1:] for b in range(1, 97)}
+
+    def fail(*args):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(versions, "_publish", fail)
+        with pytest.raises(RuntimeError):
+            publication.publish_forecast(made(1000.0), root, ["unit"], str(DAY), 50, "w", 1)
+    assert seen() == before
+    assert publication.publish_forecast(made(1000.0), root, ["unit"], str(DAY), 50, "w", 1)
+    after = {(DAY, b): (0, float(b)) if b < 50 else (1, 1000.0 + b) for b in range(1, 97)} | {(days[2], b): (0, 1000.0 + b) for b in range(1, 97)}
+    assert seen() == after
+    assert not publication.publish_forecast(made(5.0), root, ["unit"], str(DAY), 80, "w", 1) and seen() == after
+
+
+def test_unreadable_cells_are_code_zero_and_rules_share_scans(spark):
+    from wattframe.operators import quality
+
+    rows = [(0, ["1", "a"]), (1, ["x", "a"]), (2, ["-4", "b"]), (3, [None, "b"]), (4, ["1", None]), (5, [])]
+    df = spark.createDataFrame(rows, "row_no long, cells array<string>")
+    rules = quality.Rules(["n", "s"]).value_check("n", lambda v: v > 0, reads="int").unique_check("n").unique_check(["s"], "S", "again")
+    rules = rules.expect_total("five", F.count(F.lit(1)) == 5).expect_total("six", F.count(F.lit(1)) == 6).expect_total("null", F.lit(None).cast("boolean"))
+    spark.conf.set("spark.sql.ansi.enabled", "true")
+    got = sorted((r["code"], r["row"], r["column"], r["field"], r["value"], r["message"]) for r in rules.validate(df).collect() if r["row"] is not None)
+    assert got == [
+        ("0", 2, 1, "n", "x", "Unexpected exception [ValueError]: cannot read the value as int"),
+        ("1", 3, 1, "n", "-4", "Value check failed."),
+        ("7", 5, 1, "n", "1", "Unique check failed."),
+        ("S", 2, 2, "s", "a", "again"),
+        ("S", 4, 2, "s", "b", "again"),
+    ]
+    assert sorted(r["message"] for r in rules.validate(df).collect() if r["row"] is None) == ["five", "null"]

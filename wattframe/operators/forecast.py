@@ -369,6 +369,11 @@ def price_unknown_days(prices: DataFrame, keys: Sequence[str], value: str, days:
     return repair.savgol(rows, [*keys, "date"], "block_no", out, width, degree, f"{out}_smooth")
 
 
+def even_alphas(lo: float, hi: float, n: int) -> list[float]:
+    """``n`` confidence levels from ``lo`` to ``hi`` in even steps; one alone is ``lo``."""
+    return [lo + (hi - lo) * i / max(n - 1, 1) for i in range(n)]
+
+
 def price_band(df: DataFrame, forecast: str, mad: str, alphas: Sequence[float]) -> DataFrame:
     """Forecast +- z(alpha) x deviation for each alpha, rounded to 3 places."""
     table = F.array(*[

@@ -114,13 +114,19 @@ class Rules:
             ),
         )
 
-    def value_check(self, name: str, test: Callable[[Column], Column], code=VALUE_CHECK_FAILED, message: str | None = None, modulus: int = 1) -> Rules:
+    def value_check(self, name: str, test: Callable[[Column], Column], code=VALUE_CHECK_FAILED, message: str | None = None, modulus: int = 1, reads: str | None = None) -> Rules:
+        """``test`` receives the cell's text, or its value as the type ``reads``. A cell that cannot be read as that
+        type is an unexpected exception (code 0) and is not tested; no cast throws, in ANSI mode either."""
         c = self.cell(name)
+        if reads is not None:
+            c, text = F.trim(c).try_cast(reads), c
+            unread = f"cannot read the value as {reads}"
+            self._rules.append(self._problem(text.isNotNull() & self._sampled(c.isNotNull(), modulus), UNEXPECTED_EXCEPTION, MESSAGES[UNEXPECTED_EXCEPTION] % ("ValueError", unread), name))
         self._rules.append(self._problem(c.isNotNull() & self._sampled(test(c), modulus), code, message, name))
         return self
 
-    def value_predicate(self, name: str, test: Callable[[Column], Column], code=VALUE_PREDICATE_FALSE, message: str | None = None, modulus: int = 1) -> Rules:
-        return self.value_check(name, test, code, message, modulus)
+    def value_predicate(self, name: str, test: Callable[[Column], Column], code=VALUE_PREDICATE_FALSE, message: str | None = None, modulus: int = 1, reads: str | None = None) -> Rules:
+        return self.value_check(name, test, code, message, modulus, reads)
 
     def length_check(self, code=RECORD_LENGTH_CHECK_FAILED, message: str | None = None, modulus: int = 1) -> Rules:
         ok = F.size(self.cells) == len(self.fields)
@@ -167,11 +173,15 @@ class Rules:
         if self._rules:
             found = F.filter(F.array(*self._rules), lambda p: p.isNotNull())
             parts.append(df.select(F.inline(found)))
-        parts += [self._repeats(df, *u) for u in self._uniques]
-        for name, test in self._totals:
+        if self._uniques:
+            parts.append(self._repeats(df))
+        if self._totals:
+            # One aggregate for all of them.
+            failed = [F.when(~F.coalesce(test, F.lit(False)), F.lit(name)) for name, test in self._totals]
+            names = df.agg(F.array(*failed).alias("_f")).select(F.explode(F.filter("_f", lambda n: n.isNotNull())).alias("message"))
             parts.append(
-                df.agg(F.coalesce(test, F.lit(False)).alias("_ok")).filter(~F.col("_ok")).select(
-                    F.lit(str(FINALLY_ASSERT_CHECK_FAILED)).alias("code"), F.lit(name).alias("message"), F.lit(None).cast("long").alias("row"),
+                names.select(
+                    F.lit(str(FINALLY_ASSERT_CHECK_FAILED)).alias("code"), "message", F.lit(None).cast("long").alias("row"),
                     F.lit(None).cast("int").alias("column"), F.lit(None).cast("string").alias("field"), F.lit(None).cast("string").alias("value"),
                 )
             )
@@ -180,24 +190,27 @@ class Rules:
             out = out.unionByName(part)
         return out
 
-    def _repeats(self, df: DataFrame, keys: list[str], code, message: str | None) -> DataFrame:
-        """Second and later occurrences of a key.
+    def _repeats(self, df: DataFrame) -> DataFrame:
+        """Second and later occurrences of a key, for all unique rules at once.
 
         First rows are found by a partial aggregate and taken out by row number, which is unique: a value
         repeated in a third of the records never meets in one task.
         """
-        names = [f"_k{i}" for i in range(len(keys))]
-        keyed = df.select(self.row, *[self.cell(k).alias(n) for k, n in zip(keys, names)]).dropna(subset=names)
-        firsts = keyed.groupBy(*names).agg(F.min(self.row).alias(self.row)).select(self.row)
-        repeats = keyed.join(firsts, self.row, "left_anti")
-        single = len(keys) == 1
+        entries, said = [], []
+        for i, (keys, code, message) in enumerate(self._uniques):
+            entries.append(F.struct(F.lit(i).alias("_u"), F.array(*[self.cell(k) for k in keys]).alias("_k")))
+            said.append(F.struct(
+                F.lit(str(code)).alias("code"),
+                F.lit(_message(code, message)).alias("message"),
+                F.lit(list(self.fields).index(keys[0]) + 1 if len(keys) == 1 else None).cast("int").alias("column"),
+                F.lit(",".join(keys)).alias("field"),
+            ))
+        keyed = df.select(self.row, F.inline(F.array(*entries))).filter(~F.exists("_k", lambda k: k.isNull()))
+        firsts = keyed.groupBy("_u", "_k").agg(F.min(self.row).alias(self.row)).select("_u", self.row)
+        repeats = keyed.join(firsts, ["_u", self.row], "left_anti").withColumn("_p", F.element_at(F.array(*said), F.col("_u") + 1))
         return repeats.select(
-            F.lit(str(code)).alias("code"),
-            F.lit(_message(code, message)).alias("message"),
-            (F.col(self.row) + 1).cast("long").alias("row"),
-            F.lit(list(self.fields).index(keys[0]) + 1 if single else None).cast("int").alias("column"),
-            F.lit(",".join(keys)).alias("field"),
-            F.concat_ws(",", *names).alias("value"),
+            "_p.code", "_p.message", (F.col(self.row) + 1).cast("long").alias("row"), "_p.column", "_p.field",
+            F.array_join("_k", ",").alias("value"),
         )
 
 

@@ -246,6 +246,13 @@ def _(t):
     return series.span_spine(t.prices, ["area"]).filter("block_no = 1")
 
 
+@query("dates_descending", "pos:i date:d", """
+SELECT CAST(row_number() OVER (ORDER BY date DESC) - 1 AS INTEGER) AS pos, date FROM (SELECT CAST(unnest(generate_series(min(date), max(date), INTERVAL 1 DAY)) AS DATE) AS date FROM v_load)""")
+def _(t):
+    first, last = t.load.agg(F.min("date"), F.max("date")).first()
+    return series.date_spine(t.load.sparkSession, str(first), str(last), descending=True)
+
+
 @query("new_keys_only", "c_custkey:i", "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 300000)")
 def _(t):
     return series.new_keys(t.customer, t.orders.filter("o_totalprice > 300000").select(F.col("o_custkey").alias("c_custkey")), ["c_custkey"])

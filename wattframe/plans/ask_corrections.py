@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from wattframe.functions.scalars import normal_quantile
@@ -11,6 +13,8 @@ from wattframe.plans.ask_basics import MAD_SQL, mad_frame
 from wattframe.plans.ask_repair import bin_sql, savgol_sql
 from wattframe.plans.ask_similar import RANK_SQL
 from wattframe.plans.registry import query
+from wattframe.session import shared_folder
+from wattframe.sinks import publication
 
 EVENTS_SQL = """
 ex AS (SELECT date + s AS date, CASE s WHEN -1 THEN 'pre_' WHEN 1 THEN 'post_' ELSE '' END || name AS name,
@@ -325,6 +329,21 @@ def _(t):
     return forecast.price_forecast(forecast.price_returns(t.long_blocks, ["pool"], "value", 5, 1))
 
 
+IN_FORCE_SQL = """
+SELECT pool, date, block_no, CASE WHEN date > DATE '2024-01-15' OR block_no >= 61 THEN value * 2 ELSE value END AS value,
+ CASE WHEN date = DATE '2024-01-15' AND block_no >= 61 THEN 1 ELSE 0 END AS revision FROM v_pools WHERE date >= DATE '2024-01-15'"""
+
+
+@query("published_rows_in_force", "pool:s date:d block_no:i value:g revision:i", IN_FORCE_SQL)
+def _(t):
+    spark = t.pools.sparkSession
+    root = f"{shared_folder(spark)}/published-{uuid.uuid4().hex}"
+    first = t.pools.select("pool", "date", "block_no", "value")
+    publication.publish_forecast(first, root, ["pool"], "2024-01-15", 1, "day_ahead", 0)
+    publication.publish_forecast(first.withColumn("value", F.col("value") * 2), root, ["pool"], "2024-01-15", 61, "day_ahead", 1)
+    return publication.rows_in_force(spark, root, first.schema, ["pool"])
+
+
 @query("price_unknown_days", "pool:s date:d block_no:i price_pred:f price_pred_smooth:f")
 def _(t):
     return forecast.price_unknown_days(t.long_blocks, ["pool"], "value", 7, 5, 1)

@@ -215,18 +215,34 @@ def _(t):
 BID_ALPHAS = (0.9, 0.95)
 
 
-@query("bid_ladder", "date:d block_no:i ladder:i alpha:f buy_sell:s ladder_volume:f bid_price:f bid_volume:f", f"""
+def _bids_sql(alphas):
+    return f"""
 WITH {MAD_SQL}, gp AS (SELECT date, block_no, value - 40 AS position_gap FROM (SELECT date, block_no, sum(value) AS value FROM v_long GROUP BY 1, 2)),
-z AS (SELECT * FROM (VALUES {", ".join(f"({i + 1}, {a}::DOUBLE, {normal_quantile(a)!r}::DOUBLE)" for i, a in enumerate(BID_ALPHAS))}) v(ladder, alpha, z)),
-j AS (SELECT b.date, b.block_no, ladder, alpha, position_gap / 2 AS vol, round(CASE WHEN position_gap / 2 >= 0 THEN forecast + z * mad ELSE forecast - z * mad END, 3) AS price
+z AS (SELECT * FROM (VALUES {", ".join(f"({i + 1}, {a}::DOUBLE, {normal_quantile(a)!r}::DOUBLE)" for i, a in enumerate(alphas))}) v(ladder, alpha, z)),
+j AS (SELECT b.date, b.block_no, ladder, alpha, position_gap / {len(alphas)} AS vol, round(CASE WHEN position_gap >= 0 THEN forecast + z * mad ELSE forecast - z * mad END, 3) AS price
  FROM b CROSS JOIN z JOIN gp ON gp.date = b.date AND gp.block_no = b.block_no)
 SELECT date, block_no, ladder, alpha, CASE WHEN vol >= 0 THEN 'BUY' ELSE 'SELL' END AS buy_sell, abs(round(vol, 3)) AS ladder_volume,
- CASE WHEN vol < 0 AND price < 0.75 THEN 0.75 ELSE price END AS bid_price, abs(round(ceil(vol / 5) * 5, 3)) AS bid_volume FROM j""")
-def _(t):
+ CASE WHEN vol < 0 AND price < 0.75 THEN 0.75 ELSE price END AS bid_price, abs(round(ceil(vol / 5) * 5, 3)) AS bid_volume FROM j"""
+
+
+def _bids(t, alphas):
     total = t.long_blocks.groupBy("date", "block_no").agg(F.sum("value").alias("value"))
     gap = total.select("date", "block_no", (F.col("value") - 40).alias("position_gap"))
-    band = forecast.price_band(mad_frame(t), "forecast", "mad", BID_ALPHAS).select("date", "block_no", "ladder", "alpha", "ul_price", "ll_price")
-    return dispatch.bid_ladder(gap, band, ["date", "block_no"], 2, 5.0)
+    band = forecast.price_band(mad_frame(t), "forecast", "mad", alphas).select("date", "block_no", "ladder", "alpha", "ul_price", "ll_price")
+    return dispatch.bid_ladder(gap, band, ["date", "block_no"], len(alphas), 5.0)
+
+
+BID_COLUMNS = "date:d block_no:i ladder:i alpha:f buy_sell:s ladder_volume:f bid_price:f bid_volume:f"
+
+
+@query("bid_ladder", BID_COLUMNS, _bids_sql(BID_ALPHAS))
+def _(t):
+    return _bids(t, BID_ALPHAS)
+
+
+@query("bid_ladder_even_steps", BID_COLUMNS, _bids_sql([0.6 + 0.3 * i / 6 for i in range(7)]))
+def _(t):
+    return _bids(t, forecast.even_alphas(0.6, 0.9, 7))
 
 
 @query("unit_costs_on_date", "contract:i name:s urgent:g high:g", """

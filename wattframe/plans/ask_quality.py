@@ -31,6 +31,15 @@ def _(t):
     return _rules().value_check("customer", quality.castable("bigint")).validate(t.records)
 
 
+UNREAD_SQL = """SELECT '0' AS code, 'Unexpected exception [ValueError]: cannot read the value as bigint' AS message, row_no + 1 AS "row", 2 AS "column", 'customer' AS field, cells[2] AS value
+FROM v_records WHERE cells[2] IS NOT NULL AND try_cast(trim(cells[2]) AS BIGINT) IS NULL UNION ALL """
+
+
+@query("unreadable_values", PROBLEM, UNREAD_SQL + _problem_sql("try_cast(trim(cells[2]) AS BIGINT) % 5 = 0", 4, "customer", 2))
+def _(t):
+    return _rules().value_predicate("customer", lambda c: c % 5 != 0, reads="bigint").validate(t.records)
+
+
 @query("value_predicates", PROBLEM, _problem_sql("CAST(cells[4] AS DOUBLE) < 0", 4, "price", 4))
 def _(t):
     return _rules().value_predicate("price", lambda c: c.try_cast("double") >= 0).validate(t.records)

@@ -1,7 +1,8 @@
-"""A Parquet table whose versions are committed by a manifest.
+"""Parquet tables whose versions are committed by a manifest.
 
-``<root>/data/table_version=<n>/<partition>=<value>`` holds the partitions that version n wrote, ``<root>/manifest/<n>.json`` names
-for every partition the version that holds it, and for every writer the last batch it committed. Rows are written
+``<root>/<table>/table_version=<n>/<partition>=<value>`` holds the partitions that version n wrote,
+``<root>/manifest/<n>.json`` names for every partition of each table the version that holds it, and for every writer
+the last batch it committed; tables of one root change together. Rows are written
 first and the manifest is renamed into place last: until then readers see the version before, and a write that failed
 leaves files nobody names. A merge reads and writes the partitions its rows touch and no others; the manifest grows
 with the number of partitions (days), not with rows. One writer commits at a time.
@@ -51,38 +52,40 @@ def _publish(spark: SparkSession, root: str, state: dict) -> None:
         raise RuntimeError(f"version {state['version']} of {root} was committed by another writer")
 
 
-def _read(spark: SparkSession, root: str, schema: StructType, folders: dict[str, int]) -> DataFrame:
+def read_table(spark: SparkSession, root: str, schema: StructType, table: str = "data", state: dict | None = None) -> DataFrame:
+    """Rows of the newest committed version (or of the manifest given); no rows where none is."""
     if VERSION in (c.lower() for c in schema.names):
         raise ValueError(f"a column {VERSION} would clash with the folders of the versions")
+    folders = (state or manifest(spark, root))["folders"].get(table, {})
     if not folders:
         return spark.createDataFrame([], schema)
-    paths = [f"{root}/data/{VERSION}={version}/{name}" for name, version in sorted(folders.items())]
-    return spark.read.schema(schema).option("basePath", f"{root}/data").parquet(*paths).select(*schema.names)
+    paths = [f"{root}/{table}/{VERSION}={version}/{name}" for name, version in sorted(folders.items())]
+    return spark.read.schema(schema).option("basePath", f"{root}/{table}").parquet(*paths).select(*schema.names)
 
 
-def read_table(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
-    """Rows of the newest committed version; no rows where none is."""
-    return _read(spark, root, schema, manifest(spark, root)["folders"])
+def commit_tables(tables: dict[str, DataFrame], spark: SparkSession, root: str, partition: str, writer: str, batch_id: int) -> bool:
+    """Replace the partitions that each frame holds in its table, all at once.
 
-
-def commit(df: DataFrame, root: str, partition: str, writer: str, batch_id: int) -> bool:
-    """Replace the partitions that ``df`` holds; False, and nothing done, where the writer committed this batch before."""
-    spark = df.sparkSession
+    False, and nothing done, where the writer committed this batch before.
+    """
     state = manifest(spark, root)
     if state["writers"].get(writer, -1) >= batch_id:
         return False
     version = state["version"] + 1
-    folder = f"{root}/data/{VERSION}={version}"
-    df.write.mode("overwrite").partitionBy(partition).parquet(folder)
-    written = [n for n in _names(spark, folder) if "=" in n]
-    _publish(spark, root, {
-        "version": version,
-        "writers": state["writers"] | {writer: batch_id},
-        "folders": state["folders"] | {n: version for n in written},
-    })
+    folders = dict(state["folders"])
+    for table, df in tables.items():
+        folder = f"{root}/{table}/{VERSION}={version}"
+        df.write.mode("overwrite").partitionBy(partition).parquet(folder)
+        folders[table] = folders.get(table, {}) | {n: version for n in _names(spark, folder) if "=" in n}
+    _publish(spark, root, {"version": version, "writers": state["writers"] | {writer: batch_id}, "folders": folders})
     return True
 
 
+def commit(df: DataFrame, root: str, partition: str, writer: str, batch_id: int) -> bool:
+    """``commit_tables`` of one table."""
+    return commit_tables({"data": df}, df.sparkSession, root, partition, writer, batch_id)
+
+
 def merge_newest(new: DataFrame, root: str, schema: StructType, keys: Sequence[str], set_cols: Sequence[str], partition: str, revision: str, writer: str, batch_id: int, **options) -> bool:
     """Upsert rows whose revision is not below the stored one, as one commit.
 
@@ -100,6 +103,6 @@ def merge_newest(new: DataFrame, root: str, schema: StructType, keys: Sequence[s
     listed = F.col(partition).isin([v for v in touched if v is not None])
     if None in touched:
         listed = listed | F.col(partition).isNull()
-    stored = _read(spark, root, schema, state["folders"]).filter(listed)
+    stored = read_table(spark, root, schema, state=state).filter(listed)
     merged = upsert(stored, new, keys, set_cols, newest_by=revision, **options)
     return commit(merged, root, partition, writer, batch_id)
