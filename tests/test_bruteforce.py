@@ -77,24 +77,6 @@ def test_poly_profile_complete_and_partial(spark, degree):
     assert np.allclose(part, np.polynomial.legendre.Legendre.fit(x[:50], y[:50], degree, domain=[-1, 1])(x[:50]), atol=1e-6)
 
 
-def test_kernel_regression_equals_all_pairs(spark):
-    rng = np.random.default_rng(6)
-    t, q = rng.normal(size=(200, 3)), rng.normal(size=(50, 3))
-    y = rng.normal(size=200)
-    cols = "a double, b double, c double"
-    train = spark.createDataFrame([(*map(float, r), float(v)) for r, v in zip(t, y)], cols + ", y double")
-    query = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(q)], "i int, " + cols)
-    got = forecast.kernel_regression(train, query, ["a", "b", "c"], "y", 2.0).orderBy("i").toPandas()["kernel_pred"]
-    w = np.exp(-((q[:, None, :] - t[None, :, :]) ** 2).sum(axis=2) / (2 * 2.0**2))
-    assert np.allclose(got, w @ y / w.sum(axis=1), atol=1e-9)
-    cells = forecast.kernel_by_cells(train, query, ["a", "b", "c"], "y", 2.0).orderBy("i").toPandas()["kernel_pred"]
-    assert np.allclose(cells, w @ y / w.sum(axis=1))
-    narrow = forecast.kernel_regression(train, query, ["a", "b", "c"], "y", 0.05).orderBy("i").toPandas()["kernel_pred"]
-    w = np.exp(-((q[:, None, :] - t[None, :, :]) ** 2).sum(axis=2) / (2 * 0.05**2))
-    with np.errstate(invalid="ignore"):
-        assert np.allclose(narrow.astype(float), w @ y / w.sum(axis=1), equal_nan=True)
-
-
 @pytest.mark.parametrize("metric", ["sqeuclid", "euclid", "cosine"])
 def test_nearest_earlier_equals_loop(spark, metric):
     rng = np.random.default_rng(7)

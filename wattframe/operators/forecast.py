@@ -2,12 +2,8 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
-from itertools import product
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,6 +12,7 @@ from wattframe.functions.blocks import BLOCKS_PER_DAY, day_number
 from wattframe.functions.curves import last_of
 from wattframe.functions.scalars import ratio
 from wattframe.operators import bins, repair, windows
+from wattframe.operators.kernel import kernel_regression  # noqa: F401  (a forecast like the others)
 from wattframe.session import cut_lineage
 
 
@@ -124,106 +121,6 @@ def time_split(df: DataFrame, days: int, as_of: str | None = None, history: int
     return kept.withColumn("part", F.when(F.col("date") < cut, "train").otherwise("test"))
 
 
-# ---- kernel regression --------------------------------------------------------------------------------
-
-def _powers_needed(z: float, tolerance: float) -> int:
-    """Terms of the exponential series that leave a relative remainder below the tolerance for |x| <= z."""
-    order = 0
-    while z > 0 and order * math.log(z) - math.lgamma(order + 1) + 2 * z > math.log(tolerance):
-        order += 1
-    return order
-
-
-def kernel_regression(train: DataFrame, query: DataFrame, features: Sequence[str], target: str, sigma: float, tolerance: float = 1e-12, out: str = "kernel_pred", max_moments: int = 20_000) -> DataFrame:
-    """Gaussian kernel regression: sum w y / sum w with w = exp(-|q - t|^2 / (2 sigma^2)).
-
-    No pair of rows is formed. w factors into exp(-|q|^2/2s^2) exp(-|t|^2/2s^2) exp(q.t/s^2) and the last
-    factor is expanded in powers, so training reduces to one table of moments, summed per task in numpy
-    and then across tasks, and scoring evaluates a polynomial. Both sides are linear in their rows. The
-    number of powers is chosen from the largest norms so that the remainder is below ``tolerance``. Data
-    too spread for that many moments goes through ``kernel_by_cells``, with the same result.
-    """
-    names = list(features)
-    square = sum((F.col(f) * F.col(f) for f in names[1:]), F.col(names[0]) * F.col(names[0]))
-    reach = [float(d.agg(F.sqrt(F.max(square))).first()[0] or 0.0) for d in (train, query)]
-    order = _powers_needed(reach[0] * reach[1] / sigma**2, tolerance)
-    if math.comb(order + len(names), len(names)) > max_moments:
-        return kernel_by_cells(train, query, names, target, sigma, out)
-    powers = [p for p in product(range(order + 1), repeat=len(names)) if sum(p) <= order]
-    exponents = np.array(powers)
-    scale = np.array([1.0 / math.prod(math.factorial(e) for e in p) for p in powers])
-
-    def monomials(x: np.ndarray) -> np.ndarray:
-        rows = np.exp(-(x**2).sum(axis=1) / (2 * sigma**2))
-        table = np.ones((len(x), len(powers)))
-        for j in range(x.shape[1]):
-            grid = (x[:, j : j + 1] / sigma) ** np.arange(order + 1)
-            table *= grid[:, exponents[:, j]]
-        return table * rows[:, None]
-
-    def moments(batches):
-        n0, n1 = np.zeros(len(powers)), np.zeros(len(powers))
-        for pdf in batches:
-            for start in range(0, len(pdf), 2048):
-                part = pdf.iloc[start : start + 2048]
-                m = monomials(part[names].to_numpy(dtype=float))
-                n0 += m.sum(axis=0)
-                n1 += part[target].to_numpy(dtype=float) @ m
-        yield pd.DataFrame({"i": np.arange(len(powers)), "m0": n0, "m1": n1})
-
-    complete = train.dropna(subset=[*names, target]).select(*names, target)
-    per_task = complete.mapInPandas(moments, "i int, m0 double, m1 double")
-    summed = per_task.groupBy("i").agg(F.sum("m0").alias("m0"), F.sum("m1").alias("m1"))
-    table = summed.toPandas().sort_values("i")
-    w0 = table["m0"].to_numpy() * scale
-    w1 = table["m1"].to_numpy() * scale
-
-    @F.pandas_udf("double")
-    def predict(*cols: pd.Series) -> pd.Series:
-        x = np.column_stack([c.to_numpy(dtype=float) for c in cols])
-        result = np.empty(len(x))
-        for start in range(0, len(x), 2048):
-            m = monomials(x[start : start + 2048])
-            den = m @ w0
-            result[start : start + 2048] = np.where(den > 0, (m @ w1) / np.where(den > 0, den, 1.0), np.nan)
-        return pd.Series(result)
-
-    return query.withColumn(out, F.nanvl(predict(*names), F.lit(None)))
-
-
-# exp(-x) is exactly zero in double precision beyond x = 746.
-VANISHING = math.sqrt(2 * 746.0)
-
-
-def kernel_by_cells(train: DataFrame, query: DataFrame, features: Sequence[str], target: str, sigma: float, out: str = "kernel_pred", slots: int = 32) -> DataFrame:
-    """Kernel regression for widely spread data.
-
-    Training points with equal features are summed first. Both sides are laid on a grid as wide as the
-    distance at which the weight is zero in double precision, so a query meets the adjoining cells only
-    and misses nothing. The points of a cell are dealt over slots, and the weights are added up per query
-    before they are shuffled.
-    """
-    names = list(features)
-    width = VANISHING * sigma
-    gridded = names[:2]
-    cell = [F.floor(F.col(f) / width).cast("long") for f in gridded]
-    points = train.dropna(subset=[*names, target]).groupBy(*names).agg(F.sum(target).alias("_y"), F.count(F.lit(1)).alias("_n"))
-    points = points.select(
-        *[F.col(f).alias(f"_t_{f}") for f in names], "_y", "_n",
-        *[c.alias(f"_cell{i}") for i, c in enumerate(cell)], F.pmod(F.xxhash64(*names), F.lit(slots)).cast("int").alias("_slot"),
-    )
-    asked = query.dropna(subset=names).select(*names).distinct()
-    for i, c in enumerate(cell):
-        asked = asked.withColumn(f"_cell{i}", F.explode(F.array(*[c + d for d in (-1, 0, 1)])))
-    asked = asked.withColumn("_slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))))
-    on = [*[f"_cell{i}" for i in range(len(cell))], "_slot"]
-    square = sum((F.pow(F.col(f) - F.col(f"_t_{f}"), F.lit(2.0)) for f in names[1:]), F.pow(F.col(names[0]) - F.col(f"_t_{names[0]}"), F.lit(2.0)))
-    weighed = asked.join(points, on).withColumn("_w", F.exp(-square / (2 * sigma**2)))
-    scored = weighed.groupBy(*names).agg(F.sum(F.col("_w") * F.col("_y")).alias("_a"), F.sum(F.col("_w") * F.col("_n")).alias("_b"))
-    result = scored.select(*names, ratio(F.col("_a"), F.col("_b")).alias(out))
-    return query.join(result, names, "left")
-
-
 # ---- learners -----------------------------------------------------------------------------------------
 
 def _regressor(algo: str, seed: int):
