@@ -27,6 +27,8 @@ SIDE = 0.5
 POINTS, CROWD, ASKING = 4096, 65_536, 256
 #: Blocks of asking rows of one cube that meet in one group.
 MEETING = 64
+#: Levels of cubes that one plan goes down.
+LEVELS = 4
 
 
 def _nodes_needed(tolerance: float) -> int:
@@ -136,7 +138,9 @@ def meeting_cubes(asking: DataFrame, holding: DataFrame, levels: int, slack: flo
         grown = grown.join(_grow(asking, level, "q"), "_qp").join(_grow(holding, level, "s"), "_sp").select("_q", "_s")
         nearest = F.min(_apart(level, 1)).over(Window.partitionBy("_q"))
         kept = grown.withColumn("_nearest", nearest).where(_apart(level, -1) <= F.least(F.lit(VANISHING**2), F.col("_nearest") + slack))
-        pairs = cut_lineage(kept.drop("_nearest"))
+        pairs = kept.drop("_nearest")
+        if level and level % LEVELS == 0:
+            pairs = cut_lineage(pairs)
     return pairs
 
 
@@ -159,19 +163,18 @@ def kernel_regression(train: DataFrame, query: DataFrame, features: Sequence[str
     points = points.groupBy(*xs).agg(F.sum("_y").alias("_y"), F.count(F.lit(1)).cast("double").alias("_n"))
     asked = query.select(*scaled).where(finite(xs)).distinct()
     points, asked = cut_lineage(points), cut_lineage(asked)
-    ends = points.select(*xs).unionByName(asked).agg(*[F.min(x) for x in xs], *[F.max(x) for x in xs]).first()
+    both = points.select(*xs, "_n").unionByName(asked.withColumn("_n", F.lit(0.0)))
+    ends = both.agg(*[F.min(x) for x in xs], *[F.max(x) for x in xs], F.sum("_n")).first()
     if ends[0] is None:
         return query.withColumn(out, F.lit(None).cast("double"))
-    low = list(ends[:d])
-    levels = max(int((high - base) / SIDE).bit_length() for base, high in zip(low, ends[d:]))
+    low, high, mass = ends[:d], ends[d : 2 * d], max(ends[2 * d], 1.0)
+    levels = max(int((last - base) / SIDE).bit_length() for base, last in zip(low, high))
     moved = [(F.col(x) - base).alias(x) for x, base in zip(xs, low)]
     cell = F.array(*[F.floor(F.col(x) / SIDE) for x in xs]).alias("_cell")
     points = points.select(*moved, "_y", "_n").select("*", cell)
     asked = asked.select(*moved).select("*", cell)
 
-    holding = cut_lineage(points.groupBy("_cell").agg(F.count(F.lit(1)).alias("_size"), F.sum("_n").alias("_mass")))
-    asking = cut_lineage(asked.groupBy("_cell").agg(F.count(F.lit(1)).alias("_size")))
-    mass = holding.agg(F.sum("_mass")).first()[0] or 1.0
+    holding, asking = [cut_lineage(side.groupBy("_cell").agg(F.count(F.lit(1)).alias("_size"))) for side in (points, asked)]
     pairs = meeting_cubes(asking.select("_cell"), holding.select("_cell"), levels, 2 * math.log(mass / tolerance))
 
     def dealt(rows: DataFrame, sizes: DataFrame, most: Column, cells: list[str]) -> DataFrame:
@@ -181,7 +184,7 @@ def kernel_regression(train: DataFrame, query: DataFrame, features: Sequence[str
         return held.groupBy("_cell", "_size", "_slot").agg(F.flatten(F.collect_list("_row")).alias("_flat"))
 
     crowded = F.col("_size") > F.lit(float(n) ** d)
-    blocks = dealt(points, holding.select("_cell", "_size"), F.when(crowded, CROWD).otherwise(POINTS), [*xs, "_y", "_n"])
+    blocks = dealt(points, holding, F.when(crowded, CROWD).otherwise(POINTS), [*xs, "_y", "_n"])
     sparse = blocks.where(~crowded).select(F.col("_cell").alias("_s"), F.lit(False).alias("_crowded"), "_flat")
     parts = blocks.where(crowded).select("_cell", "_flat").mapInArrow(lambda it: _summed(it, d, n), "_s array<bigint>, _flat array<double>")
     summed = parts.select("_s", F.posexplode("_flat").alias("_i", "_w")).groupBy("_s", "_i").agg(F.sum("_w").alias("_w"))
