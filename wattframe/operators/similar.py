@@ -19,6 +19,7 @@ from wattframe.functions.blocks import BLOCKS_PER_DAY, day_number
 from wattframe.functions.scalars import point_at, ratio
 from wattframe.operators import aggregates, repair
 from wattframe.operators.latest import top_k
+from wattframe.operators.past import nearest_in_past
 from wattframe.operators.places import nearest_units  # noqa: F401  (a unit's neighbours belong to its similar days)
 
 SMALLEST_BUCKET = 128
@@ -190,6 +191,8 @@ def similar_days(
 
 def similar_windows(features: DataFrame, keys: Sequence[str], window: str, vector: str, metric: str, k: int, lookback: int | None = None) -> DataFrame:
     """The k nearest earlier windows (groups of blocks) per window, over the whole past by default."""
+    if lookback is None:
+        return nearest_in_past(features, keys, window, vector, metric, k)
     return nearest_earlier(features, keys, window, vector, metric, lookback, k)
 
 
