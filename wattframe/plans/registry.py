@@ -94,7 +94,7 @@ def query(name: str, columns: str, sql: str | None = None):
 
 
 MODULES = (
-    "ask_basics", "ask_repair", "ask_similar", "ask_corrections", "ask_decisions", "ask_quality", "ask_sources", "ask_streams",
+    "ask_basics", "ask_repair", "ask_similar", "ask_corrections", "ask_decisions", "ask_quality", "ask_sources", "ask_streams", "ask_writes",
 )
 
 
