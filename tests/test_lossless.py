@@ -1,6 +1,7 @@
 """Rows with null keys, open ends, null costs and over-long groups are kept and have a defined result."""
 
 import datetime as dt
+import random
 
 from pyspark.sql import functions as F
 
@@ -26,6 +27,15 @@ def test_null_keys_and_values_keep_their_rows(spark):
     assert ranks == {("a", 5.0): 1.0, ("a", None): None, ("a", 7.0): 2.0, (None, 3.0): 1.0, (None, 4.0): 2.0, (None, None): None}
 
 
+def test_ranks_of_values_that_come_out_anew(spark):
+    draw = F.udf(lambda: random.SystemRandom().random(), "double").asNondeterministic()
+    df = spark.range(50).select((F.col("id") % 2).alias("k"), draw().alias("v"))
+    got = splits.average_ranks(df, ["k"], "v").collect()
+    for k in (0, 1):
+        line = sorted((r["v"], r["rank"]) for r in got if r["k"] == k)
+        assert [rank for _, rank in line] == [i + 1.0 for i in range(25)]
+
+
 def test_null_costs_stand_where_the_plain_order_puts_them(spark):
     df = spark.createDataFrame([(1, "u", 5.0, 10.0), (1, "v", None, 20.0), (1, "w", -3.0, 40.0), (1, "x", 0.0, 80.0)], "d int, unit string, cost double, mw double")
     for down in (False, True):

@@ -167,8 +167,15 @@ def _ranked(counts: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     return ranked.select(*keys, value, "n", (F.col("_upto") - F.col("n")).alias("below"))
 
 
-def average_ranks(df: DataFrame, keys: Sequence[str], value: str, out: str = "rank") -> DataFrame:
-    """Rank of each value in its key; equal values share the mean of their ranks. Null ranks null."""
+def average_ranks(df: DataFrame, keys: Sequence[str], value: str, out: str = "rank", stored: bool = False) -> DataFrame:
+    """Rank of each value in its key; equal values share the mean of their ranks. Null ranks null.
+
+    Rows meet their rank by value, so both sides must see the same doubles. A mean or a sum computed again adds up in
+    another order and may end in another digit, hence the rows are checkpointed; ``stored`` says that value and keys
+    stand in a table as they are, and saves that.
+    """
+    if not stored:
+        df = cut_lineage(df)
     ranks = value_ranks(df, keys, value).select(
         *keys, value, (F.col("below") + (F.col("n") + 1) / 2).alias(out)
     )

@@ -530,7 +530,7 @@ def _(t):
 @query("average_rank_global", "event_id:i rank:f", """
 SELECT event_id, rank() OVER (ORDER BY value) + (count(*) OVER (PARTITION BY value) - 1) / 2.0 AS rank FROM events""")
 def _(t):
-    return splits.average_ranks(t.events.select("event_id", "value"), [], "value")
+    return splits.average_ranks(t.events.select("event_id", "value"), [], "value", stored=True)
 
 
 @query("row_lags", "area:s date:d price_lag1:g price_lag7:g", """
