@@ -1,7 +1,10 @@
 """Kernel regression by cubes against all pairs."""
 
+import random
+
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from wattframe.operators import kernel
 
@@ -82,6 +85,14 @@ def test_far_cubes_never_meet(spark):
     assert len(met) == 2000 and met.max() < 50
 
 
+def test_features_that_come_out_anew(spark):
+    draw = F.udf(lambda: random.SystemRandom().random(), "double").asNondeterministic()
+    train = spark.createDataFrame([(0.1, 1.0), (0.4, 2.0), (0.9, 4.0)], "a double, y double")
+    got = kernel.kernel_regression(train, spark.range(40).select("id", draw().alias("a")), ["a"], "y", 0.3).toPandas()
+    wanted = pairs(np.array([[0.1], [0.4], [0.9]]), np.array([1.0, 2.0, 4.0]), got[["a"]].to_numpy(), 0.3)
+    assert len(got) == 40 and np.allclose(got["kernel_pred"].to_numpy(dtype=float), wanted, rtol=1e-9)
+
+
 def test_edges(spark):
     schema = "i int, a double, b double, y double, kernel_pred string"
     nothing = spark.createDataFrame([], schema)

@@ -152,8 +152,10 @@ def kernel_regression(train: DataFrame, query: DataFrame, features: Sequence[str
     result differs from that of all pairs by about ``tolerance``; a row more than some 20 sigma from all training rows
     may differ by more, for rounding. Rows farther than 38 sigma from all, where every weight is zero, rows with a null
     or non-finite feature, and all rows if nothing was trained get null. Training rows with a null or non-finite feature
-    or target take no part. A column of ``query`` named ``out`` is replaced, its others stay as they are.
+    or target take no part. A column of ``query`` named ``out`` is replaced, its others stay as they are. ``query`` is
+    checkpointed, as its rows meet their result by their features: a mean computed again may end in another digit.
     """
+    query = cut_lineage(query)
     d = len(features)
     n = nodes or _nodes_needed(tolerance)
     xs = [f"_x{j}" for j in range(d)]
