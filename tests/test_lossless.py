@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import re
 
 from pyspark.sql import functions as F
 
@@ -60,6 +61,23 @@ def test_open_validity(spark):
     assert got == [("a", day(1, 1), 1), ("a", day(1, 1), 3), ("a", day(6, 1), 2), ("a", day(6, 1), 3), ("b", day(6, 1), 4), ("b", day(6, 1), 6)]
 
 
+def test_facts_are_dealt_by_key_and_span(spark):
+    facts = spark.range(2000).select((F.col("id") % 5).cast("string").alias("k"), F.expr("date_add(DATE '2024-01-01', CAST(id % 300 AS INT))").alias("date"))
+    dim = spark.range(5).select(F.col("id").cast("string").alias("k"), F.expr("explode(sequence(DATE '2024-01-01', DATE '2024-12-01', INTERVAL 1 MONTH))").alias("f"))
+    held = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    kept = {name: spark.conf.get(name) for name in held}
+    try:
+        for name, value in held.items():
+            spark.conf.set(name, value)
+        joined = series.in_force(facts, dim.withColumn("t", F.last_day("f")), ["k"], "date", "f", "t")
+        assert joined.count() == 2000
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "LeftSemi" not in plan and not re.search(r"hashpartitioning\(_length#\d+, ", plan)
+    finally:
+        for name, value in kept.items():
+            spark.conf.set(name, value)
+
+
 def test_profiles_of_any_grid(spark):
     line = [("whole", x, 2.0 * x) for x in range(1, 9)] + [("long", x, 3.0 * x) for x in range(1, 21)] + [("apart", x + 40, 1.0 * x) for x in range(8)] + [("few", 1, 1.0)]
     df = spark.createDataFrame(line, "k string, x int, y double")

@@ -186,7 +186,7 @@ def in_force(facts: DataFrame, dim: DataFrame, keys: Sequence[str], date: str, s
 
     A validity range is laid out over spans of days that double in length (1, 2, 4, ...): it goes to the spans of
     the one length that it fits, two at most, so a long or open range makes no more copies than a short one.
-    A fact asks one span of each length, hence an equi-join on key, length and span with the range as residual test.
+    A fact asks one span of each length in use, hence an equi-join on key, length and span with the range as residual test.
     """
     first = F.coalesce(blocks.day_number(F.col(start)), F.lit(-FAR_DAY))
     last = F.coalesce(blocks.day_number(F.col(end)), F.lit(FAR_DAY))
@@ -194,10 +194,10 @@ def in_force(facts: DataFrame, dim: DataFrame, keys: Sequence[str], date: str, s
     spans = F.array_distinct(F.array(*[F.floor(x / F.pow(F.lit(2.0), length)).cast("long") for x in (first, last)]))
     spread = dim.filter(first <= last).withColumn("_length", length).withColumn("_span", F.explode(spans))
     day = blocks.day_number(F.col(date))
-    asked = F.array(*[F.struct(F.lit(i).alias("_length"), F.floor(day / 2.0**i).cast("long").alias("_span")) for i in range(FAR_DAY.bit_length() + 2)])
-    placed = facts.select("*", F.inline(asked))
-    # A length that no range has is not asked for: few numbers, so Spark broadcasts them by its own size check.
-    placed = placed.join(spread.select("_length").distinct(), "_length", "left_semi")
+    # Only lengths that some range has are asked for: a short list, taken first, so a fact is not copied to be dropped.
+    lengths = spread.agg(F.sort_array(F.collect_set("_length"))).scalar()
+    placed = facts.withColumn("_lengths", lengths).select("*", F.explode("_lengths").alias("_length")).drop("_lengths")
+    placed = placed.withColumn("_span", F.floor(day / F.pow(F.lit(2.0), F.col("_length"))).cast("long"))
     joined = placed.join(spread, [*keys, "_length", "_span"])
     inside = (F.col(date) >= F.coalesce(F.col(start), F.col(date))) & (F.col(date) <= F.coalesce(F.col(end), F.col(date)))
     return joined.filter(inside).drop("_length", "_span")
